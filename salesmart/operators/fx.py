@@ -98,42 +98,45 @@ def chunk_start_of(day: Column, date_from: dt.date, chunk_days: int) -> Column:
 
 
 def rate_table(spark: SparkSession, rates_wide: DataFrame, date_from: dt.date, date_to: dt.date,
-               params: FxParams = FxParams()) -> DataFrame:
+               params: FxParams = FxParams()) -> tuple[DataFrame, DataFrame]:
     """Effective rate per (currency, day) for every day of the load window.
 
     Only rate rows in ``[date_from - lookback, date_to]`` are read (the
-    filter reaches the scan). Output: ``currency, day, fx_rate``.
+    filter reaches the scan). Returns ``(currency, day, fx_rate)`` for the
+    non-base currencies and ``(chunk_start, available)`` per chunk.
     """
     lo = date_from - dt.timedelta(days=params.lookback_days)
     visible = rates_wide.where((F.col("date") >= F.lit(lo)) & (F.col("date") <= F.lit(date_to)))
-    rate_rows = long_rates(visible, params.currency_columns)
-
-    codes = [c for c in params.currency_columns if c != BASE_CURRENCY]
-    # one calendar per currency: currencies x window days rows
-    grid = spark.createDataFrame([(c,) for c in codes] or [("",)], "currency string") \
+    # duplicate rate days collapse to one row per (currency, day), larger rate wins
+    rate_rows = long_rates(visible, params.currency_columns) \
+        .groupBy("currency", "rate_date").agg(F.max("rate").alias("rate"))
+    row_days = visible.select(F.col("date").alias("row_day")).distinct()
+
+    codes = [c for c in params.currency_columns if c != BASE_CURRENCY] or [""]
+    # one calendar per currency: currencies x (window + lookback) days
+    grid = spark.createDataFrame([(c,) for c in codes], "currency string") \
         .select("currency", F.explode(F.sequence(F.lit(lo), F.lit(date_to))).alias("day"))
-    if not codes:
-        grid = grid.where(F.lit(False))
-    dense = grid.join(rate_rows, (grid.currency == rate_rows.currency) & (grid.day == rate_rows.rate_date), "left") \
-        .select(grid.currency, grid.day, rate_rows.rate_date, rate_rows.rate)
+    dense = (grid
+             .join(rate_rows, (grid.currency == rate_rows.currency) & (grid.day == rate_rows.rate_date), "left")
+             .join(row_days, grid.day == row_days.row_day, "left")
+             .select(grid.currency, grid.day, rate_rows.rate, row_days.row_day))
     w = Window.partitionBy("currency").orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     dense = dense.select(
         "currency", "day",
-        F.col("rate_date").isNotNull().alias("has_row"),
+        F.col("row_day").isNotNull().alias("has_row"),
         F.col("rate").alias("exact_rate"),
         F.last("rate", ignorenulls=True).over(w).alias("last_rate"),
         F.last(F.when(F.col("rate").isNotNull(), F.col("day")), ignorenulls=True).over(w).alias("last_day"),
+        F.last("row_day", ignorenulls=True).over(w).alias("last_row_day"),
     )
 
-    # chunk availability: any rate row in [chunk_start - lookback, chunk_end]
+    # a chunk sees rates iff the latest rate row up to its end lies within its lookback
     chunks = window_chunks(spark, date_from, date_to, params.chunk_days)
-    row_days = visible.select(F.col("date").alias("rd")).distinct()
-    avail = chunks.join(
-        F.broadcast(row_days),
-        (row_days.rd >= F.date_sub(chunks.chunk_start, params.lookback_days)) & (row_days.rd <= chunks.chunk_end),
-        "left_semi").select("chunk_start", F.lit(True).alias("available"))
-    chunk_info = chunks.join(avail, "chunk_start", "left").select(
-        "chunk_start", F.coalesce(F.col("available"), F.lit(False)).alias("available"))
+    first = dense.where(F.col("currency") == F.lit(codes[0])).select("day", "last_row_day")
+    chunk_info = chunks.join(first, chunks.chunk_end == first.day, "left").select(
+        "chunk_start",
+        F.coalesce(F.col("last_row_day") >= F.date_sub(F.col("chunk_start"), params.lookback_days),
+                   F.lit(False)).alias("available"))
 
     in_window = dense.where(F.col("day") >= F.lit(date_from)) \
         .withColumn("chunk_start", chunk_start_of(F.col("day"), date_from, params.chunk_days))
@@ -144,47 +147,46 @@ def rate_table(spark: SparkSession, rates_wide: DataFrame, date_from: dt.date, d
           .otherwise(F.lit(None).cast(RATE_TYPE)))
     if params.null_when_no_rates:
         fx = F.when(F.col("available"), fx).otherwise(F.lit(None).cast(RATE_TYPE))
-    others = in_window.select("currency", "day", fx.alias("fx_rate"))
-
-    base = chunks_days(spark, date_from, date_to).join(
-        F.broadcast(chunk_info.withColumnRenamed("chunk_start", "cs")),
-        chunk_start_of(F.col("day"), date_from, params.chunk_days) == F.col("cs"), "left")
-    base_rate = F.lit(1).cast(RATE_TYPE)
-    if params.null_when_no_rates:
-        base_rate = F.when(F.col("available"), base_rate).otherwise(F.lit(None).cast(RATE_TYPE))
-    rub = base.select(F.lit(BASE_CURRENCY).alias("currency"), "day", base_rate.alias("fx_rate"))
-    return others.unionByName(rub)
-
-
-def chunks_days(spark: SparkSession, date_from: dt.date, date_to: dt.date) -> DataFrame:
-    return spark.range(1).select(F.explode(F.sequence(F.lit(date_from), F.lit(date_to))).alias("day"))
+    others = in_window.where(F.col("currency") != F.lit(""))
+    return others.select("currency", "day", fx.alias("fx_rate")), chunk_info
 
 
 def rate_table_rows(params: FxParams, date_from: dt.date, date_to: dt.date) -> int:
-    """Exact row count of ``rate_table`` (the broadcast size check)."""
+    """Exact row count of the (currency, day) table: the broadcast size check."""
     days = (date_to - date_from).days + 1
-    return max(days, 0) * len(params.currency_columns)
+    return max(days, 0) * len([c for c in params.currency_columns if c != BASE_CURRENCY])
 
 
 def convert(spark: SparkSession, facts: DataFrame, rates_wide: DataFrame, date_field: str,
             measures: list[str], date_from: dt.date, date_to: dt.date,
-            params: FxParams = FxParams(), connection_currency: Column | None = None) -> DataFrame:
+            params: FxParams = FxParams(), connection_currency: Column | None = None,
+            chunk_col: str | None = None) -> DataFrame:
     """OP-10: add ``<m>_RUB = round(m * rate, 4)`` for every measure.
 
     Null amount or null rate gives null. Arithmetic is decimal so that the
-    rounding is exact; the result column is double.
+    rounding is exact; the result column is double. ``chunk_col`` names the
+    request chunk of each row when it is known from the landing (rows whose
+    date did not parse still belong to a chunk); otherwise the chunk is
+    derived from the row date.
     """
     if date_from > date_to:
         raise ValueError("empty load window")
-    table = rate_table(spark, rates_wide, date_from, date_to, params)
+    table, chunk_info = rate_table(spark, rates_wide, date_from, date_to, params)
     if rate_table_rows(params, date_from, date_to) <= params.broadcast_max_rows:
         table = F.broadcast(table)
+    chunk_info = F.broadcast(chunk_info.withColumnRenamed("chunk_start", "_fx_cs"))
     ccy = effective_currency(F.col(params.currency_field), connection_currency)
-    keyed = facts.withColumn("_fx_ccy", ccy)
-    joined = keyed.join(table, (keyed["_fx_ccy"] == table["currency"]) & (keyed[date_field] == table["day"]), "left")
+    cs = F.col(chunk_col) if chunk_col else chunk_start_of(F.col(date_field), date_from, params.chunk_days)
+    keyed = facts.withColumn("_fx_ccy", ccy).withColumn("_fx_chunk", cs)
+    joined = keyed.join(table, (keyed["_fx_ccy"] == table["currency"]) & (keyed[date_field] == table["day"]), "left") \
+        .join(chunk_info, F.col("_fx_chunk") == F.col("_fx_cs"), "left")
+    base = F.lit(1).cast(RATE_TYPE)
+    if params.null_when_no_rates:
+        base = F.when(F.col("available"), base)
+    rate = F.when(keyed["_fx_ccy"] == F.lit(BASE_CURRENCY), base).otherwise(table["fx_rate"])
     out_cols = [keyed[c] for c in facts.columns]
     converted = [
-        F.round(keyed[m].try_cast(AMOUNT_TYPE) * F.col("fx_rate"), 4).cast("double").alias(m + BASE_SUFFIX)
+        F.round(keyed[m].try_cast(AMOUNT_TYPE) * rate, 4).cast("double").alias(m + BASE_SUFFIX)
         for m in measures
     ]
     return joined.select(*out_cols, *converted)

@@ -145,6 +145,166 @@ FROM facts f LEFT JOIN long l ON l.ccy = f.ccy AND l.rate_date = f.OpenDate_Type
 """
 
 
+MESSY_RAW = f"""
+SELECT CASE k4 WHEN 0 THEN d WHEN 1 THEN t WHEN 2 THEN t || '.250' ELSE '29.02.2000' END AS "OpenDate.Typed",
+       CASE WHEN l_linenumber = 6 THEN ''
+            ELSE CASE k4 WHEN 0 THEN t WHEN 1 THEN t || '.5' WHEN 2 THEN t || 'Z' ELSE t || '.1234567' END
+       END AS CloseTime,
+       CASE WHEN l_linenumber = 5 THEN '' ELSE s_name END AS Department,
+       p_type AS DishGroup,
+       CAST(p_partkey AS VARCHAR) AS DishId,
+       CAST(l_orderkey AS VARCHAR) AS "UniqOrderId.Id",
+       {CURRENCY_CASE} AS "Currencies.Currency",
+       CASE WHEN l_linenumber = 7 THEN '' WHEN l_quantity = 13 THEN 'abc' WHEN l_quantity = 17 THEN '1d'
+            ELSE (CASE WHEN units >= 1000 THEN CAST(units // 1000 AS VARCHAR) || ' ' || lpad(CAST(units % 1000 AS VARCHAR), 3, '0')
+                       ELSE CAST(units AS VARCHAR) END) || ',' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0')
+       END AS DishSumInt,
+       CAST(l_quantity AS VARCHAR) AS DishAmountInt,
+       CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS VARCHAR) AS DishDiscountSumInt,
+       'x' AS "Extra-Field",
+       'ignored' AS url,
+       'src' || CAST(s_nationkey AS VARCHAR) AS _source,
+       cf AS _chunk_from,
+       cf + 6 AS _chunk_to
+FROM (
+  SELECT l.*, s.*, p.*, l.l_orderkey % 4 AS k4,
+         CAST(CAST(l.l_shipdate AS DATE) AS VARCHAR) AS d,
+         CAST(CAST(l.l_shipdate AS DATE) AS VARCHAR) || 'T' || lpad(CAST(l.l_linenumber AS VARCHAR), 2, '0') || ':30:15' AS t,
+         CAST(round(l.l_extendedprice * 100) AS BIGINT) AS cents,
+         CAST(round(l.l_extendedprice * 100) AS BIGINT) // 100 AS units,
+         DATE '1995-01-01' + CAST(floor(date_diff('day', DATE '1995-01-01', CAST(l.l_shipdate AS DATE)) / 7) * 7 AS INTEGER) AS cf
+  FROM lineitem l
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN part p ON l.l_partkey = p.p_partkey
+) x
+"""
+
+LANDED = f"""
+SELECT "OpenDate.Typed" AS OpenDate_Typed, CloseTime, Department, DishGroup, DishId,
+       "UniqOrderId.Id" AS UniqOrderId_Id, "Currencies.Currency" AS Currencies_Currency,
+       DishSumInt, DishAmountInt, DishDiscountSumInt,
+       CASE WHEN regexp_matches(_source, '^https?://') THEN _source ELSE 'http://' || _source END AS url,
+       _chunk_from, _chunk_to
+FROM ({MESSY_RAW}) m
+"""
+
+NUMBER_RE = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)\s*$"
+TS_RE = r"^(\d{4})-(\d{1,2})-(\d{1,2})T(\d{1,2}):(\d{1,2}):(\d{1,2})(\.(\d{1,6}))?$"
+DATE_RE = r"^\d{4}-\d{1,2}-\d{1,2}$"
+
+
+def _num(c: str) -> str:
+    cleaned = f"replace(replace({c}, ' ', ''), ',', '.')"
+    return (f"CASE WHEN {c} IS NULL OR {c} = '' THEN NULL "
+            f"WHEN lower(trim({c})) = 'true' THEN 1.0 WHEN lower(trim({c})) = 'false' THEN 0.0 "
+            f"WHEN regexp_matches({cleaned}, '{NUMBER_RE}') THEN TRY_CAST({cleaned} AS DOUBLE) END")
+
+
+def _ts(c: str) -> str:
+    g = lambda i: f"regexp_extract({c}, '{TS_RE}', {i})"
+    norm = (f"{g(1)} || '-' || lpad({g(2)}, 2, '0') || '-' || lpad({g(3)}, 2, '0') || ' ' || "
+            f"lpad({g(4)}, 2, '0') || ':' || lpad({g(5)}, 2, '0') || ':' || lpad({g(6)}, 2, '0') || '.' || rpad({g(8)}, 6, '0')")
+    return f"CASE WHEN regexp_matches({c}, '{TS_RE}') THEN TRY_CAST({norm} AS TIMESTAMP) END"
+
+
+def _date(c: str) -> str:
+    head = f"split_part({c}, 'T', 1)"
+    return f"CASE WHEN regexp_matches({head}, '{DATE_RE}') THEN TRY_CAST({head} AS DATE) END"
+
+
+TYPED = f"""
+SELECT {_date('OpenDate_Typed')} AS OpenDate_Typed,
+       {_ts('CloseTime')} AS CloseTime,
+       nullif(Department, '') AS Department, nullif(DishGroup, '') AS DishGroup, nullif(DishId, '') AS DishId,
+       nullif(UniqOrderId_Id, '') AS UniqOrderId_Id, nullif(Currencies_Currency, '') AS Currencies_Currency,
+       {_num('DishSumInt')} AS DishSumInt, {_num('DishAmountInt')} AS DishAmountInt,
+       {_num('DishDiscountSumInt')} AS DishDiscountSumInt,
+       url, _chunk_from, _chunk_to
+FROM ({LANDED}) n
+"""
+
+DEFAULT_TEXT = "не задана"
+
+FILLED = f"""
+SELECT OpenDate_Typed, CloseTime,
+       coalesce(Department, '{DEFAULT_TEXT}') AS Department, coalesce(DishGroup, '{DEFAULT_TEXT}') AS DishGroup,
+       coalesce(DishId, '{DEFAULT_TEXT}') AS DishId, coalesce(UniqOrderId_Id, '{DEFAULT_TEXT}') AS UniqOrderId_Id,
+       coalesce(Currencies_Currency, '{DEFAULT_TEXT}') AS Currencies_Currency,
+       DishSumInt, DishAmountInt, DishDiscountSumInt,
+       coalesce(url, '{DEFAULT_TEXT}') AS url, _chunk_from, _chunk_to
+FROM ({TYPED}) t
+"""
+
+FILLED_COLS = ("OpenDate_Typed, CloseTime, Department, DishGroup, DishId, UniqOrderId_Id, Currencies_Currency, "
+               "DishSumInt, DishAmountInt, DishDiscountSumInt, url")
+
+
+def _load_summary() -> str:
+    return f"""
+WITH rows AS ({FILLED}),
+rates AS ({RATES}),
+long AS ({LONG_RATES}),
+facts AS (
+  SELECT *, upper(trim(coalesce(nullif(Currencies_Currency, ''), 'RUB'))) AS ccy, _chunk_from AS cs FROM rows
+),
+chunks AS (
+  SELECT cs, EXISTS (SELECT 1 FROM rates r
+                     WHERE r.date >= k.cs - 10 AND r.date <= least(k.cs + 6, DATE '2001-12-31')) AS available
+  FROM (SELECT DISTINCT cs FROM facts) k
+),
+resolved AS (
+  SELECT f.*, c.available, ex.rate_date AS ex_date, ex.rate AS ex_rate,
+         (SELECT max(r.rate_date) FROM long r
+          WHERE r.ccy = f.ccy AND r.rate IS NOT NULL
+            AND r.rate_date <= f.OpenDate_Typed AND r.rate_date >= f.cs - 10) AS fb_date
+  FROM facts f JOIN chunks c ON c.cs = f.cs
+  LEFT JOIN long ex ON ex.ccy = f.ccy AND ex.rate_date = f.OpenDate_Typed
+),
+final AS (
+  SELECT r.*,
+         CASE WHEN NOT r.available THEN NULL
+              WHEN r.ccy = 'RUB' THEN CAST(1 AS DECIMAL(12,6))
+              WHEN r.ccy NOT IN ('GEL', 'AMD', 'KGS') THEN NULL
+              WHEN r.ex_date IS NOT NULL THEN r.ex_rate
+              ELSE fb.rate END AS fx_rate
+  FROM resolved r LEFT JOIN long fb ON fb.ccy = r.ccy AND fb.rate_date = r.fb_date
+),
+conv AS (
+  SELECT *,
+         ROUND(TRY_CAST(DishSumInt AS DECIMAL(18,4)) * fx_rate, 4) AS s_rub,
+         ROUND(TRY_CAST(DishAmountInt AS DECIMAL(18,4)) * fx_rate, 4) AS a_rub,
+         ROUND(TRY_CAST(DishDiscountSumInt AS DECIMAL(18,4)) * fx_rate, 4) AS d_rub
+  FROM final
+)
+SELECT url, _chunk_from AS chunk_from,
+       count(*) AS rows_in,
+       count_if(OpenDate_Typed IS NOT NULL) AS inserted,
+       count_if(OpenDate_Typed IS NULL) AS rejected,
+       count_if(DishSumInt IS NOT NULL AND s_rub IS NULL)
+         + count_if(DishAmountInt IS NOT NULL AND a_rub IS NULL)
+         + count_if(DishDiscountSumInt IS NOT NULL AND d_rub IS NULL) AS unconverted
+FROM conv
+GROUP BY url, _chunk_from
+"""
+
+
+def _dropped_fields() -> str:
+    fields = ["OpenDate.Typed", "CloseTime", "Department", "DishGroup", "DishId", "UniqOrderId.Id",
+              "Currencies.Currency", "DishSumInt", "DishAmountInt", "DishDiscountSumInt", "Extra-Field", "url"]
+    mart = ["OpenDate_Typed", "Department", "DishGroup", "DishId", "UniqOrderId_Id", "Currencies_Currency",
+            "DishSumInt", "DishAmountInt", "DishDiscountSumInt", "url"]
+    unions = "\n  UNION ALL ".join(f"""SELECT '{f}' AS field_name, "{f}" AS v FROM m""" for f in fields)
+    mart_list = ", ".join(f"'{c}'" for c in mart)
+    return f"""
+WITH m AS ({MESSY_RAW}),
+kv AS ({unions})
+SELECT field_name, count(*) AS n_rows
+FROM kv
+WHERE v <> '' AND translate(field_name, '.-', '__') NOT IN ({mart_list})
+GROUP BY field_name
+"""
+
+
 def registry() -> dict[str, str]:
     return {
         "report_sales": _report_sales(),
@@ -153,4 +313,11 @@ def registry() -> dict[str, str]:
         "fx_exact": _fx_exact(),
         "fx_register": _fx_sql("'GEL', 'AMD', 'KGS', 'USD'", ["DishSumInt"],
                                "\nUNION ALL SELECT date, 'USD', usd FROM rates"),
+        "normalize_names": f"SELECT {FILLED_COLS} FROM ({LANDED}) x",
+        "dropped_fields": _dropped_fields(),
+        "coerce_types": f"SELECT {FILLED_COLS} FROM ({TYPED}) x",
+        "fill_defaults": f"SELECT {FILLED_COLS} FROM ({FILLED}) x",
+        "quarantine": f"""SELECT {FILLED_COLS}, 'null in non-nullable column OpenDate_Typed' AS error,
+       _chunk_from, _chunk_to FROM ({FILLED}) x WHERE OpenDate_Typed IS NULL""",
+        "load_summary": _load_summary(),
     }

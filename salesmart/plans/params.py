@@ -40,3 +40,20 @@ TRANSACTIONS_TEMPLATE = ReportTemplate(
     measures=("Sum.Incoming", "Sum.Incoming.Avg"),
     measure_kinds={},
 )
+
+
+def _messy_schema():
+    from pyspark.sql import types as T
+
+    from salesmart.operators.template import mart_schema
+
+    base = mart_schema(SALES_MART_TEMPLATE, convert_currency=False)
+    fields = list(base.fields)
+    fields.insert(1, T.StructField("CloseTime", T.TimestampNTZType(), True))
+    return T.StructType(fields)
+
+
+# Mart schema of the landed sales rows: the mart template plus a date-time
+# column added later by a schema change (exercises OP-6).
+MESSY_SCHEMA = _messy_schema()
+MEASURES = ["DishSumInt", "DishAmountInt", "DishDiscountSumInt"]

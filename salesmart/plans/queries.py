@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.operators import fx, template
+from salesmart.operators import fx, normalize, template
 from salesmart.plans import params as P
 from salesmart.sources import fixtures
 
@@ -59,6 +59,68 @@ def fx_register(spark: SparkSession, data_dir: str) -> DataFrame:
                       ["DishSumInt"], P.LOAD_FROM, P.LOAD_TO, params)
 
 
+def _landed(spark: SparkSession, data_dir: str) -> DataFrame:
+    raw = fixtures.sales_messy(spark, data_dir)
+    named = normalize.normalise_columns(raw)
+    return normalize.project_to_schema(named, P.MESSY_SCHEMA, F.col("_source"), keep=["_chunk_from", "_chunk_to"])
+
+
+def normalize_names(spark: SparkSession, data_dir: str) -> DataFrame:
+    """OP-1/2/3: renamed, projected to the mart, source address as ``url``."""
+    return _landed(spark, data_dir).drop("_chunk_from", "_chunk_to")
+
+
+def dropped_fields(spark: SparkSession, data_dir: str) -> DataFrame:
+    """OP-2 report over map-shaped records: fields with no mart column."""
+    raw = fixtures.sales_messy(spark, data_dir)
+    fields = [c for c in raw.columns if not c.startswith("_")]
+    record = F.map_filter(F.create_map(*[x for c in fields for x in (F.lit(c), F.col(f"`{c}`"))]),
+                          lambda k, v: v != F.lit(""))
+    records = raw.select(record.alias("record"))
+    schema = template.mart_schema(P.SALES_MART_TEMPLATE, convert_currency=False)
+    return normalize.dropped_fields_of_records(records, "record", schema)
+
+
+def _typed(spark: SparkSession, data_dir: str) -> DataFrame:
+    return normalize.coerce_to_schema(_landed(spark, data_dir), P.MESSY_SCHEMA)
+
+
+def coerce_types(spark: SparkSession, data_dir: str) -> DataFrame:
+    """OP-4..7: numbers, date-times and dates parsed from report text."""
+    return _typed(spark, data_dir).drop("_chunk_from", "_chunk_to")
+
+
+def _filled(spark: SparkSession, data_dir: str) -> DataFrame:
+    return normalize.fill_defaults(_typed(spark, data_dir), P.MESSY_SCHEMA)
+
+
+def fill_defaults(spark: SparkSession, data_dir: str) -> DataFrame:
+    """OP-8: empty text columns of the mart get the default text."""
+    return _filled(spark, data_dir).drop("_chunk_from", "_chunk_to")
+
+
+def quarantine(spark: SparkSession, data_dir: str) -> DataFrame:
+    """SNK-4: rows that cannot enter the mart, with the reason and chunk."""
+    _, rejects = normalize.split_rejects(_filled(spark, data_dir), P.MESSY_SCHEMA)
+    return rejects
+
+
+def load_summary(spark: SparkSession, data_dir: str) -> DataFrame:
+    """AGG-8: per source and chunk, rows in, inserted, rejected, unconverted values."""
+    rows = fx.convert(spark, _filled(spark, data_dir), fixtures.rates(spark), "OpenDate_Typed",
+                      P.MEASURES, P.LOAD_FROM, P.LOAD_TO, chunk_col="_chunk_from")
+    unconverted = None
+    for m in P.MEASURES:
+        term = F.count_if(F.col(m).isNotNull() & F.col(m + "_RUB").isNull())
+        unconverted = term if unconverted is None else unconverted + term
+    return rows.groupBy("url", F.col("_chunk_from").alias("chunk_from")).agg(
+        F.count(F.lit(1)).alias("rows_in"),
+        F.count_if(F.col("OpenDate_Typed").isNotNull()).alias("inserted"),
+        F.count_if(F.col("OpenDate_Typed").isNull()).alias("rejected"),
+        unconverted.alias("unconverted"),
+    )
+
+
 def registry() -> dict[str, Query]:
     return {
         "report_sales": report_sales,
@@ -66,4 +128,10 @@ def registry() -> dict[str, Query]:
         "fx_convert": fx_convert,
         "fx_exact": fx_exact,
         "fx_register": fx_register,
+        "normalize_names": normalize_names,
+        "dropped_fields": dropped_fields,
+        "coerce_types": coerce_types,
+        "fill_defaults": fill_defaults,
+        "quarantine": quarantine,
+        "load_summary": load_summary,
     }
