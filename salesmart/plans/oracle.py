@@ -305,6 +305,44 @@ GROUP BY field_name
 """
 
 
+MART_COLS = ("OpenDate_Typed, Department, DishGroup, DishId, UniqOrderId_Id, Currencies_Currency, "
+             "DishSumInt, DishAmountInt, DishDiscountSumInt, url")
+
+
+def _replace_range() -> str:
+    return f"""
+WITH sales_raw AS ({SALES_RAW}),
+old AS (
+  SELECT OpenDate_Typed, Department, DishGroup, DishId, UniqOrderId_Id, Currencies_Currency,
+         DishSumInt, CAST(NULL AS DOUBLE) AS DishAmountInt, CAST(DishDiscountSumInt AS DOUBLE) AS DishDiscountSumInt, url
+  FROM sales_raw
+),
+batch AS (
+  SELECT OpenDate_Typed, Department, DishGroup, DishId, UniqOrderId_Id, Currencies_Currency,
+         DishSumInt + 100.0 AS DishSumInt, DishAmountInt, CAST(DishDiscountSumInt AS DOUBLE) AS DishDiscountSumInt, url
+  FROM sales_raw
+  WHERE OpenDate_Typed BETWEEN DATE '1998-03-01' AND DATE '1998-04-15'
+    AND url IN ('http://src0', 'http://src1', 'http://src2', 'http://src3', 'http://src4')
+    AND NOT (url = 'http://src1' AND OpenDate_Typed BETWEEN DATE '1998-03-08' AND DATE '1998-03-14')
+    AND DishGroup <> 'SMALL'
+),
+ranges AS (
+  SELECT DISTINCT url,
+         DATE '1998-03-01' + CAST(floor(date_diff('day', DATE '1998-03-01', OpenDate_Typed) / 7) * 7 AS INTEGER) AS r_from
+  FROM batch
+)
+SELECT {MART_COLS} FROM old o
+WHERE NOT EXISTS (SELECT 1 FROM ranges r
+                  WHERE r.url = o.url AND o.OpenDate_Typed BETWEEN r.r_from AND least(r.r_from + 6, DATE '1998-04-15'))
+UNION ALL
+SELECT {MART_COLS} FROM batch
+"""
+
+
+def _month(c: str) -> str:
+    return f"CAST(year({c}) * 100 + month({c}) AS INTEGER)"
+
+
 def registry() -> dict[str, str]:
     return {
         "report_sales": _report_sales(),
@@ -320,4 +358,13 @@ def registry() -> dict[str, str]:
         "quarantine": f"""SELECT {FILLED_COLS}, 'null in non-nullable column OpenDate_Typed' AS error,
        _chunk_from, _chunk_to FROM ({FILLED}) x WHERE OpenDate_Typed IS NULL""",
         "load_summary": _load_summary(),
+        "replace_range": _replace_range(),
+        "dataset_profile": f"""WITH s AS ({SALES_RAW})
+SELECT {_month('OpenDate_Typed')} AS month, count(*) AS rows, min(OpenDate_Typed) AS min_date,
+       max(OpenDate_Typed) AS max_date, count(DISTINCT url) AS sources
+FROM s GROUP BY 1""",
+        "dataset_info": f"""WITH s AS ({SALES_RAW})
+SELECT count(*) AS row_count, min(OpenDate_Typed) AS min_date, max(OpenDate_Typed) AS max_date FROM s""",
+        "reorganize_check": f"""WITH s AS ({SALES_RAW})
+SELECT {_month('OpenDate_Typed')} AS month, count(*) AS old_rows, count(*) AS new_rows FROM s GROUP BY 1""",
     }

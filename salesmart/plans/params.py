@@ -18,6 +18,12 @@ LOAD_TO = dt.date(2001, 12, 31)
 REPLACE_FROM = dt.date(1998, 3, 1)
 REPLACE_TO = dt.date(1998, 4, 15)
 REPLACE_SOURCES = ["http://src0", "http://src1", "http://src2", "http://src3", "http://src4"]
+# the re-load of this source returned nothing for its second chunk
+REPLACE_QUIET_SOURCE = "http://src1"
+REPLACE_QUIET_FROM = dt.date(1998, 3, 8)
+REPLACE_QUIET_TO = dt.date(1998, 3, 14)
+# dish group absent from the re-load (its old rows in re-loaded chunks go away)
+REPLACE_GONE_GROUP = "SMALL"
 
 # Clock of the task windows (WIN-1); a parameter, never the wall clock.
 AS_OF = dt.date(1998, 6, 1)

@@ -10,8 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from salesmart.operators import fx, normalize, template
+from salesmart.operators import fx, mart, normalize, template
 from salesmart.plans import params as P
 from salesmart.sources import fixtures
 
@@ -121,6 +122,52 @@ def load_summary(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+def _mart_spec(spark: SparkSession, schema, name: str) -> mart.MartSpec:
+    from salesmart.session import work_dir
+    return mart.MartSpec(work_dir(spark, name), schema, "OpenDate_Typed",
+                         tuple(template.sort_key(P.SALES_MART_TEMPLATE, schema)))
+
+
+def replace_batch(rows: DataFrame) -> DataFrame:
+    """The re-load: the window's rows of the re-loaded sources with a
+    corrected amount; one dish group is gone and one source returned nothing
+    for its second chunk (that chunk must keep its old rows)."""
+    w = template.date_range_filter("OpenDate_Typed", P.REPLACE_FROM, P.REPLACE_TO)
+    quiet = (F.col("url") == F.lit(P.REPLACE_QUIET_SOURCE)) & \
+        F.col("OpenDate_Typed").between(F.lit(P.REPLACE_QUIET_FROM), F.lit(P.REPLACE_QUIET_TO))
+    return (rows.where(w & F.col("url").isin(P.REPLACE_SOURCES) & ~quiet & (F.col("DishGroup") != F.lit(P.REPLACE_GONE_GROUP)))
+            .withColumn("DishSumInt", F.col("DishSumInt") + F.lit(100.0)))
+
+
+def replace_range(spark: SparkSession, data_dir: str) -> DataFrame:
+    """DML-1 + SCH-2: range replace per source into a mart whose schema evolves."""
+    rows = fixtures.sales_raw(spark, data_dir)
+    full = template.mart_schema(P.SALES_MART_TEMPLATE, convert_currency=False)
+    old_schema = T.StructType([f for f in full.fields if f.name != "DishAmountInt"])
+    spec = _mart_spec(spark, old_schema, "mart")
+    mart.create_mart(spark, spec, rows)
+    spec = mart.add_columns(spark, spec, full)
+    mart.replace_range(spark, spec, replace_batch(rows), P.REPLACE_FROM, P.REPLACE_TO)
+    return mart.read_mart(spark, spec).select(*full.fieldNames())
+
+
+def dataset_profile(spark: SparkSession, data_dir: str) -> DataFrame:
+    """AGG-7: rows, date span and sources per month partition."""
+    return mart.partition_profile(fixtures.sales_raw(spark, data_dir), "OpenDate_Typed")
+
+
+def dataset_info(spark: SparkSession, data_dir: str) -> DataFrame:
+    """AGG-3: row count and date range of the mart."""
+    return mart.profile(fixtures.sales_raw(spark, data_dir), "OpenDate_Typed")
+
+
+def reorganize_check(spark: SparkSession, data_dir: str) -> DataFrame:
+    """DML-5 + AGG-6: rewrite into the partitioned layout and reconcile per month."""
+    rows = fixtures.sales_raw(spark, data_dir)
+    schema = template.mart_schema(P.SALES_MART_TEMPLATE, convert_currency=False)
+    return mart.reorganize(spark, rows, _mart_spec(spark, schema, "reorg"))
+
+
 def registry() -> dict[str, Query]:
     return {
         "report_sales": report_sales,
@@ -134,4 +181,8 @@ def registry() -> dict[str, Query]:
         "fill_defaults": fill_defaults,
         "quarantine": quarantine,
         "load_summary": load_summary,
+        "replace_range": replace_range,
+        "dataset_profile": dataset_profile,
+        "dataset_info": dataset_info,
+        "reorganize_check": reorganize_check,
     }
