@@ -343,6 +343,185 @@ def _month(c: str) -> str:
     return f"CAST(year({c}) * 100 + month({c}) AS INTEGER)"
 
 
+CATEGORIES = """
+SELECT r_regionkey AS id, r_name AS name, 'Stores of ' || r_name AS description, r_regionkey <> 3 AS is_active
+FROM region
+"""
+
+SOURCES = """
+SELECT n_nationkey AS id, n_name AS name,
+       CASE WHEN n_nationkey % 2 = 0 THEN 'http://src' || CAST(n_nationkey AS VARCHAR)
+            ELSE 'src' || CAST(n_nationkey AS VARCHAR) END AS api_url,
+       'user' || CAST(n_nationkey AS VARCHAR) AS login,
+       CASE WHEN n_nationkey % 4 = 0 THEN 'GEL' ELSE 'RUB' END AS currency,
+       CASE WHEN n_regionkey = 4 THEN NULL ELSE n_regionkey END AS category_id,
+       n_nationkey % 3 <> 1 AS load_weather,
+       CASE n_nationkey % 5 WHEN 0 THEN NULL WHEN 1 THEN ''
+            ELSE 'key' || lpad(CAST(n_nationkey AS VARCHAR), 4, '0') || 'abcdef' END AS cloud_api_key
+FROM nation
+"""
+
+TARGETS = """
+SELECT r_regionkey AS id, 'target-' || CAST(r_regionkey AS VARCHAR) AS name,
+       'mart' || CAST(r_regionkey AS VARCHAR) || '.local' AS host, 9000 AS port,
+       'loader' AS "user", 'default' AS storage_policy
+FROM region
+"""
+
+TEMPLATES = """
+SELECT dense_rank() OVER (ORDER BY name) AS id, name, 'SALES' AS report_type
+FROM (SELECT DISTINCT lower(c_mktsegment) AS name FROM customer) x
+"""
+
+TASKS = f"""
+SELECT 'task-' || CAST(c.c_custkey AS VARCHAR) AS id, c.c_name AS name, c.c_nationkey AS source_id,
+       CAST(c.c_custkey % 6 AS INTEGER) AS target_id, p.id AS template_id,
+       'mart.' || p.name || '_' || CAST(c.c_nationkey AS VARCHAR) AS dataset_name,
+       CAST(7 + c.c_custkey % 30 AS INTEGER) AS days_offset_start,
+       CAST(c.c_custkey % 5 AS INTEGER) AS days_offset_end,
+       c.c_custkey % 4 <> 0 AS is_active
+FROM customer c JOIN ({TEMPLATES}) p ON lower(c.c_mktsegment) = p.name
+"""
+
+CFG = f"""categories AS ({CATEGORIES}), sources AS ({SOURCES}), targets AS ({TARGETS}),
+templates AS ({TEMPLATES}), tasks AS ({TASKS})"""
+
+D = "CAST({} AS DOUBLE)"
+
+OUTLETS = """
+SELECT 'org-' || CAST(s_suppkey AS VARCHAR) AS id, s_nationkey AS source_id, s_suppkey AS seq,
+       '  ' || s_name || ' ' AS name,
+       CASE WHEN s_suppkey % 9 = 0 THEN NULL ELSE CAST(s_suppkey % 1000 AS VARCHAR) END AS code,
+       CASE WHEN s_suppkey % 5 = 0 THEN NULL ELSE ' Street ' || CAST(s_nationkey AS VARCHAR) || ' ' END AS restaurantAddress,
+       'Country ' || CAST(s_nationkey % 3 AS VARCHAR) AS country,
+       CASE WHEN s_suppkey % 17 = 0 THEN CAST(0 AS DOUBLE)
+            ELSE CAST(55.0 AS DOUBLE) + CAST(s_suppkey % 20 AS DOUBLE) * CAST(0.02 AS DOUBLE) END AS latitude,
+       CASE WHEN s_suppkey % 17 = 0 THEN CAST(0 AS DOUBLE)
+            ELSE CAST(37.0 AS DOUBLE) + CAST(s_suppkey % 7 AS DOUBLE) * CAST(0.03 AS DOUBLE) END AS longitude,
+       '77' || lpad(CAST(s_suppkey AS VARCHAR), 8, '0') AS inn,
+       CASE WHEN s_suppkey % 4 = 0 THEN NULL WHEN s_suppkey % 4 = 1 THEN 'GEL' ELSE 'RUB' END AS currencyIsoName,
+       CASE WHEN s_suppkey % 3 = 0 THEN 'CourierAndSelfService' ELSE 'SelfServiceOnly' END AS deliveryServiceType,
+       '8.' || CAST(s_suppkey % 4 AS VARCHAR) AS version,
+       s_acctbal
+FROM supplier
+"""
+
+OUTLET_REF = f"""
+SELECT o.id AS org_id, trim(coalesce(o.name, '')) AS org_name, coalesce(o.code, '') AS org_code,
+       trim(coalesce(o.restaurantAddress, '')) AS address, trim(coalesce(o.country, '')) AS country,
+       CASE WHEN o.latitude IS NULL OR o.latitude = 0 THEN NULL ELSE o.latitude END AS lat,
+       CASE WHEN o.longitude IS NULL OR o.longitude = 0 THEN NULL ELSE o.longitude END AS lon,
+       coalesce(o.inn, '') AS inn, coalesce(nullif(o.currencyIsoName, ''), 'RUB') AS currency,
+       coalesce(o.deliveryServiceType, '') AS delivery_type, coalesce(o.version, '') AS iiko_version,
+       substring(s.cloud_api_key, 1, 8) || '...' AS api_key_hint,
+       o.source_id, o.seq, o.s_acctbal
+FROM ({OUTLETS}) o
+JOIN ({SOURCES}) s ON o.source_id = s.id
+WHERE s.load_weather AND s.cloud_api_key IS NOT NULL AND s.cloud_api_key <> ''
+"""
+
+WEATHER_DAILY = """
+SELECT CAST(user_id % 10 AS INTEGER) AS location, CAST(ts AS DATE) AS day,
+       CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS temp_avg,
+       MIN(value) AS temp_min, MAX(value) AS temp_max,
+       CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS precipitation_mm,
+       CAST(COUNT(*) AS DOUBLE) AS cloud_cover_pct,
+       MAX(value) - MIN(value) AS wind_speed_ms
+FROM events GROUP BY 1, 2
+"""
+
+WEATHER_NEW = f"""
+SELECT location, CASE WHEN day < DATE '2024-01-20' THEN 'history' ELSE 'forecast' END AS part, day AS date,
+       temp_avg, temp_min, temp_max, precipitation_mm, cloud_cover_pct, wind_speed_ms
+FROM ({WEATHER_DAILY}) d
+WHERE NOT (location = 7 AND day >= DATE '2024-01-20')
+"""
+
+
+def _haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    return (f"6371.0 * 2 * asin(sqrt(pow(sin(radians({lat2} - {lat1}) / 2), 2) + "
+            f"cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2)))")
+
+
+def _outlet_stations() -> str:
+    hv = _haversine("o.lat", "o.lon", "s.lat", "s.lon")
+    return f"""
+WITH o AS ({OUTLET_REF}),
+st AS (SELECT DISTINCT CAST(user_id % 10 AS INTEGER) AS station_id FROM events),
+s AS (SELECT station_id,
+             CAST(55.01 AS DOUBLE) + CAST(station_id AS DOUBLE) * CAST(0.04 AS DOUBLE) AS lat,
+             CAST(37.01 AS DOUBLE) + CAST(station_id % 3 AS DOUBLE) * CAST(0.05 AS DOUBLE) AS lon FROM st)
+SELECT o.org_id, s.station_id, round({hv}, 6) AS distance_km
+FROM o, s
+WHERE o.lat IS NOT NULL AND o.lon IS NOT NULL AND {hv} <= 5.0
+"""
+
+
+def _weather_by_outlet() -> str:
+    cols = "temp_avg, temp_min, temp_max, precipitation_mm, cloud_cover_pct, wind_speed_ms"
+    return f"""
+WITH o AS (SELECT org_id, org_name, lat, lon, CAST(seq % 10 AS INTEGER) AS cluster,
+                  'cluster-' || CAST(seq % 10 AS VARCHAR) AS city_cluster
+           FROM ({OUTLET_REF}) r WHERE lat IS NOT NULL AND lon IS NOT NULL),
+nw AS ({WEATHER_NEW}),
+old_rows AS (
+  SELECT d.day AS date, d.temp_avg + 0.5 AS temp_avg, d.temp_min, d.temp_max, d.precipitation_mm,
+         d.cloud_cover_pct, d.wind_speed_ms, o.org_id, o.org_name, o.lat, o.lon, o.city_cluster, 'old' AS load
+  FROM ({WEATHER_DAILY}) d JOIN o ON o.cluster = d.location),
+new_rows AS (
+  SELECT w.date, {cols}, o.org_id, o.org_name, o.lat, o.lon, o.city_cluster, 'new' AS load
+  FROM nw w JOIN o ON o.cluster = w.location)
+SELECT * FROM old_rows r
+WHERE NOT (r.date BETWEEN DATE '2024-01-10' AND DATE '2024-01-30'
+           AND r.org_id IN (SELECT org_id FROM new_rows))
+UNION ALL SELECT * FROM new_rows
+"""
+
+
+def _latest_by_key() -> str:
+    return f"""
+WITH b AS (SELECT org_id, org_name, lat, lon, s_acctbal FROM ({OUTLET_REF}) r),
+v AS (
+  SELECT org_id, org_name, lat, lon, TIMESTAMP '2024-01-10 06:00:00' AS synced_at, 1 AS seq FROM b
+  UNION ALL SELECT org_id, org_name || ' (moved)', lat, lon, TIMESTAMP '2024-01-20 06:00:00', 2 FROM b WHERE s_acctbal > 5000
+  UNION ALL SELECT org_id, org_name || ' (renamed)', lat, lon, TIMESTAMP '2024-01-20 06:00:00', 3 FROM b WHERE s_acctbal > 8000
+)
+SELECT org_id, org_name, lat, lon, synced_at, seq FROM (
+  SELECT *, row_number() OVER (PARTITION BY org_id ORDER BY synced_at DESC, seq DESC) AS rn FROM v) x
+WHERE rn = 1
+"""
+
+
+def _multi_source_window() -> str:
+    return f"""
+WITH {CFG}, sales_raw AS ({SALES_RAW}),
+cfg AS (
+  SELECT t.id AS task_id,
+         CASE WHEN regexp_matches(s.api_url, '^https?://') THEN s.api_url ELSE 'http://' || s.api_url END AS source_url,
+         DATE '1998-06-01' - t.days_offset_start AS date_from, DATE '1998-06-01' - t.days_offset_end AS date_to
+  FROM tasks t JOIN sources s ON t.source_id = s.id JOIN targets g ON t.target_id = g.id
+  JOIN templates p ON t.template_id = p.id
+  WHERE t.is_active)
+SELECT c.task_id, r.OpenDate_Typed, r.UniqOrderId_Id, r.DishId, r.DishSumInt, r.url
+FROM cfg c JOIN sales_raw r ON r.url = c.source_url AND r.OpenDate_Typed BETWEEN c.date_from AND c.date_to
+"""
+
+
+def _date_chunks() -> str:
+    return f"""
+WITH {CFG},
+cfg AS (
+  SELECT t.id AS task_id, DATE '1998-06-01' - t.days_offset_start AS date_from,
+         DATE '1998-06-01' - t.days_offset_end AS date_to
+  FROM tasks t JOIN sources s ON t.source_id = s.id JOIN targets g ON t.target_id = g.id
+  JOIN templates p ON t.template_id = p.id
+  WHERE t.is_active)
+SELECT task_id, date_from, date_to, CAST(g.ts AS DATE) AS chunk_from,
+       least(CAST(g.ts AS DATE) + 6, date_to) AS chunk_to
+FROM cfg, LATERAL generate_series(CAST(date_from AS TIMESTAMP), CAST(date_to AS TIMESTAMP), INTERVAL 7 DAY) AS g(ts)
+"""
+
+
 def registry() -> dict[str, str]:
     return {
         "report_sales": _report_sales(),
@@ -367,4 +546,52 @@ FROM s GROUP BY 1""",
 SELECT count(*) AS row_count, min(OpenDate_Typed) AS min_date, max(OpenDate_Typed) AS max_date FROM s""",
         "reorganize_check": f"""WITH s AS ({SALES_RAW})
 SELECT {_month('OpenDate_Typed')} AS month, count(*) AS old_rows, count(*) AS new_rows FROM s GROUP BY 1""",
+        "task_details": f"""WITH {CFG}
+SELECT t.id AS task_id, t.name AS task_name, t.dataset_name, t.days_offset_start, t.days_offset_end, t.is_active,
+       s.name AS source_name, s.api_url, s.currency AS source_currency, s.category_id,
+       g.name AS target_name, g.host, g.port, p.name AS template_name,
+       c.name AS category_name, c.is_active AS category_active
+FROM tasks t JOIN sources s ON t.source_id = s.id JOIN targets g ON t.target_id = g.id
+JOIN templates p ON t.template_id = p.id LEFT JOIN categories c ON s.category_id = c.id""",
+        "task_filter": f"""WITH {CFG}
+SELECT t.* FROM tasks t JOIN sources s ON t.source_id = s.id JOIN templates p ON t.template_id = p.id
+WHERE p.name = 'building' AND t.is_active""",
+        "source_categories": f"""WITH {CFG}
+SELECT t.id AS task_id, t.name AS task_name, t.source_id, s.name AS source_name, s.api_url,
+       c.name AS category_name, c.is_active AS category_active
+FROM tasks t JOIN sources s ON t.source_id = s.id LEFT JOIN categories c ON s.category_id = c.id
+WHERE s.load_weather AND s.cloud_api_key IS NOT NULL AND s.cloud_api_key <> ''
+  AND contains(lower(t.name), lower('CUSTOMER#0'))""",
+        "category_counts": f"""WITH {CFG}
+SELECT c.id, c.name, count(DISTINCT s.id) AS connection_count, count(t.id) AS task_count
+FROM categories c LEFT JOIN sources s ON c.id = s.category_id LEFT JOIN tasks t ON t.source_id = s.id
+GROUP BY c.id, c.name""",
+        "bulk_update": f"""WITH {CFG}
+SELECT t.id, t.name, t.source_id, t.target_id, t.template_id, t.dataset_name,
+       CASE WHEN m.id IS NOT NULL THEN 14 ELSE t.days_offset_start END AS days_offset_start,
+       CASE WHEN m.id IS NOT NULL THEN 0 ELSE t.days_offset_end END AS days_offset_end,
+       t.is_active, m.id IS NOT NULL AS updated
+FROM tasks t LEFT JOIN (
+  SELECT t2.id FROM tasks t2 JOIN sources s ON t2.source_id = s.id JOIN templates p ON t2.template_id = p.id
+  WHERE p.name = 'household' AND t2.is_active) m ON m.id = t.id""",
+        "insert_if_absent": f"""WITH sources AS ({SOURCES}),
+inc AS (SELECT 'http://src' || CAST(c_custkey % 40 AS VARCHAR) AS api_url,
+               'user' || CAST(c_custkey % 40 AS VARCHAR) AS login,
+               'pw' || CAST(c_custkey AS VARCHAR) AS password FROM customer),
+d AS (SELECT api_url, login, min(password) AS password FROM inc GROUP BY api_url, login)
+SELECT api_url, login, password, substring(sha256(api_url || '|' || login), 1, 16) AS name
+FROM d WHERE NOT EXISTS (SELECT 1 FROM sources s WHERE s.api_url = d.api_url AND s.login = d.login)""",
+        "name_clash": f"""WITH {CFG},
+cand AS (SELECT c_custkey AS id,
+                CASE WHEN c_custkey % 3 = 0 THEN upper(c_name) ELSE c_name || ' copy' END AS name FROM customer)
+SELECT id, name FROM cand WHERE lower(name) IN (SELECT lower(name) FROM tasks)""",
+        "multi_source_window": _multi_source_window(),
+        "date_chunks": _date_chunks(),
+        "outlet_reference": f"""SELECT org_id, org_name, org_code, address, country, lat, lon, inn, currency,
+       delivery_type, iiko_version, api_key_hint FROM ({OUTLET_REF}) r""",
+        "outlet_stations": _outlet_stations(),
+        "weather_explode": WEATHER_NEW,
+        "weather_by_outlet": _weather_by_outlet(),
+        "latest_by_key": _latest_by_key(),
+        "add_column_default": f"""WITH {CFG} SELECT id, name, 'RUB' AS currency FROM tasks""",
     }

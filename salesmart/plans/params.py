@@ -28,6 +28,17 @@ REPLACE_GONE_GROUP = "SMALL"
 # Clock of the task windows (WIN-1); a parameter, never the wall clock.
 AS_OF = dt.date(1998, 6, 1)
 
+# Catalog filters.
+FILTER_TEMPLATE = "building"
+UPDATE_TEMPLATE = "household"
+TASK_SEARCH = "CUSTOMER#0"
+
+# Weather refresh range and outlet sync times.
+WEATHER_FROM = dt.date(2024, 1, 10)
+WEATHER_TO = dt.date(2024, 1, 30)
+SYNC_1 = dt.datetime(2024, 1, 10, 6, 0, 0)
+SYNC_2 = dt.datetime(2024, 1, 20, 6, 0, 0)
+
 SALES_TEMPLATE = ReportTemplate(
     report_type="SALES",
     group_by=("OpenDate.Typed", "Department", "DishGroup", "Currencies.Currency"),

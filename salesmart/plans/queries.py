@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.operators import fx, mart, normalize, template
+from salesmart.operators import catalog, fx, geo, latest, mart, normalize, template, weather, windows
 from salesmart.plans import params as P
 from salesmart.sources import fixtures
 
@@ -168,6 +168,172 @@ def reorganize_check(spark: SparkSession, data_dir: str) -> DataFrame:
     return mart.reorganize(spark, rows, _mart_spec(spark, schema, "reorg"))
 
 
+def _cfg(spark: SparkSession, data_dir: str):
+    return (fixtures.tasks(spark, data_dir), fixtures.sources(spark, data_dir), fixtures.targets(spark, data_dir),
+            fixtures.templates(spark, data_dir), fixtures.categories(spark, data_dir))
+
+
+def task_details(spark: SparkSession, data_dir: str) -> DataFrame:
+    """JOIN-3 + SRT-1: tasks with source, target, template and category."""
+    return catalog.task_details(*_cfg(spark, data_dir))
+
+
+def task_filter(spark: SparkSession, data_dir: str) -> DataFrame:
+    """JOIN-4 + FLT-2: active tasks of one template."""
+    tasks, sources, _, templates, _ = _cfg(spark, data_dir)
+    return catalog.task_filter(tasks, sources, templates, template_name=P.FILTER_TEMPLATE, is_active=True)
+
+
+def source_categories(spark: SparkSession, data_dir: str) -> DataFrame:
+    """JOIN-5 + FLT-3 + FLT-4: tasks of weather sources, with the optional category."""
+    tasks, sources, _, _, categories = _cfg(spark, data_dir)
+    src = catalog.source_categories(catalog.weather_sources(sources), categories)
+    t = tasks.where(catalog.contains_ci("name", P.TASK_SEARCH))
+    j = t.join(src.withColumnRenamed("id", "_sid").withColumnRenamed("name", "source_name"),
+               F.col("source_id") == F.col("_sid"))
+    return j.select(F.col("id").alias("task_id"), F.col("name").alias("task_name"), "source_id", "source_name",
+                    "api_url", "category_name", "category_active")
+
+
+def category_counts(spark: SparkSession, data_dir: str) -> DataFrame:
+    """AGG-2: sources and tasks per category, empty categories kept."""
+    tasks, sources, _, _, categories = _cfg(spark, data_dir)
+    return catalog.category_counts(categories, sources, tasks)
+
+
+def bulk_update(spark: SparkSession, data_dir: str) -> DataFrame:
+    """DML-3: reset the offsets of the active tasks of one template."""
+    tasks, sources, _, templates, _ = _cfg(spark, data_dir)
+    return catalog.bulk_update(tasks, sources, templates, template_name=P.UPDATE_TEMPLATE, is_active=True)
+
+
+def _incoming_connections(spark: SparkSession, data_dir: str) -> DataFrame:
+    c = fixtures.read_table(spark, data_dir, "customer", ["c_custkey"])
+    k = (F.col("c_custkey") % 40).cast("string")
+    return c.select(F.concat(F.lit("http://src"), k).alias("api_url"), F.concat(F.lit("user"), k).alias("login"),
+                    F.concat(F.lit("pw"), F.col("c_custkey").cast("string")).alias("password"))
+
+
+def insert_if_absent(spark: SparkSession, data_dir: str) -> DataFrame:
+    """JOIN-11 + FN-8: connection configs not registered yet, with generated names."""
+    return catalog.insert_if_absent(fixtures.sources(spark, data_dir), _incoming_connections(spark, data_dir),
+                                    ["api_url", "login"], name_from=["api_url", "login"])
+
+
+def name_clash(spark: SparkSession, data_dir: str) -> DataFrame:
+    """JOIN-12: proposed task names that clash, ignoring case, with existing ones."""
+    c = fixtures.read_table(spark, data_dir, "customer", ["c_custkey", "c_name"])
+    cand = c.select(F.col("c_custkey").alias("id"),
+                    F.when(F.col("c_custkey") % 3 == 0, F.upper("c_name"))
+                    .otherwise(F.concat(F.col("c_name"), F.lit(" copy"))).alias("name"))
+    return catalog.name_clash(cand, fixtures.tasks(spark, data_dir))
+
+
+def multi_source_window(spark: SparkSession, data_dir: str) -> DataFrame:
+    """WIN-1 + WIN-5 + JOIN-6: every active task's window over its source's rows."""
+    tasks, sources, targets, templates, _ = _cfg(spark, data_dir)
+    cfg = windows.task_configs(tasks, sources, targets, templates)
+    rows = fixtures.sales_raw(spark, data_dir)
+    out = windows.rows_in_task_windows(cfg, rows, P.AS_OF, "OpenDate_Typed")
+    return out.select("task_id", "OpenDate_Typed", "UniqOrderId_Id", "DishId", "DishSumInt", "url")
+
+
+def date_chunks(spark: SparkSession, data_dir: str) -> DataFrame:
+    """WIN-2: 7-day chunks of every active task's window."""
+    tasks, sources, targets, templates, _ = _cfg(spark, data_dir)
+    cfg = windows.task_window(windows.task_configs(tasks, sources, targets, templates), P.AS_OF)
+    return windows.explode_chunks(cfg, 7).select(
+        F.col("id").alias("task_id"), "date_from", "date_to", "chunk_from", "chunk_to")
+
+
+def _outlet_ref(spark: SparkSession, data_dir: str) -> DataFrame:
+    orgs = fixtures.outlets(spark, data_dir)
+    src = catalog.weather_sources(fixtures.sources(spark, data_dir)).select(
+        F.col("id").alias("_sid"), "cloud_api_key")
+    j = orgs.join(src, orgs.source_id == src._sid)
+    ref = weather.outlet_reference(j, F.col("cloud_api_key"))
+    extra = j.select(F.col("id").alias("org_id"), "source_id", "seq", "s_acctbal")
+    return ref.join(extra, "org_id")
+
+
+def outlet_reference(spark: SparkSession, data_dir: str) -> DataFrame:
+    """SRC-3 + OP-9 + OP-13: outlet reference rows of weather sources."""
+    return _outlet_ref(spark, data_dir).drop("source_id", "seq", "s_acctbal")
+
+
+def _stations(spark: SparkSession, data_dir: str) -> DataFrame:
+    e = fixtures.read_table(spark, data_dir, "events", ["user_id"])
+    loc = (F.col("user_id") % fixtures.WEATHER_LOCATIONS).cast("int")
+    st = e.select(loc.alias("station_id")).distinct()
+    return st.select("station_id",
+                     (F.lit(55.01) + F.col("station_id") * 0.04).alias("lat"),
+                     (F.lit(37.01) + (F.col("station_id") % 3) * 0.05).alias("lon"))
+
+
+def outlet_stations(spark: SparkSession, data_dir: str) -> DataFrame:
+    """JOIN-8: weather points within 5 km of each outlet (haversine)."""
+    pts = _outlet_ref(spark, data_dir).where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    res = geo.stations_within(pts.select("org_id", "lat", "lon"), _stations(spark, data_dir))
+    return res.select("org_id", "station_id", F.round("distance_km", 6).alias("distance_km"))
+
+
+def outlet_clusters(spark: SparkSession, data_dir: str) -> DataFrame:
+    """AGG-10 + AGG-4 + FLT-5: greedy 5 km clusters of each source's outlets."""
+    ref = _outlet_ref(spark, data_dir)
+    pts = ref.select("org_id", F.col("org_name").alias("name"), "lat", "lon", "seq", "source_id")
+    return geo.cluster_outlets(pts, "source_id").select(
+        "source_id", "org_id", "org_name", "city_cluster", "lat", "lon")
+
+
+def weather_explode(spark: SparkSession, data_dir: str) -> DataFrame:
+    """SRC-4 + WIN-3 + SET-1: history and forecast responses to daily rows."""
+    return weather.explode_weather(fixtures.weather_responses(spark, data_dir), ["location", "part"])
+
+
+def weather_by_outlet(spark: SparkSession, data_dir: str) -> DataFrame:
+    """JOIN-7 + JOIN-10 + DML-2 + AGG-11: refresh outlet weather for a range."""
+    new_w = weather.explode_weather(fixtures.weather_responses(spark, data_dir), ["location"]) \
+        .withColumnRenamed("location", "cluster")
+    ref = _outlet_ref(spark, data_dir).where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    outlets = ref.select("org_id", "org_name", "lat", "lon",
+                         (F.col("seq") % fixtures.WEATHER_LOCATIONS).cast("int").alias("cluster"))
+    outlets = outlets.withColumn("city_cluster", F.concat(F.lit("cluster-"), F.col("cluster").cast("string")))
+    new_rows = weather.weather_for_outlets(new_w, outlets, ["cluster"]).withColumn("load", F.lit("new"))
+    old_w = fixtures.weather_daily(spark, data_dir).select(
+        F.col("location").alias("cluster"), F.col("day").alias("date"),
+        *[(F.col(v) + F.lit(0.5)).alias(n) if v == "temperature_2m_mean" else F.col(v).alias(n)
+          for v, n in weather.WEATHER_FIELDS.items()])
+    old_rows = weather.weather_for_outlets(old_w, outlets, ["cluster"]).withColumn("load", F.lit("old"))
+    out = weather.replace_weather(old_rows, new_rows, P.WEATHER_FROM, P.WEATHER_TO)
+    return out.drop("cluster")
+
+
+def latest_by_key(spark: SparkSession, data_dir: str) -> DataFrame:
+    """AGG-5 + SNK-5 + DML-4: latest outlet record per id over three syncs."""
+    ref = _outlet_ref(spark, data_dir)
+    base = ref.select("org_id", "org_name", "lat", "lon", "s_acctbal")
+    t1, t2 = P.SYNC_1, P.SYNC_2
+    v1 = base.select("org_id", "org_name", "lat", "lon", F.lit(t1).cast("timestamp_ntz").alias("synced_at"), F.lit(1).alias("seq"))
+    v2 = base.where(F.col("s_acctbal") > 5000).select(
+        "org_id", F.concat(F.col("org_name"), F.lit(" (moved)")).alias("org_name"), "lat", "lon",
+        F.lit(t2).cast("timestamp_ntz").alias("synced_at"), F.lit(2).alias("seq"))
+    v3 = base.where(F.col("s_acctbal") > 8000).select(
+        "org_id", F.concat(F.col("org_name"), F.lit(" (renamed)")).alias("org_name"), "lat", "lon",
+        F.lit(t2).cast("timestamp_ntz").alias("synced_at"), F.lit(3).alias("seq"))
+    return latest.latest_by_key(v1.unionByName(v2).unionByName(v3), ["org_id"], ["synced_at", "seq"])
+
+
+def add_column_default(spark: SparkSession, data_dir: str) -> DataFrame:
+    """SCH-5: a column added later reads as its default for old rows."""
+    from salesmart.session import work_dir
+    tasks = fixtures.tasks(spark, data_dir)
+    path = work_dir(spark, "tasks")
+    tasks.write.parquet(path)
+    evolved = T.StructType(list(tasks.schema.fields) + [T.StructField("currency", T.StringType(), True)])
+    old = spark.read.schema(evolved).parquet(path)
+    return mart.with_defaults(old, {"currency": "RUB"}).select("id", "name", "currency")
+
+
 def registry() -> dict[str, Query]:
     return {
         "report_sales": report_sales,
@@ -185,4 +351,20 @@ def registry() -> dict[str, Query]:
         "dataset_profile": dataset_profile,
         "dataset_info": dataset_info,
         "reorganize_check": reorganize_check,
+        "task_details": task_details,
+        "task_filter": task_filter,
+        "source_categories": source_categories,
+        "category_counts": category_counts,
+        "bulk_update": bulk_update,
+        "insert_if_absent": insert_if_absent,
+        "name_clash": name_clash,
+        "multi_source_window": multi_source_window,
+        "date_chunks": date_chunks,
+        "outlet_reference": outlet_reference,
+        "outlet_stations": outlet_stations,
+        "outlet_clusters": outlet_clusters,
+        "weather_explode": weather_explode,
+        "weather_by_outlet": weather_by_outlet,
+        "latest_by_key": latest_by_key,
+        "add_column_default": add_column_default,
     }
