@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 # Text shapes accepted by the source system's parsers.
 # A number after spaces are removed and the decimal comma becomes a point.
 NUMBER_PATTERN = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)\s*$"
-# Date-time with seconds and an optional 1 to 6 digit fraction, no zone.
-TIMESTAMP_PATTERN = r"^(\d{4})-(\d{1,2})-(\d{1,2})T(\d{1,2}):(\d{1,2}):(\d{1,2})(\.(\d{1,6}))?$"
+# Date-time with seconds and an optional 1 to 6 digit fraction, no zone
+# (the separator letter is matched without regard to case).
+TIMESTAMP_PATTERN = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}[Tt]\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?$"
 # Calendar date (text before the first 'T' when a time part is present).
-DATE_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}$"
+DATE_PATTERN = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}$"
 
 
 def _col(c) -> Column:
@@ -33,42 +34,38 @@ def empty_to_null(c) -> Column:
 def to_number(c) -> Column:
     """OP-5: numeric text -> double; spaces removed, comma -> point.
 
-    ``try_cast`` alone accepts Java literal suffixes such as ``1d`` that
-    the source rejects, so a pattern guard runs first. Booleans written as
-    ``true``/``false`` become 1.0/0.0.
+    ``try_cast`` alone accepts Java literal forms such as ``1d`` or hex
+    that the source rejects, so a pattern guard runs first. JSON booleans
+    (landed as ``true``/``false``) become 1.0/0.0.
     """
     c = _col(c).cast("string")
-    cleaned = F.translate(F.translate(c, " ", ""), ",", ".")
-    lowered = F.lower(F.trim(c))
+    cleaned = F.translate(c, ", ", ".")
     return (
         F.when(c.isNull() | (c == F.lit("")), F.lit(None).cast("double"))
-        .when(lowered == F.lit("true"), F.lit(1.0))
-        .when(lowered == F.lit("false"), F.lit(0.0))
+        .when(c == F.lit("true"), F.lit(1.0))
+        .when(c == F.lit("false"), F.lit(0.0))
         .when(cleaned.rlike(NUMBER_PATTERN), cleaned.try_cast("double"))
         .otherwise(F.lit(None).cast("double"))
     )
 
 
 def to_timestamp(c) -> Column:
-    """OP-6: ``yyyy-MM-ddTHH:mm:ss[.ffffff]`` -> timestamp without zone."""
+    """OP-6: ``yyyy-MM-ddTHH:mm:ss[.ffffff]`` -> timestamp without zone.
+
+    The shape check rejects zones, 7+ fraction digits and partial values;
+    the cast (Spark's own string parser, no formatter) rejects impossible
+    dates and times.
+    """
     c = _col(c).cast("string")
-    part = lambda i: F.regexp_extract(c, TIMESTAMP_PATTERN, i)
-    normalised = F.concat(
-        part(1), F.lit("-"), F.lpad(part(2), 2, "0"), F.lit("-"), F.lpad(part(3), 2, "0"),
-        F.lit(" "), F.lpad(part(4), 2, "0"), F.lit(":"), F.lpad(part(5), 2, "0"),
-        F.lit(":"), F.lpad(part(6), 2, "0"), F.lit("."), F.rpad(part(8), 6, "0"),
-    )
-    parsed = F.try_to_timestamp(normalised, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS"))
-    return F.when(c.rlike(TIMESTAMP_PATTERN), parsed.cast("timestamp_ntz")).otherwise(
+    return F.when(c.rlike(TIMESTAMP_PATTERN), F.upper(c).try_cast("timestamp_ntz")).otherwise(
         F.lit(None).cast("timestamp_ntz"))
 
 
 def to_date(c) -> Column:
     """OP-7: date from the text before the first ``T``; anything else -> null."""
     c = _col(c).cast("string")
-    head = F.split_part(c, F.lit("T"), F.lit(1))
-    return F.when(head.rlike(DATE_PATTERN), F.try_to_date(head, "yyyy-M-d")).otherwise(
-        F.lit(None).cast("date"))
+    head = F.substring_index(c, "T", 1)
+    return F.when(head.rlike(DATE_PATTERN), head.try_cast("date")).otherwise(F.lit(None).cast("date"))
 
 
 def coerce(c, kind: str) -> Column:

@@ -189,14 +189,14 @@ FROM ({MESSY_RAW}) m
 """
 
 NUMBER_RE = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)\s*$"
-TS_RE = r"^(\d{4})-(\d{1,2})-(\d{1,2})T(\d{1,2}):(\d{1,2}):(\d{1,2})(\.(\d{1,6}))?$"
+TS_RE = r"^(\d{4})-(\d{1,2})-(\d{1,2})[Tt](\d{1,2}):(\d{1,2}):(\d{1,2})(\.(\d{1,6}))?$"
 DATE_RE = r"^\d{4}-\d{1,2}-\d{1,2}$"
 
 
 def _num(c: str) -> str:
     cleaned = f"replace(replace({c}, ' ', ''), ',', '.')"
     return (f"CASE WHEN {c} IS NULL OR {c} = '' THEN NULL "
-            f"WHEN lower(trim({c})) = 'true' THEN 1.0 WHEN lower(trim({c})) = 'false' THEN 0.0 "
+            f"WHEN {c} = 'true' THEN 1.0 WHEN {c} = 'false' THEN 0.0 "
             f"WHEN regexp_matches({cleaned}, '{NUMBER_RE}') THEN TRY_CAST({cleaned} AS DOUBLE) END")
 
 
@@ -204,12 +204,14 @@ def _ts(c: str) -> str:
     g = lambda i: f"regexp_extract({c}, '{TS_RE}', {i})"
     norm = (f"{g(1)} || '-' || lpad({g(2)}, 2, '0') || '-' || lpad({g(3)}, 2, '0') || ' ' || "
             f"lpad({g(4)}, 2, '0') || ':' || lpad({g(5)}, 2, '0') || ':' || lpad({g(6)}, 2, '0') || '.' || rpad({g(8)}, 6, '0')")
-    return f"CASE WHEN regexp_matches({c}, '{TS_RE}') THEN TRY_CAST({norm} AS TIMESTAMP) END"
+    return (f"CASE WHEN regexp_matches({c}, '{TS_RE}') AND substr({c}, 1, 4) <> '0000' "
+            f"THEN TRY_CAST({norm} AS TIMESTAMP) END")
 
 
 def _date(c: str) -> str:
     head = f"split_part({c}, 'T', 1)"
-    return f"CASE WHEN regexp_matches({head}, '{DATE_RE}') THEN TRY_CAST({head} AS DATE) END"
+    return (f"CASE WHEN regexp_matches({head}, '{DATE_RE}') AND substr({head}, 1, 4) <> '0000' "
+            f"THEN TRY_CAST({head} AS DATE) END")
 
 
 TYPED = f"""
