@@ -1,0 +1,11 @@
+"""Structured Streaming entry points.
+
+The source system has no streaming operators; its trailing reload window
+absorbs late facts by recomputing the last days. The only streaming piece
+here applies landed report files as they arrive, with the same idempotent
+batch operators.
+"""
+
+from salesmart.streaming.loader import apply_landed_batch, start_landed_loader
+
+__all__ = ["apply_landed_batch", "start_landed_loader"]
