@@ -138,15 +138,24 @@ def insert_if_absent(existing: DataFrame, incoming: DataFrame, key: list[str],
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, key: list[str], update_cols: list[str]) -> DataFrame:
-    """DML-4: insert new keys; on a clash overwrite ``update_cols`` from incoming."""
-    inc = incoming.groupBy(*key).agg(*[F.max(c).alias(f"_new_{c}") for c in update_cols])
-    j = existing.join(inc, key, "full_outer")
+    """DML-4: insert new keys; on a clash overwrite ``update_cols`` from incoming.
+
+    One incoming row per key (the largest values win among duplicates);
+    columns not listed keep their stored value, or the incoming one for a
+    new key.
+    """
+    rest = [c for c in incoming.columns if c not in key]
+    inc = incoming.groupBy(*key).agg(*[F.max(c).alias(f"_new_{c}") for c in rest], F.lit(True).alias("_in"))
+    ex = existing.withColumn("_ex", F.lit(True))
+    j = ex.join(inc, key, "full_outer")
     cols = []
     for c in existing.columns:
         if c in key:
             cols.append(F.col(c))
-        elif c in update_cols:
-            cols.append(F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c))
+        elif c in update_cols and c in rest:
+            cols.append(F.when(F.col("_in").isNotNull(), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c))
+        elif c in rest:
+            cols.append(F.when(F.col("_ex").isNull(), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c))
         else:
             cols.append(F.col(c))
     return j.select(*cols)

@@ -55,6 +55,17 @@ class FxParams:
                         self.null_when_no_rates, self.broadcast_max_rows)
 
 
+def base_pairs(measures: list[str], mart_columns: list[str]) -> list[tuple[str, str]]:
+    """OP-12: (measure, base copy) pairs whose both columns exist in the mart."""
+    from salesmart.functions.names import normalise_name
+    pairs = []
+    for m in measures:
+        name = normalise_name(m)
+        if name in mart_columns and name + BASE_SUFFIX in mart_columns:
+            pairs.append((name, name + BASE_SUFFIX))
+    return pairs
+
+
 def effective_currency(row_currency: Column, connection_currency: Column | None = None) -> Column:
     """OP-11: connection currency, else the row's, else RUB; trimmed, upper-case.
 

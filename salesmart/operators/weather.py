@@ -55,6 +55,15 @@ def outlet_reference(orgs: DataFrame, api_key: Column | None = None) -> DataFram
     return orgs.select(*cols)
 
 
+def outlet_summary(ref: DataFrame, group_col: str) -> DataFrame:
+    """AGG-9: outlets per group, those with both coordinates, distinct points."""
+    has = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    return ref.groupBy(group_col).agg(
+        F.count(F.lit(1)).alias("outlets"),
+        F.count_if(has).alias("with_coordinates"),
+        F.countDistinct("lat", "lon").alias("distinct_points"))
+
+
 def explode_weather(responses: DataFrame, keys: list[str], daily_col: str = "daily") -> DataFrame:
     """SRC-4: parallel daily arrays -> one row per day.
 

@@ -592,6 +592,11 @@ SELECT id, name FROM cand WHERE lower(name) IN (SELECT lower(name) FROM tasks)""
         "outlet_reference": f"""SELECT org_id, org_name, org_code, address, country, lat, lon, inn, currency,
        delivery_type, iiko_version, api_key_hint FROM ({OUTLET_REF}) r""",
         "outlet_stations": _outlet_stations(),
+        "outlet_summary": f"""SELECT source_id, count(*) AS outlets,
+       count_if(lat IS NOT NULL AND lon IS NOT NULL) AS with_coordinates,
+       count(DISTINCT CASE WHEN lat IS NOT NULL AND lon IS NOT NULL
+                           THEN CAST(lat AS VARCHAR) || ',' || CAST(lon AS VARCHAR) END) AS distinct_points
+FROM ({OUTLET_REF}) r GROUP BY source_id""",
         "weather_explode": WEATHER_NEW,
         "weather_by_outlet": _weather_by_outlet(),
         "latest_by_key": _latest_by_key(),

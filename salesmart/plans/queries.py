@@ -270,6 +270,11 @@ def _stations(spark: SparkSession, data_dir: str) -> DataFrame:
                      (F.lit(37.01) + (F.col("station_id") % 3) * 0.05).alias("lon"))
 
 
+def outlet_summary(spark: SparkSession, data_dir: str) -> DataFrame:
+    """AGG-9: outlets, outlets with coordinates and distinct points per source."""
+    return weather.outlet_summary(_outlet_ref(spark, data_dir), "source_id")
+
+
 def outlet_stations(spark: SparkSession, data_dir: str) -> DataFrame:
     """JOIN-8: weather points within 5 km of each outlet (haversine)."""
     pts = _outlet_ref(spark, data_dir).where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
@@ -362,6 +367,7 @@ def registry() -> dict[str, Query]:
         "date_chunks": date_chunks,
         "outlet_reference": outlet_reference,
         "outlet_stations": outlet_stations,
+        "outlet_summary": outlet_summary,
         "outlet_clusters": outlet_clusters,
         "weather_explode": weather_explode,
         "weather_by_outlet": weather_by_outlet,

@@ -35,8 +35,12 @@ def spread_if_narrow(df: DataFrame, path: str) -> DataFrame:
     per path and session (a metadata call, then one planning call).
     """
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    key = (spark.sparkContext.applicationId, path)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote session exposes no scan splits; leave the plan as is
+        return df
+    cores = sc.defaultParallelism
+    key = (sc.applicationId, path)
     if key not in _spread_decisions:
         _spread_decisions[key] = (_bytes(spark, path) >= SPREAD_MIN_BYTES
                                   and df.rdd.getNumPartitions() * 2 <= cores)

@@ -32,7 +32,7 @@ def apply_landed_batch(spark: SparkSession, raw: DataFrame, spec: mart.MartSpec,
     bounds = raw.agg(F.min(CHUNK_FROM).alias("lo"), F.max(CHUNK_TO).alias("hi")).first()
     if bounds["lo"] is None:
         return {"ranges": 0, "partitions": 0}
-    present = [m for m in measures if m + "_RUB" in spec.schema.fieldNames()]
+    present = [m for m, _ in fx.base_pairs(measures, spec.schema.fieldNames())]
     converted = fx.convert(spark, good, rates_wide, spec.date_field, present, bounds["lo"], bounds["hi"],
                            params, chunk_col=CHUNK_FROM) if present else good
     return mart.replace_range(spark, spec, converted, bounds["lo"], bounds["hi"], params.chunk_days,

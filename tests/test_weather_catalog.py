@@ -104,3 +104,28 @@ def test_windows(spark):
     out = [(r["chunk_from"], r["chunk_to"]) for r in windows.explode_chunks(df, 7).collect()]
     assert out == [(dt.date(2024, 1, 1), dt.date(2024, 1, 7)), (dt.date(2024, 1, 8), dt.date(2024, 1, 14)),
                    (dt.date(2024, 1, 15), dt.date(2024, 1, 16))]
+
+
+def test_upsert_and_weather_window(spark):
+    old = spark.createDataFrame([("n1", "u1", "p1"), ("n2", "u2", "p2")], "name string, login string, password string")
+    new = spark.createDataFrame([("n2", "u2b", "p2b"), ("n3", "u3", "p3")], "name string, login string, password string")
+    got = sorted(tuple(r) for r in catalog.upsert(old, new, ["name"], ["login", "password"]).collect())
+    assert got == [
+        ("n1", "u1", "p1"), ("n2", "u2b", "p2b"), ("n3", "u3", "p3")]
+    assert windows.weather_window(dt.date(2024, 1, 31)) == (dt.date(2024, 1, 1), dt.date(2024, 2, 7))
+
+
+def test_landed_readers(spark):
+    from salesmart.sources import landed
+    root = work_dir(spark, "landed")
+    os.makedirs(os.path.join(root, "docs"), exist_ok=True)
+    with open(os.path.join(root, "docs", "r.json"), "w") as f:
+        json.dump({"data": [{"OpenDate.Typed": "2024-01-05", "DishSumInt": "1 234,5"},
+                            {"OpenDate.Typed": "2024-01-06", "DishSumInt": "7"}]}, f, indent=2)
+    os.makedirs(os.path.join(root, "orgs"), exist_ok=True)
+    with open(os.path.join(root, "orgs", "o.json"), "w") as f:
+        json.dump({"organizations": [{"id": "a", "name": " A ", "latitude": 55.1, "longitude": 0}]}, f, indent=2)
+    rows = landed.read_report_documents(spark, os.path.join(root, "docs"), ["OpenDate.Typed", "DishSumInt"]).collect()
+    assert [r["DishSumInt"] for r in rows] == ["1 234,5", "7"]
+    orgs = weather.outlet_reference(landed.read_outlet_responses(spark, os.path.join(root, "orgs"))).collect()
+    assert orgs[0]["org_name"] == "A" and orgs[0]["lon"] is None and orgs[0]["lat"] == 55.1
