@@ -21,59 +21,77 @@ TIMESTAMP_PATTERN = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}[Tt]\d{1,2}:\d{1,2}:\d{1,2}(
 DATE_PATTERN = r"^(?!0000)\d{4}-\d{1,2}-\d{1,2}$"
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def quote(name: str) -> str:
+    """SQL reference to a column name (any characters)."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def empty_to_null(c) -> Column:
+def _ref(c) -> str:
+    if not isinstance(c, str):
+        raise TypeError("coercions take a column name")
+    return quote(c)
+
+
+def empty_to_null_sql(ref: str) -> str:
     """OP-4: the empty string means "no value"."""
-    c = _col(c)
-    return F.when(c == F.lit(""), F.lit(None)).otherwise(c)
+    return f"nullif({ref}, '')"
 
 
-def to_number(c) -> Column:
+def to_number_sql(ref: str) -> str:
     """OP-5: numeric text -> double; spaces removed, comma -> point.
 
     ``try_cast`` alone accepts Java literal forms such as ``1d`` or hex
     that the source rejects, so a pattern guard runs first. JSON booleans
     (landed as ``true``/``false``) become 1.0/0.0.
     """
-    c = _col(c).cast("string")
-    cleaned = F.translate(c, ", ", ".")
-    return (
-        F.when(c.isNull() | (c == F.lit("")), F.lit(None).cast("double"))
-        .when(c == F.lit("true"), F.lit(1.0))
-        .when(c == F.lit("false"), F.lit(0.0))
-        .when(cleaned.rlike(NUMBER_PATTERN), cleaned.try_cast("double"))
-        .otherwise(F.lit(None).cast("double"))
-    )
+    cleaned = f"translate({ref}, ', ', '.')"
+    return (f"CASE WHEN {ref} IS NULL OR {ref} = '' THEN CAST(NULL AS DOUBLE) "
+            f"WHEN {ref} = 'true' THEN 1.0D WHEN {ref} = 'false' THEN 0.0D "
+            f"WHEN {cleaned} RLIKE r'{NUMBER_PATTERN}' THEN try_cast({cleaned} AS DOUBLE) "
+            f"ELSE CAST(NULL AS DOUBLE) END")
 
 
-def to_timestamp(c) -> Column:
+def to_timestamp_sql(ref: str) -> str:
     """OP-6: ``yyyy-MM-ddTHH:mm:ss[.ffffff]`` -> timestamp without zone.
 
     The shape check rejects zones, 7+ fraction digits and partial values;
     the cast (Spark's own string parser, no formatter) rejects impossible
     dates and times.
     """
-    c = _col(c).cast("string")
-    return F.when(c.rlike(TIMESTAMP_PATTERN), F.upper(c).try_cast("timestamp_ntz")).otherwise(
-        F.lit(None).cast("timestamp_ntz"))
+    return (f"CASE WHEN {ref} RLIKE r'{TIMESTAMP_PATTERN}' THEN try_cast(upper({ref}) AS TIMESTAMP_NTZ) "
+            f"ELSE CAST(NULL AS TIMESTAMP_NTZ) END")
 
 
-def to_date(c) -> Column:
+def to_date_sql(ref: str) -> str:
     """OP-7: date from the text before the first ``T``; anything else -> null."""
-    c = _col(c).cast("string")
-    head = F.substring_index(c, "T", 1)
-    return F.when(head.rlike(DATE_PATTERN), head.try_cast("date")).otherwise(F.lit(None).cast("date"))
+    head = f"substring_index({ref}, 'T', 1)"
+    return f"CASE WHEN {head} RLIKE r'{DATE_PATTERN}' THEN try_cast({head} AS DATE) ELSE CAST(NULL AS DATE) END"
 
 
-def coerce(c, kind: str) -> Column:
+def empty_to_null(c) -> Column:
+    return F.expr(empty_to_null_sql(_ref(c)))
+
+
+def to_number(c) -> Column:
+    return F.expr(to_number_sql(_ref(c)))
+
+
+def to_timestamp(c) -> Column:
+    return F.expr(to_timestamp_sql(_ref(c)))
+
+
+def to_date(c) -> Column:
+    return F.expr(to_date_sql(_ref(c)))
+
+
+SQL_BY_KIND = {"number": to_number_sql, "timestamp": to_timestamp_sql, "date": to_date_sql,
+               "string": empty_to_null_sql}
+
+
+def coerce_sql(name: str, kind: str) -> str:
     """Dispatch by mart column kind: ``number``, ``timestamp``, ``date`` or ``string``."""
-    if kind == "number":
-        return to_number(c)
-    if kind == "timestamp":
-        return to_timestamp(c)
-    if kind == "date":
-        return to_date(c)
-    return empty_to_null(c)
+    return SQL_BY_KIND.get(kind, empty_to_null_sql)(quote(name))
+
+
+def coerce(c, kind: str) -> Column:
+    return F.expr(coerce_sql(c, kind))

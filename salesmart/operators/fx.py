@@ -79,27 +79,37 @@ def effective_currency(row_currency: Column, connection_currency: Column | None
     return F.upper(F.trim(F.coalesce(*parts)))
 
 
+def _stack_sql(rates_wide: DataFrame, currency_columns: dict) -> tuple[list[str], str]:
+    """``stack`` arguments turning the wide rate row into (currency, rate) rows."""
+    codes, parts = [], []
+    for code, colname in currency_columns.items():
+        if code != BASE_CURRENCY and colname in rates_wide.columns:
+            codes.append(code)
+            parts.append(f"'{code}', CAST(`{colname}` AS {RATE_TYPE})")
+    if not parts:
+        return [], f"stack(1, '', CAST(NULL AS {RATE_TYPE}))"
+    return codes, f"stack({len(parts)}, {', '.join(parts)})"
+
+
 def long_rates(rates_wide: DataFrame, currency_columns: dict) -> DataFrame:
     """Wide rate table -> (rate_date, currency, rate); null values are kept."""
-    entries = [
-        F.struct(F.lit(code).alias("currency"), F.col(colname).cast(RATE_TYPE).alias("rate"))
-        for code, colname in currency_columns.items()
-        if code != BASE_CURRENCY and colname in rates_wide.columns
-    ]
-    if not entries:
-        return rates_wide.select(F.col("date").alias("rate_date"), F.lit(None).cast("string").alias("currency"),
-                                 F.lit(None).cast(RATE_TYPE).alias("rate")).where(F.lit(False))
-    return rates_wide.select(F.col("date").alias("rate_date"), F.inline(F.array(*entries)))
+    codes, stack = _stack_sql(rates_wide, currency_columns)
+    out = rates_wide.selectExpr("date AS rate_date", f"{stack} AS (currency, rate)")
+    return out if codes else out.where("false")
 
 
 def window_chunks(spark: SparkSession, date_from: dt.date, date_to: dt.date, chunk_days: int) -> DataFrame:
     """WIN-2: inclusive chunks of ``chunk_days`` from ``date_from``; last one clipped."""
     if chunk_days < 1:
         raise ValueError("chunk_days must be at least 1")
-    starts = F.sequence(F.lit(date_from), F.lit(date_to), F.expr(f"INTERVAL {chunk_days} DAYS"))
-    return (spark.range(1).select(F.explode(starts).alias("chunk_start"))
-            .select("chunk_start",
-                    F.least(F.date_add("chunk_start", chunk_days - 1), F.lit(date_to)).alias("chunk_end")))
+    return spark.sql(f"""
+        SELECT chunk_start, least(date_add(chunk_start, {chunk_days - 1}), DATE'{date_to}') AS chunk_end
+        FROM (SELECT explode(sequence(DATE'{date_from}', DATE'{date_to}', INTERVAL {chunk_days} DAYS)) AS chunk_start)""")
+
+
+def chunk_start_sql(day: str, date_from: dt.date, chunk_days: int) -> str:
+    return (f"date_add(DATE'{date_from}', "
+            f"CAST(floor(datediff({day}, DATE'{date_from}') / {chunk_days}) * {chunk_days} AS INT))")
 
 
 def chunk_start_of(day: Column, date_from: dt.date, chunk_days: int) -> Column:
@@ -108,58 +118,66 @@ def chunk_start_of(day: Column, date_from: dt.date, chunk_days: int) -> Column:
     return F.date_add(F.lit(date_from), offset.cast("int"))
 
 
+def _rate_ctes(rates_wide: DataFrame, date_from: dt.date, date_to: dt.date, params: FxParams) -> str:
+    lo = date_from - dt.timedelta(days=params.lookback_days)
+    codes, stack = _stack_sql(rates_wide, params.currency_columns)
+    codes = codes or [""]
+    code_list = ", ".join(f"'{c}'" for c in codes)
+    frame = "PARTITION BY currency ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    k = params.chunk_days
+    return f"""
+    WITH visible AS (
+      SELECT * FROM {{rates}} WHERE date >= DATE'{lo}' AND date <= DATE'{date_to}'),
+    rate_rows AS (   -- duplicate rate days collapse to one row, larger rate wins
+      SELECT currency, rate_date, max(rate) AS rate
+      FROM (SELECT date AS rate_date, {stack} AS (currency, rate) FROM visible)
+      GROUP BY currency, rate_date),
+    row_days AS (SELECT DISTINCT date AS row_day FROM visible),
+    grid AS (        -- one calendar per currency: currencies x (window + lookback) days
+      SELECT currency, explode(sequence(DATE'{lo}', DATE'{date_to}')) AS day
+      FROM (SELECT explode(array({code_list})) AS currency)),
+    dense AS (
+      SELECT g.currency, g.day, r.rate, d.row_day
+      FROM grid g
+      LEFT JOIN rate_rows r ON g.currency = r.currency AND g.day = r.rate_date
+      LEFT JOIN row_days d ON g.day = d.row_day),
+    w AS (
+      SELECT currency, day, row_day IS NOT NULL AS has_row, rate AS exact_rate,
+             last(rate, true) OVER ({frame}) AS last_rate,
+             last(CASE WHEN rate IS NOT NULL THEN day END, true) OVER ({frame}) AS last_day,
+             last(row_day, true) OVER ({frame}) AS last_row_day
+      FROM dense),
+    chunks AS (
+      SELECT chunk_start, least(date_add(chunk_start, {k - 1}), DATE'{date_to}') AS chunk_end
+      FROM (SELECT explode(sequence(DATE'{date_from}', DATE'{date_to}', INTERVAL {k} DAYS)) AS chunk_start)),
+    chunk_info AS (  -- a chunk sees rates iff the latest rate row up to its end is within its lookback
+      SELECT c.chunk_start,
+             coalesce(f.last_row_day >= date_sub(c.chunk_start, {params.lookback_days}), false) AS available
+      FROM chunks c
+      LEFT JOIN (SELECT day, last_row_day FROM w WHERE currency = '{codes[0]}') f ON c.chunk_end = f.day)
+    """
+
+
 def rate_table(spark: SparkSession, rates_wide: DataFrame, date_from: dt.date, date_to: dt.date,
                params: FxParams = FxParams()) -> tuple[DataFrame, DataFrame]:
     """Effective rate per (currency, day) for every day of the load window.
 
     Only rate rows in ``[date_from - lookback, date_to]`` are read (the
-    filter reaches the scan). Returns ``(currency, day, fx_rate)`` for the
-    non-base currencies and ``(chunk_start, available)`` per chunk.
+    filter reaches the scan). Returns ``(_fx_currency, _fx_day, _fx_rate)``
+    for the non-base currencies and ``(_fx_cs, available)`` per chunk.
     """
-    lo = date_from - dt.timedelta(days=params.lookback_days)
-    visible = rates_wide.where((F.col("date") >= F.lit(lo)) & (F.col("date") <= F.lit(date_to)))
-    # duplicate rate days collapse to one row per (currency, day), larger rate wins
-    rate_rows = long_rates(visible, params.currency_columns) \
-        .groupBy("currency", "rate_date").agg(F.max("rate").alias("rate"))
-    row_days = visible.select(F.col("date").alias("row_day")).distinct()
-
-    codes = [c for c in params.currency_columns if c != BASE_CURRENCY] or [""]
-    # one calendar per currency: currencies x (window + lookback) days
-    grid = spark.createDataFrame([(c,) for c in codes], "currency string") \
-        .select("currency", F.explode(F.sequence(F.lit(lo), F.lit(date_to))).alias("day"))
-    dense = (grid
-             .join(rate_rows, (grid.currency == rate_rows.currency) & (grid.day == rate_rows.rate_date), "left")
-             .join(row_days, grid.day == row_days.row_day, "left")
-             .select(grid.currency, grid.day, rate_rows.rate, row_days.row_day))
-    w = Window.partitionBy("currency").orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    dense = dense.select(
-        "currency", "day",
-        F.col("row_day").isNotNull().alias("has_row"),
-        F.col("rate").alias("exact_rate"),
-        F.last("rate", ignorenulls=True).over(w).alias("last_rate"),
-        F.last(F.when(F.col("rate").isNotNull(), F.col("day")), ignorenulls=True).over(w).alias("last_day"),
-        F.last("row_day", ignorenulls=True).over(w).alias("last_row_day"),
-    )
-
-    # a chunk sees rates iff the latest rate row up to its end lies within its lookback
-    chunks = window_chunks(spark, date_from, date_to, params.chunk_days)
-    first = dense.where(F.col("currency") == F.lit(codes[0])).select("day", "last_row_day")
-    chunk_info = chunks.join(first, chunks.chunk_end == first.day, "left").select(
-        "chunk_start",
-        F.coalesce(F.col("last_row_day") >= F.date_sub(F.col("chunk_start"), params.lookback_days),
-                   F.lit(False)).alias("available"))
-
-    in_window = dense.where(F.col("day") >= F.lit(date_from)) \
-        .withColumn("chunk_start", chunk_start_of(F.col("day"), date_from, params.chunk_days))
-    in_window = in_window.join(F.broadcast(chunk_info), "chunk_start", "left")
-    lookback_floor = F.date_sub(F.col("chunk_start"), params.lookback_days)
-    fx = (F.when(F.col("has_row"), F.col("exact_rate"))
-          .when(F.col("last_day") >= lookback_floor, F.col("last_rate"))
-          .otherwise(F.lit(None).cast(RATE_TYPE)))
-    if params.null_when_no_rates:
-        fx = F.when(F.col("available"), fx).otherwise(F.lit(None).cast(RATE_TYPE))
-    others = in_window.where(F.col("currency") != F.lit(""))
-    return others.select("currency", "day", fx.alias("fx_rate")), chunk_info
+    ctes = _rate_ctes(rates_wide, date_from, date_to, params)
+    gate = "ci.available AND " if params.null_when_no_rates else ""
+    table = spark.sql(ctes + f"""
+    SELECT w.currency AS _fx_currency, w.day AS _fx_day,
+           CASE WHEN {gate}w.has_row THEN w.exact_rate
+                WHEN {gate}w.last_day >= date_sub(ci.chunk_start, {params.lookback_days}) THEN w.last_rate
+           END AS _fx_rate
+    FROM w JOIN chunk_info ci ON ci.chunk_start = {chunk_start_sql('w.day', date_from, params.chunk_days)}
+    WHERE w.day >= DATE'{date_from}' AND w.currency <> ''""", rates=rates_wide)
+    chunk_info = spark.sql(ctes + "SELECT chunk_start AS _fx_cs, available AS _fx_available FROM chunk_info",
+                           rates=rates_wide)
+    return table, chunk_info
 
 
 def rate_table_rows(params: FxParams, date_from: dt.date, date_to: dt.date) -> int:
@@ -170,12 +188,13 @@ def rate_table_rows(params: FxParams, date_from: dt.date, date_to: dt.date) -> i
 
 def convert(spark: SparkSession, facts: DataFrame, rates_wide: DataFrame, date_field: str,
             measures: list[str], date_from: dt.date, date_to: dt.date,
-            params: FxParams = FxParams(), connection_currency: Column | None = None,
+            params: FxParams = FxParams(), connection_currency: str | None = None,
             chunk_col: str | None = None) -> DataFrame:
     """OP-10: add ``<m>_RUB = round(m * rate, 4)`` for every measure.
 
     Null amount or null rate gives null. Arithmetic is decimal so that the
-    rounding is exact; the result column is double. ``chunk_col`` names the
+    rounding is exact; the result column is double. ``connection_currency``
+    names a column with the source's fixed currency. ``chunk_col`` names the
     request chunk of each row when it is known from the landing (rows whose
     date did not parse still belong to a chunk); otherwise the chunk is
     derived from the row date.
@@ -185,22 +204,22 @@ def convert(spark: SparkSession, facts: DataFrame, rates_wide: DataFrame, date_f
     table, chunk_info = rate_table(spark, rates_wide, date_from, date_to, params)
     if rate_table_rows(params, date_from, date_to) <= params.broadcast_max_rows:
         table = F.broadcast(table)
-    chunk_info = F.broadcast(chunk_info.withColumnRenamed("chunk_start", "_fx_cs"))
-    ccy = effective_currency(F.col(params.currency_field), connection_currency)
-    cs = F.col(chunk_col) if chunk_col else chunk_start_of(F.col(date_field), date_from, params.chunk_days)
-    keyed = facts.withColumn("_fx_ccy", ccy).withColumn("_fx_chunk", cs)
-    joined = keyed.join(table, (keyed["_fx_ccy"] == table["currency"]) & (keyed[date_field] == table["day"]), "left") \
-        .join(chunk_info, F.col("_fx_chunk") == F.col("_fx_cs"), "left")
-    base = F.lit(1).cast(RATE_TYPE)
+    # one row per chunk of the window: bounded by the window length
+    chunk_info = F.broadcast(chunk_info)
+    q = lambda c: "`" + c.replace("`", "``") + "`"
+    parts = ([f"nullif({q(connection_currency)}, '')"] if connection_currency else []) + \
+        [f"nullif({q(params.currency_field)}, '')", f"'{BASE_CURRENCY}'"]
+    cs = q(chunk_col) if chunk_col else chunk_start_sql(q(date_field), date_from, params.chunk_days)
+    keyed = facts.selectExpr("*", f"upper(trim(coalesce({', '.join(parts)}))) AS _fx_ccy", f"{cs} AS _fx_chunk")
+    joined = keyed.join(table, (keyed["_fx_ccy"] == table["_fx_currency"]) & (keyed[date_field] == table["_fx_day"]),
+                        "left").join(chunk_info, F.col("_fx_chunk") == F.col("_fx_cs"), "left")
+    base = f"CAST(1 AS {RATE_TYPE})"
     if params.null_when_no_rates:
-        base = F.when(F.col("available"), base)
-    rate = F.when(keyed["_fx_ccy"] == F.lit(BASE_CURRENCY), base).otherwise(table["fx_rate"])
-    out_cols = [keyed[c] for c in facts.columns]
-    converted = [
-        F.round(keyed[m].try_cast(AMOUNT_TYPE) * rate, 4).cast("double").alias(m + BASE_SUFFIX)
-        for m in measures
-    ]
-    return joined.select(*out_cols, *converted)
+        base = f"CASE WHEN _fx_available THEN {base} END"
+    rate = f"CASE WHEN _fx_ccy = '{BASE_CURRENCY}' THEN {base} ELSE _fx_rate END"
+    converted = [f"CAST(round(try_cast({q(m)} AS {AMOUNT_TYPE}) * {rate}, 4) AS DOUBLE) AS {q(m + BASE_SUFFIX)}"
+                 for m in measures]
+    return joined.selectExpr(*[q(c) for c in facts.columns], *converted)
 
 
 def exact_rates(facts: DataFrame, rates_wide: DataFrame, date_field: str,

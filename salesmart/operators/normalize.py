@@ -24,7 +24,7 @@ def normalise_columns(raw: DataFrame) -> DataFrame:
     chosen: dict[str, str] = {}
     for name in raw.columns:
         chosen[normalise_name(name)] = name
-    return raw.select(*[F.col(f"`{src}`").alias(dst) for dst, src in chosen.items()])
+    return raw.selectExpr(*[f"{C.quote(src)} AS {C.quote(dst)}" for dst, src in chosen.items()])
 
 
 def dropped_fields(raw: DataFrame, schema: T.StructType, keep_prefix: str = "_") -> list[str]:
@@ -83,13 +83,13 @@ def coerce_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
         if name in types and name != "url":
             dtype = types[name]
             kind = _kind(dtype)
-            expr = C.coerce(F.col(name), kind)
+            expr = C.coerce_sql(name, kind)
             if kind == "number":
-                expr = expr.cast(dtype)
-            out.append(expr.alias(name))
+                expr = f"CAST({expr} AS {dtype.simpleString()})"
+            out.append(f"{expr} AS {C.quote(name)}")
         else:
-            out.append(F.col(name))
-    return df.select(*out)
+            out.append(C.quote(name))
+    return df.selectExpr(*out)
 
 
 def string_columns(schema: T.StructType) -> list[str]:
@@ -99,9 +99,10 @@ def string_columns(schema: T.StructType) -> list[str]:
 def fill_defaults(df: DataFrame, schema: T.StructType, value: str = DEFAULT_TEXT) -> DataFrame:
     """OP-8: every text column of the mart, null or absent -> ``value``."""
     strings = set(string_columns(schema))
-    out = [F.coalesce(F.col(c), F.lit(value)).alias(c) if c in strings else F.col(c) for c in df.columns]
-    missing = [F.lit(value).alias(c) for c in string_columns(schema) if c not in df.columns]
-    return df.select(*out, *missing)
+    lit = "'" + value.replace("'", "''") + "'"
+    out = [f"coalesce({C.quote(c)}, {lit}) AS {C.quote(c)}" if c in strings else C.quote(c) for c in df.columns]
+    missing = [f"{lit} AS {C.quote(c)}" for c in string_columns(schema) if c not in df.columns]
+    return df.selectExpr(*out, *missing)
 
 
 def reject_reason(schema: T.StructType) -> Column:

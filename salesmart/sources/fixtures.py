@@ -29,18 +29,14 @@ LANDING_ANCHOR = dt.date(1995, 1, 1)
 LANDING_CHUNK_DAYS = 7
 
 
-def _currency_code(suppkey: Column) -> Column:
-    codes = F.array(*[F.lit(c) for c in ROW_CURRENCY_CODES])
-    return F.element_at(codes, (suppkey % len(ROW_CURRENCY_CODES) + 1).cast("int"))
+def _q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
 
 
-def _discounted(price: Column, discount: Column) -> Column:
-    """price * (1 - discount) in exact decimal arithmetic, decimal(18,4)."""
-    return (price.cast("decimal(18,2)") * (F.lit(1) - discount.cast("decimal(4,2)"))).cast("decimal(18,4)")
-
-
-def _source_url(nationkey: Column) -> Column:
-    return F.concat(F.lit("http://src"), nationkey.cast("string"))
+CURRENCY_SQL = "element_at(array(" + ", ".join(_q(c) for c in ROW_CURRENCY_CODES) + \
+    f"), CAST(l_suppkey % {len(ROW_CURRENCY_CODES)} + 1 AS INT))"
+# price * (1 - discount) in exact decimal arithmetic
+DISCOUNTED_SQL = "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4))"
 
 
 def _sales_join(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -54,18 +50,17 @@ def _sales_join(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def sales_raw(spark: SparkSession, data_dir: str) -> DataFrame:
     """Typed sales report rows, one per line item (SALES report shape)."""
-    j = _sales_join(spark, data_dir)
-    return j.select(
-        F.col("l_shipdate").cast("date").alias("OpenDate_Typed"),
-        F.col("s_name").alias("Department"),
-        F.col("p_type").alias("DishGroup"),
-        F.col("p_partkey").cast("string").alias("DishId"),
-        F.col("l_orderkey").cast("string").alias("UniqOrderId_Id"),
-        _currency_code(F.col("l_suppkey")).alias("Currencies_Currency"),
-        F.col("l_extendedprice").alias("DishSumInt"),
-        F.col("l_quantity").alias("DishAmountInt"),
-        _discounted(F.col("l_extendedprice"), F.col("l_discount")).alias("DishDiscountSumInt"),
-        _source_url(F.col("s_nationkey")).alias("url"),
+    return _sales_join(spark, data_dir).selectExpr(
+        "CAST(l_shipdate AS DATE) AS OpenDate_Typed",
+        "s_name AS Department",
+        "p_type AS DishGroup",
+        "CAST(p_partkey AS STRING) AS DishId",
+        "CAST(l_orderkey AS STRING) AS UniqOrderId_Id",
+        f"{CURRENCY_SQL} AS Currencies_Currency",
+        "l_extendedprice AS DishSumInt",
+        "l_quantity AS DishAmountInt",
+        f"{DISCOUNTED_SQL} AS DishDiscountSumInt",
+        "concat('http://src', CAST(s_nationkey AS STRING)) AS url",
     )
 
 
@@ -73,13 +68,13 @@ def transactions_raw(spark: SparkSession, data_dir: str) -> DataFrame:
     """Typed receipt rows (TRANSACTIONS report shape), one per order."""
     o = read_table(spark, data_dir, "orders", [
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
-    return o.select(
-        F.col("o_orderdate").cast("date").alias("DateTime_DateTyped"),
-        F.concat(F.lit("Store#"), (F.col("o_custkey") % 7).cast("string")).alias("Department"),
-        F.col("o_orderstatus").alias("TransactionType"),
-        F.col("o_orderpriority").alias("Product_Category"),
-        F.col("o_totalprice").alias("Sum_Incoming"),
-        F.concat(F.lit("http://src"), (F.col("o_custkey") % 25).cast("string")).alias("url"),
+    return o.selectExpr(
+        "CAST(o_orderdate AS DATE) AS DateTime_DateTyped",
+        "concat('Store#', CAST(o_custkey % 7 AS STRING)) AS Department",
+        "o_orderstatus AS TransactionType",
+        "o_orderpriority AS Product_Category",
+        "o_totalprice AS Sum_Incoming",
+        "concat('http://src', CAST(o_custkey % 25 AS STRING)) AS url",
     )
 
 
@@ -89,32 +84,24 @@ def rates(spark: SparkSession) -> DataFrame:
     Weekends (day number % 7 in 5, 6) and a 31-day gap every 400 days are
     missing, gel is null every 11th day, amd every 13th day.
     """
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(RATES_FIRST_DAY), F.lit(RATES_LAST_DAY))).alias("date"))
-    n = F.datediff(F.col("date"), F.lit(RATES_FIRST_DAY))
-    dec = "decimal(12,6)"
-    return (
-        days.where(~(n % 7).isin(5, 6) & ~(n % 400).between(200, 230))
-        .select(
-            "date",
-            F.lit(1).cast(dec).alias("rub"),
-            F.when(n % 11 == 0, F.lit(None).cast(dec)).otherwise(((F.lit(1400) + n % 50) / 100).cast(dec)).alias("gel"),
-            F.when(n % 13 == 0, F.lit(None).cast(dec)).otherwise(((F.lit(200) + n % 30) / 1000).cast(dec)).alias("amd"),
-            ((F.lit(80) + n % 20) / 100).cast(dec).alias("kgs"),
-        )
-    )
-
-
-def _money_text(x: Column) -> Column:
-    """68423.46 -> '68 423,46' (space between thousands, comma decimal point)."""
-    cents = F.round(x * 100, 0).cast("bigint")
-    units = F.floor(cents / 100).cast("bigint")
-    frac = (cents % 100).cast("string")
-    whole = F.when(
-        units >= 1000,
-        F.concat(F.floor(units / 1000).cast("bigint").cast("string"), F.lit(" "),
-                 F.lpad((units % 1000).cast("string"), 3, "0")),
-    ).otherwise(units.cast("string"))
-    return F.concat(whole, F.lit(","), F.lpad(frac, 2, "0"))
+    first, last = RATES_FIRST_DAY.isoformat(), RATES_LAST_DAY.isoformat()
+    return spark.sql(f"""
+        SELECT date,
+               CAST(1 AS DECIMAL(12,6)) AS rub,
+               CASE WHEN n % 11 = 0 THEN NULL ELSE CAST((1400 + n % 50) / 100 AS DECIMAL(12,6)) END AS gel,
+               CASE WHEN n % 13 = 0 THEN NULL ELSE CAST((200 + n % 30) / 1000 AS DECIMAL(12,6)) END AS amd,
+               CAST((80 + n % 20) / 100 AS DECIMAL(12,6)) AS kgs
+        FROM (SELECT date, datediff(date, DATE'{first}') AS n
+              FROM (SELECT explode(sequence(DATE'{first}', DATE'{last}')) AS date))
+        WHERE n % 7 NOT IN (5, 6) AND NOT (n % 400 BETWEEN 200 AND 230)""")
+
+
+# 68423.46 -> '68 423,46' (space between thousands, comma decimal point)
+MONEY_TEXT_SQL = """concat(
+  CASE WHEN units >= 1000
+       THEN concat(CAST(CAST(floor(units / 1000) AS BIGINT) AS STRING), ' ', lpad(CAST(units % 1000 AS STRING), 3, '0'))
+       ELSE CAST(units AS STRING) END,
+  ',', lpad(CAST(cents % 100 AS STRING), 2, '0'))"""
 
 
 def sales_messy(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -124,36 +111,35 @@ def sales_messy(spark: SparkSession, data_dir: str) -> DataFrame:
     junk; ``_source`` is the configured address of the source that
     produced the file and ``_chunk_from``/``_chunk_to`` its request range.
     """
-    j = _sales_join(spark, data_dir)
-    day = F.col("l_shipdate").cast("date")
-    day_text = day.cast("string")
-    clock = F.concat(day_text, F.lit("T"), F.lpad(F.col("l_linenumber").cast("string"), 2, "0"), F.lit(":30:15"))
-    k4 = F.col("l_orderkey") % 4
-    chunk_from = F.date_add(
-        F.lit(LANDING_ANCHOR),
-        (F.floor(F.datediff(day, F.lit(LANDING_ANCHOR)) / LANDING_CHUNK_DAYS) * LANDING_CHUNK_DAYS).cast("int"))
-    return j.select(
-        F.when(k4 == 0, day_text).when(k4 == 1, clock).when(k4 == 2, F.concat(clock, F.lit(".250")))
-        .otherwise(F.lit("29.02.2000")).alias("OpenDate.Typed"),
-        F.when(F.col("l_linenumber") == 6, F.lit(""))
-        .when(k4 == 0, clock).when(k4 == 1, F.concat(clock, F.lit(".5")))
-        .when(k4 == 2, F.concat(clock, F.lit("Z"))).otherwise(F.concat(clock, F.lit(".1234567"))).alias("CloseTime"),
-        F.when(F.col("l_linenumber") == 5, F.lit("")).otherwise(F.col("s_name")).alias("Department"),
-        F.col("p_type").alias("DishGroup"),
-        F.col("p_partkey").cast("string").alias("DishId"),
-        F.col("l_orderkey").cast("string").alias("UniqOrderId.Id"),
-        _currency_code(F.col("l_suppkey")).alias("Currencies.Currency"),
-        F.when(F.col("l_linenumber") == 7, F.lit(""))
-        .when(F.col("l_quantity") == 13, F.lit("abc"))
-        .when(F.col("l_quantity") == 17, F.lit("1d"))
-        .otherwise(_money_text(F.col("l_extendedprice"))).alias("DishSumInt"),
-        F.col("l_quantity").cast("string").alias("DishAmountInt"),
-        _discounted(F.col("l_extendedprice"), F.col("l_discount")).cast("string").alias("DishDiscountSumInt"),
-        F.lit("x").alias("Extra-Field"),
-        F.lit("ignored").alias("url"),
-        F.concat(F.lit("src"), F.col("s_nationkey").cast("string")).alias("_source"),
-        chunk_from.alias("_chunk_from"),
-        F.date_add(chunk_from, LANDING_CHUNK_DAYS - 1).alias("_chunk_to"),
+    anchor = LANDING_ANCHOR.isoformat()
+    k = LANDING_CHUNK_DAYS
+    base = _sales_join(spark, data_dir).selectExpr(
+        "*", "l_orderkey % 4 AS k4",
+        "CAST(CAST(l_shipdate AS DATE) AS STRING) AS day_text",
+        "concat(CAST(CAST(l_shipdate AS DATE) AS STRING), 'T', lpad(CAST(l_linenumber AS STRING), 2, '0'), ':30:15') AS clock",
+        "CAST(round(l_extendedprice * 100, 0) AS BIGINT) AS cents",
+        "CAST(floor(CAST(round(l_extendedprice * 100, 0) AS BIGINT) / 100) AS BIGINT) AS units",
+        f"date_add(DATE'{anchor}', CAST(floor(datediff(CAST(l_shipdate AS DATE), DATE'{anchor}') / {k}) * {k} AS INT)) AS cf",
+    )
+    return base.selectExpr(
+        "CASE k4 WHEN 0 THEN day_text WHEN 1 THEN clock WHEN 2 THEN concat(clock, '.250') "
+        "ELSE '29.02.2000' END AS `OpenDate.Typed`",
+        "CASE WHEN l_linenumber = 6 THEN '' WHEN k4 = 0 THEN clock WHEN k4 = 1 THEN concat(clock, '.5') "
+        "WHEN k4 = 2 THEN concat(clock, 'Z') ELSE concat(clock, '.1234567') END AS CloseTime",
+        "CASE WHEN l_linenumber = 5 THEN '' ELSE s_name END AS Department",
+        "p_type AS DishGroup",
+        "CAST(p_partkey AS STRING) AS DishId",
+        "CAST(l_orderkey AS STRING) AS `UniqOrderId.Id`",
+        f"{CURRENCY_SQL} AS `Currencies.Currency`",
+        "CASE WHEN l_linenumber = 7 THEN '' WHEN l_quantity = 13 THEN 'abc' WHEN l_quantity = 17 THEN '1d' "
+        f"ELSE {MONEY_TEXT_SQL} END AS DishSumInt",
+        "CAST(l_quantity AS STRING) AS DishAmountInt",
+        f"CAST({DISCOUNTED_SQL} AS STRING) AS DishDiscountSumInt",
+        "'x' AS `Extra-Field`",
+        "'ignored' AS url",
+        "concat('src', CAST(s_nationkey AS STRING)) AS _source",
+        "cf AS _chunk_from",
+        f"date_add(cf, {k - 1}) AS _chunk_to",
     )
 
 
