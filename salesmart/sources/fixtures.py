@@ -149,63 +149,54 @@ def sales_messy(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def categories(spark: SparkSession, data_dir: str) -> DataFrame:
     """Categories from ``region``; region 4 is left without sources."""
-    r = read_table(spark, data_dir, "region")
-    return r.select(
-        F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"),
-        F.concat(F.lit("Stores of "), F.col("r_name")).alias("description"),
-        (F.col("r_regionkey") != 3).alias("is_active"))
+    return read_table(spark, data_dir, "region").selectExpr(
+        "r_regionkey AS id", "r_name AS name", "concat('Stores of ', r_name) AS description",
+        "r_regionkey <> 3 AS is_active")
 
 
 def sources(spark: SparkSession, data_dir: str) -> DataFrame:
     """Report sources (connections) from ``nation``."""
-    n = read_table(spark, data_dir, "nation")
-    k = F.col("n_nationkey")
-    ks = k.cast("string")
-    return n.select(
-        k.alias("id"), F.col("n_name").alias("name"),
-        F.when(k % 2 == 0, F.concat(F.lit("http://src"), ks)).otherwise(F.concat(F.lit("src"), ks)).alias("api_url"),
-        F.concat(F.lit("user"), ks).alias("login"),
-        F.when(k % 4 == 0, F.lit("GEL")).otherwise(F.lit("RUB")).alias("currency"),
-        F.when(F.col("n_regionkey") == 4, F.lit(None).cast("int")).otherwise(F.col("n_regionkey")).alias("category_id"),
-        (k % 3 != 1).alias("load_weather"),
-        F.when(k % 5 == 0, F.lit(None).cast("string")).when(k % 5 == 1, F.lit(""))
-        .otherwise(F.concat(F.lit("key"), F.lpad(ks, 4, "0"), F.lit("abcdef"))).alias("cloud_api_key"))
+    return read_table(spark, data_dir, "nation").selectExpr(
+        "n_nationkey AS id", "n_name AS name",
+        "CASE WHEN n_nationkey % 2 = 0 THEN concat('http://src', CAST(n_nationkey AS STRING)) "
+        "ELSE concat('src', CAST(n_nationkey AS STRING)) END AS api_url",
+        "concat('user', CAST(n_nationkey AS STRING)) AS login",
+        "CASE WHEN n_nationkey % 4 = 0 THEN 'GEL' ELSE 'RUB' END AS currency",
+        "CASE WHEN n_regionkey = 4 THEN CAST(NULL AS INT) ELSE n_regionkey END AS category_id",
+        "n_nationkey % 3 <> 1 AS load_weather",
+        "CASE n_nationkey % 5 WHEN 0 THEN CAST(NULL AS STRING) WHEN 1 THEN '' "
+        "ELSE concat('key', lpad(CAST(n_nationkey AS STRING), 4, '0'), 'abcdef') END AS cloud_api_key")
 
 
 def targets(spark: SparkSession, data_dir: str) -> DataFrame:
     """Mart targets from ``region``."""
-    r = read_table(spark, data_dir, "region")
-    return r.select(
-        F.col("r_regionkey").alias("id"), F.concat(F.lit("target-"), F.col("r_regionkey").cast("string")).alias("name"),
-        F.concat(F.lit("mart"), F.col("r_regionkey").cast("string"), F.lit(".local")).alias("host"),
-        F.lit(9000).alias("port"), F.lit("loader").alias("user"), F.lit("default").alias("storage_policy"))
+    return read_table(spark, data_dir, "region").selectExpr(
+        "r_regionkey AS id", "concat('target-', CAST(r_regionkey AS STRING)) AS name",
+        "concat('mart', CAST(r_regionkey AS STRING), '.local') AS host",
+        "9000 AS port", "'loader' AS user", "'default' AS storage_policy")
 
 
 def templates(spark: SparkSession, data_dir: str) -> DataFrame:
     """Report templates, one per customer market segment, ids in name order."""
-    c = read_table(spark, data_dir, "customer", ["c_mktsegment"])
-    seg = c.select(F.lower("c_mktsegment").alias("name")).distinct()
-    from pyspark.sql import Window
-    return seg.select(F.dense_rank().over(Window.orderBy("name")).alias("id"), "name",
-                      F.lit("SALES").alias("report_type"))
+    seg = read_table(spark, data_dir, "customer", ["c_mktsegment"]).selectExpr("lower(c_mktsegment) AS name").distinct()
+    return seg.selectExpr("dense_rank() OVER (ORDER BY name) AS id", "name", "'SALES' AS report_type")
 
 
 def tasks(spark: SparkSession, data_dir: str) -> DataFrame:
     """Load tasks from ``customer``: source = nation, template = segment."""
     c = read_table(spark, data_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
-    t = templates(spark, data_dir)
-    j = c.join(t, F.lower(c.c_mktsegment) == t.name)
-    k = F.col("c_custkey")
-    return j.select(
-        F.concat(F.lit("task-"), k.cast("string")).alias("id"),
-        F.col("c_name").alias("name"),
-        F.col("c_nationkey").alias("source_id"),
-        (k % 6).cast("int").alias("target_id"),
-        F.col("id").alias("template_id"),
-        F.concat(F.lit("mart."), F.col("name"), F.lit("_"), F.col("c_nationkey").cast("string")).alias("dataset_name"),
-        (F.lit(7) + k % 30).cast("int").alias("days_offset_start"),
-        (k % 5).cast("int").alias("days_offset_end"),
-        (k % 4 != 0).alias("is_active"))
+    t = templates(spark, data_dir).withColumnRenamed("name", "t_name").withColumnRenamed("id", "t_id")
+    j = c.join(t, F.lower(c.c_mktsegment) == t.t_name)
+    return j.selectExpr(
+        "concat('task-', CAST(c_custkey AS STRING)) AS id",
+        "c_name AS name",
+        "c_nationkey AS source_id",
+        "CAST(c_custkey % 6 AS INT) AS target_id",
+        "t_id AS template_id",
+        "concat('mart.', t_name, '_', CAST(c_nationkey AS STRING)) AS dataset_name",
+        "CAST(7 + c_custkey % 30 AS INT) AS days_offset_start",
+        "CAST(c_custkey % 5 AS INT) AS days_offset_end",
+        "c_custkey % 4 <> 0 AS is_active")
 
 
 # ---------------------------------------------------------------------------
@@ -219,40 +210,38 @@ WEATHER_LOCATIONS = 10
 def outlets(spark: SparkSession, data_dir: str) -> DataFrame:
     """Outlet records as the outlet service returns them, from ``supplier``."""
     s = read_table(spark, data_dir, "supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])
-    k = F.col("s_suppkey")
-    zero = k % 17 == 0
-    return s.select(
-        F.concat(F.lit("org-"), k.cast("string")).alias("id"),
-        F.col("s_nationkey").alias("source_id"),
-        k.alias("seq"),
-        F.concat(F.lit("  "), F.col("s_name"), F.lit(" ")).alias("name"),
-        F.when(k % 9 == 0, F.lit(None).cast("string")).otherwise((k % 1000).cast("string")).alias("code"),
-        F.when(k % 5 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit(" Street "), F.col("s_nationkey").cast("string"), F.lit(" "))).alias("restaurantAddress"),
-        F.concat(F.lit("Country "), (F.col("s_nationkey") % 3).cast("string")).alias("country"),
-        F.when(zero, F.lit(0.0)).otherwise(F.lit(55.0) + (k % 20) * 0.02).alias("latitude"),
-        F.when(zero, F.lit(0.0)).otherwise(F.lit(37.0) + (k % 7) * 0.03).alias("longitude"),
-        F.concat(F.lit("77"), F.lpad(k.cast("string"), 8, "0")).alias("inn"),
-        F.when(k % 4 == 0, F.lit(None).cast("string")).when(k % 4 == 1, F.lit("GEL")).otherwise(F.lit("RUB")).alias("currencyIsoName"),
-        F.when(k % 3 == 0, F.lit("CourierAndSelfService")).otherwise(F.lit("SelfServiceOnly")).alias("deliveryServiceType"),
-        F.concat(F.lit("8."), (k % 4).cast("string")).alias("version"),
-        F.col("s_acctbal"),
+    return s.selectExpr(
+        "concat('org-', CAST(s_suppkey AS STRING)) AS id",
+        "s_nationkey AS source_id",
+        "s_suppkey AS seq",
+        "concat('  ', s_name, ' ') AS name",
+        "CASE WHEN s_suppkey % 9 = 0 THEN CAST(NULL AS STRING) ELSE CAST(s_suppkey % 1000 AS STRING) END AS code",
+        "CASE WHEN s_suppkey % 5 = 0 THEN CAST(NULL AS STRING) "
+        "ELSE concat(' Street ', CAST(s_nationkey AS STRING), ' ') END AS restaurantAddress",
+        "concat('Country ', CAST(s_nationkey % 3 AS STRING)) AS country",
+        "CASE WHEN s_suppkey % 17 = 0 THEN 0.0D ELSE 55.0D + (s_suppkey % 20) * 0.02D END AS latitude",
+        "CASE WHEN s_suppkey % 17 = 0 THEN 0.0D ELSE 37.0D + (s_suppkey % 7) * 0.03D END AS longitude",
+        "concat('77', lpad(CAST(s_suppkey AS STRING), 8, '0')) AS inn",
+        "CASE WHEN s_suppkey % 4 = 0 THEN CAST(NULL AS STRING) WHEN s_suppkey % 4 = 1 THEN 'GEL' "
+        "ELSE 'RUB' END AS currencyIsoName",
+        "CASE WHEN s_suppkey % 3 = 0 THEN 'CourierAndSelfService' ELSE 'SelfServiceOnly' END AS deliveryServiceType",
+        "concat('8.', CAST(s_suppkey % 4 AS STRING)) AS version",
+        "s_acctbal",
     )
 
 
 def weather_daily(spark: SparkSession, data_dir: str) -> DataFrame:
     """Daily weather per location from ``events``: location = user_id % 10."""
     e = read_table(spark, data_dir, "events", ["ts", "user_id", "value"])
-    v = F.col("value").cast("decimal(12,2)")
-    return (e.select((F.col("user_id") % WEATHER_LOCATIONS).cast("int").alias("location"),
-                     F.col("ts").cast("date").alias("day"), v.alias("v"), F.col("value"))
+    return (e.selectExpr(f"CAST(user_id % {WEATHER_LOCATIONS} AS INT) AS location", "CAST(ts AS DATE) AS day",
+                         "CAST(value AS DECIMAL(12,2)) AS v", "value")
             .groupBy("location", "day")
-            .agg((F.sum("v").cast("double") / F.count(F.lit(1)).cast("double")).alias("temperature_2m_mean"),
-                 F.min("value").alias("temperature_2m_min"),
-                 F.max("value").alias("temperature_2m_max"),
-                 F.sum("v").cast("double").alias("precipitation_sum"),
-                 F.count(F.lit(1)).cast("double").alias("cloud_cover_mean"),
-                 (F.max("value") - F.min("value")).alias("wind_speed_10m_max")))
+            .agg(F.expr("CAST(sum(v) AS DOUBLE) / CAST(count(1) AS DOUBLE)").alias("temperature_2m_mean"),
+                 F.expr("min(value)").alias("temperature_2m_min"),
+                 F.expr("max(value)").alias("temperature_2m_max"),
+                 F.expr("CAST(sum(v) AS DOUBLE)").alias("precipitation_sum"),
+                 F.expr("CAST(count(1) AS DOUBLE)").alias("cloud_cover_mean"),
+                 F.expr("max(value) - min(value)").alias("wind_speed_10m_max")))
 
 
 WEATHER_VARS = ["temperature_2m_mean", "temperature_2m_min", "temperature_2m_max",
@@ -267,14 +256,13 @@ def weather_responses(spark: SparkSession, data_dir: str) -> DataFrame:
     arrays are bounded by the window length. The forecast of location 7
     arrives with a short wind array and must be rejected whole.
     """
-    d = weather_daily(spark, data_dir).withColumn(
-        "part", F.when(F.col("day") < F.lit(WEATHER_AS_OF), F.lit("history")).otherwise(F.lit("forecast")))
+    d = weather_daily(spark, data_dir).selectExpr(
+        "*", f"CASE WHEN day < DATE'{WEATHER_AS_OF}' THEN 'history' ELSE 'forecast' END AS part")
     packed = d.groupBy("location", "part").agg(
-        F.array_sort(F.collect_list(F.struct("day", *WEATHER_VARS))).alias("days"))
-    arrays = {v: F.col(f"days.{v}") for v in WEATHER_VARS}
-    short = (F.col("location") == 7) & (F.col("part") == F.lit("forecast"))
-    arrays["wind_speed_10m_max"] = F.when(short, F.slice(arrays["wind_speed_10m_max"], 1, F.size("days") - 1)) \
-        .otherwise(arrays["wind_speed_10m_max"])
-    daily = F.struct(F.transform("days", lambda x: x["day"].cast("string")).alias("time"),
-                     *[a.alias(v) for v, a in arrays.items()])
-    return packed.select("location", "part", daily.alias("daily"))
+        F.expr(f"array_sort(collect_list(struct(day, {', '.join(WEATHER_VARS)})))").alias("days"))
+    arrays = [f"days.{v} AS {v}" for v in WEATHER_VARS if v != "wind_speed_10m_max"]
+    wind = ("CASE WHEN location = 7 AND part = 'forecast' THEN slice(days.wind_speed_10m_max, 1, size(days) - 1) "
+            "ELSE days.wind_speed_10m_max END AS wind_speed_10m_max")
+    return packed.selectExpr(
+        "location", "part",
+        f"struct(transform(days, x -> CAST(x.day AS STRING)) AS time, {', '.join(arrays)}, {wind}) AS daily")
