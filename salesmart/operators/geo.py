@@ -13,23 +13,27 @@ chained by steps shorter than 2 x radius. Outlets are therefore split into
 islands: connected groups of occupied grid cells whose side is longer than
 that step. Islands are found with label propagation over cells (never over
 outlet pairs), and each (source, island) is clustered independently and in
-parallel.
+parallel. Inside a group, cluster centroids are indexed by grid cell, so an
+outlet tests only the clusters around it.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.functions.geo import EARTH_RADIUS_KM, haversine_km, km_per_degree_lat
+from salesmart.functions.geo import haversine_km, haversine_km_py, km_per_degree_lat
 from salesmart.session import ensure_checkpoint_dir
 
 RADIUS_KM = 5.0
+# Grid cells are made 1% wider than the distance they must cover: a
+# haversine distance bounds the latitude step exactly, the longitude step
+# only up to terms of order (distance / earth radius)^2.
+CELL_MARGIN = 1.01
 
 
 def grid_steps(max_abs_lat: Column, cell_km: float) -> tuple[Column, Column]:
@@ -71,7 +75,7 @@ def stations_within(points: DataFrame, stations: DataFrame, radius_km: float = R
     # one scalar for the grid: the highest latitude on either side
     top = p.select(F.abs("lat").alias("a")).unionByName(s.select(F.abs("s_lat").alias("a"))) \
         .agg(F.max("a")).first()[0]
-    dlat, dlon = grid_steps(F.lit(float(top or 0.0)), radius_km)
+    dlat, dlon = grid_steps(F.lit(float(top or 0.0)), radius_km * CELL_MARGIN)
     prow, pcol = cell_of(F.col("lat"), F.col("lon"), dlat, dlon)
     p = p.select("*", prow.alias("_row"), pcol.alias("_col"))
     srow, scol = cell_of(F.col("s_lat"), F.col("s_lon"), dlat, dlon)
@@ -122,7 +126,7 @@ def islands(points: DataFrame, group_col: str, cell_km: float, max_iter: int = 2
 def tag_cells(points: DataFrame, group_col: str, cell_km: float) -> DataFrame:
     """Grid cell per point; the longitude step is fixed per group."""
     tops = points.groupBy(group_col).agg(F.max(F.abs("lat")).alias("_top"))
-    dlat, dlon = grid_steps(F.col("_top"), cell_km)
+    dlat, dlon = grid_steps(F.col("_top"), cell_km * CELL_MARGIN)
     tops = tops.select(group_col, dlat.alias("_dlat"), dlon.alias("_dlon"))
     j = points.join(tops, group_col)
     row, col = cell_of(F.col("lat"), F.col("lon"), F.col("_dlat"), F.col("_dlon"))
@@ -139,56 +143,81 @@ CLUSTER_SCHEMA = T.StructType([
 ])
 
 
+def _grid_steps_py(max_abs_lat: float, cell_km: float) -> tuple[float, float]:
+    dlat = cell_km / km_per_degree_lat()
+    edge = min(max_abs_lat + dlat, 89.0)
+    if edge >= 85.0:
+        return dlat, 360.0
+    return dlat, cell_km / (km_per_degree_lat() * math.cos(math.radians(edge)))
+
+
 def greedy_clusters(pdf: pd.DataFrame, radius_km: float = RADIUS_KM) -> pd.DataFrame:
     """AGG-10 on one group, in ``seq`` order (a per-group helper).
 
-    State is one running (sum lat, sum lon, count) per cluster; every
-    outlet is tested against all current centroids at once.
+    Running (sum lat, sum lon, count) per cluster, with centroids indexed by
+    grid cells at least the radius wide: an outlet only tests the clusters
+    of its 3 x 3 neighbourhood and takes the earliest-created hit, which is
+    the first cluster within the radius in creation order. Sums accumulate
+    in visit order and distances use the scalar haversine, so centroids and
+    tests are the same floating-point operations as a plain sequential pass.
     """
     pdf = pdf.sort_values("seq", kind="mergesort")
-    lats = pdf["lat"].to_numpy(dtype=float)
-    lons = pdf["lon"].to_numpy(dtype=float)
-    n = len(pdf)
-    cap = 16
-    s_lat = np.zeros(cap)
-    s_lon = np.zeros(cap)
-    cnt = np.zeros(cap)
-    k = 0
-    member = np.empty(n, dtype=np.int64)
-    first = []
+    lats = pdf["lat"].astype(float).tolist()
+    lons = pdf["lon"].astype(float).tolist()
+    n = len(lats)
+    dlat, dlon = _grid_steps_py(max((abs(x) for x in lats), default=0.0), radius_km * CELL_MARGIN)
+
+    def cell(la: float, lo: float) -> tuple[int, int]:
+        return math.floor(la / dlat), math.floor((lo + 180.0) / dlon)
+
+    s_lat: list[float] = []
+    s_lon: list[float] = []
+    cnt: list[int] = []
+    where: list[tuple[int, int]] = []
+    index: dict[tuple[int, int], list[int]] = {}
+    member = [0] * n
+    first: list[int] = []
     for i in range(n):
-        if k:
-            c_lat = s_lat[:k] / cnt[:k]
-            c_lon = s_lon[:k] / cnt[:k]
-            dlat = np.radians(c_lat - lats[i])
-            dlon = np.radians(c_lon - lons[i])
-            a = np.sin(dlat / 2) ** 2 + math.cos(math.radians(lats[i])) * np.cos(np.radians(c_lat)) * np.sin(dlon / 2) ** 2
-            d = EARTH_RADIUS_KM * 2 * np.arcsin(np.sqrt(a))
-            hit = np.flatnonzero(d <= radius_km)
-            if hit.size:
-                j = int(hit[0])
-                s_lat[j] += lats[i]
-                s_lon[j] += lons[i]
-                cnt[j] += 1
-                member[i] = j
-                continue
-        if k == cap:
-            cap *= 2
-            s_lat, s_lon, cnt = (np.resize(x, cap) for x in (s_lat, s_lon, cnt))
-        s_lat[k], s_lon[k], cnt[k] = lats[i], lons[i], 1
-        first.append(i)
-        member[i] = k
-        k += 1
+        la, lo = lats[i], lons[i]
+        r, c = cell(la, lo)
+        best = -1
+        for dr in (-1, 0, 1):
+            for dc in (-1, 0, 1):
+                for j in index.get((r + dr, c + dc), ()):
+                    if best != -1 and j > best:
+                        continue
+                    if haversine_km_py(la, lo, s_lat[j] / cnt[j], s_lon[j] / cnt[j]) <= radius_km:
+                        best = j
+        if best == -1:
+            best = len(cnt)
+            s_lat.append(la)
+            s_lon.append(lo)
+            cnt.append(1)
+            home = cell(la, lo)
+            where.append(home)
+            index.setdefault(home, []).append(best)
+            first.append(i)
+        else:
+            s_lat[best] += la
+            s_lon[best] += lo
+            cnt[best] += 1
+            moved = cell(s_lat[best] / cnt[best], s_lon[best] / cnt[best])
+            if moved != where[best]:
+                index[where[best]].remove(best)
+                index.setdefault(moved, []).append(best)
+                where[best] = moved
+        member[i] = best
     names = pdf["name"].tolist()
     ids = pdf["org_id"].tolist()
+    k = len(cnt)
     labels = [names[first[j]] for j in range(k)]
-    c_lat = [round(float(s_lat[j] / cnt[j]), 6) for j in range(k)]
-    c_lon = [round(float(s_lon[j] / cnt[j]), 6) for j in range(k)]
+    c_lat = [round(s_lat[j] / cnt[j], 6) for j in range(k)]
+    c_lon = [round(s_lon[j] / cnt[j], 6) for j in range(k)]
     return pd.DataFrame({
         "org_id": ids, "org_name": names,
         "city_cluster": [labels[m] for m in member],
         "lat": [c_lat[m] for m in member], "lon": [c_lon[m] for m in member],
-        "cluster_no": member.astype("int64"),
+        "cluster_no": pd.Series(member, dtype="int64"),
     })
 
 
