@@ -170,7 +170,12 @@ def name_clash(candidates: DataFrame, existing: DataFrame, col: str = "name") ->
 # Path parts that mark files which are not dataset configs.
 CONFIG_SKIP_PARTS = ["cronicle_info", "config.json", "fields_", "requirements", "style.css"]
 CONFIG_SKIP_DIRS = ["templates", "temp"]
-CONFIG_REQUIRED_KEYS = ["iiko", "clickhouse", "default_report_config"]
+# Top-level keys of a dataset config document (report source
+# section, mart target section, report template); all three are required.
+CONFIG_SOURCE_KEY = "iiko"
+CONFIG_TARGET_KEY = "clickhouse"
+CONFIG_TEMPLATE_KEY = "default_report_config"
+CONFIG_REQUIRED_KEYS = [CONFIG_SOURCE_KEY, CONFIG_TARGET_KEY, CONFIG_TEMPLATE_KEY]
 
 
 def read_config_dir(spark: SparkSession, root: str) -> DataFrame:
@@ -181,9 +186,9 @@ def read_config_dir(spark: SparkSession, root: str) -> DataFrame:
     ``root``.
     """
     schema = T.StructType([
-        T.StructField("iiko", T.MapType(T.StringType(), T.StringType())),
-        T.StructField("clickhouse", T.MapType(T.StringType(), T.StringType())),
-        T.StructField("default_report_config", T.StringType()),
+        T.StructField(CONFIG_SOURCE_KEY, T.MapType(T.StringType(), T.StringType())),
+        T.StructField(CONFIG_TARGET_KEY, T.MapType(T.StringType(), T.StringType())),
+        T.StructField(CONFIG_TEMPLATE_KEY, T.StringType()),
         T.StructField("_corrupt_record", T.StringType()),
     ])
     df = (spark.read.schema(schema)
@@ -199,8 +204,10 @@ def read_config_dir(spark: SparkSession, root: str) -> DataFrame:
             .select(rel.alias("relative_path"),
                     template_name_from_path(rel).alias("template_name"),
                     dataset_name_from_path(rel).alias("dataset_name"),
-                    F.col("iiko")["api_url"].alias("api_url"), F.col("iiko")["login"].alias("login"),
-                    F.col("clickhouse")["host"].alias("host"), "default_report_config"))
+                    F.col(CONFIG_SOURCE_KEY)["api_url"].alias("api_url"),
+                    F.col(CONFIG_SOURCE_KEY)["login"].alias("login"),
+                    F.col(CONFIG_TARGET_KEY)["host"].alias("host"),
+                    F.col(CONFIG_TEMPLATE_KEY).alias("report_config")))
 
 
 def _re_escape(s: str) -> str:

@@ -48,7 +48,7 @@ def outlet_reference(orgs: DataFrame, api_key: Column | None = None) -> DataFram
         F.coalesce(F.col("inn").cast("string"), F.lit("")).alias("inn"),
         F.coalesce(F.nullif(F.col("currencyIsoName"), F.lit("")), F.lit(DEFAULT_OUTLET_CURRENCY)).alias("currency"),
         F.coalesce(F.col("deliveryServiceType"), F.lit("")).alias("delivery_type"),
-        F.coalesce(F.col("version").cast("string"), F.lit("")).alias("iiko_version"),
+        F.coalesce(F.col("version").cast("string"), F.lit("")).alias("pos_version"),
     ]
     if api_key is not None:
         cols.append(key_hint(api_key).alias("api_key_hint"))

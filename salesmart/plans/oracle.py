@@ -414,7 +414,7 @@ SELECT o.id AS org_id, trim(coalesce(o.name, '')) AS org_name, coalesce(o.code,
        CASE WHEN o.latitude IS NULL OR o.latitude = 0 THEN NULL ELSE o.latitude END AS lat,
        CASE WHEN o.longitude IS NULL OR o.longitude = 0 THEN NULL ELSE o.longitude END AS lon,
        coalesce(o.inn, '') AS inn, coalesce(nullif(o.currencyIsoName, ''), 'RUB') AS currency,
-       coalesce(o.deliveryServiceType, '') AS delivery_type, coalesce(o.version, '') AS iiko_version,
+       coalesce(o.deliveryServiceType, '') AS delivery_type, coalesce(o.version, '') AS pos_version,
        substring(s.cloud_api_key, 1, 8) || '...' AS api_key_hint,
        o.source_id, o.seq, o.s_acctbal
 FROM ({OUTLETS}) o
@@ -590,7 +590,7 @@ SELECT id, name FROM cand WHERE lower(name) IN (SELECT lower(name) FROM tasks)""
         "multi_source_window": _multi_source_window(),
         "date_chunks": _date_chunks(),
         "outlet_reference": f"""SELECT org_id, org_name, org_code, address, country, lat, lon, inn, currency,
-       delivery_type, iiko_version, api_key_hint FROM ({OUTLET_REF}) r""",
+       delivery_type, pos_version, api_key_hint FROM ({OUTLET_REF}) r""",
         "outlet_stations": _outlet_stations(),
         "outlet_summary": f"""SELECT source_id, count(*) AS outlets,
        count_if(lat IS NOT NULL AND lon IS NOT NULL) AS with_coordinates,

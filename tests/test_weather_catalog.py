@@ -48,7 +48,7 @@ def test_outlet_defaults(spark):
     out = {r["org_id"]: r for r in weather.outlet_reference(df, F.lit("abcdefghijkl")).collect()}
     assert out["o1"]["org_name"] == "A" and out["o1"]["country"] == "RU" and out["o1"]["lat"] is None
     assert out["o1"]["lon"] == 37.5 and out["o1"]["currency"] == "RUB" and out["o1"]["org_code"] == ""
-    assert out["o2"]["org_code"] == "7" and out["o2"]["lon"] is None and out["o2"]["iiko_version"] == "8"
+    assert out["o2"]["org_code"] == "7" and out["o2"]["lon"] is None and out["o2"]["pos_version"] == "8"
     assert out["o2"]["api_key_hint"] == "abcdefgh..."
 
 
@@ -63,14 +63,14 @@ def test_replace_weather_keeps_outlets_without_data(spark):
 
 def test_config_dir(spark):
     root = work_dir(spark, "configs")
-    good = {"iiko": {"api_url": "h", "login": "u", "password": "p"}, "clickhouse": {"host": "c"},
-            "default_report_config": {"reportType": "SALES"}}
+    good = {catalog.CONFIG_SOURCE_KEY: {"api_url": "h", "login": "u", "password": "p"},
+            catalog.CONFIG_TARGET_KEY: {"host": "c"}, catalog.CONFIG_TEMPLATE_KEY: {"reportType": "SALES"}}
     files = {
-        "fobo_pl1.json": good,
-        "m_grand/myata_pl2.json": good,
+        "shop_pl1.json": good,
+        "north/cafe_pl2.json": good,
         "plain.json": good,
         "bad.json": "{not json",
-        "partial.json": {"iiko": {}},
+        "partial.json": {catalog.CONFIG_SOURCE_KEY: {}},
         "templates/x_pl3.json": good,
         "fields_pl4.json": good,
     }
@@ -80,9 +80,9 @@ def test_config_dir(spark):
         with open(p, "w") as f:
             f.write(body if isinstance(body, str) else json.dumps(body))
     out = {r["relative_path"]: r for r in catalog.read_config_dir(spark, root).collect()}
-    assert sorted(out) == ["fobo_pl1.json", "m_grand/myata_pl2.json", "plain.json"]
-    assert out["fobo_pl1.json"]["template_name"] == "pl1" and out["fobo_pl1.json"]["dataset_name"] == "fobo.pl1"
-    assert out["m_grand/myata_pl2.json"]["dataset_name"] == "m_grand.myata.pl2"
+    assert sorted(out) == ["north/cafe_pl2.json", "plain.json", "shop_pl1.json"]
+    assert out["shop_pl1.json"]["template_name"] == "pl1" and out["shop_pl1.json"]["dataset_name"] == "shop.pl1"
+    assert out["north/cafe_pl2.json"]["dataset_name"] == "north.cafe.pl2"
     assert out["plain.json"]["template_name"] == "plain"
 
 
