@@ -19,3 +19,28 @@ def latest_by_key(df: DataFrame, key: list[str], version: list[str]) -> DataFram
     packed = df.groupBy(*key).agg(
         F.max_by(F.struct(*rest), F.struct(*version)).alias("_latest"))
     return packed.select(*key, *[F.col(f"_latest.{c}").alias(c) for c in rest])
+
+
+def write_latest(df: DataFrame, path: str, key: list[str], version: list[str]) -> DataFrame:
+    """SNK-5: keyed table that keeps the latest version per key.
+
+    Stored rows and the new rows are merged with ``latest_by_key``; the
+    result is staged under the shared checkpoint folder and then written
+    over the table, so a failed run leaves the old table readable and a
+    re-run gives the same table. Returns the table as read back.
+    """
+    from salesmart.operators.mart import _delete_path
+    from salesmart.session import work_dir
+
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    exists = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    merged = df
+    if exists:
+        merged = spark.read.schema(df.schema).parquet(path).unionByName(df)
+    stage = work_dir(spark, "latest")
+    latest_by_key(merged, key, version).write.parquet(stage)
+    spark.read.schema(df.schema).parquet(stage).write.mode("overwrite").parquet(path)
+    _delete_path(spark, stage)
+    return spark.read.schema(df.schema).parquet(path)
