@@ -169,3 +169,19 @@ def test_against_brute_force(spark, seed):
     expected = _brute(rates, facts, date_from, date_to, chunk_days, 10)
     got = _convert(spark, rates, facts, date_from, date_to, chunk_days=chunk_days)
     assert got == expected
+
+
+def test_connection_currency_wins(spark):
+    rates = [(D(2024, 2, 29), 1.0, 14.90, 0.226, None)]
+    r = spark.createDataFrame(rates, RATE_SCHEMA)
+    f = spark.createDataFrame([(1, D(2024, 2, 29), "AMD", 10.0, "GEL"), (2, D(2024, 2, 29), "AMD", 10.0, None),
+                               (3, D(2024, 2, 29), "AMD", 10.0, "")],
+                              "id int, d date, Currencies_Currency string, amount double, conn string")
+    out = fx.convert(spark, f, r, "d", ["amount"], D(2024, 2, 29), D(2024, 2, 29), connection_currency="conn")
+    got = {row["id"]: row["amount_RUB"] for row in out.collect()}
+    assert got == {1: 149.0, 2: 2.26, 3: 2.26}
+
+
+def test_chunk_days_must_be_positive(spark):
+    with pytest.raises(ValueError):
+        fx.window_chunks(spark, D(2024, 1, 1), D(2024, 1, 5), 0)

@@ -129,3 +129,18 @@ def test_landed_readers(spark):
     assert [r["DishSumInt"] for r in rows] == ["1 234,5", "7"]
     orgs = weather.outlet_reference(landed.read_outlet_responses(spark, os.path.join(root, "orgs"))).collect()
     assert orgs[0]["org_name"] == "A" and orgs[0]["lon"] is None and orgs[0]["lat"] == 55.1
+
+
+def test_task_configs_drop_incomplete_and_inactive(spark):
+    tasks = spark.createDataFrame(
+        [("t1", "a", 1, 1, 1, True, 3, 0), ("t2", "b", 1, 9, 1, True, 3, 0), ("t3", "c", 1, 1, 1, False, 3, 0)],
+        "id string, name string, source_id int, target_id int, template_id int, is_active boolean, "
+        "days_offset_start int, days_offset_end int")
+    sources = spark.createDataFrame([(1, "src1", "RUB")], "id int, api_url string, currency string")
+    targets = spark.createDataFrame([(1,)], "id int")
+    templates = spark.createDataFrame([(1, "pl1")], "id int, name string")
+    cfg = windows.task_configs(tasks, sources, targets, templates)
+    rows = cfg.collect()
+    assert [r["id"] for r in rows] == ["t1"] and rows[0]["source_url"] == "http://src1"
+    w = windows.task_window(cfg, dt.date(2024, 1, 10)).first()
+    assert (w["date_from"], w["date_to"]) == (dt.date(2024, 1, 7), dt.date(2024, 1, 10))
