@@ -18,8 +18,6 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import pyspark  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
 
 from salesmart.operators import mart, template  # noqa: E402
 from salesmart.plans import params as P  # noqa: E402
