@@ -2,7 +2,7 @@
 
 Runs the headline queries on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1)
 with ``local[$BENCH_CPUS]``, forces each result through the ``noop`` sink,
-and prints one JSON line with the median of three timed runs per query
+and prints one JSON line with the median of five timed runs per query
 (after one warm-up run). ``replace_range`` is timed on an existing mart:
 the mart is built once, the idempotent replacement is what is measured.
 """
@@ -35,7 +35,7 @@ def _force(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def _timed(fn, runs: int = 3) -> float:
+def _timed(fn, runs: int = 5) -> float:
     fn()  # warm-up
     times = []
     for _ in range(runs):
@@ -48,7 +48,7 @@ def _timed(fn, runs: int = 3) -> float:
 def main() -> None:
     data_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 4))
-    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * cpus))
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
     spark = build_session(f"local[{cpus}]", partitions, app_name="salesmart-bench")
     spark.sparkContext.setLogLevel("ERROR")
     reg = Q.registry()
