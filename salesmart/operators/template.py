@@ -63,7 +63,8 @@ class ReportTemplate:
     report_type: str
     group_by: tuple[str, ...]
     measures: tuple[str, ...]
-    # measure (source name) -> sum | avg | min | max | count; default by name rule
+    # measure (source name) -> sum | avg | min | max | count, or
+    # ("ratio", numerator field, denominator field); default by name rule
     measure_kinds: dict = field(default_factory=dict)
 
     @staticmethod
@@ -152,10 +153,14 @@ def date_range_filter(date_col: str | Column, date_from: dt.date, date_to: dt.da
     return (c >= F.lit(date_from)) & (c < F.lit(date_to + dt.timedelta(days=1)))
 
 
-def _measure_expr(kind: str, name: str) -> Column:
+def _measure_expr(kind, name: str) -> Column:
     # Money is summed as exact decimals: the result does not depend on the
     # order in which partitions are combined, so retries and re-partitioning
     # give identical figures.
+    if isinstance(kind, tuple) and kind[0] == "ratio":
+        num = F.sum(F.col(normalise_name(kind[1])).try_cast("decimal(18,4)")).cast("double")
+        den = F.sum(F.col(normalise_name(kind[2])).try_cast("decimal(18,4)")).cast("double")
+        return F.when(den != 0, num / den)
     exact = F.col(name).try_cast("decimal(18,4)")
     if kind == "sum":
         return F.sum(exact).cast("double")
