@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.functions.geo import haversine_km, haversine_km_py, km_per_degree_lat
+from salesmart.functions.geo import haversine_km_py, haversine_sql, km_per_degree_lat
 from salesmart.session import ensure_checkpoint_dir
 
 RADIUS_KM = 5.0
@@ -70,21 +70,23 @@ def stations_within(points: DataFrame, stations: DataFrame, radius_km: float = R
     Each point meets only the stations of its neighbourhood; no pair list
     is ever formed. (Longitudes are not wrapped at the antimeridian.)
     """
-    p = points.select(p_id, "lat", "lon")
-    s = stations.select(F.col(s_id), F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"))
+    p = points.selectExpr(p_id, "lat", "lon")
+    s = stations.selectExpr(s_id, "lat AS s_lat", "lon AS s_lon")
     # one scalar for the grid: the highest latitude on either side
-    top = p.select(F.abs("lat").alias("a")).unionByName(s.select(F.abs("s_lat").alias("a"))) \
-        .agg(F.max("a")).first()[0]
-    dlat, dlon = grid_steps(F.lit(float(top or 0.0)), radius_km * CELL_MARGIN)
-    prow, pcol = cell_of(F.col("lat"), F.col("lon"), dlat, dlon)
-    p = p.select("*", prow.alias("_row"), pcol.alias("_col"))
-    srow, scol = cell_of(F.col("s_lat"), F.col("s_lon"), dlat, dlon)
-    s = s.select("*", srow.alias("_srow"), scol.alias("_scol"), F.inline(_neighbours())).select(
-        s_id, "s_lat", "s_lon", (F.col("_srow") + F.col("dr")).alias("_row"), (F.col("_scol") + F.col("dc")).alias("_col"))
-    j = p.join(s, ["_row", "_col"])
-    d = haversine_km("lat", "lon", "s_lat", "s_lon")
+    top = p.selectExpr("abs(lat) AS a").unionByName(s.selectExpr("abs(s_lat) AS a")).agg(F.expr("max(a)")).first()[0]
+    dlat, dlon = _grid_steps_py(float(top or 0.0), radius_km * CELL_MARGIN)
+    cell = lambda la, lo: (f"CAST(floor({la} / {dlat!r}D) AS BIGINT)",
+                           f"CAST(floor(({lo} + 180.0D) / {dlon!r}D) AS BIGINT)")
+    prow, pcol = cell("lat", "lon")
+    p = p.selectExpr("*", f"{prow} AS _row", f"{pcol} AS _col")
+    srow, scol = cell("s_lat", "s_lon")
+    offsets = ", ".join(f"named_struct('dr', {a}, 'dc', {b})" for a in (-1, 0, 1) for b in (-1, 0, 1))
+    s = s.selectExpr("*", f"{srow} AS _srow", f"{scol} AS _scol", f"inline(array({offsets}))") \
+        .selectExpr(s_id, "s_lat", "s_lon", "_srow + dr AS _row", "_scol + dc AS _col")
+    d = haversine_sql("lat", "lon", "s_lat", "s_lon")
     # a one-column polar grid lists a station under its own cell three times
-    return j.where(d <= F.lit(radius_km)).select(p_id, s_id, d.alias("distance_km")).distinct()
+    return p.join(s, ["_row", "_col"]).selectExpr(p_id, s_id, f"{d} AS distance_km") \
+        .where(f"distance_km <= {float(radius_km)!r}D").distinct()
 
 
 def islands(points: DataFrame, group_col: str, cell_km: float, max_iter: int = 200) -> DataFrame:

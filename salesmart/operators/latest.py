@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 def latest_by_key(df: DataFrame, key: list[str], version: list[str]) -> DataFrame:
     """One row per ``key``: the one with the greatest ``version`` tuple."""
     rest = [c for c in df.columns if c not in key]
-    packed = df.groupBy(*key).agg(
-        F.max_by(F.struct(*rest), F.struct(*version)).alias("_latest"))
-    return packed.select(*key, *[F.col(f"_latest.{c}").alias(c) for c in rest])
+    q = lambda c: "`" + c.replace("`", "``") + "`"
+    packed = df.groupBy(*key).agg(F.expr(
+        f"max_by(struct({', '.join(q(c) for c in rest)}), struct({', '.join(q(c) for c in version)}))"
+    ).alias("_latest"))
+    return packed.selectExpr(*[q(c) for c in key], *[f"_latest.{q(c)} AS {q(c)}" for c in rest])
 
 
 def write_latest(df: DataFrame, path: str, key: list[str], version: list[str]) -> DataFrame:

@@ -5,11 +5,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.functions.names import key_hint
-
 # Daily variables of the weather response -> weather table columns.
 WEATHER_FIELDS = {
     "temperature_2m_mean": "temp_avg",
@@ -30,38 +28,41 @@ def explode_organizations(response: DataFrame, array_col: str = "organizations")
         .where(F.col("_org").isNotNull()).select("*", "_org.*").drop("_org", array_col)
 
 
-def _coord(c: Column) -> Column:
+def _coord(name: str) -> str:
     # a missing or zero coordinate means "unknown"
-    return F.when(c.isNull() | (c == 0), F.lit(None).cast("double")).otherwise(c.cast("double"))
+    return f"CASE WHEN {name} IS NULL OR {name} = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST({name} AS DOUBLE) END"
+
 
+def outlet_reference(orgs: DataFrame, api_key: str | None = None) -> DataFrame:
+    """OP-9 + OP-13: outlet records with the service's defaults applied.
 
-def outlet_reference(orgs: DataFrame, api_key: Column | None = None) -> DataFrame:
-    """OP-9 + OP-13: outlet records with the service's defaults applied."""
+    ``api_key`` names the column holding the connection's key; its first
+    eight characters are kept as a hint.
+    """
     cols = [
-        F.col("id").alias("org_id"),
-        F.trim(F.coalesce(F.col("name"), F.lit(""))).alias("org_name"),
-        F.coalesce(F.col("code").cast("string"), F.lit("")).alias("org_code"),
-        F.trim(F.coalesce(F.col("restaurantAddress"), F.lit(""))).alias("address"),
-        F.trim(F.coalesce(F.col("country"), F.lit(""))).alias("country"),
-        _coord(F.col("latitude")).alias("lat"),
-        _coord(F.col("longitude")).alias("lon"),
-        F.coalesce(F.col("inn").cast("string"), F.lit("")).alias("inn"),
-        F.coalesce(F.nullif(F.col("currencyIsoName"), F.lit("")), F.lit(DEFAULT_OUTLET_CURRENCY)).alias("currency"),
-        F.coalesce(F.col("deliveryServiceType"), F.lit("")).alias("delivery_type"),
-        F.coalesce(F.col("version").cast("string"), F.lit("")).alias("pos_version"),
+        "id AS org_id",
+        "trim(coalesce(name, '')) AS org_name",
+        "coalesce(CAST(code AS STRING), '') AS org_code",
+        "trim(coalesce(restaurantAddress, '')) AS address",
+        "trim(coalesce(country, '')) AS country",
+        f"{_coord('latitude')} AS lat",
+        f"{_coord('longitude')} AS lon",
+        "coalesce(CAST(inn AS STRING), '') AS inn",
+        f"coalesce(nullif(currencyIsoName, ''), '{DEFAULT_OUTLET_CURRENCY}') AS currency",
+        "coalesce(deliveryServiceType, '') AS delivery_type",
+        "coalesce(CAST(version AS STRING), '') AS pos_version",
     ]
     if api_key is not None:
-        cols.append(key_hint(api_key).alias("api_key_hint"))
-    return orgs.select(*cols)
+        cols.append(f"concat(substring(`{api_key}`, 1, 8), '...') AS api_key_hint")
+    return orgs.selectExpr(*cols)
 
 
 def outlet_summary(ref: DataFrame, group_col: str) -> DataFrame:
     """AGG-9: outlets per group, those with both coordinates, distinct points."""
-    has = F.col("lat").isNotNull() & F.col("lon").isNotNull()
     return ref.groupBy(group_col).agg(
-        F.count(F.lit(1)).alias("outlets"),
-        F.count_if(has).alias("with_coordinates"),
-        F.countDistinct("lat", "lon").alias("distinct_points"))
+        F.expr("count(1)").alias("outlets"),
+        F.expr("count_if(lat IS NOT NULL AND lon IS NOT NULL)").alias("with_coordinates"),
+        F.expr("count(DISTINCT lat, lon)").alias("distinct_points"))
 
 
 def explode_weather(responses: DataFrame, keys: list[str], daily_col: str = "daily") -> DataFrame:
@@ -72,20 +73,15 @@ def explode_weather(responses: DataFrame, keys: list[str], daily_col: str = "dai
     are cut to ``time``. Arrays are positional, so rows come from a
     ``posexplode`` of ``time`` and ``element_at`` on the others.
     """
-    time = F.col(f"{daily_col}.time")
-    n = F.size(time)
-    ok = F.lit(True)
-    for var in WEATHER_FIELDS:
-        arr = F.col(f"{daily_col}.{var}")
-        ok = ok & F.when(arr.isNull(), n <= 1).otherwise(F.size(arr) >= n)
-    valid = responses.where(ok)
-    exploded = valid.select(*keys, F.col(daily_col), F.posexplode(time).alias("_i", "_day"))
-    cols = [F.to_date("_day").alias("date")]
-    for var, name in WEATHER_FIELDS.items():
-        arr = F.col(f"{daily_col}.{var}")
-        cols.append(F.when(arr.isNull(), F.lit(None).cast("double"))
-                    .otherwise(F.element_at(arr, F.col("_i") + 1)).cast("double").alias(name))
-    return exploded.select(*keys, *cols)
+    d = daily_col
+    ok = " AND ".join(
+        f"(CASE WHEN {d}.{v} IS NULL THEN size({d}.time) <= 1 ELSE size({d}.{v}) >= size({d}.time) END)"
+        for v in WEATHER_FIELDS)
+    exploded = responses.where(ok).selectExpr(*keys, d, f"posexplode({d}.time) AS (_i, _day)")
+    cols = ["to_date(_day) AS date"] + [
+        f"CAST(CASE WHEN {d}.{v} IS NULL THEN NULL ELSE element_at({d}.{v}, _i + 1) END AS DOUBLE) AS {name}"
+        for v, name in WEATHER_FIELDS.items()]
+    return exploded.selectExpr(*keys, *cols)
 
 
 def weather_for_outlets(weather: DataFrame, outlet_clusters: DataFrame, key: list[str]) -> DataFrame:

@@ -11,13 +11,14 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.functions.names import with_scheme_col
+# source address with the scheme defaulted to http:// (OP-3)
+WITH_SCHEME_SQL = "CASE WHEN {0} RLIKE '^https?://' THEN {0} ELSE concat('http://', {0}) END"
 
 
 def task_window(tasks: DataFrame, as_of: dt.date) -> DataFrame:
     """WIN-1: ``[as_of - days_offset_start, as_of - days_offset_end]`` per task."""
-    return tasks.withColumn("date_from", F.date_sub(F.lit(as_of), F.col("days_offset_start"))) \
-        .withColumn("date_to", F.date_sub(F.lit(as_of), F.col("days_offset_end")))
+    return tasks.selectExpr("*", f"date_sub(DATE'{as_of}', days_offset_start) AS date_from",
+                            f"date_sub(DATE'{as_of}', days_offset_end) AS date_to")
 
 
 def chunks_of(date_from: Column, date_to: Column, chunk_days: int) -> Column:
@@ -61,11 +62,11 @@ def weather_window(as_of: dt.date, days_back: int = 30, days_ahead: int = 7) ->
 def task_configs(tasks: DataFrame, sources: DataFrame, targets: DataFrame, templates: DataFrame,
                  active_only: bool = True) -> DataFrame:
     """JOIN-6: task -> source, target, template by id; any miss -> no config."""
-    t = tasks.where(F.col("is_active")) if active_only else tasks
-    s = sources.select(F.col("id").alias("_sid"), with_scheme_col(F.col("api_url")).alias("source_url"),
-                       F.col("currency").alias("source_currency"))
-    g = targets.select(F.col("id").alias("_gid"))
-    p = templates.select(F.col("id").alias("_pid"), F.col("name").alias("template_name"))
+    t = tasks.where("is_active") if active_only else tasks
+    s = sources.selectExpr("id AS _sid", f"{WITH_SCHEME_SQL.format('api_url')} AS source_url",
+                           "currency AS source_currency")
+    g = targets.selectExpr("id AS _gid")
+    p = templates.selectExpr("id AS _pid", "name AS template_name")
     return (t.join(s, t.source_id == s._sid).join(g, t.target_id == g._gid).join(p, t.template_id == p._pid)
             .drop("_sid", "_gid", "_pid"))
 
@@ -79,8 +80,7 @@ def rows_in_task_windows(configs: DataFrame, rows: DataFrame, as_of: dt.date, da
     that spreads one busy source over all its days, and AQE turns the join
     into a broadcast when the expanded side is small at runtime.
     """
-    w = task_window(configs, as_of).where(F.col("date_from") <= F.col("date_to"))
-    keys = w.select(F.col("id").alias("task_id"), F.col("source_url"),
-                    F.explode(F.sequence(F.col("date_from"), F.col("date_to"))).alias("_day"))
+    w = task_window(configs, as_of).where("date_from <= date_to")
+    keys = w.selectExpr("id AS task_id", "source_url", "explode(sequence(date_from, date_to)) AS _day")
     return rows.join(keys, (rows[url_col] == keys.source_url) & (rows[date_field] == keys._day)) \
         .drop("source_url", "_day")

@@ -251,7 +251,7 @@ def _outlet_ref(spark: SparkSession, data_dir: str) -> DataFrame:
     src = catalog.weather_sources(fixtures.sources(spark, data_dir)).select(
         F.col("id").alias("_sid"), "cloud_api_key")
     j = orgs.join(src, orgs.source_id == src._sid)
-    ref = weather.outlet_reference(j, F.col("cloud_api_key"))
+    ref = weather.outlet_reference(j, "cloud_api_key")
     extra = j.select(F.col("id").alias("org_id"), "source_id", "seq", "s_acctbal")
     return ref.join(extra, "org_id")
 

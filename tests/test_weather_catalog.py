@@ -45,7 +45,7 @@ def test_outlet_defaults(spark):
     df = spark.createDataFrame(rows, "id string, name string, code int, restaurantAddress string, country string, "
                                      "latitude double, longitude double, inn long, currencyIsoName string, "
                                      "deliveryServiceType string, version int")
-    out = {r["org_id"]: r for r in weather.outlet_reference(df, F.lit("abcdefghijkl")).collect()}
+    out = {r["org_id"]: r for r in weather.outlet_reference(df.withColumn("k", F.lit("abcdefghijkl")), "k").collect()}
     assert out["o1"]["org_name"] == "A" and out["o1"]["country"] == "RU" and out["o1"]["lat"] is None
     assert out["o1"]["lon"] == 37.5 and out["o1"]["currency"] == "RUB" and out["o1"]["org_code"] == ""
     assert out["o2"]["org_code"] == "7" and out["o2"]["lon"] is None and out["o2"]["pos_version"] == "8"
