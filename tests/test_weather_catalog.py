@@ -144,3 +144,11 @@ def test_task_configs_drop_incomplete_and_inactive(spark):
     assert [r["id"] for r in rows] == ["t1"] and rows[0]["source_url"] == "http://src1"
     w = windows.task_window(cfg, dt.date(2024, 1, 10)).first()
     assert (w["date_from"], w["date_to"]) == (dt.date(2024, 1, 7), dt.date(2024, 1, 10))
+
+
+def test_search_forms(spark):
+    df = spark.createDataFrame([("Cafe_North",), ("CafeXNorth",), ("cafe north",)], "name string")
+    lit = {r["name"] for r in df.where(catalog.contains_ci("name", "CAFE_")).collect()}
+    pat = {r["name"] for r in df.where(catalog.like_ci("name", "CAFE_")).collect()}
+    assert lit == {"Cafe_North"}
+    assert pat == {"Cafe_North", "CafeXNorth", "cafe north"}
