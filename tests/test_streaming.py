@@ -28,3 +28,22 @@ def test_stream_loads_landed_files(spark):
     assert loaded.count() == valid.count()
     # the converted copy exists for base-currency rows of chunks that see rates
     assert loaded.where(F.col("DishAmountInt_RUB").isNotNull()).count() > 0
+
+
+def test_json_lines_landing_with_folder_metadata(spark):
+    from salesmart.operators import normalize
+    from salesmart.sources import landed
+    raw = fixtures.sales_messy(spark, SMALL)
+    fields = [c for c in raw.columns if not c.startswith("_")]
+    root = work_dir(spark, "landing-lines")
+    (raw.withColumnRenamed("_source", "source").withColumnRenamed("_chunk_from", "chunk_from").drop("_chunk_to")
+        .write.partitionBy("source", "chunk_from").json(root))
+    df = spark.read.schema(T.StructType([T.StructField(f, T.StringType()) for f in fields]
+                                        + [T.StructField("source", T.StringType()),
+                                           T.StructField("chunk_from", T.StringType())])).json(root)
+    df = landed.with_landing_metadata(df)
+    schema = template.mart_schema(P.SALES_MART_TEMPLATE, convert_currency=False)
+    rows = normalize.landed_to_mart_rows(df, schema, F.col("_source"), keep=["_chunk_from"])
+    assert rows.count() == raw.count()
+    assert rows.where(F.col("url").startswith("http://src")).count() == raw.count()
+    assert rows.where(F.col("_chunk_from").isNull()).count() == 0
