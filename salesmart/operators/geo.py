@@ -142,6 +142,7 @@ CLUSTER_SCHEMA = T.StructType([
     T.StructField("lat", T.DoubleType()),
     T.StructField("lon", T.DoubleType()),
     T.StructField("cluster_no", T.LongType()),
+    T.StructField("first_seq", T.LongType()),
 ])
 
 
@@ -211,6 +212,7 @@ def greedy_clusters(pdf: pd.DataFrame, radius_km: float = RADIUS_KM) -> pd.DataF
         member[i] = best
     names = pdf["name"].tolist()
     ids = pdf["org_id"].tolist()
+    seqs = pdf["seq"].tolist()
     k = len(cnt)
     labels = [names[first[j]] for j in range(k)]
     c_lat = [round(s_lat[j] / cnt[j], 6) for j in range(k)]
@@ -220,6 +222,7 @@ def greedy_clusters(pdf: pd.DataFrame, radius_km: float = RADIUS_KM) -> pd.DataF
         "city_cluster": [labels[m] for m in member],
         "lat": [c_lat[m] for m in member], "lon": [c_lon[m] for m in member],
         "cluster_no": pd.Series(member, dtype="int64"),
+        "first_seq": pd.Series([seqs[first[m]] for m in member], dtype="int64"),
     })
 
 

@@ -84,6 +84,18 @@ def explode_weather(responses: DataFrame, keys: list[str], daily_col: str = "dai
     return exploded.selectExpr(*keys, *cols)
 
 
+def cluster_requests(clustered: DataFrame, group_col: str, label_col: str = "city_cluster") -> DataFrame:
+    """AGG-11: one weather request per (group, cluster label).
+
+    Clusters that share a label share the request of the cluster created
+    first (smallest visit order of its first member), placed at that
+    cluster's centroid; outlets keep their own cluster coordinates.
+    """
+    return clustered.groupBy(group_col, label_col).agg(
+        F.expr("min_by(struct(lat, lon), first_seq)").alias("_p")) \
+        .selectExpr(group_col, label_col, "_p.lat AS req_lat", "_p.lon AS req_lon")
+
+
 def weather_for_outlets(weather: DataFrame, outlet_clusters: DataFrame, key: list[str]) -> DataFrame:
     """JOIN-7 + AGG-11: each weather row of a cluster key, for every outlet of it.
 
