@@ -52,28 +52,44 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", partitions, app_name="salesmart-bench")
     spark.sparkContext.setLogLevel("ERROR")
     reg = Q.registry()
-    results = {}
+    results: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
+
+    def measure(key: str, fn) -> None:
+        try:
+            results[key] = round(_timed(fn), 3)
+        except Exception as exc:  # keep measuring the others; report what failed
+            results[key] = None
+            errors[key] = f"{type(exc).__name__}: {str(exc)[:200]}"
+
     for key in HEADLINE:
-        results[key] = round(_timed(lambda k=key: _force(reg[k](spark, data_dir))), 3)
+        measure(key, lambda k=key: _force(reg[k](spark, data_dir)))
 
     # range replacement on a prepared mart
-    rows = fixtures.sales_raw(spark, data_dir)
-    full = template.mart_schema(P.SALES_MART_TEMPLATE, convert_currency=False)
-    spec = Q._mart_spec(spark, full, "bench-mart")
-    mart.create_mart(spark, spec, rows)
-    batch = Q.replace_batch(rows)
-
-    def replace():
-        mart.replace_range(spark, spec, batch, P.REPLACE_FROM, P.REPLACE_TO)
-        _force(mart.read_mart(spark, spec, P.REPLACE_FROM, P.REPLACE_TO))
-
-    results["replace_range"] = round(_timed(replace), 3)
-    total = round(sum(results.values()), 3)
+    def prepare():
+        rows = fixtures.sales_raw(spark, data_dir)
+        full = template.mart_schema(P.SALES_MART_TEMPLATE, convert_currency=False)
+        spec = Q._mart_spec(spark, full, "bench-mart")
+        mart.create_mart(spark, spec, rows)
+        return spec, Q.replace_batch(rows)
+
+    try:
+        spec, batch = prepare()
+
+        def replace():
+            mart.replace_range(spark, spec, batch, P.REPLACE_FROM, P.REPLACE_TO)
+            _force(mart.read_mart(spark, spec, P.REPLACE_FROM, P.REPLACE_TO))
+
+        measure("replace_range", replace)
+    except Exception as exc:
+        results["replace_range"] = None
+        errors["replace_range"] = f"{type(exc).__name__}: {str(exc)[:200]}"
+    total = round(sum(v for v in results.values() if v is not None), 3)
     sf = os.path.basename(data_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "headline_queries_total_median_sec", "value": total, "unit": "sec",
         "queries": results, "sf": sf, "cpus": cpus, "shuffle_partitions": partitions,
-        "spark": pyspark.__version__,
+        "spark": pyspark.__version__, **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
