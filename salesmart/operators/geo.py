@@ -226,20 +226,28 @@ def greedy_clusters(pdf: pd.DataFrame, radius_km: float = RADIUS_KM) -> pd.DataF
     })
 
 
-def cluster_outlets(outlets: DataFrame, group_col: str = "source_id", radius_km: float = RADIUS_KM) -> DataFrame:
+def cluster_outlets(outlets: DataFrame, group_col: str = "source_id", radius_km: float = RADIUS_KM,
+                    split_above: int = 50_000) -> DataFrame:
     """AGG-10 + AGG-4: greedy clusters per source, split into exact islands.
 
     ``outlets`` needs ``org_id, name, lat, lon, seq`` (visit order) and the
     group column; outlets without both coordinates are left out (FLT-5).
-    Output: ``org_id, org_name, city_cluster, lat, lon`` (cluster centroid,
-    rounded to 6 places) plus the group and island columns.
+    Sources with more than ``split_above`` outlets are split into islands
+    (one scalar aggregate decides); smaller inputs are clustered per source
+    directly, since the split only serves parallelism and never changes the
+    result. Output: ``org_id, org_name, city_cluster, lat, lon`` (cluster
+    centroid, rounded to 6 places), the cluster's first visit order, and the
+    group and island columns.
     """
-    pts = outlets.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    # members chain by steps < 2 x radius; one and a half times that as margin
-    cell_km = 3.0 * radius_km
-    cells = tag_cells(pts, group_col, cell_km)
-    isl = islands(cells, group_col, cell_km)
-    tagged = cells.join(isl, [group_col, "_row", "_col"])
+    pts = outlets.where("lat IS NOT NULL AND lon IS NOT NULL")
+    largest = pts.groupBy(group_col).count().agg(F.expr("max(count)")).first()[0] or 0
+    if largest > split_above:
+        # members chain by steps < 2 x radius; one and a half times that as margin
+        cell_km = 3.0 * radius_km
+        cells = tag_cells(pts, group_col, cell_km)
+        tagged = cells.join(islands(cells, group_col, cell_km), [group_col, "_row", "_col"])
+    else:
+        tagged = pts.withColumn("island", F.lit(0).cast("long"))
     out_schema = T.StructType(list(CLUSTER_SCHEMA.fields) + [
         T.StructField(group_col, outlets.schema[group_col].dataType), T.StructField("island", T.LongType())])
 
