@@ -52,7 +52,8 @@ def _rates_with_usd(spark: SparkSession) -> DataFrame:
 
 
 def fx_register(spark: SparkSession, data_dir: str) -> DataFrame:
-    """EXT-1: register ``usd`` -> column ``USD`` and convert with it."""
+    """EXT-1: register code ``usd`` on rate column ``USD`` (code upper-cased,
+    column lower-cased) and convert with the extended mapping."""
     rows = fixtures.sales_raw(spark, data_dir)
     rows = rows.where(template.date_range_filter("OpenDate_Typed", P.LOAD_FROM, P.LOAD_TO))
     params = fx.FxParams().register_currency("usd", "USD")
