@@ -43,6 +43,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def apply_defaults(spark: SparkSession) -> None:
     for key, value in _DEFAULTS.items():
         spark.conf.set(key, value)
+    # Python workers import this package from where the driver does; a cluster
+    # without a shared installation ships it with --py-files instead
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
 def work_dir(spark: SparkSession, name: str | None = None) -> str:
