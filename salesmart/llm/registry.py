@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from salesmart.llm import bpe, exact_dedup, mixing, token_store
+from salesmart.llm import bpe, exact_dedup, minhash, mixing, token_store
 
 
 def registry():
     return {
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
         "op4_token_store": token_store.op4_token_store,
+        "op7_circulant_minhash": minhash.op7_circulant_minhash,
         "op8_source_mix": mixing.op8_source_mix,
         "op9_byte_bpe": bpe.op9_byte_bpe,
     }
