@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from salesmart.llm import bpe, exact_dedup, minhash, mixing, token_store
+from salesmart.llm import bpe, exact_dedup, minhash, mixing, token_store, toxicity
 
 
 def registry():
     return {
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+        "op3_toxicity": toxicity.op3_toxicity,
         "op4_token_store": token_store.op4_token_store,
         "op7_circulant_minhash": minhash.op7_circulant_minhash,
         "op8_source_mix": mixing.op8_source_mix,
