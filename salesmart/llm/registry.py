@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from salesmart.llm import bpe, exact_dedup, minhash, mixing, token_store, toxicity
+from salesmart.llm import bpe, exact_dedup, fertility, minhash, mixing, token_store, toxicity
 
 
 def registry():
@@ -10,6 +10,7 @@ def registry():
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
         "op3_toxicity": toxicity.op3_toxicity,
         "op4_token_store": token_store.op4_token_store,
+        "op6_token_fertility": fertility.op6_token_fertility,
         "op7_circulant_minhash": minhash.op7_circulant_minhash,
         "op8_source_mix": mixing.op8_source_mix,
         "op9_byte_bpe": bpe.op9_byte_bpe,
