@@ -50,11 +50,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str, **options) -> DataFrame:
-    """Write as Parquet below the shared folder and read it back."""
+    """Write as Parquet below the shared folder and read it back.
+
+    The shuffle files behind the write are let go with it: nothing reads them again.
+    """
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.options(**options).parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.options(compression="zstd", **options).parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

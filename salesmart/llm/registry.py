@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from salesmart.llm import bpe, exact_dedup, fertility, minhash, mixing, token_store, toxicity
+from salesmart.llm import bpe, exact_dedup, fertility, lm_score, minhash, mixing, token_store, toxicity
 
 
 def registry():
     return {
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+        "op2_deleted_interpolation": lm_score.op2_deleted_interpolation,
         "op3_toxicity": toxicity.op3_toxicity,
         "op4_token_store": token_store.op4_token_store,
         "op6_token_fertility": fertility.op6_token_fertility,
