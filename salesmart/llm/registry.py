@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from salesmart.llm import bpe, exact_dedup, fertility, lm_score, minhash, mixing, token_store, toxicity
+from salesmart.llm import bpe, exact_dedup, fertility, lm_score, minhash, mixing, pii, token_store, toxicity
 
 
 def registry():
@@ -11,6 +11,7 @@ def registry():
         "op2_deleted_interpolation": lm_score.op2_deleted_interpolation,
         "op3_toxicity": toxicity.op3_toxicity,
         "op4_token_store": token_store.op4_token_store,
+        "op5_contextual_pii": pii.op5_contextual_pii,
         "op6_token_fertility": fertility.op6_token_fertility,
         "op7_circulant_minhash": minhash.op7_circulant_minhash,
         "op8_source_mix": mixing.op8_source_mix,
