@@ -23,10 +23,11 @@ Defined cases
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.common import WS, cut, documents, hot_join
+from salesmart.llm.spans import located
 
 KINDS = ("email", "ip", "card", "phone")
 SUPPORT = 3
@@ -44,33 +45,6 @@ FORMATS = {
 _HINT = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 _REGION = "|".join([FORMATS["email"], FORMATS["phone"], r"(?<![0-9A-Za-z])\(?[0-9]{2,4}\)?[ .-][0-9]{2,4}[ .-][0-9]{2,5}(?![0-9A-Za-z])",
                     FORMATS["card"] + rf"(?![^{WS}.,;:!?])", rf"(?<![^{WS}])[^{WS}0-9@]*+[0-9@][^{WS}]*+"])
-_CHUNK = 256
-
-
-def _quoted(pattern: str) -> str:
-    return "r'" + pattern.replace("'", "\\x27") + "'"
-
-
-def _running(lengths: str) -> str:
-    """Running sums of an array, in chunks so that long arrays stay near linear."""
-    sums = f"transform(sequence(1, greatest(size({lengths}), 1), {_CHUNK}), c -> aggregate(slice({lengths}, c, {_CHUNK}), 0L, (a, x) -> a + x))"
-    before = f"aggregate({sums}, array(0L), (a, x) -> array_append(a, element_at(a, -1) + x))"
-    chunk = f"slice({lengths}, k * {_CHUNK} + 1, {_CHUNK})"
-    within = f"slice(aggregate({chunk}, array(b), (a, x) -> array_append(a, element_at(a, -1) + x)), 2, {_CHUNK})"
-    return f"flatten(transform({before}, (b, k) -> {within}))"
-
-
-def located(docs: DataFrame, pattern: str, name: str, wanted: Column) -> DataFrame:
-    """Adds ``name``: array of (s, e, v, before, after) of all matches; empty where ``wanted`` is false."""
-    p = _quoted(pattern)
-    some = docs.withColumn("_want", wanted).withColumn(
-        "_m", F.expr(f"CASE WHEN _want THEN regexp_extract_all(text, {p}, 0) ELSE array() END")).withColumn(
-        "_g", F.expr(f"CASE WHEN size(_m) > 0 THEN split(text, {p}, -1) ELSE array('') END"))
-    some = some.withColumn("_step", F.expr("transform(_m, (m, i) -> CAST(length(m) + length(_g[i]) AS BIGINT))"))
-    some = some.withColumn("_end", F.expr(f"CASE WHEN size(_m) = 0 THEN CAST(array() AS ARRAY<BIGINT>) ELSE {_running('_step')} END"))
-    spans = ("transform(_m, (m, i) -> named_struct('s', _end[i] - length(m), 'e', _end[i], 'v', m, "
-             "'before', right(_g[i], 60), 'after', left(_g[i + 1], 60)))")
-    return some.withColumn(name, F.expr(spans)).drop("_want", "_m", "_g", "_step", "_end")
 
 
 def _valid(kind: str) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from salesmart.llm import bpe, exact_dedup, fertility, lm_score, minhash, mixing, pii, token_store, toxicity
+from salesmart.llm import bpe, exact_dedup, fertility, lm_score, minhash, mixing, pii, secret_scan, token_store, toxicity
 
 
 def registry():
@@ -16,6 +16,7 @@ def registry():
         "op7_circulant_minhash": minhash.op7_circulant_minhash,
         "op8_source_mix": mixing.op8_source_mix,
         "op9_byte_bpe": bpe.op9_byte_bpe,
+        "op10_secret_forest": secret_scan.op10_secret_forest,
     }
 
 
