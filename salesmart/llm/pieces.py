@@ -20,36 +20,54 @@ STORE_CHUNKS = 1_500_000
 
 
 class ChunkStore:
-    """Encodes text batches; ``encode`` maps a list of strings to (ids, counts)."""
+    """Encodes text batches; ``encode`` maps a list of strings to (ids, counts).
+
+    Known chunks are a sorted array of 64-bit hashes beside their places in one
+    array of ids, so the store is a few flat arrays whatever the vocabulary.
+    """
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = STORE_CHUNKS):
         self.encode, self.limit = encode, limit
         self._reset()
 
     def _reset(self) -> None:
-        self.slots: dict[tuple[int, int], int] = {}
-        self.starts = np.zeros(1024, np.int64)
-        self.counts = np.zeros(1024, np.int64)
-        self.odd = np.zeros(1024, bool)
+        self.keys = np.zeros(0, np.uint64)
+        self.starts, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.odd = np.zeros(0, bool)
         self.ids = np.zeros(4096, np.int32)
         self.used = 0
 
-    def _learn(self, keys: list, texts: list[str]) -> None:
+    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(self.keys, keys)
+        if not len(self.keys):
+            return at, np.zeros(len(keys), bool)
+        return at, self.keys[np.minimum(at, len(self.keys) - 1)] == keys
+
+    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
         ids, counts = self.encode(texts)
-        first, n = len(self.slots), len(keys)
-        if first + n > len(self.starts):
-            for name in ("starts", "counts", "odd"):
-                setattr(self, name, np.concatenate([getattr(self, name), np.zeros(first + 2 * n, getattr(self, name).dtype)]))
         if self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(self.used + 2 * len(ids), np.int32)])
-        self.slots.update(zip(keys, range(first, first + n), strict=True))
-        self.counts[first:first + n] = counts
-        self.starts[first:first + n] = self.used + np.cumsum(counts) - counts
-        # white space before a space: the chunk's text cannot be encoded alone
-        self.odd[first:first + n] = [bool(t) and (t[-1].isspace() or t[-1] in "\x1c\x1d\x1e\x1f\x85") for t in texts]
+            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) // 2 + len(ids), np.int32)])
         self.ids[self.used:self.used + len(ids)] = ids
+        # white space before a space: the chunk's text cannot be encoded alone
+        odd = np.array([bool(t) and (t[-1].isspace() or t[-1] in "\x1c\x1d\x1e\x1f\x85") for t in texts], bool)
+        order = np.argsort(both := np.concatenate([self.keys, keys]), kind="stable")
+        self.keys = both[order]
+        self.starts = np.concatenate([self.starts, self.used + np.cumsum(counts) - counts])[order]
+        self.counts = np.concatenate([self.counts, counts.astype(np.int32)])[order]
+        self.odd = np.concatenate([self.odd, odd])[order]
         self.used += len(ids)
 
+    def lookup(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Place in the store of each span (ordered, apart), learning those that are new."""
+        unique, where, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        if len(self.keys) + len(unique) > self.limit:
+            self._reset()
+        _, known = self._find(unique)
+        if not known.all():
+            raw, new = data.tobytes(), where[~known]
+            self._learn(unique[~known], [raw[a:b].decode() for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
+        return self._find(unique)[0][inverse]
+
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""
         data, offsets = text_bytes(texts)
@@ -60,21 +78,8 @@ class ChunkStore:
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
         ends = np.append(starts[1:], len(data))
         doc = np.searchsorted(offsets, starts, "right") - 1
-        hashes = span_hashes(data, starts, ends)
-        unique, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.slots) + len(unique) > self.limit:
-            self._reset()
-        us, ue = starts[where], ends[where]
-        keys = list(zip(unique.tolist(), (ue - us).tolist(), strict=True))
-        slot = [self.slots.get(k, -1) for k in keys]
-        missing = [i for i, k in enumerate(slot) if k < 0]
-        if missing:
-            raw, first = data.tobytes(), len(self.slots)
-            self._learn([keys[i] for i in missing], [raw[us[i]:ue[i]].decode() for i in missing])
-            for k, i in enumerate(missing):
-                slot[i] = first + k
-        slot = np.array(slot, np.int64)[inverse]
-        counts = self.counts[slot]
+        slot = self.lookup(data, starts, ends)
+        counts = self.counts[slot].astype(np.int64)
         ids = self.ids[ragged(self.starts[slot], counts)]
         per_doc = np.bincount(doc, counts, len(texts)).astype(np.int64)
         ends_doc = np.append(doc[1:] != doc[:-1], True)

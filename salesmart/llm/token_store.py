@@ -59,7 +59,6 @@ class LibraryEncoder:
         self.word = re.compile(rf" ?[{_LETTER}]+").fullmatch
         self.tokenize = self.library.model.tokenize
         self.spell = str.maketrans(self._byte_letters())
-        self.pieces: dict[str, np.ndarray] = {}
 
     @staticmethod
     def _byte_letters() -> dict[int, str]:
