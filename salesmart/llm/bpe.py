@@ -243,8 +243,8 @@ def decode_documents(encoded: DataFrame, path: str | None = None, pattern: str |
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, data binary")
 
 
-def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """Encode and decode every text; doc_id, n_tokens, ids_sha256, decoded_sha256, same.
+def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = None, with_ids: bool = False) -> DataFrame:
+    """Encode and decode every text; doc_id, n_tokens, ids_sha256, decoded_sha256, same, and the ids if wanted.
 
     ``same`` tells whether the decoded bytes are the text's.
     """
@@ -265,12 +265,14 @@ def round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = N
                     rows.append((n, hashlib.sha256(one.astype("<u4").tobytes()).hexdigest(), hashlib.sha256(back).hexdigest(),
                                  back == data[offsets[i]:offsets[i + 1]].tobytes()))
                 cols = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-                yield pa.record_batch([part.column("doc_id"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()),
-                                       pa.array(cols[2], pa.string()), pa.array(cols[3], pa.bool_())],
-                                      names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "same"])
+                out = {"doc_id": part.column("doc_id"), "n_tokens": pa.array(cols[0], pa.int64()), "ids_sha256": pa.array(cols[1], pa.string()),
+                       "decoded_sha256": pa.array(cols[2], pa.string()), "same": pa.array(cols[3], pa.bool_())}
+                if with_ids:
+                    out["ids"] = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids))
+                yield pa.record_batch(list(out.values()), names=list(out))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, same boolean")
+        run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, same boolean" + ", ids array<int>" * with_ids)
 
 
 def op9_byte_bpe(spark, sf_dir):

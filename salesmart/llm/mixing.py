@@ -23,10 +23,10 @@ Defined cases
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import WORD, cut, documents, hot_join
+from salesmart.llm.common import WORD, cut, documents, hot_join, written
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -34,11 +34,18 @@ MAX_EPOCHS = 2.0
 SLOTS = 4096
 
 
+def word_count() -> Column:
+    return F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
+
+
+def draw_position(seed: int) -> Column:
+    """Seeded position of a document in its source's draw, in [0, 2^52)."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id"), F.coalesce("text", F.lit(""))), 12)
+
+
 def sized(docs: DataFrame, seed: int = 17) -> DataFrame:
-    """doc_id, source, size in words, seeded draw position in [0, 2^52)."""
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id"), F.coalesce("text", F.lit(""))), 12)
-    return docs.select("doc_id", "source", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long").alias("size"),
-                       draw.alias("draw"))
+    """doc_id, source, size in words, draw."""
+    return docs.select("doc_id", "source", word_count().alias("size"), draw_position(seed).alias("draw"))
 
 
 def ranked(sources: DataFrame) -> DataFrame:
@@ -118,22 +125,41 @@ def draw_limits(rows: DataFrame, per_source: DataFrame, slots: int = SLOTS) -> D
             .select("c_source", F.coalesce("first_out", "slot_end").alias("limit")))
 
 
+def drawn(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """``rows`` (size, draw, source and any more) with source_size, target and ``copies``."""
+    keyed = rows.withColumns({"_source": F.coalesce("source", F.lit("")), "_none": F.col("source").isNull()})
+    extra = F.coalesce((F.col("draw") < F.col("limit")) & (F.col("size") > 0), F.lit(False)).cast("long")
+    return hot_join(keyed, known, ["_source", "_none"]).withColumn("copies", F.col("epochs") + extra).drop("_source", "_none", "epochs", "limit")
+
+
+def plan(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS) -> DataFrame:
+    """Per source: _source, _none (the key), source_size, target, epochs, limit (of the draw).
+
+    Written as a table, so the planner sees its size and sends it to the rows only when it is small.
+    """
+    per_source = cut(targets(rows, weights, share, max_epochs))
+    limits = draw_limits(rows, per_source)
+    return written(per_source.join(limits, per_source.source.eqNullSafe(limits.c_source), "left").select(
+        F.coalesce("source", F.lit("")).alias("_source"), F.col("no_source").alias("_none"), "source_size",
+        F.col("target").cast("double").alias("target"), "epochs", "limit"), "mix-plan")
+
+
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS, seed: int = 17) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, copies, taken, draw.
 
     ``copies`` is how often the mix holds the document, ``taken`` the words that makes.
     """
     rows = cut(sized(docs, seed))
-    per_source = cut(targets(rows, weights, share, max_epochs))
-    limits = draw_limits(rows, per_source)
-    known = (per_source.join(limits, per_source.source.eqNullSafe(limits.c_source), "left")
-             .select(F.coalesce("source", F.lit("")).alias("source"), "no_source", "source_size", "target", "epochs", "limit"))
-    keyed = rows.select("doc_id", "size", "draw", F.coalesce("source", F.lit("")).alias("source"), F.col("source").isNull().alias("no_source"))
-    joined = hot_join(keyed, known, ["source", "no_source"])
-    extra = F.coalesce((F.col("draw") < F.col("limit")) & (F.col("size") > 0), F.lit(False)).cast("long")
-    copies = F.col("epochs") + extra
-    return joined.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"),
-                         copies.alias("copies"), (copies * F.col("size")).alias("taken"), "draw")
+    return drawn(rows, plan(rows, weights, share, max_epochs)).select(
+        "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "draw")
+
+
+def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS, seed: int = 17) -> DataFrame:
+    """The mix itself: each input row as often as the mix holds it, with all its columns."""
+    known = plan(cut(sized(docs, seed)), weights, share, max_epochs)
+    rows = docs.withColumns({"size": word_count(), "draw": draw_position(seed)})
+    repeated = drawn(rows, known).filter("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return repeated.select(*docs.columns)
 
 
 def op8_source_mix(spark, sf_dir):

@@ -340,39 +340,62 @@ def fit(docs: DataFrame, known: DataFrame) -> tuple[np.ndarray, float, dict[str,
     return logp, *learn_lexicon(training_rows(docs, known), logp)
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float, dict[str, float]]) -> DataFrame:
-    """One row per document: doc_id, score, restored (lexicon words found, as restored)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+class Scorer:
+    """Scores and restored lexicon words of whole texts under a fitted model."""
 
-    def run(batches):
-        logp, bias, lexicon = shared.value
+    def __init__(self, logp: np.ndarray, bias: float, lexicon: dict[str, float]):
         names = list(lexicon)
         number = {f: i for i, f in enumerate(names)}
-        weight = np.array([lexicon[f] for f in names] or [0.0])
+        self.weight, self.bias = np.array([lexicon[f] for f in names] or [0.0]), bias
 
         def value(words: list[str]) -> tuple[tuple[int, ...], str]:
             hits = {number[f]: w for w in words for f in features(w) if f in number}
             return tuple(hits), " ".join(sorted(set(hits.values())))
-        own = WordReader(logp, value)
+        self.words = WordReader(logp, value)
+
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, list[list[str]]]:
+        doc, word, values, extra_doc, extra = self.words.texts(texts)
+        hit = np.array([bool(v[0]) for v in values], bool)
+        at = np.flatnonzero(hit[word]) if len(word) else np.zeros(0, np.int64)
+        held: list[set[int]] = [set() for _ in range(len(texts))]
+        said: list[set[str]] = [set() for _ in range(len(texts))]
+        found = [*((d, values[w]) for d, w in zip(doc[at].tolist(), word[at].tolist(), strict=True)),
+                 *((d, v) for d, v in zip(extra_doc, extra, strict=True) if v[0])]
+        for d, (numbers, words) in found:
+            held[d].update(numbers)
+            said[d].add(words)
+        logit = self.bias + np.array([self.weight[list(h)].sum() if h else 0.0 for h in held])
+        return 1 / (1 + np.exp(-logit)), [sorted(s) for s in said]
+
+
+def score(docs: DataFrame, model: tuple[np.ndarray, float, dict[str, float]]) -> DataFrame:
+    """One row per document: doc_id, score, restored (lexicon words found, as restored)."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        own = Scorer(*shared.value)
         for batch in batches:
             for part in text_parts(batch):
-                doc, word, values, extra_doc, extra = own.texts(part.column("text"))
-                hit = np.array([bool(v[0]) for v in values], bool)
-                at = np.flatnonzero(hit[word]) if len(word) else np.zeros(0, np.int64)
-                held: list[set[int]] = [set() for _ in range(part.num_rows)]
-                said: list[set[str]] = [set() for _ in range(part.num_rows)]
-                found = [*((d, values[w]) for d, w in zip(doc[at].tolist(), word[at].tolist(), strict=True)),
-                         *((d, v) for d, v in zip(extra_doc, extra, strict=True) if v[0])]
-                for d, (numbers, words) in found:
-                    held[d].update(numbers)
-                    said[d].add(words)
-                logit = bias + np.array([weight[list(h)].sum() if h else 0.0 for h in held])
-                yield pa.record_batch([part.column("doc_id"), pa.array(1 / (1 + np.exp(-logit))),
-                                       pa.array([sorted(n) for n in said], pa.list_(pa.string()))], names=["doc_id", "score", "restored"])
+                scores, said = own.texts(part.column("text"))
+                yield pa.record_batch([part.column("doc_id"), pa.array(scores), pa.array(said, pa.list_(pa.string()))],
+                                      names=["doc_id", "score", "restored"])
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, restored array<string>")
 
 
+def accepted(docs: DataFrame, model: tuple[np.ndarray, float, dict[str, float]], threshold: float = THRESHOLD) -> DataFrame:
+    """The rows that score below the threshold, with all their columns; nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        own = Scorer(*shared.value)
+        for batch in batches:
+            for part in text_parts(batch):
+                scores, _ = own.texts(part.column("text"))
+                yield part.filter(pa.array(scores < threshold))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op3_toxicity(spark, sf_dir):
     """Toxicity scores of all documents, learned outside the held-out fold."""
     docs = documents(spark, sf_dir)
