@@ -14,8 +14,8 @@ Defined cases
 * null text counts as empty: no ids, empty bytes
 * text that is not valid after decoding cannot occur: ids decode to the input bytes
 * rows that repeat and null ids are ordinary rows; extra columns are ignored
-* no rows in, no rows out; a text of any length is split into pieces first, and
-  one piece of any length is a one-row matrix
+* no rows in, no rows out; a text of any length is split into pieces first, and a
+  piece of more than ``LONG`` bytes merges all occurrences of a pair in one round
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ from salesmart.llm.pieces import ChunkStore
 from salesmart.llm.words import mix, ragged, text_bytes, text_parts
 
 NO_PAIR = np.int32(2**31 - 1)
+LONG = 512  # bytes; longer pieces are rows of their own
 
 
 class Merges:
@@ -131,6 +132,30 @@ class Merges:
             done[row, :ids.shape[1]] = ids
         return done, counts
 
+    def merge_long(self, ids: np.ndarray) -> np.ndarray:
+        """The same merges for one long row, with all merges of one pair in a round.
+
+        The pairs of least rank merge from left to right; the round stops behind
+        a merge that makes a pair of that rank or less, which would come next.
+        """
+        while len(ids) > 1:
+            ranks = self.pair_ranks(ids[:-1], ids[1:])
+            best = ranks.min()
+            if best == NO_PAIR:
+                break
+            at = np.flatnonzero(ranks == best)
+            at = at[_within(at - np.arange(len(at))) % 2 == 0]  # of overlapping pairs every other one
+            before = np.where(at > 0, ids[at - 1], -1)
+            before[1:][at[1:] == at[:-1] + 2] = best
+            behind = np.where(at + 2 < len(ids), ids[np.minimum(at + 2, len(ids) - 1)], -1)
+            new = np.full(len(at), best, np.int32)
+            lower = np.minimum(self.pair_ranks(before.astype(np.int32), new), self.pair_ranks(new, behind.astype(np.int32))) <= best
+            if lower.any():
+                at = at[:int(np.argmax(lower)) + 1]
+            ids[at] = best
+            ids = np.delete(ids, at + 1)
+        return ids
+
     def encode_pieces(self, pieces: list[bytes], cells: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all pieces in order, count of each)."""
         counts = np.zeros(len(pieces), np.int64)
@@ -141,7 +166,11 @@ class Merges:
         known = whole >= 0  # a piece that is a token stays whole
         counts[known] = 1
         found: list[tuple[np.ndarray, np.ndarray]] = [(np.flatnonzero(known), whole[known].astype(np.int32))]
-        rest = np.flatnonzero(~known & (lengths > 0))
+        for i in np.flatnonzero(~known & (lengths > LONG)).tolist():
+            merged = self.merge_long(raw[starts[i]:starts[i] + lengths[i]].copy())
+            counts[i] = len(merged)
+            found.append((np.full(len(merged), i), merged))
+        rest = np.flatnonzero(~known & (lengths > 0) & (lengths <= LONG))
         rest = rest[np.argsort(lengths[rest], kind="stable")]
         bucket = np.ceil(np.log2(np.maximum(lengths[rest], 2))).astype(np.int64)
         for b in np.unique(bucket):

@@ -103,9 +103,10 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """The input rows that stay, one per group, with all their columns."""
     stay = exact_groups(docs).filter("kept").select(
         F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("n_points").alias("_n")).distinct()
-    rows = docs.withColumns({"_sha": F.sha2(normalised(), 256), "_n": F.length(F.coalesce("text", F.lit(""))).cast("long")})
-    hit = (rows["_sha"] == stay["_sha"]) & (rows["_n"] == stay["_n"]) & rows["doc_id"].eqNullSafe(stay["_id"])
-    return rows.join(stay, hit, "leftsemi").dropDuplicates(["_sha"]).drop("_sha", "_n")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("own_id"),
+                       F.sha2(normalised(), 256).alias("sha"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n"))
+    hit = (rows["sha"] == stay["_sha"]) & (rows["n"] == stay["_n"]) & rows["own_id"].eqNullSafe(stay["_id"])
+    return rows.join(stay, hit, "leftsemi").dropDuplicates(["sha"]).select("row.*")
 
 
 def op1_exact_dedup(spark, sf_dir):

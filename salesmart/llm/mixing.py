@@ -157,9 +157,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: floa
 def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS, seed: int = 17) -> DataFrame:
     """The mix itself: each input row as often as the mix holds it, with all its columns."""
     known = plan(cut(sized(docs, seed)), weights, share, max_epochs)
-    rows = docs.withColumns({"size": word_count(), "draw": draw_position(seed)})
-    repeated = drawn(rows, known).filter("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return repeated.select(*docs.columns)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "source", word_count().alias("size"),
+                       draw_position(seed).alias("draw"))
+    repeated = drawn(rows, known).filter("copies > 0")
+    return repeated.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 def op8_source_mix(spark, sf_dir):
