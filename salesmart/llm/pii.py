@@ -76,7 +76,7 @@ def base_spans(docs: DataFrame) -> DataFrame:
 
 
 def _words(side: str) -> str:
-    return f"filter(split(lower({side}), '[{WS}]+'), w -> w <> '')"
+    return f"filter(split(lower({side}), r'[{WS}]+'), w -> w <> '')"
 
 
 def occurrences(rows: DataFrame) -> DataFrame:
