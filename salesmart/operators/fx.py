@@ -6,15 +6,16 @@ table keyed by (currency, day) for the days of the load window:
 1. RUB is 1.0; a code without a rate column has no rate.
 2. A day that has a rate row uses that row's value, even when it is null.
 3. Otherwise the latest earlier day with a non-null value is used, but only
-   rate rows in ``[chunk_start - lookback, chunk_end]`` are visible, where
-   chunks are ``chunk_days`` long and anchored at the window start.
+   rate rows in ``[chunk_from - lookback, chunk_to]`` of the row's own request
+   chunk are visible. A row dated past its chunk uses the latest visible rate.
 4. A chunk that sees no rate row at all converts nothing, RUB included.
 
 The table is built with a window (``last(..., ignorenulls)``) over the
-calendar of the window, so its size is currencies x window days, known
-before the job runs. Facts then need a single equi-join on (currency, day):
-a broadcast hash join when that size is under the limit, a shuffled join
-(with AQE skew splitting) above it.
+calendar, so its size is currencies x days, known before the job runs. Which
+rates a chunk sees is decided in the fact projection from the row's own chunk,
+so chunks need no common grid. Facts need two equi-joins, on (currency, day)
+and on the chunk's last day; both sides are sent to the tasks only when their
+known size is below Spark's own broadcast limit.
 """
 
 from __future__ import annotations
@@ -33,7 +34,10 @@ BASE_CURRENCY = "RUB"
 DEFAULT_CURRENCY_COLUMNS = {"RUB": "rub", "GEL": "gel", "AMD": "amd", "KGS": "kgs"}
 
 RATE_TYPE = "decimal(12,6)"
-AMOUNT_TYPE = "decimal(18,4)"
+# wide enough for 18 digits before and 10 behind the point; the product is rounded once
+AMOUNT_TYPE = "decimal(28,10)"
+# upper bound of one row of the (currency, day) table, for the size check
+RATE_ROW_BYTES = 100
 
 
 @dataclass(frozen=True)
@@ -44,15 +48,12 @@ class FxParams:
     currency_field: str = "Currencies_Currency"
     # null every converted value of a chunk that sees no rates (RUB included)
     null_when_no_rates: bool = True
-    # rows of the (currency, day) table up to which it is broadcast
-    broadcast_max_rows: int = 5_000_000
 
     def register_currency(self, code: str, column: str) -> "FxParams":
         """EXT-1: a new mapping without mutating shared state."""
         cols = dict(self.currency_columns)
         cols[code.strip().upper()] = column.lower()
-        return FxParams(self.lookback_days, self.chunk_days, cols, self.currency_field,
-                        self.null_when_no_rates, self.broadcast_max_rows)
+        return FxParams(self.lookback_days, self.chunk_days, cols, self.currency_field, self.null_when_no_rates)
 
 
 def base_pairs(measures: list[str], mart_columns: list[str]) -> list[tuple[str, str]]:
@@ -118,13 +119,16 @@ def chunk_start_of(day: Column, date_from: dt.date, chunk_days: int) -> Column:
     return F.date_add(F.lit(date_from), offset.cast("int"))
 
 
+def _first_day(date_from: dt.date, params: FxParams) -> dt.date:
+    # a landed chunk may start up to one chunk before the window
+    return date_from - dt.timedelta(days=params.lookback_days + params.chunk_days)
+
+
 def _rate_ctes(rates_wide: DataFrame, date_from: dt.date, date_to: dt.date, params: FxParams) -> str:
-    lo = date_from - dt.timedelta(days=params.lookback_days)
+    lo = _first_day(date_from, params)
     codes, stack = _stack_sql(rates_wide, params.currency_columns)
-    codes = codes or [""]
-    code_list = ", ".join(f"'{c}'" for c in codes)
-    frame = "PARTITION BY currency ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-    k = params.chunk_days
+    code_list = ", ".join(f"'{c}'" for c in codes or [""])
+    frame = "ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     return f"""
     WITH visible AS (
       SELECT * FROM {{rates}} WHERE date >= DATE'{lo}' AND date <= DATE'{date_to}'),
@@ -136,96 +140,110 @@ def _rate_ctes(rates_wide: DataFrame, date_from: dt.date, date_to: dt.date, para
     grid AS (        -- one calendar per currency: currencies x (window + lookback) days
       SELECT currency, explode(sequence(DATE'{lo}', DATE'{date_to}')) AS day
       FROM (SELECT explode(array({code_list})) AS currency)),
-    dense AS (
-      SELECT g.currency, g.day, r.rate, d.row_day
+    rates AS (
+      SELECT g.currency, g.day, d.row_day IS NOT NULL AS has_row, r.rate AS exact_rate,
+             last(r.rate, true) OVER (PARTITION BY g.currency {frame}) AS last_rate,
+             last(CASE WHEN r.rate IS NOT NULL THEN g.day END, true) OVER (PARTITION BY g.currency {frame}) AS last_day
       FROM grid g
       LEFT JOIN rate_rows r ON g.currency = r.currency AND g.day = r.rate_date
       LEFT JOIN row_days d ON g.day = d.row_day),
-    w AS (
-      SELECT currency, day, row_day IS NOT NULL AS has_row, rate AS exact_rate,
-             last(rate, true) OVER ({frame}) AS last_rate,
-             last(CASE WHEN rate IS NOT NULL THEN day END, true) OVER ({frame}) AS last_day,
-             last(row_day, true) OVER ({frame}) AS last_row_day
-      FROM dense),
-    chunks AS (
-      SELECT chunk_start, least(date_add(chunk_start, {k - 1}), DATE'{date_to}') AS chunk_end
-      FROM (SELECT explode(sequence(DATE'{date_from}', DATE'{date_to}', INTERVAL {k} DAYS)) AS chunk_start)),
-    chunk_info AS (  -- a chunk sees rates iff the latest rate row up to its end is within its lookback
-      SELECT c.chunk_start,
-             coalesce(f.last_row_day >= date_sub(c.chunk_start, {params.lookback_days}), false) AS available
-      FROM chunks c
-      LEFT JOIN (SELECT day, last_row_day FROM w WHERE currency = '{codes[0]}') f ON c.chunk_end = f.day)
+    days AS (        -- latest day with a rate row; one task over the calendar's days, bounded by the window
+      SELECT day, last(row_day, true) OVER ({frame}) AS last_row_day
+      FROM (SELECT explode(sequence(DATE'{lo}', DATE'{date_to}')) AS day) c LEFT JOIN row_days d ON c.day = d.row_day)
     """
 
 
 def rate_table(spark: SparkSession, rates_wide: DataFrame, date_from: dt.date, date_to: dt.date,
                params: FxParams = FxParams()) -> tuple[DataFrame, DataFrame]:
-    """Effective rate per (currency, day) for every day of the load window.
+    """Rates by (currency, day) and the latest rate row by day, over the window and its lookback.
 
-    Only rate rows in ``[date_from - lookback, date_to]`` are read (the
-    filter reaches the scan). Returns ``(_fx_currency, _fx_day, _fx_rate)``
-    for the non-base currencies and ``(_fx_cs, available)`` per chunk.
+    Only rate rows of these days are read (the filter reaches the scan).
     """
     ctes = _rate_ctes(rates_wide, date_from, date_to, params)
-    gate = "ci.available AND " if params.null_when_no_rates else ""
-    table = spark.sql(ctes + f"""
-    SELECT w.currency AS _fx_currency, w.day AS _fx_day,
-           CASE WHEN {gate}w.has_row THEN w.exact_rate
-                WHEN {gate}w.last_day >= date_sub(ci.chunk_start, {params.lookback_days}) THEN w.last_rate
-           END AS _fx_rate
-    FROM w JOIN chunk_info ci ON ci.chunk_start = {chunk_start_sql('w.day', date_from, params.chunk_days)}
-    WHERE w.day >= DATE'{date_from}' AND w.currency <> ''""", rates=rates_wide)
-    chunk_info = spark.sql(ctes + "SELECT chunk_start AS _fx_cs, available AS _fx_available FROM chunk_info",
-                           rates=rates_wide)
-    return table, chunk_info
+    table = spark.sql(ctes + """
+    SELECT currency AS _fx_currency, day AS _fx_day, has_row AS _fx_has_row, exact_rate AS _fx_exact,
+           last_rate AS _fx_last, last_day AS _fx_last_day
+    FROM rates WHERE currency <> ''""", rates=rates_wide)
+    days = spark.sql(ctes + "SELECT day AS _fx_end, last_row_day AS _fx_row_day FROM days", rates=rates_wide)
+    return table, days
 
 
 def rate_table_rows(params: FxParams, date_from: dt.date, date_to: dt.date) -> int:
     """Exact row count of the (currency, day) table: the broadcast size check."""
-    days = (date_to - date_from).days + 1
+    days = (date_to - _first_day(date_from, params)).days + 1
     return max(days, 0) * len([c for c in params.currency_columns if c != BASE_CURRENCY])
 
 
-def convert(spark: SparkSession, facts: DataFrame, rates_wide: DataFrame, date_field: str,
-            measures: list[str], date_from: dt.date, date_to: dt.date,
-            params: FxParams = FxParams(), connection_currency: str | None = None,
-            chunk_col: str | None = None) -> DataFrame:
-    """OP-10: add ``<m>_RUB = round(m * rate, 4)`` for every measure.
+def _limit_bytes(spark: SparkSession) -> int:
+    jconf = spark._jsparkSession.sessionState().conf()
+    return int(jconf.autoBroadcastJoinThreshold())
+
+
+def rated(spark: SparkSession, facts: DataFrame, rates_wide: DataFrame, date_field: str, date_from: dt.date,
+          date_to: dt.date, params: FxParams = FxParams(), connection_currency: str | None = None,
+          chunk_col: str | None = None, chunk_end_col: str | None = None) -> DataFrame:
+    """The rows with ``_fx_rate``, the rate to the base currency (null: none is visible).
 
-    Null amount or null rate gives null. Arithmetic is decimal so that the
-    rounding is exact; the result column is double. ``connection_currency``
-    names a column with the source's fixed currency. ``chunk_col`` names the
-    request chunk of each row when it is known from the landing (rows whose
-    date did not parse still belong to a chunk); otherwise the chunk is
-    derived from the row date.
+    ``chunk_col`` and ``chunk_end_col`` name the request chunk of each row when
+    it is known from the landing (rows whose date did not parse still belong
+    to a chunk); otherwise the chunk is the one of the window's grid that
+    holds the row date, or the nearest one for a date outside the window.
     """
     if date_from > date_to:
         raise ValueError("empty load window")
-    table, chunk_info = rate_table(spark, rates_wide, date_from, date_to, params)
-    if rate_table_rows(params, date_from, date_to) <= params.broadcast_max_rows:
-        table = F.broadcast(table)
-    # one row per chunk of the window: bounded by the window length
-    chunk_info = F.broadcast(chunk_info)
+    table, days = rate_table(spark, rates_wide, date_from, date_to, params)
+    if rate_table_rows(params, date_from, date_to) * RATE_ROW_BYTES <= _limit_bytes(spark):
+        table, days = F.broadcast(table), F.broadcast(days)
     q = lambda c: "`" + c.replace("`", "``") + "`"
     parts = ([f"nullif({q(connection_currency)}, '')"] if connection_currency else []) + \
         [f"nullif({q(params.currency_field)}, '')", f"'{BASE_CURRENCY}'"]
-    cs = q(chunk_col) if chunk_col else chunk_start_sql(q(date_field), date_from, params.chunk_days)
-    keyed = facts.selectExpr("*", f"upper(trim(coalesce({', '.join(parts)}))) AS _fx_ccy", f"{cs} AS _fx_chunk")
-    joined = keyed.join(table, (keyed["_fx_ccy"] == table["_fx_currency"]) & (keyed[date_field] == table["_fx_day"]),
-                        "left").join(chunk_info, F.col("_fx_chunk") == F.col("_fx_cs"), "left")
-    base = f"CAST(1 AS {RATE_TYPE})"
-    if params.null_when_no_rates:
-        base = f"CASE WHEN _fx_available THEN {base} END"
-    rate = f"CASE WHEN _fx_ccy = '{BASE_CURRENCY}' THEN {base} ELSE _fx_rate END"
-    converted = [f"CAST(round(try_cast({q(m)} AS {AMOUNT_TYPE}) * {rate}, 4) AS DOUBLE) AS {q(m + BASE_SUFFIX)}"
-                 for m in measures]
-    return joined.selectExpr(*[q(c) for c in facts.columns], *converted)
+    day, last = q(date_field), f"DATE'{date_to}'"
+    if chunk_col:
+        start = q(chunk_col)
+    else:
+        inside = f"greatest(least({day}, {last}), DATE'{date_from}')"
+        start = f"CASE WHEN {day} IS NOT NULL THEN {chunk_start_sql(inside, date_from, params.chunk_days)} END"
+    keyed = facts.selectExpr("*", f"upper(trim(coalesce({', '.join(parts)}))) AS _fx_ccy", f"{start} AS _fx_from")
+    end = q(chunk_end_col) if chunk_end_col else f"date_add(_fx_from, {params.chunk_days - 1})"
+    keyed = keyed.selectExpr("*", f"CASE WHEN _fx_from IS NOT NULL THEN least({end}, {last}) END AS _fx_to")
+    keyed = keyed.selectExpr("*", f"CASE WHEN {day} IS NOT NULL THEN least({day}, _fx_to) END AS _fx_key")
+    joined = keyed.join(table, (keyed["_fx_ccy"] == table["_fx_currency"]) & (keyed["_fx_key"] == table["_fx_day"]), "left") \
+        .join(days, keyed["_fx_to"] == days["_fx_end"], "left")
+    seen = f"date_sub(_fx_from, {params.lookback_days})"
+    gate = f"_fx_row_day >= {seen}" if params.null_when_no_rates else "true"
+    rate = f"""CASE WHEN NOT coalesce({gate}, false) THEN CAST(NULL AS {RATE_TYPE})
+        WHEN _fx_ccy = '{BASE_CURRENCY}' THEN CAST(1 AS {RATE_TYPE})
+        WHEN _fx_has_row AND {day} <= _fx_to AND {day} >= {seen} THEN _fx_exact
+        WHEN _fx_last_day >= {seen} THEN _fx_last END AS _fx_rate"""
+    return joined.selectExpr(*[q(c) for c in facts.columns], rate)
+
+
+def convert(spark: SparkSession, facts: DataFrame, rates_wide: DataFrame, date_field: str,
+            measures: list[str], date_from: dt.date, date_to: dt.date,
+            params: FxParams = FxParams(), connection_currency: str | None = None,
+            chunk_col: str | None = None, chunk_end_col: str | None = None) -> DataFrame:
+    """OP-10: add ``<m>_RUB = round(m * rate, 4)`` for every measure.
+
+    Null amount or null rate gives null. Arithmetic is decimal at full
+    precision and rounds once; an amount that no decimal holds (beyond 18
+    digits, NaN) is multiplied as a double instead of being lost.
+    ``connection_currency`` names a column with the source's fixed currency.
+    """
+    q = lambda c: "`" + c.replace("`", "``") + "`"
+    rows = rated(spark, facts, rates_wide, date_field, date_from, date_to, params, connection_currency, chunk_col, chunk_end_col)
+    converted = [
+        f"coalesce(CAST(round(try_cast({q(m)} AS {AMOUNT_TYPE}) * _fx_rate, 4) AS DOUBLE), "
+        f"round(CAST({q(m)} AS DOUBLE) * CAST(_fx_rate AS DOUBLE), 4)) AS {q(m + BASE_SUFFIX)}" for m in measures]
+    return rows.selectExpr(*[q(c) for c in facts.columns], *converted)
 
 
 def exact_rates(facts: DataFrame, rates_wide: DataFrame, date_field: str,
                 params: FxParams = FxParams()) -> DataFrame:
-    """JOIN-2: the rate of the row's own day only (rule 2 alone), left join."""
-    rate_rows = long_rates(rates_wide, params.currency_columns)
+    """JOIN-2: the rate of the row's own day only (rule 2 alone), left join.
+
+    Duplicate rate days collapse to one row, the larger rate wins.
+    """
+    rate_rows = long_rates(rates_wide, params.currency_columns).groupBy("currency", "rate_date").agg(F.max("rate").alias("rate"))
     ccy = effective_currency(F.col(params.currency_field))
     keyed = facts.withColumn("_fx_ccy", ccy)
     joined = keyed.join(rate_rows, (keyed["_fx_ccy"] == rate_rows["currency"]) & (keyed[date_field] == rate_rows["rate_date"]), "left")

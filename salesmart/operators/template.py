@@ -66,6 +66,8 @@ class ReportTemplate:
     # measure (source name) -> sum | avg | min | max | count, or
     # ("ratio", numerator field, denominator field); default by name rule
     measure_kinds: dict = field(default_factory=dict)
+    # the field that ``.Percent`` measures are a share of
+    percent_of: str = "DishDiscountSumInt"
 
     @staticmethod
     def from_json(text: str | dict) -> "ReportTemplate":
@@ -94,13 +96,17 @@ class ReportTemplate:
         """[design] measure registry -> (kind, source column).
 
         An explicit kind wins; a ``.Avg`` suffix (or ``Average`` in the name)
-        averages the field named without the suffix; anything else is a sum.
+        averages the field named without the suffix; a ``.Percent`` suffix is
+        the sum of the field without it over the sum of ``percent_of``;
+        anything else is a sum.
         """
         if measure in self.measure_kinds:
             return self.measure_kinds[measure], normalise_name(measure)
         lowered = measure.lower()
         if lowered.endswith(".avg"):
             return "avg", normalise_name(measure[: -len(".avg")])
+        if lowered.endswith(".percent"):
+            return ("ratio", measure[: -len(".percent")], self.percent_of), normalise_name(measure)
         if "average" in lowered:
             return "avg", normalise_name(measure)
         return "sum", normalise_name(measure)
@@ -153,19 +159,27 @@ def date_range_filter(date_col: str | Column, date_from: dt.date, date_to: dt.da
     return (c >= F.lit(date_from)) & (c < F.lit(date_to + dt.timedelta(days=1)))
 
 
+# 18 digits before the point and 10 behind it
+EXACT_TYPE = "decimal(28,10)"
+
+
 def _measure_expr(kind, name: str) -> Column:
     # Money is summed as exact decimals: the result does not depend on the
     # order in which partitions are combined, so retries and re-partitioning
     # give identical figures.
+    # A group with a value that no decimal holds is summed as doubles, never
+    # without that value.
+    def total(column: str) -> Column:
+        exact = F.col(column).try_cast(EXACT_TYPE)
+        return F.when(F.count(exact) == F.count(F.col(column)), F.sum(exact).cast("double")).otherwise(F.sum(F.col(column).cast("double")))
+
     if isinstance(kind, tuple) and kind[0] == "ratio":
-        num = F.sum(F.col(normalise_name(kind[1])).try_cast("decimal(18,4)")).cast("double")
-        den = F.sum(F.col(normalise_name(kind[2])).try_cast("decimal(18,4)")).cast("double")
+        num, den = total(normalise_name(kind[1])), total(normalise_name(kind[2]))
         return F.when(den != 0, num / den)
-    exact = F.col(name).try_cast("decimal(18,4)")
     if kind == "sum":
-        return F.sum(exact).cast("double")
+        return total(name)
     if kind == "avg":
-        return F.sum(exact).cast("double") / F.count(exact).cast("double")
+        return total(name) / F.count(F.col(name)).cast("double")
     if kind == "min":
         return F.min(F.col(name)).cast("double")
     if kind == "max":

@@ -1,9 +1,9 @@
-"""Base-currency conversion: golden cases and a brute-force comparison."""
+"""Base-currency conversion: golden cases and a comparison with ASOF joins."""
 
 import datetime as dt
 import random
-from decimal import ROUND_HALF_UP, Decimal
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,41 +110,26 @@ def test_registered_currency(spark):
     assert fx.convert(spark, f, r, "d", ["amount"], D(2024, 2, 29), D(2024, 2, 29), ext).first()["amount_RUB"] == 180.0
 
 
-def _round4(x: Decimal) -> Decimal:
-    return x.quantize(Decimal("0.0001"), rounding=ROUND_HALF_UP)
-
-
-def _brute(rates, facts, date_from, date_to, chunk_days, lookback):
-    """Chunked loads with a per-chunk rate cache, as the source loader does."""
-    cols = {"RUB": 1, "GEL": 2, "AMD": 3, "KGS": 4}
-    out = {}
-    cs = date_from
-    while cs <= date_to:
-        ce = min(cs + dt.timedelta(days=chunk_days - 1), date_to)
-        lo = cs - dt.timedelta(days=lookback)
-        cache = {r[0]: r for r in rates if lo <= r[0] <= ce}
-        for fid, d, ccy, amount in facts:
-            if not (cs <= d <= ce):
-                continue
-            code = (ccy or "RUB").strip().upper()
-            if not cache or amount is None:
-                out[fid] = None
-                continue
-            if code == "RUB":
-                rate = 1.0
-            elif code not in cols:
-                rate = None
-            elif d in cache:
-                rate = cache[d][cols[code]]
-            else:
-                rate = None
-                for day in sorted(cache, reverse=True):
-                    if day <= d and cache[day][cols[code]] is not None:
-                        rate = cache[day][cols[code]]
-                        break
-            out[fid] = None if rate is None else float(_round4(Decimal(str(amount)) * Decimal(str(rate))))
-        cs = ce + dt.timedelta(days=1)
-    return out
+def _by_sql(rates, facts, lookback):
+    """The rules of the conversion as DuckDB ASOF joins; facts are (id, day, code, amount, chunk from, chunk to)."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE r (day DATE, rub DOUBLE, gel DOUBLE, amd DOUBLE, kgs DOUBLE)")
+    con.execute("CREATE TABLE f (id INT, day DATE, code VARCHAR, amount DOUBLE, cf DATE, ct DATE)")
+    if rates:
+        con.executemany("INSERT INTO r VALUES (?, ?, ?, ?, ?)", rates)
+    con.executemany("INSERT INTO f VALUES (?, ?, ?, ?, ?, ?)", facts)
+    return dict(con.execute(f"""
+        WITH long AS (SELECT day, 'GEL' AS ccy, gel AS rate FROM r UNION ALL SELECT day, 'AMD', amd FROM r UNION ALL SELECT day, 'KGS', kgs FROM r),
+        k AS (SELECT *, upper(trim(coalesce(nullif(code, ''), 'RUB'))) AS ccy, least(day, ct) AS upto FROM f),
+        a AS (SELECT k.*, any_row.day AS seen FROM k ASOF LEFT JOIN (SELECT DISTINCT day FROM r) any_row ON any_row.day <= k.ct),
+        e AS (SELECT a.*, own.day AS own_day, l.rate AS own_rate
+              FROM a LEFT JOIN r own ON own.day = a.day AND a.day <= a.ct LEFT JOIN long l ON l.day = own.day AND l.ccy = a.ccy),
+        w AS (SELECT e.*, known.day AS last_day, known.rate AS last_rate
+              FROM e ASOF LEFT JOIN (SELECT * FROM long WHERE rate IS NOT NULL) known ON known.ccy = e.ccy AND known.day <= e.upto)
+        SELECT id, CAST(CAST(round(CAST(CAST(amount AS VARCHAR) AS DECIMAL(24,6)) * CAST(CASE
+                   WHEN seen IS NULL OR seen < cf - {lookback} THEN NULL WHEN ccy = 'RUB' THEN 1.0
+                   WHEN own_day IS NOT NULL THEN own_rate WHEN last_day >= cf - {lookback} THEN last_rate END AS DECIMAL(12,6)), 4) AS VARCHAR) AS DOUBLE)
+        FROM w""").fetchall())
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
@@ -166,9 +151,42 @@ def test_against_brute_force(spark, seed):
         facts.append((i, day, rnd.choice(codes), amount))
     date_from, date_to = start + dt.timedelta(days=5), start + dt.timedelta(days=119)
     chunk_days = rnd.choice([1, 3, 7, 11])
-    expected = _brute(rates, facts, date_from, date_to, chunk_days, 10)
+    chunked = []
+    for i, day, code, amount in facts:
+        cf = date_from + dt.timedelta(days=(day - date_from).days // chunk_days * chunk_days)
+        chunked.append((i, day, code, amount, cf, min(cf + dt.timedelta(days=chunk_days - 1), date_to)))
     got = _convert(spark, rates, facts, date_from, date_to, chunk_days=chunk_days)
-    assert got == expected
+    assert got == _by_sql(rates, chunked, 10)
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_chunks_off_the_grid_and_rows_past_them(spark, seed):
+    """Each row brings its own chunk; some are dated past it, some past the window."""
+    rnd = random.Random(seed)
+    start, date_to = D(2023, 1, 1), D(2023, 3, 31)
+    rates = [(start + dt.timedelta(days=i), 1.0, None if i % 5 == 0 else 14 + i / 100, 0.2, None if i % 3 else 0.9)
+             for i in range(100) if rnd.random() < 0.6 and not 40 <= i <= 60]
+    rows = []
+    for i in range(400):
+        cf = start + dt.timedelta(days=rnd.randint(0, 80))
+        ct = min(cf + dt.timedelta(days=6), date_to)
+        day = cf + dt.timedelta(days=rnd.randint(0, 9))
+        rows.append((i, day, rnd.choice(["RUB", "GEL", "AMD", "KGS", "USD", ""]), rnd.choice([0.00004, 2e14, 12.34, None]), cf, ct))
+    facts = spark.createDataFrame(rows, "id int, d date, Currencies_Currency string, amount double, cf date, ct date")
+    out = fx.convert(spark, facts, spark.createDataFrame(rates, RATE_SCHEMA), "d", ["amount"], start, date_to, chunk_col="cf", chunk_end_col="ct")
+    assert {r["id"]: r["amount_RUB"] for r in out.collect()} == _by_sql(rates, rows, 10)
+
+
+def test_row_past_the_window_takes_the_latest_visible_rate(spark):
+    rates = [(D(2024, 2, d), 1.0, float(d), 0.2, 1.0) for d in range(8, 16)]
+    facts = [(1, D(2024, 2, 15), "RUB", 1.0), (2, D(2024, 2, 15), "GEL", 1.0)]
+    assert _convert(spark, rates, facts, D(2024, 2, 8), D(2024, 2, 14)) == {1: 1.0, 2: 14.0}
+
+
+def test_amounts_beyond_any_decimal_are_not_lost(spark):
+    rates = [(D(2024, 2, 29), 1.0, 14.90, 0.226, None)]
+    facts = [(1, D(2024, 2, 29), "RUB", 2e14), (2, D(2024, 2, 29), "GEL", 0.00004), (3, D(2024, 2, 29), "RUB", 1e25)]
+    assert _convert(spark, rates, facts, D(2024, 2, 29), D(2024, 2, 29)) == {1: 2e14, 2: 0.0006, 3: 1e25}
 
 
 def test_connection_currency_wins(spark):
