@@ -26,23 +26,27 @@ def latest_by_key(df: DataFrame, key: list[str], version: list[str]) -> DataFram
 def write_latest(df: DataFrame, path: str, key: list[str], version: list[str]) -> DataFrame:
     """SNK-5: keyed table that keeps the latest version per key.
 
-    Stored rows and the new rows are merged with ``latest_by_key``; the
-    result is staged under the shared checkpoint folder and then written
-    over the table, so a failed run leaves the old table readable and a
-    re-run gives the same table. Returns the table as read back.
+    The table is a folder of versions. Stored rows and the new rows are merged
+    with ``latest_by_key`` into the next version; a version counts once its
+    success marker is there, so a failed run leaves the one before in use and
+    a re-run gives the same rows. Returns the table as read back.
     """
-    from salesmart.operators.mart import _delete_path
-    from salesmart.session import work_dir
-
     spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    exists = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    current = current_version(spark, path)
     merged = df
-    if exists:
-        merged = spark.read.schema(df.schema).parquet(path).unionByName(df)
-    stage = work_dir(spark, "latest")
-    latest_by_key(merged, key, version).write.parquet(stage)
-    spark.read.schema(df.schema).parquet(stage).write.mode("overwrite").parquet(path)
-    _delete_path(spark, stage)
-    return spark.read.schema(df.schema).parquet(path)
+    if current:
+        merged = spark.read.schema(df.schema).parquet(f"{path}/v={current}").unionByName(df)
+    new = f"{path}/v={current + 1}"
+    latest_by_key(merged, key, version).write.mode("overwrite").parquet(new)
+    return spark.read.schema(df.schema).parquet(new)
+
+
+def current_version(spark, path: str) -> int:
+    """Number of the last complete version, 0 if there is none."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return 0
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    done = [s.getPath().getName() for s in fs.listStatus(hpath) if fs.exists(marker(s.getPath().toString() + "/_SUCCESS"))]
+    return max((int(n.removeprefix("v=")) for n in done if n.startswith("v=")), default=0)
