@@ -28,12 +28,10 @@ def split_dataset_name(dataset_name: str) -> tuple[str, str]:
     return db, table
 
 
-def dataset_db_col(c) -> Column:
-    return F.split(_col(c), r"\.", 2).getItem(0)
-
-
-def dataset_table_col(c) -> Column:
-    return F.split(_col(c), r"\.", 2).getItem(1)
+def dataset_parts(c) -> tuple[Column, Column]:
+    """FN-3 as columns: (db, table) of ``db.table``, split at the first dot."""
+    parts = F.split(_col(c), r"\.", 2)
+    return F.get(parts, F.lit(0)).alias("db"), F.get(parts, F.lit(1)).alias("table")
 
 
 def with_scheme(url: str) -> str:

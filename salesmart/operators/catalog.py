@@ -122,32 +122,43 @@ def bulk_update(tasks: DataFrame, sources: DataFrame, templates: DataFrame, sour
     return j.select(*out, matched.alias("updated"))
 
 
+def one_per_key(incoming: DataFrame, key: list[str], order: list[str] | None = None, last: bool = False) -> DataFrame:
+    """One whole row per key: the first (or last) by ``order``, by default all other columns.
+
+    An ordinary aggregate over a struct: it combines before the shuffle and
+    never mixes the fields of two rows.
+    """
+    rest = [c for c in incoming.columns if c not in key]
+    if not rest:
+        return incoming.distinct()
+    row, by = F.struct(*rest), F.struct(*(order or []), *rest)
+    pick = (F.max if last else F.min)(F.struct(by.alias("by"), row.alias("row")))
+    return incoming.groupBy(*key).agg(pick.alias("_p")).select(*key, "_p.row.*").select(*incoming.columns)
+
+
 def insert_if_absent(existing: DataFrame, incoming: DataFrame, key: list[str],
-                     name_from: list[str] | None = None) -> DataFrame:
+                     name_from: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
     """JOIN-11 (+FN-8): incoming records whose natural key is not present yet.
 
-    Duplicates in the input collapse to one row per key (partial aggregate
-    before the shuffle); the generated name is the short SHA-256 of the
-    key fields joined by ``|``.
+    Duplicates in the input collapse to the first whole record per key; the
+    generated name is the short SHA-256 of the key fields joined by ``|``.
     """
-    dedup = incoming.groupBy(*key).agg(*[F.min(c).alias(c) for c in incoming.columns if c not in key])
-    new = dedup.join(existing.select(*key).distinct(), key, "left_anti")
+    new = one_per_key(incoming, key, order).join(existing.select(*key).distinct(), key, "left_anti")
     if name_from:
         new = new.withColumn("name", surrogate_key(*name_from))
     return new
 
 
-def upsert(existing: DataFrame, incoming: DataFrame, key: list[str], update_cols: list[str]) -> DataFrame:
+def upsert(existing: DataFrame, incoming: DataFrame, key: list[str], update_cols: list[str],
+           order: list[str] | None = None) -> DataFrame:
     """DML-4: insert new keys; on a clash overwrite ``update_cols`` from incoming.
 
-    One incoming row per key (the largest values win among duplicates);
-    columns not listed keep their stored value, or the incoming one for a
-    new key.
+    One whole incoming record per key (the last by ``order``); columns not
+    listed keep their stored value, or the incoming one for a new key.
     """
     rest = [c for c in incoming.columns if c not in key]
-    inc = incoming.groupBy(*key).agg(*[F.max(c).alias(f"_new_{c}") for c in rest], F.lit(True).alias("_in"))
-    ex = existing.withColumn("_ex", F.lit(True))
-    j = ex.join(inc, key, "full_outer")
+    inc = one_per_key(incoming, key, order, last=True).select(*key, F.lit(True).alias("_in"), *[F.col(c).alias(f"_new_{c}") for c in rest])
+    j = existing.withColumn("_ex", F.lit(True)).join(inc, key, "full_outer")
     cols = []
     for c in existing.columns:
         if c in key:
@@ -161,6 +172,12 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: list[str], update_cols
     return j.select(*cols)
 
 
+def search_ci(text: str, *cols: str, pattern: bool = False) -> Column:
+    """FLT-3 over several columns: the text in any of them; a null column has no match."""
+    match = like_ci if pattern else contains_ci
+    return reduce(operator.or_, [F.coalesce(match(c, text), F.lit(False)) for c in cols])
+
+
 def name_clash(candidates: DataFrame, existing: DataFrame, col: str = "name") -> DataFrame:
     """JOIN-12: candidates whose name equals an existing one, ignoring case."""
     ex = existing.select(F.lower(F.col(col)).alias("_lname")).distinct()
@@ -207,9 +224,17 @@ def read_config_dir(spark: SparkSession, root: str) -> DataFrame:
                     F.col(CONFIG_SOURCE_KEY)["api_url"].alias("api_url"),
                     F.col(CONFIG_SOURCE_KEY)["login"].alias("login"),
                     F.col(CONFIG_TARGET_KEY)["host"].alias("host"),
+                    target_key(F.col(CONFIG_TARGET_KEY)["host"], F.col(CONFIG_TARGET_KEY)["port"],
+                               F.col(CONFIG_TARGET_KEY)["user"]).alias("target_key"),
+                    F.get_json_object(CONFIG_TEMPLATE_KEY, "$.reportType").alias("report_type"),
                     F.col(CONFIG_TEMPLATE_KEY).alias("report_config")))
 
 
+def target_key(host: Column, port: Column, user: Column) -> Column:
+    """FN-8 for mart connections: the short hash of ``host:port|user``."""
+    return F.substring(F.sha2(F.concat(host, F.lit(":"), port, F.lit("|"), user), 256), 1, 16)
+
+
 def _re_escape(s: str) -> str:
     import re
     return re.escape(s)

@@ -1,268 +1,64 @@
-"""Outlet geography: distance joins, greedy clustering and centroids
-(JOIN-8, AGG-4, AGG-10).
+"""Outlet geography: distance joins and cluster centroids (JOIN-8, AGG-4).
 
-Greedy clustering is order dependent: outlets are visited in a fixed order
-and each joins the first cluster (in creation order) whose running
-centroid is within the radius, else it opens a new cluster. That loop is
-sequential by definition, so it runs per group in ``applyInPandas``.
-Groups are made as small as exactness allows: a cluster's members always
-lie within twice the radius of some earlier member (the running centroid
-has a member within the radius, because the mean squared distance of the
-members to it stays below radius squared), so members of one cluster are
-chained by steps shorter than 2 x radius. Outlets are therefore split into
-islands: connected groups of occupied grid cells whose side is longer than
-that step. Islands are found with label propagation over cells (never over
-outlet pairs), and each (source, island) is clustered independently and in
-parallel. Inside a group, cluster centroids are indexed by grid cell, so an
-outlet tests only the clusters around it.
+Distance joins meet through a grid. Latitudes form rows of equal height, and
+every row has its own whole number of columns, as narrow as the distance
+allows at the row's highest latitude, so columns wrap at the antimeridian and
+rows near the poles have one column. All of it is arithmetic on the row's own
+coordinates: nothing is computed over the data while the plan is built.
 """
 
 from __future__ import annotations
 
 import math
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from salesmart.functions.geo import haversine_km_py, haversine_sql, km_per_degree_lat
-from salesmart.session import ensure_checkpoint_dir
+from salesmart.functions.geo import EARTH_RADIUS_KM, haversine_sql, km_per_degree_lat
 
 RADIUS_KM = 5.0
-# Grid cells are made 1% wider than the distance they must cover: a
-# haversine distance bounds the latitude step exactly, the longitude step
-# only up to terms of order (distance / earth radius)^2.
+# Rows are made 1% higher than the distance they must cover.
 CELL_MARGIN = 1.01
 
 
-def grid_steps(max_abs_lat: Column, cell_km: float) -> tuple[Column, Column]:
-    """Cell size in degrees (lat, lon) for cells at least ``cell_km`` wide.
-
-    One longitude step for the whole grid, taken where a degree is shortest
-    (the highest latitude present plus one row), keeps columns aligned
-    between rows, so the 3 x 3 neighbourhood of a cell holds every point
-    within ``cell_km``. Near the poles the grid is one column wide.
-    """
-    dlat = cell_km / km_per_degree_lat()
-    edge = F.least(max_abs_lat + F.lit(dlat), F.lit(89.0))
-    dlon = F.when(edge >= 85.0, F.lit(360.0)).otherwise(
-        F.lit(cell_km) / (F.lit(km_per_degree_lat()) * F.cos(F.radians(edge))))
-    return F.lit(dlat), dlon
+def _row_sql(lat: str, row_deg: float) -> str:
+    return f"CAST(floor({lat} / {row_deg!r}D) AS BIGINT)"
 
 
-def cell_of(lat: Column, lon: Column, dlat: Column, dlon: Column) -> tuple[Column, Column]:
-    return F.floor(lat / dlat).cast("long"), F.floor((lon + F.lit(180.0)) / dlon).cast("long")
+def _columns_sql(row: str, row_deg: float, km: float) -> str:
+    """How many columns a row has: each at least ``km`` wide at the top of the row beyond it."""
+    top = f"((greatest(abs({row}), abs({row} + 1)) + 1) * {row_deg!r}D)"
+    half = math.sin(km / (2 * EARTH_RADIUS_KM))
+    width = f"degrees(2 * asin(least(1.0D, {half!r}D / cos(radians({top})))))"
+    return f"CASE WHEN {top} >= 89.0D THEN 1L ELSE greatest(1L, CAST(floor(360 / {width}) AS BIGINT)) END"
 
 
-def _neighbours(include_self: bool = True) -> Column:
-    return F.array(*[F.struct(F.lit(a).alias("dr"), F.lit(b).alias("dc"))
-                     for a in (-1, 0, 1) for b in (-1, 0, 1) if include_self or (a, b) != (0, 0)])
+def _column_sql(lon: str, columns: str) -> str:
+    return f"pmod(CAST(floor(({lon} + 180.0D) * {columns} / 360.0D) AS BIGINT), {columns})"
 
 
 def stations_within(points: DataFrame, stations: DataFrame, radius_km: float = RADIUS_KM,
                     p_id: str = "org_id", s_id: str = "station_id") -> DataFrame:
     """JOIN-8: (point, station, distance_km) for stations within ``radius_km``.
 
-    Stations are copied to the 3 x 3 grid cells around their own (cell side
-    >= radius), points stay in their cell, so candidates meet through an
+    Stations are copied to the cells around their own in the three rows they
+    can reach, points stay in their cell, so candidates meet through an
     equi-join on the cell and the exact haversine test runs only on them.
-    Each point meets only the stations of its neighbourhood; no pair list
-    is ever formed. (Longitudes are not wrapped at the antimeridian.)
     """
-    p = points.selectExpr(p_id, "lat", "lon")
-    s = stations.selectExpr(s_id, "lat AS s_lat", "lon AS s_lon")
-    # one scalar for the grid: the highest latitude on either side
-    top = p.selectExpr("abs(lat) AS a").unionByName(s.selectExpr("abs(s_lat) AS a")).agg(F.expr("max(a)")).first()[0]
-    dlat, dlon = _grid_steps_py(float(top or 0.0), radius_km * CELL_MARGIN)
-    cell = lambda la, lo: (f"CAST(floor({la} / {dlat!r}D) AS BIGINT)",
-                           f"CAST(floor(({lo} + 180.0D) / {dlon!r}D) AS BIGINT)")
-    prow, pcol = cell("lat", "lon")
-    p = p.selectExpr("*", f"{prow} AS _row", f"{pcol} AS _col")
-    srow, scol = cell("s_lat", "s_lon")
-    offsets = ", ".join(f"named_struct('dr', {a}, 'dc', {b})" for a in (-1, 0, 1) for b in (-1, 0, 1))
-    s = s.selectExpr("*", f"{srow} AS _srow", f"{scol} AS _scol", f"inline(array({offsets}))") \
-        .selectExpr(s_id, "s_lat", "s_lon", "_srow + dr AS _row", "_scol + dc AS _col")
+    km = radius_km * CELL_MARGIN
+    deg = km / km_per_degree_lat()
+    p = points.selectExpr(p_id, "lat", "lon", f"{_row_sql('lat', deg)} AS _row") \
+        .selectExpr("*", f"{_columns_sql('_row', deg, km)} AS _n").selectExpr("*", f"{_column_sql('lon', '_n')} AS _col").drop("_n")
+    s = stations.selectExpr(s_id, "lat AS s_lat", "lon AS s_lon", f"explode(sequence({_row_sql('lat', deg)} - 1, {_row_sql('lat', deg)} + 1)) AS _row") \
+        .selectExpr("*", f"{_columns_sql('_row', deg, km)} AS _n").selectExpr("*", f"{_column_sql('s_lon', '_n')} AS _own") \
+        .selectExpr(s_id, "s_lat", "s_lon", "_row", "explode(array_distinct(array(pmod(_own - 1, _n), _own, pmod(_own + 1, _n)))) AS _col")
     d = haversine_sql("lat", "lon", "s_lat", "s_lon")
-    # a one-column polar grid lists a station under its own cell three times
-    return p.join(s, ["_row", "_col"]).selectExpr(p_id, s_id, f"{d} AS distance_km") \
-        .where(f"distance_km <= {float(radius_km)!r}D").distinct()
-
-
-def islands(points: DataFrame, group_col: str, cell_km: float, max_iter: int = 200) -> DataFrame:
-    """Connected groups of occupied grid cells (8-neighbourhood) per group.
-
-    ``points`` carries ``_row``/``_col`` cells (see ``tag_cells``). Returns
-    ``(group, _row, _col, island)`` where ``island`` is the smallest cell id
-    of the component. Label propagation runs over cells only; the label
-    table is checkpointed every round to cut lineage.
-    """
-    spark = points.sparkSession
-    cells = points.select(F.col(group_col).alias("g"), "_row", "_col").distinct()
-    cells = cells.withColumn("cell_id", F.col("_row") * F.lit(1 << 32) + F.col("_col"))
-    nb = cells.select("g", "cell_id", "_row", "_col", F.inline(_neighbours(False))).select(
-        "g", F.col("cell_id").alias("src"), (F.col("_row") + F.col("dr")).alias("_row"),
-        (F.col("_col") + F.col("dc")).alias("_col"))
-    edges = nb.join(cells.select("g", "_row", "_col", F.col("cell_id").alias("dst")), ["g", "_row", "_col"]) \
-        .select("g", "src", "dst")
-    ensure_checkpoint_dir(spark)
-    edges = edges.checkpoint()
-    labels = cells.select("g", "cell_id", F.col("cell_id").alias("label"))
-    for _ in range(max_iter):
-        proposals = edges.join(labels.select("g", F.col("cell_id").alias("src"), F.col("label").alias("l")), ["g", "src"]) \
-            .groupBy("g", F.col("dst").alias("cell_id")).agg(F.min("l").alias("cand"))
-        new = labels.join(proposals, ["g", "cell_id"], "left").select(
-            "g", "cell_id", F.least(F.col("label"), F.coalesce(F.col("cand"), F.col("label"))).alias("label"),
-            F.coalesce(F.col("cand") < F.col("label"), F.lit(False)).alias("changed"))
-        # reliable checkpoint each round: the cell graph is small, and a lost
-        # executor then re-reads the labels instead of replaying every round
-        new = new.checkpoint()
-        changed = new.where(F.col("changed")).limit(1).count()
-        labels = new.select("g", "cell_id", "label")
-        if changed == 0:
-            break
-    return cells.join(labels, ["g", "cell_id"]).select(
-        F.col("g").alias(group_col), "_row", "_col", F.col("label").alias("island"))
-
-
-def tag_cells(points: DataFrame, group_col: str, cell_km: float) -> DataFrame:
-    """Grid cell per point; the longitude step is fixed per group."""
-    tops = points.groupBy(group_col).agg(F.max(F.abs("lat")).alias("_top"))
-    dlat, dlon = grid_steps(F.col("_top"), cell_km * CELL_MARGIN)
-    tops = tops.select(group_col, dlat.alias("_dlat"), dlon.alias("_dlon"))
-    j = points.join(tops, group_col)
-    row, col = cell_of(F.col("lat"), F.col("lon"), F.col("_dlat"), F.col("_dlon"))
-    return j.select("*", row.alias("_row"), col.alias("_col")).drop("_dlat", "_dlon")
-
-
-CLUSTER_SCHEMA = T.StructType([
-    T.StructField("org_id", T.StringType()),
-    T.StructField("org_name", T.StringType()),
-    T.StructField("city_cluster", T.StringType()),
-    T.StructField("lat", T.DoubleType()),
-    T.StructField("lon", T.DoubleType()),
-    T.StructField("cluster_no", T.LongType()),
-    T.StructField("first_seq", T.LongType()),
-])
-
-
-def _grid_steps_py(max_abs_lat: float, cell_km: float) -> tuple[float, float]:
-    dlat = cell_km / km_per_degree_lat()
-    edge = min(max_abs_lat + dlat, 89.0)
-    if edge >= 85.0:
-        return dlat, 360.0
-    return dlat, cell_km / (km_per_degree_lat() * math.cos(math.radians(edge)))
-
-
-def greedy_clusters(pdf: pd.DataFrame, radius_km: float = RADIUS_KM) -> pd.DataFrame:
-    """AGG-10 on one group, in ``seq`` order (a per-group helper).
-
-    Running (sum lat, sum lon, count) per cluster, with centroids indexed by
-    grid cells at least the radius wide: an outlet only tests the clusters
-    of its 3 x 3 neighbourhood and takes the earliest-created hit, which is
-    the first cluster within the radius in creation order. Sums accumulate
-    in visit order and distances use the scalar haversine, so centroids and
-    tests are the same floating-point operations as a plain sequential pass.
-    """
-    pdf = pdf.sort_values("seq", kind="mergesort")
-    lats = pdf["lat"].astype(float).tolist()
-    lons = pdf["lon"].astype(float).tolist()
-    n = len(lats)
-    dlat, dlon = _grid_steps_py(max((abs(x) for x in lats), default=0.0), radius_km * CELL_MARGIN)
-
-    def cell(la: float, lo: float) -> tuple[int, int]:
-        return math.floor(la / dlat), math.floor((lo + 180.0) / dlon)
-
-    s_lat: list[float] = []
-    s_lon: list[float] = []
-    cnt: list[int] = []
-    where: list[tuple[int, int]] = []
-    index: dict[tuple[int, int], list[int]] = {}
-    member = [0] * n
-    first: list[int] = []
-    for i in range(n):
-        la, lo = lats[i], lons[i]
-        r, c = cell(la, lo)
-        best = -1
-        for dr in (-1, 0, 1):
-            for dc in (-1, 0, 1):
-                for j in index.get((r + dr, c + dc), ()):
-                    if best != -1 and j > best:
-                        continue
-                    if haversine_km_py(la, lo, s_lat[j] / cnt[j], s_lon[j] / cnt[j]) <= radius_km:
-                        best = j
-        if best == -1:
-            best = len(cnt)
-            s_lat.append(la)
-            s_lon.append(lo)
-            cnt.append(1)
-            home = cell(la, lo)
-            where.append(home)
-            index.setdefault(home, []).append(best)
-            first.append(i)
-        else:
-            s_lat[best] += la
-            s_lon[best] += lo
-            cnt[best] += 1
-            moved = cell(s_lat[best] / cnt[best], s_lon[best] / cnt[best])
-            if moved != where[best]:
-                index[where[best]].remove(best)
-                index.setdefault(moved, []).append(best)
-                where[best] = moved
-        member[i] = best
-    names = pdf["name"].tolist()
-    ids = pdf["org_id"].tolist()
-    seqs = pdf["seq"].tolist()
-    k = len(cnt)
-    labels = [names[first[j]] for j in range(k)]
-    c_lat = [round(s_lat[j] / cnt[j], 6) for j in range(k)]
-    c_lon = [round(s_lon[j] / cnt[j], 6) for j in range(k)]
-    return pd.DataFrame({
-        "org_id": ids, "org_name": names,
-        "city_cluster": [labels[m] for m in member],
-        "lat": [c_lat[m] for m in member], "lon": [c_lon[m] for m in member],
-        "cluster_no": pd.Series(member, dtype="int64"),
-        "first_seq": pd.Series([seqs[first[m]] for m in member], dtype="int64"),
-    })
-
-
-def cluster_outlets(outlets: DataFrame, group_col: str = "source_id", radius_km: float = RADIUS_KM,
-                    split_above: int = 50_000) -> DataFrame:
-    """AGG-10 + AGG-4: greedy clusters per source, split into exact islands.
-
-    ``outlets`` needs ``org_id, name, lat, lon, seq`` (visit order) and the
-    group column; outlets without both coordinates are left out (FLT-5).
-    Sources with more than ``split_above`` outlets are split into islands
-    (one scalar aggregate decides); smaller inputs are clustered per source
-    directly, since the split only serves parallelism and never changes the
-    result. Output: ``org_id, org_name, city_cluster, lat, lon`` (cluster
-    centroid, rounded to 6 places), the cluster's first visit order, and the
-    group and island columns.
-    """
-    pts = outlets.where("lat IS NOT NULL AND lon IS NOT NULL")
-    largest = pts.groupBy(group_col).count().agg(F.expr("max(count)")).first()[0] or 0
-    if largest > split_above:
-        # members chain by steps < 2 x radius; one and a half times that as margin
-        cell_km = 3.0 * radius_km
-        cells = tag_cells(pts, group_col, cell_km)
-        tagged = cells.join(islands(cells, group_col, cell_km), [group_col, "_row", "_col"])
-    else:
-        tagged = pts.withColumn("island", F.lit(0).cast("long"))
-    out_schema = T.StructType(list(CLUSTER_SCHEMA.fields) + [
-        T.StructField(group_col, outlets.schema[group_col].dataType), T.StructField("island", T.LongType())])
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        res = greedy_clusters(pdf, radius_km)
-        res[group_col] = key[0]
-        res["island"] = key[1]
-        return res
-
-    return tagged.select(group_col, "island", "org_id", "name", "lat", "lon", "seq") \
-        .groupBy(group_col, "island").applyInPandas(run, out_schema)
+    return p.join(s, ["_row", "_col"]).selectExpr(p_id, s_id, f"{d} AS distance_km").where(f"distance_km <= {float(radius_km)!r}D")
 
 
-def centroids(points: DataFrame, cluster_cols: list[str]) -> DataFrame:
-    """AGG-4 as an aggregate: mean position per cluster, rounded to 6."""
+def centroids(points: DataFrame, cluster_cols: list[str], order_col: str | None = None) -> DataFrame:
+    """AGG-4: mean position per cluster, rounded to 6, its members and its first member's order."""
+    first = [F.min(order_col).alias("first_seq")] if order_col else []
     return points.groupBy(*cluster_cols).agg(
         F.round(F.avg("lat"), 6).alias("c_lat"), F.round(F.avg("lon"), 6).alias("c_lon"),
-        F.count(F.lit(1)).alias("members"))
+        F.count(F.lit(1)).alias("members"), *first)

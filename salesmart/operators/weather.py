@@ -8,6 +8,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.operators.windows import split_at, weather_window
+
 # Daily variables of the weather response -> weather table columns.
 WEATHER_FIELDS = {
     "temperature_2m_mean": "temp_avg",
@@ -22,22 +24,16 @@ WEATHER_FIELDS = {
 DEFAULT_OUTLET_CURRENCY = "RUB"
 
 
-def explode_organizations(response: DataFrame, array_col: str = "organizations") -> DataFrame:
-    """SRC-3: one row per element of the response's organisation array."""
-    return response.select("*", F.explode_outer(F.col(array_col)).alias("_org")) \
-        .where(F.col("_org").isNotNull()).select("*", "_org.*").drop("_org", array_col)
-
-
 def _coord(name: str) -> str:
     # a missing or zero coordinate means "unknown"
     return f"CASE WHEN {name} IS NULL OR {name} = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST({name} AS DOUBLE) END"
 
 
-def outlet_reference(orgs: DataFrame, api_key: str | None = None) -> DataFrame:
+def outlet_reference(orgs: DataFrame, api_key: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """OP-9 + OP-13: outlet records with the service's defaults applied.
 
     ``api_key`` names the column holding the connection's key; its first
-    eight characters are kept as a hint.
+    eight characters are kept as a hint. ``keep`` passes further columns through.
     """
     cols = [
         "id AS org_id",
@@ -54,7 +50,7 @@ def outlet_reference(orgs: DataFrame, api_key: str | None = None) -> DataFrame:
     ]
     if api_key is not None:
         cols.append(f"concat(substring(`{api_key}`, 1, 8), '...') AS api_key_hint")
-    return orgs.selectExpr(*cols)
+    return orgs.selectExpr(*cols, *(keep or []))
 
 
 def outlet_summary(ref: DataFrame, group_col: str) -> DataFrame:
@@ -108,9 +104,18 @@ def weather_for_outlets(weather: DataFrame, outlet_clusters: DataFrame, key: lis
 def replace_weather(old: DataFrame, new: DataFrame, date_from: dt.date, date_to: dt.date,
                     org_col: str = "org_id") -> DataFrame:
     """DML-2 + JOIN-10: drop old rows of the outlets that got new data within
-    the range, then add the new rows. Outlets whose cluster returned no
-    data keep their old rows."""
-    refreshed = new.select(F.col(org_col).alias("_org")).distinct()
+    the range, then add the new rows of the range. Outlets whose cluster
+    returned no data keep their old rows. New rows outside the range are not
+    taken, so a (date, outlet) has one row if it had one on each side."""
     in_range = F.col("date").between(F.lit(date_from), F.lit(date_to))
+    new = new.where(in_range)
+    refreshed = new.select(F.col(org_col).alias("_org")).distinct()
     survivors = old.join(refreshed, (old[org_col] == refreshed["_org"]) & in_range, "left_anti")
     return survivors.unionByName(new, allowMissingColumns=True)
+
+
+def request_windows(clusters: DataFrame, as_of: dt.date, days_back: int = 30, days_ahead: int = 7) -> DataFrame:
+    """WIN-3 + WIN-4: the weather requests of each cluster: history up to yesterday, forecast from today."""
+    lo, hi = weather_window(as_of, days_back, days_ahead)
+    parts = ", ".join(f"named_struct('part', '{p}', 'date_from', DATE'{a}', 'date_to', DATE'{b}')" for p, a, b in split_at(as_of, lo, hi))
+    return clusters.selectExpr("*", f"inline(array({parts}))")

@@ -49,11 +49,6 @@ def split_at(as_of: dt.date, date_from: dt.date, date_to: dt.date) -> list[tuple
     return parts
 
 
-def part_of(day: Column, as_of: dt.date) -> Column:
-    """WIN-3 as a column: which part a day belongs to."""
-    return F.when(day < F.lit(as_of), F.lit("history")).otherwise(F.lit("forecast"))
-
-
 def weather_window(as_of: dt.date, days_back: int = 30, days_ahead: int = 7) -> tuple[dt.date, dt.date]:
     """WIN-4: ``[as_of - back, as_of + ahead]``."""
     return as_of - dt.timedelta(days=days_back), as_of + dt.timedelta(days=days_ahead)
@@ -72,15 +67,24 @@ def task_configs(tasks: DataFrame, sources: DataFrame, targets: DataFrame, templ
 
 
 def rows_in_task_windows(configs: DataFrame, rows: DataFrame, as_of: dt.date, date_field: str,
-                         url_col: str = "url") -> DataFrame:
+                         url_col: str = "url", earliest_offset: int | None = None,
+                         latest_offset: int | None = None) -> DataFrame:
     """WIN-5: every task's window applied to the report rows in one job.
 
     Each task window is expanded to (source url, day) keys, so the range
     condition becomes an equi-join on (url, day): facts shuffle on a key
     that spreads one busy source over all its days, and AQE turns the join
-    into a broadcast when the expanded side is small at runtime.
+    into a broadcast when the expanded side is small at runtime. The largest
+    and smallest offsets over all tasks (one small aggregate unless given)
+    bound the fact scan by date.
     """
     w = task_window(configs, as_of).where("date_from <= date_to")
+    if earliest_offset is None or latest_offset is None:
+        earliest_offset, latest_offset = configs.agg(F.max("days_offset_start"), F.min("days_offset_end")).first()
+    if earliest_offset is None:
+        return rows.limit(0).withColumn("task_id", F.lit(None).cast("string"))
+    lo, hi = as_of - dt.timedelta(days=earliest_offset), as_of - dt.timedelta(days=latest_offset)
+    rows = rows.where(F.col(date_field).between(F.lit(lo), F.lit(hi)))
     keys = w.selectExpr("id AS task_id", "source_url", "explode(sequence(date_from, date_to)) AS _day")
     return rows.join(keys, (rows[url_col] == keys.source_url) & (rows[date_field] == keys._day)) \
         .drop("source_url", "_day")

@@ -106,6 +106,25 @@ def test_windows(spark):
                    (dt.date(2024, 1, 15), dt.date(2024, 1, 16))]
 
 
+def test_duplicates_stay_whole_records(spark):
+    keys = "host string, login string, name string, note string"
+    inc = spark.createDataFrame([("h", "u", "zzz", "a"), ("h", "u", "aaa", "z")], keys)
+    none = spark.createDataFrame([], keys)
+    assert [tuple(r) for r in catalog.insert_if_absent(none, inc, ["host", "login"]).collect()] == [("h", "u", "aaa", "z")]
+    old = spark.createDataFrame([("k", 0, 0)], "k string, a int, b int")
+    new = spark.createDataFrame([("k", 1, 9), ("k", 9, 1)], "k string, a int, b int")
+    assert [tuple(r) for r in catalog.upsert(old, new, ["k"], ["a", "b"]).collect()] == [("k", 9, 1)]
+
+
+def test_percent_is_a_ratio_of_sums(spark):
+    from salesmart.operators.template import ReportTemplate, run_report
+    t = ReportTemplate("SALES", ("Department",), ("ProductCostBase.Percent", "DishSumInt"))
+    rows = spark.createDataFrame([("x", 10.0, 100.0, 2e14), ("x", 30.0, 60.0, 5.0), ("y", 1.0, 0.0, 1e30)],
+                                 "Department string, ProductCostBase double, DishDiscountSumInt double, DishSumInt double")
+    got = {r["Department"]: (r["ProductCostBase_Percent"], r["DishSumInt"]) for r in run_report(rows, t).collect()}
+    assert got == {"x": (0.25, 2e14 + 5.0), "y": (None, 1e30)}
+
+
 def test_upsert_and_weather_window(spark):
     old = spark.createDataFrame([("n1", "u1", "p1"), ("n2", "u2", "p2")], "name string, login string, password string")
     new = spark.createDataFrame([("n2", "u2b", "p2b"), ("n3", "u3", "p3")], "name string, login string, password string")
