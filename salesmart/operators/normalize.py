@@ -8,6 +8,9 @@ with one predicate in the same pass; there is no row-by-row retry.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -123,13 +126,28 @@ def split_rejects(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataF
     return good, bad
 
 
-def write_rejects(rejects: DataFrame, path: str) -> None:
+def load_summary(rated: DataFrame, schema: T.StructType, measures: list[str], rate_col: str = "_fx_rate",
+                 source_col: str = "url", chunk_col: str = "_chunk_from") -> DataFrame:
+    """AGG-8: per source and chunk, rows in, inserted, rejected and values without a rate.
+
+    ``rated`` holds all landed rows of the load with their rate; what rejects a
+    row is the rule that ``split_rejects`` applies.
+    """
+    present = T.StructType([f for f in schema.fields if f.name in rated.columns])
+    reason = reject_reason(present)
+    lost = [F.count_if(F.col(m).isNotNull() & F.col(rate_col).isNull()) for m in measures]
+    return rated.withColumn("_reason", reason).groupBy(source_col, F.col(chunk_col).alias("chunk_from")).agg(
+        F.count(F.lit(1)).alias("rows_in"), F.count_if(F.col("_reason").isNull()).alias("inserted"),
+        F.count_if(F.col("_reason").isNotNull()).alias("rejected"), functools.reduce(operator.add, lost).alias("unconverted"))
+
+
+def write_rejects(rejects: DataFrame, path: str, mode: str = "append") -> None:
     """SNK-4 sink: rejected record, error and chunk as JSON lines."""
     rec_cols = [c for c in rejects.columns if c not in ("error", "_chunk_from", "_chunk_to")]
     out = rejects.select(
         F.to_json(F.struct(*rec_cols)).alias("record"), "error",
         F.concat_ws(" – ", F.col("_chunk_from").cast("string"), F.col("_chunk_to").cast("string")).alias("chunk"))
-    out.write.mode("append").json(path)
+    out.write.mode(mode).json(path)
 
 
 def landed_to_mart_rows(raw: DataFrame, schema: T.StructType, source_url: Column | str,

@@ -241,8 +241,7 @@ FILLED_COLS = ("OpenDate_Typed, CloseTime, Department, DishGroup, DishId, UniqOr
                "DishSumInt, DishAmountInt, DishDiscountSumInt, url")
 
 
-def _load_summary() -> str:
-    return f"""
+CONVERTED = f"""
 WITH rows AS ({FILLED}),
 rates AS ({RATES}),
 long AS ({LONG_RATES}),
@@ -278,6 +277,11 @@ conv AS (
          ROUND(TRY_CAST(DishDiscountSumInt AS DECIMAL(18,4)) * fx_rate, 4) AS d_rub
   FROM final
 )
+"""
+
+
+def _load_summary() -> str:
+    return f"""{CONVERTED}
 SELECT url, _chunk_from AS chunk_from,
        count(*) AS rows_in,
        count_if(OpenDate_Typed IS NOT NULL) AS inserted,
@@ -290,6 +294,70 @@ GROUP BY url, _chunk_from
 """
 
 
+def _load_pipeline() -> str:
+    return f"""{CONVERTED}
+SELECT {FILLED_COLS}, CAST(s_rub AS DOUBLE) AS DishSumInt_RUB, CAST(a_rub AS DOUBLE) AS DishAmountInt_RUB,
+       CAST(d_rub AS DOUBLE) AS DishDiscountSumInt_RUB
+FROM conv WHERE OpenDate_Typed IS NOT NULL
+"""
+
+
+def _load_rejects() -> str:
+    return f"""
+SELECT UniqOrderId_Id AS order_id, url, 'null in non-nullable column OpenDate_Typed' AS error,
+       CAST(_chunk_from AS VARCHAR) || ' – ' || CAST(_chunk_to AS VARCHAR) AS chunk
+FROM ({FILLED}) x WHERE OpenDate_Typed IS NULL
+"""
+
+
+def _fx_landed() -> str:
+    return f"""
+WITH rates AS ({RATES}),
+long AS ({LONG_RATES}),
+s0 AS (
+  SELECT CAST(l.l_shipdate AS DATE) AS d, l.l_orderkey, l.l_linenumber, l.l_quantity, l.l_extendedprice, l.l_suppkey, s.s_nationkey AS n,
+         DATE '1995-01-01' + CAST(s.s_nationkey % 7 AS INTEGER) AS anchor
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN part p ON l.l_partkey = p.p_partkey
+),
+facts AS (
+  SELECT row_number() OVER () AS rid, d AS OpenDate_Typed, CAST(l_orderkey AS VARCHAR) AS UniqOrderId_Id, l_linenumber AS line,
+         {CURRENCY_CASE} AS Currencies_Currency,
+         CASE WHEN n % 3 = 0 THEN (CASE WHEN n % 4 = 0 THEN 'GEL' ELSE 'RUB' END) ELSE '' END AS connection_currency,
+         CASE l_linenumber WHEN 5 THEN CAST(0.00004 AS DOUBLE) WHEN 6 THEN CAST(2.0e14 AS DOUBLE) + l_quantity ELSE l_extendedprice END AS DishSumInt,
+         'http://src' || CAST(n AS VARCHAR) AS url,
+         anchor + CAST(floor(date_diff('day', anchor, d) / 7) * 7 AS INTEGER) - CASE WHEN l_linenumber = 7 THEN 7 ELSE 0 END AS _chunk_from
+  FROM s0
+),
+keyed AS (
+  SELECT *, _chunk_from + 6 AS _chunk_to, least(_chunk_from + 6, DATE '2001-12-31') AS ct,
+         upper(trim(coalesce(nullif(connection_currency, ''), nullif(Currencies_Currency, ''), 'RUB'))) AS ccy
+  FROM facts
+),
+lookups AS (
+  SELECT DISTINCT ccy, OpenDate_Typed AS d, _chunk_from AS cf, ct FROM keyed
+),
+resolved AS (
+  SELECT k.*,
+         EXISTS (SELECT 1 FROM rates r WHERE r.date BETWEEN k.cf - 10 AND k.ct) AS available,
+         k.d <= k.ct AND EXISTS (SELECT 1 FROM rates r WHERE r.date = k.d) AS exact,
+         (SELECT max(r.rate) FROM long r WHERE r.ccy = k.ccy AND r.rate_date = k.d) AS own_rate,
+         (SELECT max(r.rate_date) FROM long r WHERE r.ccy = k.ccy AND r.rate IS NOT NULL
+            AND r.rate_date BETWEEN k.cf - 10 AND least(k.d, k.ct)) AS last_date
+  FROM lookups k
+),
+priced AS (
+  SELECT r.ccy, r.d, r.cf, CASE WHEN NOT available THEN NULL
+              WHEN r.ccy = 'RUB' THEN CAST(1 AS DECIMAL(12,6))
+              WHEN r.ccy NOT IN ('GEL', 'AMD', 'KGS') THEN NULL
+              WHEN exact THEN own_rate ELSE l.rate END AS fx_rate
+  FROM resolved r LEFT JOIN long l ON l.ccy = r.ccy AND l.rate_date = r.last_date
+)
+SELECT k.OpenDate_Typed, k.UniqOrderId_Id, k.line, k.Currencies_Currency, k.connection_currency, k.DishSumInt, k.url, k._chunk_from, k._chunk_to,
+       CAST(CAST(ROUND(CAST(CAST(k.DishSumInt AS VARCHAR) AS DECIMAL(24,6)) * p.fx_rate, 4) AS VARCHAR) AS DOUBLE) AS DishSumInt_RUB
+FROM keyed k JOIN priced p ON p.ccy = k.ccy AND p.d = k.OpenDate_Typed AND p.cf = k._chunk_from
+"""
+
+
 def _dropped_fields() -> str:
     fields = ["OpenDate.Typed", "CloseTime", "Department", "DishGroup", "DishId", "UniqOrderId.Id",
               "Currencies.Currency", "DishSumInt", "DishAmountInt", "DishDiscountSumInt", "Extra-Field", "url"]
@@ -327,11 +395,16 @@ batch AS (
     AND url IN ('http://src0', 'http://src1', 'http://src2', 'http://src3', 'http://src4')
     AND NOT (url = 'http://src1' AND OpenDate_Typed BETWEEN DATE '1998-03-08' AND DATE '1998-03-14')
     AND DishGroup <> 'SMALL'
+  UNION ALL
+  SELECT OpenDate_Typed, Department, DishGroup, DishId, UniqOrderId_Id, Currencies_Currency,
+         DishSumInt + 100.0, DishAmountInt, CAST(DishDiscountSumInt AS DOUBLE), url
+  FROM sales_raw
+  WHERE OpenDate_Typed = DATE '1998-05-02' AND url IN ('http://src0', 'http://src1', 'http://src2', 'http://src3', 'http://src4')
 ),
 ranges AS (
   SELECT DISTINCT url,
          DATE '1998-03-01' + CAST(floor(date_diff('day', DATE '1998-03-01', OpenDate_Typed) / 7) * 7 AS INTEGER) AS r_from
-  FROM batch
+  FROM batch WHERE OpenDate_Typed <= DATE '1998-04-15'
 )
 SELECT {MART_COLS} FROM old o
 WHERE NOT EXISTS (SELECT 1 FROM ranges r
@@ -371,7 +444,7 @@ FROM region
 """
 
 TEMPLATES = """
-SELECT dense_rank() OVER (ORDER BY name) AS id, name, 'SALES' AS report_type
+SELECT length(name) * 1000 + ascii(name) AS id, name, 'SALES' AS report_type
 FROM (SELECT DISTINCT lower(c_mktsegment) AS name FROM customer) x
 """
 
@@ -473,10 +546,12 @@ old_rows AS (
 new_rows AS (
   SELECT w.date, {cols}, o.org_id, o.org_name, o.lat, o.lon, o.city_cluster, 'new' AS load
   FROM nw w JOIN o ON o.cluster = w.location)
-SELECT * FROM old_rows r
-WHERE NOT (r.date BETWEEN DATE '2024-01-10' AND DATE '2024-01-30'
-           AND r.org_id IN (SELECT org_id FROM new_rows))
-UNION ALL SELECT * FROM new_rows
+, every_row AS (
+  SELECT *, 0 AS v FROM old_rows r
+  WHERE NOT (r.date BETWEEN DATE '2024-01-10' AND DATE '2024-01-30'
+             AND r.org_id IN (SELECT org_id FROM new_rows WHERE date BETWEEN DATE '2024-01-10' AND DATE '2024-01-30'))
+  UNION ALL SELECT *, 1 FROM new_rows WHERE date BETWEEN DATE '2024-01-10' AND DATE '2024-01-30')
+SELECT * EXCLUDE (v) FROM every_row QUALIFY row_number() OVER (PARTITION BY date, org_id ORDER BY v DESC) = 1
 """
 
 
@@ -503,7 +578,8 @@ cfg AS (
          DATE '1998-06-01' - t.days_offset_start AS date_from, DATE '1998-06-01' - t.days_offset_end AS date_to
   FROM tasks t JOIN sources s ON t.source_id = s.id JOIN targets g ON t.target_id = g.id
   JOIN templates p ON t.template_id = p.id
-  WHERE t.is_active)
+  WHERE t.is_active
+  QUALIFY row_number() OVER (PARTITION BY t.source_id, t.template_id ORDER BY t.id) = 1)
 SELECT c.task_id, r.OpenDate_Typed, r.UniqOrderId_Id, r.DishId, r.DishSumInt, r.url
 FROM cfg c JOIN sales_raw r ON r.url = c.source_url AND r.OpenDate_Typed BETWEEN c.date_from AND c.date_to
 """
@@ -539,6 +615,9 @@ def registry() -> dict[str, str]:
         "quarantine": f"""SELECT {FILLED_COLS}, 'null in non-nullable column OpenDate_Typed' AS error,
        _chunk_from, _chunk_to FROM ({FILLED}) x WHERE OpenDate_Typed IS NULL""",
         "load_summary": _load_summary(),
+        "fx_landed": _fx_landed(),
+        "load_pipeline": _load_pipeline(),
+        "load_rejects": _load_rejects(),
         "replace_range": _replace_range(),
         "dataset_profile": f"""WITH s AS ({SALES_RAW})
 SELECT {_month('OpenDate_Typed')} AS month, count(*) AS rows, min(OpenDate_Typed) AS min_date,
@@ -546,6 +625,11 @@ SELECT {_month('OpenDate_Typed')} AS month, count(*) AS rows, min(OpenDate_Typed
 FROM s GROUP BY 1""",
         "dataset_info": f"""WITH s AS ({SALES_RAW})
 SELECT count(*) AS row_count, min(OpenDate_Typed) AS min_date, max(OpenDate_Typed) AS max_date FROM s""",
+        "dataset_columns": f"""WITH s AS ({SALES_RAW})
+{chr(10).join(("UNION ALL " if i else "") + f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS column_type, count({c}) AS n_values FROM s"
+              for i, (c, t) in enumerate(zip(MART_COLS.split(", "), ["date"] + ["string"] * 5 + ["double", "double", "decimal(18,4)", "string"], strict=True)))}""",
+        "partition_sizes": f"""WITH s AS ({SALES_RAW})
+SELECT {_month('OpenDate_Typed')} AS month, count(*) AS rows, true AS has_bytes, true AS batched FROM s GROUP BY 1""",
         "reorganize_check": f"""WITH s AS ({SALES_RAW})
 SELECT {_month('OpenDate_Typed')} AS month, count(*) AS old_rows, count(*) AS new_rows FROM s GROUP BY 1""",
         "task_details": f"""WITH {CFG}
@@ -579,10 +663,30 @@ FROM tasks t LEFT JOIN (
         "insert_if_absent": f"""WITH sources AS ({SOURCES}),
 inc AS (SELECT 'http://src' || CAST(c_custkey % 40 AS VARCHAR) AS api_url,
                'user' || CAST(c_custkey % 40 AS VARCHAR) AS login,
-               'pw' || CAST(c_custkey AS VARCHAR) AS password FROM customer),
-d AS (SELECT api_url, login, min(password) AS password FROM inc GROUP BY api_url, login)
-SELECT api_url, login, password, substring(sha256(api_url || '|' || login), 1, 16) AS name
+               'pw' || CAST(c_custkey AS VARCHAR) AS password, 1000000 - c_custkey AS rank FROM customer),
+d AS (SELECT * FROM inc QUALIFY row_number() OVER (PARTITION BY api_url, login ORDER BY password, rank) = 1)
+SELECT api_url, login, password, rank, substring(sha256(api_url || '|' || login), 1, 16) AS name
 FROM d WHERE NOT EXISTS (SELECT 1 FROM sources s WHERE s.api_url = d.api_url AND s.login = d.login)""",
+        "upsert": f"""WITH sources AS ({SOURCES}),
+inc AS (SELECT 'http://src' || CAST(c_custkey % 40 AS VARCHAR) AS api_url, 'user' || CAST(c_custkey % 40 AS VARCHAR) AS login,
+               c_name AS name, CASE WHEN c_nationkey % 2 = 0 THEN 'AMD' ELSE 'KGS' END AS currency, c_custkey AS seq FROM customer),
+d AS (SELECT * FROM inc QUALIFY row_number() OVER (PARTITION BY api_url, login ORDER BY seq DESC) = 1)
+SELECT coalesce(s.api_url, d.api_url) AS api_url, coalesce(s.login, d.login) AS login,
+       CASE WHEN s.api_url IS NULL THEN d.name ELSE s.name END AS name, coalesce(d.currency, s.currency) AS currency
+FROM sources s FULL OUTER JOIN d ON s.api_url = d.api_url AND s.login = d.login""",
+        "task_search": f"""WITH {CFG}
+SELECT id, name, dataset_name, split_part(dataset_name, '.', 1) AS db,
+       substring(dataset_name, strpos(dataset_name, '.') + 1) AS "table"
+FROM tasks WHERE contains(lower(name), 'building') OR contains(lower(dataset_name), 'building')""",
+        "config_ingest": """WITH c AS (
+  SELECT n_nationkey AS k, translate(lower(n_name), ' _', '--') AS nation, translate(lower(r_name), ' _', '--') AS region
+  FROM nation JOIN region ON n_regionkey = r_regionkey)
+SELECT region || '/sales_' || nation || '.json' AS relative_path, nation AS template_name,
+       region || '.sales.' || nation AS dataset_name, 'http://src' || CAST(k AS VARCHAR) AS api_url,
+       'user' || CAST(k AS VARCHAR) AS login, 'mart' || CAST(k % 5 AS VARCHAR) || '.local' AS host,
+       substring(sha256('mart' || CAST(k % 5 AS VARCHAR) || '.local:9000|loader'), 1, 16) AS target_key,
+       CASE WHEN k % 2 = 1 THEN 'SALES' ELSE 'TRANSACTIONS' END AS report_type
+FROM c WHERE k % 5 <> 0 AND k % 7 <> 0 AND k % 11 <> 0""",
         "name_clash": f"""WITH {CFG},
 cand AS (SELECT c_custkey AS id,
                 CASE WHEN c_custkey % 3 = 0 THEN upper(c_name) ELSE c_name || ' copy' END AS name FROM customer)
@@ -592,6 +696,16 @@ SELECT id, name FROM cand WHERE lower(name) IN (SELECT lower(name) FROM tasks)""
         "outlet_reference": f"""SELECT org_id, org_name, org_code, address, country, lat, lon, inn, currency,
        delivery_type, pos_version, api_key_hint FROM ({OUTLET_REF}) r""",
         "outlet_stations": _outlet_stations(),
+        "cluster_centroids": f"""SELECT source_id, CAST(seq % 10 AS INTEGER) AS cluster, round(avg(lat), 6) AS c_lat,
+       round(avg(lon), 6) AS c_lon, count(*) AS members
+FROM ({OUTLET_REF}) r WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY 1, 2""",
+        "weather_requests": f"""WITH c AS (
+  SELECT source_id, CAST(seq % 10 AS INTEGER) AS cluster, round(avg(lat), 6) AS lat, round(avg(lon), 6) AS lon, min(seq) AS first_seq
+  FROM ({OUTLET_REF}) r WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY 1, 2),
+l AS (SELECT *, 'city-' || CAST(cluster % 4 AS VARCHAR) AS city_cluster FROM c
+      QUALIFY row_number() OVER (PARTITION BY source_id, cluster % 4 ORDER BY first_seq) = 1)
+SELECT source_id, city_cluster, lat AS req_lat, lon AS req_lon, w.part, w.date_from, w.date_to
+FROM l, (VALUES ('history', DATE '2023-12-21', DATE '2024-01-19'), ('forecast', DATE '2024-01-20', DATE '2024-01-27')) AS w(part, date_from, date_to)""",
         "outlet_summary": f"""SELECT source_id, count(*) AS outlets,
        count_if(lat IS NOT NULL AND lon IS NOT NULL) AS with_coordinates,
        count(DISTINCT CASE WHEN lat IS NOT NULL AND lon IS NOT NULL

@@ -25,6 +25,9 @@ REPLACE_QUIET_TO = dt.date(1998, 3, 14)
 # dish group absent from the re-load (its old rows in re-loaded chunks go away)
 REPLACE_GONE_GROUP = "SMALL"
 
+# a day past the window, in the next month, that the re-load also brings rows of
+REPLACE_LATE_DAY = dt.date(1998, 5, 2)
+
 # Clock of the task windows (WIN-1); a parameter, never the wall clock.
 AS_OF = dt.date(1998, 6, 1)
 
@@ -32,6 +35,7 @@ AS_OF = dt.date(1998, 6, 1)
 FILTER_TEMPLATE = "building"
 UPDATE_TEMPLATE = "household"
 TASK_SEARCH = "CUSTOMER#0"
+ANY_SEARCH = "Building"
 
 # Weather refresh range and outlet sync times.
 WEATHER_FROM = dt.date(2024, 1, 10)

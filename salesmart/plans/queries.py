@@ -7,14 +7,17 @@ in full and runs one engine operator chain on them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.operators import catalog, fx, geo, latest, mart, normalize, template, weather, windows
+from salesmart.functions.names import dataset_parts
+from salesmart.operators import catalog, fx, geo, latest, load, mart, normalize, template, weather, windows
 from salesmart.plans import params as P
-from salesmart.sources import fixtures
+from salesmart.session import work_dir
+from salesmart.sources import fixtures, landed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -109,22 +112,61 @@ def quarantine(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def load_summary(spark: SparkSession, data_dir: str) -> DataFrame:
     """AGG-8: per source and chunk, rows in, inserted, rejected, unconverted values."""
-    rows = fx.convert(spark, _filled(spark, data_dir), fixtures.rates(spark), "OpenDate_Typed",
-                      P.MEASURES, P.LOAD_FROM, P.LOAD_TO, chunk_col="_chunk_from")
-    unconverted = None
-    for m in P.MEASURES:
-        term = F.count_if(F.col(m).isNotNull() & F.col(m + "_RUB").isNull())
-        unconverted = term if unconverted is None else unconverted + term
-    return rows.groupBy("url", F.col("_chunk_from").alias("chunk_from")).agg(
-        F.count(F.lit(1)).alias("rows_in"),
-        F.count_if(F.col("OpenDate_Typed").isNotNull()).alias("inserted"),
-        F.count_if(F.col("OpenDate_Typed").isNull()).alias("rejected"),
-        unconverted.alias("unconverted"),
-    )
+    rows = fx.rated(spark, _filled(spark, data_dir), fixtures.rates(spark), "OpenDate_Typed",
+                    P.LOAD_FROM, P.LOAD_TO, chunk_col="_chunk_from", chunk_end_col="_chunk_to")
+    return normalize.load_summary(rows, P.MESSY_SCHEMA, P.MEASURES)
+
+
+def fx_landed(spark: SparkSession, data_dir: str) -> DataFrame:
+    """JOIN-1 + OP-10 + OP-11: sources on chunks of their own, rows dated past their
+    chunk, connection currencies, very small and very large amounts."""
+    rows = fixtures.sales_landed(spark, data_dir)
+    return fx.convert(spark, rows, fixtures.rates(spark), "OpenDate_Typed", ["DishSumInt"], P.LOAD_FROM, P.LOAD_TO,
+                      connection_currency="connection_currency", chunk_col="_chunk_from", chunk_end_col="_chunk_to")
+
+
+_LANDED_FIELDS = ["OpenDate.Typed", "CloseTime", "Department", "DishGroup", "DishId", "UniqOrderId.Id", "Currencies.Currency",
+                  "DishSumInt", "DishAmountInt", "DishDiscountSumInt", "Extra-Field", "url", "source", "chunk_from", "chunk_to"]
+
+
+def _landed_lines(spark: SparkSession, data_dir: str) -> DataFrame:
+    """SRC-1: the report rows written as JSON lines and read back with their landing metadata."""
+    path = work_dir(spark, "landing")
+    fixtures.write_landed_lines(spark, data_dir, path)
+    return landed.with_landing_metadata(landed.read_report_lines(spark, path, _LANDED_FIELDS))
+
+
+def _loaded(spark: SparkSession, data_dir: str) -> tuple[mart.MartSpec, str]:
+    """The load of the landed lines into a new mart with converted copies of all measures."""
+    base = P.MESSY_SCHEMA
+    full = template.mart_schema(P.SALES_MART_TEMPLATE, convert_currency=True)
+    spec = _mart_spec(spark, base, "load-mart")
+    mart.create_mart(spark, spec)
+    spec = mart.add_columns(spark, spec, full)  # SCH-3: the converted copies come later
+    if not mart.mart_exists(spark, spec.path):
+        raise ValueError("the mart was not created")
+    rates_path = work_dir(spark, "rates")
+    fixtures.rates(spark).write.parquet(rates_path)
+    rejects = work_dir(spark, "rejects")
+    load.load_landed(spark, _landed_lines(spark, data_dir), spec, P.MEASURES, landed.read_rates(spark, rates_path),
+                     P.LOAD_FROM, P.LOAD_TO, rejects)
+    return spec, rejects
+
+
+def load_pipeline(spark: SparkSession, data_dir: str) -> DataFrame:
+    """SRC-1, SRC-2, OP-1..OP-8, OP-10, OP-12, SNK-1..3, SCH-1..4: landed JSON to mart rows."""
+    spec, _ = _loaded(spark, data_dir)
+    return mart.read_mart(spark, spec).drop(mart.MONTH)
+
+
+def load_rejects(spark: SparkSession, data_dir: str) -> DataFrame:
+    """SNK-4: the rejects of the load as read back from their JSON lines, with two fields of the record (FN-10)."""
+    _, rejects = _loaded(spark, data_dir)
+    rows = spark.read.schema("record string, error string, chunk string").option("recursiveFileLookup", True).json(rejects)
+    return rows.select(F.get_json_object("record", "$.UniqOrderId_Id").alias("order_id"), F.get_json_object("record", "$.url").alias("url"), "error", "chunk")
 
 
 def _mart_spec(spark: SparkSession, schema, name: str) -> mart.MartSpec:
-    from salesmart.session import work_dir
     return mart.MartSpec(work_dir(spark, name), schema, "OpenDate_Typed",
                          tuple(template.sort_key(P.SALES_MART_TEMPLATE, schema)))
 
@@ -136,8 +178,10 @@ def replace_batch(rows: DataFrame) -> DataFrame:
     w = template.date_range_filter("OpenDate_Typed", P.REPLACE_FROM, P.REPLACE_TO)
     quiet = (F.col("url") == F.lit(P.REPLACE_QUIET_SOURCE)) & \
         F.col("OpenDate_Typed").between(F.lit(P.REPLACE_QUIET_FROM), F.lit(P.REPLACE_QUIET_TO))
-    return (rows.where(w & F.col("url").isin(P.REPLACE_SOURCES) & ~quiet & (F.col("DishGroup") != F.lit(P.REPLACE_GONE_GROUP)))
-            .withColumn("DishSumInt", F.col("DishSumInt") + F.lit(100.0)))
+    inside = rows.where(w & F.col("url").isin(P.REPLACE_SOURCES) & ~quiet & (F.col("DishGroup") != F.lit(P.REPLACE_GONE_GROUP)))
+    # the report range reaches past the window: rows of a later day and month come along
+    late = rows.where(F.col("url").isin(P.REPLACE_SOURCES) & (F.col("OpenDate_Typed") == F.lit(P.REPLACE_LATE_DAY)))
+    return inside.unionByName(late).withColumn("DishSumInt", F.col("DishSumInt") + F.lit(100.0))
 
 
 def replace_range(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -148,7 +192,8 @@ def replace_range(spark: SparkSession, data_dir: str) -> DataFrame:
     spec = _mart_spec(spark, old_schema, "mart")
     mart.create_mart(spark, spec, rows)
     spec = mart.add_columns(spark, spec, full)
-    mart.replace_range(spark, spec, replace_batch(rows), P.REPLACE_FROM, P.REPLACE_TO)
+    for _ in range(2):  # the second run changes nothing
+        mart.replace_range(spark, spec, replace_batch(rows), P.REPLACE_FROM, P.REPLACE_TO)
     return mart.read_mart(spark, spec).select(*full.fieldNames())
 
 
@@ -162,6 +207,20 @@ def dataset_info(spark: SparkSession, data_dir: str) -> DataFrame:
     return mart.profile(fixtures.sales_raw(spark, data_dir), "OpenDate_Typed")
 
 
+def dataset_columns(spark: SparkSession, data_dir: str) -> DataFrame:
+    """AGG-3: the mart's columns with type and number of values."""
+    return mart.column_profile(fixtures.sales_raw(spark, data_dir))
+
+
+def partition_sizes(spark: SparkSession, data_dir: str) -> DataFrame:
+    """AGG-7: rows, and whether files and bytes are known, per month partition of a written mart."""
+    rows = fixtures.sales_raw(spark, data_dir)
+    spec = replace(_mart_spec(spark, template.mart_schema(P.SALES_MART_TEMPLATE, convert_currency=False), "sizes"), max_records_per_file=500)
+    mart.create_mart(spark, spec, rows)
+    return mart.partition_sizes(spark, spec).select("month", "rows", (F.col("bytes") > 0).alias("has_bytes"),
+                                                    (F.col("files") >= F.ceil(F.col("rows") / 500)).alias("batched"))
+
+
 def reorganize_check(spark: SparkSession, data_dir: str) -> DataFrame:
     """DML-5 + AGG-6: rewrite into the partitioned layout and reconcile per month."""
     rows = fixtures.sales_raw(spark, data_dir)
@@ -212,7 +271,8 @@ def _incoming_connections(spark: SparkSession, data_dir: str) -> DataFrame:
     c = fixtures.read_table(spark, data_dir, "customer", ["c_custkey"])
     k = (F.col("c_custkey") % 40).cast("string")
     return c.select(F.concat(F.lit("http://src"), k).alias("api_url"), F.concat(F.lit("user"), k).alias("login"),
-                    F.concat(F.lit("pw"), F.col("c_custkey").cast("string")).alias("password"))
+                    F.concat(F.lit("pw"), F.col("c_custkey").cast("string")).alias("password"),
+                    (F.lit(1_000_000) - F.col("c_custkey")).alias("rank"))
 
 
 def insert_if_absent(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -221,6 +281,30 @@ def insert_if_absent(spark: SparkSession, data_dir: str) -> DataFrame:
                                     ["api_url", "login"], name_from=["api_url", "login"])
 
 
+def upsert(spark: SparkSession, data_dir: str) -> DataFrame:
+    """DML-4: connections by (address, login); the last record of a key sets the currency, a new key brings all of it."""
+    c = fixtures.read_table(spark, data_dir, "customer", ["c_custkey", "c_name", "c_nationkey"])
+    k = (F.col("c_custkey") % 40).cast("string")
+    incoming = c.select(F.concat(F.lit("http://src"), k).alias("api_url"), F.concat(F.lit("user"), k).alias("login"), F.col("c_name").alias("name"),
+                        F.when(F.col("c_nationkey") % 2 == 0, F.lit("AMD")).otherwise(F.lit("KGS")).alias("currency"), F.col("c_custkey").alias("seq"))
+    existing = fixtures.sources(spark, data_dir).select("api_url", "login", "name", "currency")
+    return catalog.upsert(existing, incoming, ["api_url", "login"], ["currency"], order=["seq"])
+
+
+def task_search(spark: SparkSession, data_dir: str) -> DataFrame:
+    """FLT-3 + FN-3: tasks whose name or dataset holds the text, with the dataset's two parts."""
+    tasks = fixtures.tasks(spark, data_dir)
+    hit = catalog.search_ci(P.ANY_SEARCH, "name", "dataset_name")
+    return tasks.where(hit).select("id", "name", "dataset_name", *dataset_parts("dataset_name"))
+
+
+def config_ingest(spark: SparkSession, data_dir: str) -> DataFrame:
+    """SRC-6 + FN-8..FN-10: config documents found, read and named by their path."""
+    path = work_dir(spark, "configs")
+    fixtures.write_config_files(spark, data_dir, path)
+    return catalog.read_config_dir(spark, path).drop("report_config")
+
+
 def name_clash(spark: SparkSession, data_dir: str) -> DataFrame:
     """JOIN-12: proposed task names that clash, ignoring case, with existing ones."""
     c = fixtures.read_table(spark, data_dir, "customer", ["c_custkey", "c_name"])
@@ -233,6 +317,8 @@ def name_clash(spark: SparkSession, data_dir: str) -> DataFrame:
 def multi_source_window(spark: SparkSession, data_dir: str) -> DataFrame:
     """WIN-1 + WIN-5 + JOIN-6: every active task's window over its source's rows."""
     tasks, sources, targets, templates, _ = _cfg(spark, data_dir)
+    # one task per source and template, so the result grows with the rows alone
+    tasks = catalog.one_per_key(tasks.where("is_active"), ["source_id", "template_id"])
     cfg = windows.task_configs(tasks, sources, targets, templates)
     rows = fixtures.sales_raw(spark, data_dir)
     out = windows.rows_in_task_windows(cfg, rows, P.AS_OF, "OpenDate_Typed")
@@ -252,9 +338,7 @@ def _outlet_ref(spark: SparkSession, data_dir: str) -> DataFrame:
     src = catalog.weather_sources(fixtures.sources(spark, data_dir)).select(
         F.col("id").alias("_sid"), "cloud_api_key")
     j = orgs.join(src, orgs.source_id == src._sid)
-    ref = weather.outlet_reference(j, "cloud_api_key")
-    extra = j.select(F.col("id").alias("org_id"), "source_id", "seq", "s_acctbal")
-    return ref.join(extra, "org_id")
+    return weather.outlet_reference(j, "cloud_api_key", keep=["source_id", "seq", "s_acctbal"])
 
 
 def outlet_reference(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -283,12 +367,21 @@ def outlet_stations(spark: SparkSession, data_dir: str) -> DataFrame:
     return res.select("org_id", "station_id", F.round("distance_km", 6).alias("distance_km"))
 
 
-def outlet_clusters(spark: SparkSession, data_dir: str) -> DataFrame:
-    """AGG-10 + AGG-4 + FLT-5: greedy 5 km clusters of each source's outlets."""
-    ref = _outlet_ref(spark, data_dir)
-    pts = ref.select("org_id", F.col("org_name").alias("name"), "lat", "lon", "seq", "source_id")
-    return geo.cluster_outlets(pts, "source_id").select(
-        "source_id", "org_id", "org_name", "city_cluster", "lat", "lon")
+def _clustered(spark: SparkSession, data_dir: str) -> DataFrame:
+    ref = _outlet_ref(spark, data_dir).where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    return ref.withColumn("cluster", (F.col("seq") % fixtures.WEATHER_LOCATIONS).cast("int"))
+
+
+def cluster_centroids(spark: SparkSession, data_dir: str) -> DataFrame:
+    """AGG-4 + FLT-5: centre and members of each source's given clusters."""
+    return geo.centroids(_clustered(spark, data_dir), ["source_id", "cluster"])
+
+
+def weather_requests(spark: SparkSession, data_dir: str) -> DataFrame:
+    """AGG-11 + WIN-3 + WIN-4: history and forecast requests, one per source and cluster label."""
+    centres = geo.centroids(_clustered(spark, data_dir), ["source_id", "cluster"], order_col="seq").selectExpr(
+        "source_id", "concat('city-', CAST(cluster % 4 AS STRING)) AS city_cluster", "c_lat AS lat", "c_lon AS lon", "first_seq")
+    return weather.request_windows(weather.cluster_requests(centres, "source_id"), fixtures.WEATHER_AS_OF)
 
 
 def weather_explode(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -311,7 +404,9 @@ def weather_by_outlet(spark: SparkSession, data_dir: str) -> DataFrame:
           for v, n in weather.WEATHER_FIELDS.items()])
     old_rows = weather.weather_for_outlets(old_w, outlets, ["cluster"]).withColumn("load", F.lit("old"))
     out = weather.replace_weather(old_rows, new_rows, P.WEATHER_FROM, P.WEATHER_TO)
-    return out.drop("cluster")
+    # AGG-5: the table keeps one row per outlet and day, the newer load first
+    out = out.drop("cluster").withColumn("_v", F.when(F.col("load") == "new", 1).otherwise(0))
+    return latest.latest_by_key(out, ["date", "org_id"], ["_v"]).drop("_v")
 
 
 def latest_by_key(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -331,7 +426,6 @@ def latest_by_key(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def add_column_default(spark: SparkSession, data_dir: str) -> DataFrame:
     """SCH-5: a column added later reads as its default for old rows."""
-    from salesmart.session import work_dir
     tasks = fixtures.tasks(spark, data_dir)
     path = work_dir(spark, "tasks")
     tasks.write.parquet(path)
@@ -353,9 +447,14 @@ def registry() -> dict[str, Query]:
         "fill_defaults": fill_defaults,
         "quarantine": quarantine,
         "load_summary": load_summary,
+        "fx_landed": fx_landed,
+        "load_pipeline": load_pipeline,
+        "load_rejects": load_rejects,
         "replace_range": replace_range,
         "dataset_profile": dataset_profile,
         "dataset_info": dataset_info,
+        "dataset_columns": dataset_columns,
+        "partition_sizes": partition_sizes,
         "reorganize_check": reorganize_check,
         "task_details": task_details,
         "task_filter": task_filter,
@@ -363,13 +462,17 @@ def registry() -> dict[str, Query]:
         "category_counts": category_counts,
         "bulk_update": bulk_update,
         "insert_if_absent": insert_if_absent,
+        "upsert": upsert,
+        "task_search": task_search,
+        "config_ingest": config_ingest,
         "name_clash": name_clash,
         "multi_source_window": multi_source_window,
         "date_chunks": date_chunks,
         "outlet_reference": outlet_reference,
         "outlet_stations": outlet_stations,
         "outlet_summary": outlet_summary,
-        "outlet_clusters": outlet_clusters,
+        "cluster_centroids": cluster_centroids,
+        "weather_requests": weather_requests,
         "weather_explode": weather_explode,
         "weather_by_outlet": weather_by_outlet,
         "latest_by_key": latest_by_key,

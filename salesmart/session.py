@@ -52,35 +52,25 @@ def apply_defaults(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
-def work_dir(spark: SparkSession, name: str | None = None) -> str:
-    """A fresh directory under the shared checkpoint location.
+def shared_base(spark: SparkSession) -> str:
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``; it is
-    used for staged writes and lineage cuts. Only when it is unset (local
-    tests) a private temporary folder is created and registered.
+    A local session without the setting gets a folder of its own; on a
+    cluster a machine-local folder would be read by nobody else, so a missing
+    setting is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="salesmart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
     sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="salesmart-")
+    base = base.removeprefix("file:") if base.startswith("file:/") and not base.startswith("file://") else base
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
-    leaf = f"{name or 'work'}-{uuid.uuid4().hex[:12]}"
-    return base.rstrip("/") + "/salesmart/" + leaf if "://" in base else os.path.join(base, "salesmart", leaf)
+    return base.rstrip("/")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure ``DataFrame.checkpoint()`` has a shared target."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="salesmart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    sc.setCheckpointDir(base)
-    return base
+def work_dir(spark: SparkSession, name: str | None = None) -> str:
+    """A fresh directory under the shared folder, for staged writes and lineage cuts."""
+    return f"{shared_base(spark)}/salesmart/{name or 'work'}-{uuid.uuid4().hex[:12]}"

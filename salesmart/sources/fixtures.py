@@ -10,10 +10,12 @@ derivations in SQL.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.operators.weather import WEATHER_FIELDS
 from salesmart.sources.tables import read_table
 
 # Currency code written on a sales row, chosen by l_suppkey % 6.
@@ -143,6 +145,59 @@ def sales_messy(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+def sales_landed(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Typed rows as several connections landed them, each on its own request chunks.
+
+    A source's chunks start ``nation % 7`` days off the window's grid; rows of
+    line 7 are dated past the chunk they came with; lines 5 and 6 carry very
+    small and very large amounts; every third source has a currency of its own.
+    """
+    anchor, k = LANDING_ANCHOR.isoformat(), LANDING_CHUNK_DAYS
+    conn = sources(spark, data_dir).selectExpr("id AS _sid", "currency AS _currency")
+    rows = _sales_join(spark, data_dir)
+    rows = rows.join(conn, rows.s_nationkey == conn._sid)
+    start = f"date_add(DATE'{anchor}', CAST(s_nationkey % 7 AS INT))"
+    rows = rows.selectExpr("*", "CAST(l_shipdate AS DATE) AS _day").selectExpr(
+        "*", f"date_add({start}, CAST(floor(datediff(_day, {start}) / {k}) * {k} AS INT) - CASE WHEN l_linenumber = 7 THEN {k} ELSE 0 END) AS _chunk_from")
+    return rows.selectExpr(
+        "_day AS OpenDate_Typed", "CAST(l_orderkey AS STRING) AS UniqOrderId_Id", "l_linenumber AS line",
+        f"{CURRENCY_SQL} AS Currencies_Currency",
+        "CASE WHEN s_nationkey % 3 = 0 THEN _currency ELSE '' END AS connection_currency",
+        "CASE l_linenumber WHEN 5 THEN 0.00004D WHEN 6 THEN 2.0E14D + l_quantity ELSE l_extendedprice END AS DishSumInt",
+        "concat('http://src', CAST(s_nationkey AS STRING)) AS url", "_chunk_from", f"date_add(_chunk_from, {k - 1}) AS _chunk_to")
+
+
+def write_landed_lines(spark: SparkSession, data_dir: str, path: str) -> None:
+    """SRC-1 input: the landed report rows as JSON lines, one folder per source."""
+    rows = sales_messy(spark, data_dir)
+    rows.withColumnsRenamed({"_source": "source", "_chunk_from": "chunk_from", "_chunk_to": "chunk_to"}).write.partitionBy("source").json(path)
+
+
+def write_config_files(spark: SparkSession, data_dir: str, path: str) -> None:
+    """SRC-6 input: one config document per nation, in a folder per region.
+
+    Every fifth lacks a section, every seventh is cut off, every eleventh lies
+    in a folder of temporary files. One small file per row of ``nation``.
+    """
+    n = read_table(spark, data_dir, "nation")
+    r = read_table(spark, data_dir, "region")
+    rows = n.join(r, n.n_regionkey == r.r_regionkey).selectExpr("n_nationkey AS k", "translate(lower(n_name), ' _', '--') AS nation",
+                                                                "translate(lower(r_name), ' _', '--') AS region").collect()
+    jvm = spark.sparkContext._jvm
+    for row in rows:
+        k = row["k"]
+        doc = {"iiko": {"api_url": f"http://src{k}", "login": f"user{k}"}, "clickhouse": {"host": f"mart{k % 5}.local", "port": "9000", "user": "loader"},
+               "default_report_config": {"reportType": "SALES" if k % 2 else "TRANSACTIONS", "groupByRowFields": ["Department"]}}
+        if k % 5 == 0:
+            del doc["clickhouse"]
+        text = json.dumps(doc)
+        folder = "temp" if k % 11 == 0 else row["region"]
+        file = jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}/sales_{row['nation']}.json")
+        out = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(file, True)
+        out.write(bytearray((text[:-9] if k % 7 == 0 else text).encode()))
+        out.close()
+
+
 # ---------------------------------------------------------------------------
 # Configuration tables (tasks, sources, targets, templates, categories)
 
@@ -177,9 +232,9 @@ def targets(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def templates(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Report templates, one per customer market segment, ids in name order."""
+    """Report templates, one per customer market segment; the id comes from the name's length and first letter."""
     seg = read_table(spark, data_dir, "customer", ["c_mktsegment"]).selectExpr("lower(c_mktsegment) AS name").distinct()
-    return seg.selectExpr("dense_rank() OVER (ORDER BY name) AS id", "name", "'SALES' AS report_type")
+    return seg.selectExpr("length(name) * 1000 + ascii(name) AS id", "name", "'SALES' AS report_type")
 
 
 def tasks(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -244,8 +299,7 @@ def weather_daily(spark: SparkSession, data_dir: str) -> DataFrame:
                  F.expr("max(value) - min(value)").alias("wind_speed_10m_max")))
 
 
-WEATHER_VARS = ["temperature_2m_mean", "temperature_2m_min", "temperature_2m_max",
-                "precipitation_sum", "cloud_cover_mean", "wind_speed_10m_max"]
+WEATHER_VARS = list(WEATHER_FIELDS)
 
 
 def weather_responses(spark: SparkSession, data_dir: str) -> DataFrame:

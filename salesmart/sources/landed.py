@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.functions.names import normalise_name
+from salesmart.operators.weather import WEATHER_FIELDS
 
 
 def report_fields_schema(fields: list[str]) -> T.StructType:
@@ -42,8 +42,9 @@ def with_landing_metadata(df: DataFrame) -> DataFrame:
     out = df
     if "source" in cols:
         out = out.withColumnRenamed("source", "_source")
-    if "chunk_from" in cols:
-        out = out.withColumn("_chunk_from", F.col("chunk_from").cast("date")).drop("chunk_from")
+    for edge in ("chunk_from", "chunk_to"):
+        if edge in cols:
+            out = out.withColumn(f"_{edge}", F.col(edge).cast("date")).drop(edge)
     return out
 
 
@@ -87,8 +88,7 @@ def read_outlet_responses(spark: SparkSession, path: str) -> DataFrame:
     return docs.select(F.explode("organizations").alias("o")).select("o.*")
 
 
-_DAILY_VARS = ("temperature_2m_mean", "temperature_2m_min", "temperature_2m_max",
-               "precipitation_sum", "cloud_cover_mean", "wind_speed_10m_max")
+_DAILY_VARS = tuple(WEATHER_FIELDS)
 _DAILY = T.StructType([T.StructField("time", T.ArrayType(T.StringType()))]
                       + [T.StructField(v, T.ArrayType(T.DoubleType())) for v in _DAILY_VARS])
 WEATHER_SCHEMA = T.StructType([T.StructField("daily", _DAILY, True)])
@@ -98,7 +98,3 @@ def read_weather_responses(spark: SparkSession, path: str) -> DataFrame:
     """SRC-4 input: one weather response per document; folder partitions
     (e.g. ``cluster=``/``part=``) identify the request."""
     return spark.read.schema(WEATHER_SCHEMA).option("multiLine", True).json(path)
-
-
-def mart_names(fields: list[str]) -> list[str]:
-    return [normalise_name(f) for f in fields]

@@ -9,48 +9,25 @@ TABLES = (
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
-# Fact tables: their per-row work must use every core.
-FACT_TABLES = {"lineitem", "orders", "events"}
-
-
-# Below this size a single task reads a table fast enough.
-SPREAD_MIN_BYTES = 4 << 20
-
-_spread_decisions: dict[tuple[str, str], bool] = {}
+def read_table(spark: SparkSession, data_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """Scan ``<data_dir>/<name>.parquet``; ``columns`` prunes the read schema."""
+    df = spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    if columns:
+        df = df.select(*columns)
+    return df.repartition(_spread[name]) if name in _spread else df
 
 
-def _bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+# Tables whose scans are dealt over so many tasks; none unless asked for.
+_spread: dict[str, int] = {}
 
 
-def spread_if_narrow(df: DataFrame, path: str) -> DataFrame:
-    """Round-robin the rows when a large scan has far fewer splits than cores.
+def spread_scans(tasks: int, names: tuple[str, ...] = ("lineitem", "orders", "events")) -> None:
+    """Deal the scans of the named tables round-robin over ``tasks`` tasks from now on.
 
-    A file written as one row group is read by one task however large it
-    is, and everything pipelined after the scan then runs on one core. At
-    scale the scan already has thousands of splits and this is a no-op, so
-    no shuffle is added where parallelism exists. The decision is made once
-    per path and session (a metadata call, then one planning call).
+    For files of one row group, which one task reads however large they are;
+    0 turns it off. Never decided by size.
     """
-    spark = df.sparkSession
-    try:
-        sc = spark.sparkContext
-    except Exception:  # a remote session exposes no scan splits; leave the plan as is
-        return df
-    cores = sc.defaultParallelism
-    key = (sc.applicationId, path)
-    if key not in _spread_decisions:
-        _spread_decisions[key] = (_bytes(spark, path) >= SPREAD_MIN_BYTES
-                                  and df.rdd.getNumPartitions() * 2 <= cores)
-    return df.repartition(cores) if _spread_decisions[key] else df
-
-
-def read_table(spark: SparkSession, data_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """Scan ``<data_dir>/<name>.parquet``; ``columns`` prunes the read schema."""
-    path = f"{data_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if columns:
-        df = df.select(*columns)
-    return spread_if_narrow(df, path) if name in FACT_TABLES else df
+    for name in names:
+        _spread.pop(name, None)
+        if tasks:
+            _spread[name] = tasks

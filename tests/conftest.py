@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -20,9 +19,6 @@ def spark():
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     apply_defaults(s)
-    # tests set their own shared folder only where the session has none
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="salesmart-test-"))
     yield s
     s.stop()
 

@@ -1,28 +1,22 @@
-"""Scan helpers: column pruning and spreading of single-split fact files."""
+"""Scan helpers: column pruning, explicit spreading, shared work folders."""
 
-import os
-
-import pytest
-
-from salesmart.session import work_dir
+from salesmart.session import shared_base, work_dir
 from salesmart.sources import tables
-
-BIG = "/root/testdata/sf0.1"
+from tests.conftest import SMALL
 
 
-@pytest.mark.skipif(not os.path.exists(f"{BIG}/lineitem.parquet"), reason="sf0.1 data not present")
-def test_single_split_fact_scan_is_spread(spark):
-    raw = spark.read.parquet(f"{BIG}/lineitem.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if raw.rdd.getNumPartitions() * 2 > cores:
-        pytest.skip("scan already parallel")
-    df = tables.read_table(spark, BIG, "lineitem", ["l_orderkey", "l_shipdate"])
-    assert df.rdd.getNumPartitions() == cores
-    assert df.columns == ["l_orderkey", "l_shipdate"]
-    small = tables.read_table(spark, "/root/testdata/sf0.001", "lineitem")
-    assert small.rdd.getNumPartitions() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").rdd.getNumPartitions()
+def test_scans_are_spread_only_when_asked(spark):
+    plain = spark.read.parquet(f"{SMALL}/lineitem.parquet").rdd.getNumPartitions()
+    assert tables.read_table(spark, SMALL, "lineitem").rdd.getNumPartitions() == plain
+    tables.spread_scans(5)
+    try:
+        df = tables.read_table(spark, SMALL, "lineitem", ["l_orderkey", "l_shipdate"])
+        assert df.rdd.getNumPartitions() == 5 and df.columns == ["l_orderkey", "l_shipdate"]
+    finally:
+        tables.spread_scans(0)
+    assert tables.read_table(spark, SMALL, "lineitem").rdd.getNumPartitions() == plain
 
 
 def test_work_dir_uses_shared_checkpoint_folder(spark):
-    base = spark.conf.get("spark.checkpoint.dir")
-    assert work_dir(spark, "x").startswith(base.rstrip("/"))
+    assert work_dir(spark, "x").startswith(shared_base(spark))
+    assert work_dir(spark, "x") != work_dir(spark, "x")
