@@ -23,7 +23,7 @@ from salesmart.operators import mart, template  # noqa: E402
 from salesmart.plans import params as P  # noqa: E402
 from salesmart.plans import queries as Q  # noqa: E402
 from salesmart.session import build_session  # noqa: E402
-from salesmart.sources import fixtures  # noqa: E402
+from salesmart.sources import fixtures, tables  # noqa: E402
 
 HEADLINE = [
     "report_sales", "report_transactions", "fx_convert", "coerce_types", "load_summary",
@@ -51,6 +51,7 @@ def main() -> None:
     partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
     spark = build_session(f"local[{cpus}]", partitions, app_name="salesmart-bench")
     spark.sparkContext.setLogLevel("ERROR")
+    tables.spread_scans(cpus)  # the generated tables are one row group each
     reg = Q.registry()
     results: dict[str, float | None] = {}
     errors: dict[str, str] = {}
