@@ -15,6 +15,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.operators.catalog import CONFIG_SOURCE_KEY, CONFIG_TARGET_KEY, CONFIG_TEMPLATE_KEY
 from salesmart.operators.weather import WEATHER_FIELDS
 from salesmart.sources.tables import read_table
 
@@ -186,10 +187,11 @@ def write_config_files(spark: SparkSession, data_dir: str, path: str) -> None:
     jvm = spark.sparkContext._jvm
     for row in rows:
         k = row["k"]
-        doc = {"iiko": {"api_url": f"http://src{k}", "login": f"user{k}"}, "clickhouse": {"host": f"mart{k % 5}.local", "port": "9000", "user": "loader"},
-               "default_report_config": {"reportType": "SALES" if k % 2 else "TRANSACTIONS", "groupByRowFields": ["Department"]}}
+        doc = {CONFIG_SOURCE_KEY: {"api_url": f"http://src{k}", "login": f"user{k}"},
+               CONFIG_TARGET_KEY: {"host": f"mart{k % 5}.local", "port": "9000", "user": "loader"},
+               CONFIG_TEMPLATE_KEY: {"reportType": "SALES" if k % 2 else "TRANSACTIONS", "groupByRowFields": ["Department"]}}
         if k % 5 == 0:
-            del doc["clickhouse"]
+            del doc[CONFIG_TARGET_KEY]
         text = json.dumps(doc)
         folder = "temp" if k % 11 == 0 else row["region"]
         file = jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}/sales_{row['nation']}.json")
