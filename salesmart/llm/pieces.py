@@ -1,8 +1,9 @@
 """Token ids of whole texts through a bounded store of already encoded chunks.
 
-A chunk is a run without spaces and the one space before it. A byte-level
-pre-tokeniser never joins a character that is not white space with a space
-after it, so chunks encode independently, and a text's ids are its chunks'
+A chunk is a run without spaces and the one space before it, cut again before
+a comma or full stop that ends a word and behind a lone line feed before a
+letter. A byte-level pre-tokeniser splits at all these places whatever stands
+around them, so chunks encode independently, and a text's ids are its chunks'
 ids in order. A text in which a space follows white space is encoded whole.
 """
 
@@ -13,10 +14,27 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
-from salesmart.llm.words import ragged, span_hashes, text_bytes
+from salesmart.llm.words import IS_SPACE, ragged, span_hashes, text_bytes
 
 # Chunks that one worker keeps before it starts anew (about 60 bytes each).
-STORE_CHUNKS = 1_500_000
+STORE_CHUNKS = 1_000_000
+
+
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[[0x2C, 0x2E]] = True
+
+
+def _inner_cuts(data: np.ndarray, breaks: np.ndarray) -> np.ndarray:
+    """Bytes that start a chunk inside a run: a word's closing mark, a letter behind a lone line feed."""
+    feed, letter = data == 0x0A, _LETTER[data]
+    over = breaks[1:].copy()  # what stands behind ends the word: space, line feed or the text's end
+    over[:-1] |= feed[1:] | (data[1:] == 0x20)
+    out = np.zeros(len(data), bool)
+    out[1:] = _MARK[data[1:]] & letter[:-1] & over[1:]
+    out[2:] |= letter[2:] & feed[1:-1] & ~IS_SPACE[data[:-2]] & (data[:-2] < 0x80)
+    return out
 
 
 class ChunkStore:
@@ -73,7 +91,7 @@ class ChunkStore:
         data, offsets = text_bytes(texts)
         breaks = np.zeros(len(data) + 1, bool)
         breaks[offsets] = True
-        starts = np.flatnonzero((data == 0x20) | breaks[:-1])
+        starts = np.flatnonzero((data == 0x20) | breaks[:-1] | _inner_cuts(data, breaks))
         if not len(starts):
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
         ends = np.append(starts[1:], len(data))
@@ -82,8 +100,8 @@ class ChunkStore:
         counts = self.counts[slot].astype(np.int64)
         ids = self.ids[ragged(self.starts[slot], counts)]
         per_doc = np.bincount(doc, counts, len(texts)).astype(np.int64)
-        ends_doc = np.append(doc[1:] != doc[:-1], True)
-        broken = np.unique(doc[self.odd[slot] & ~ends_doc])
+        space_next = np.append((doc[1:] == doc[:-1]) & (data[starts[1:]] == 0x20), False)
+        broken = np.unique(doc[self.odd[slot] & space_next])
         if not len(broken):
             return ids, per_doc
         whole, whole_counts = self.encode([texts[int(d)].as_py() for d in broken])

@@ -74,10 +74,8 @@ class LibraryEncoder:
         found: list[list[int] | None] = [None] * len(texts)
         other = []
         for i, text in enumerate(texts):
-            # "word," and "word." are two pre-tokens whose second is looked up once
-            stem, mark = (text[:-1], text[-1]) if text[-1:] in (",", ".") else (text, "")
-            if self.word(stem):
-                found[i] = self._word_ids(stem) + (self._mark(mark) if mark else [])
+            if self.word(text):
+                found[i] = self._word_ids(text)
             else:
                 other.append(i)
         for i, e in zip(other, self.library.encode_batch_fast([texts[i] for i in other], add_special_tokens=False), strict=True):
@@ -85,10 +83,6 @@ class LibraryEncoder:
         counts = np.array([len(x) for x in found], np.int64)
         return np.fromiter((i for x in found for i in x), np.int32, int(counts.sum())), counts
 
-    @lru_cache(maxsize=8)  # noqa: B019
-    def _mark(self, mark: str) -> list[int]:
-        return self.library.encode(mark, add_special_tokens=False).ids
-
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return self.store.texts(texts)
 
@@ -130,7 +124,7 @@ def write_store(docs: DataFrame, out: str, path: str, end_id: int = END_ID, file
      .write.options(**{"parquet.writer.version": "PARQUET_2_0", "parquet.block.size": row_group_bytes,
                        "parquet.page.size": page_bytes, "parquet.page.row.count.limit": page_rows,
                        "parquet.enable.dictionary": "true", "parquet.dictionary.page.size": dictionary_bytes,
-                       "compression": "zstd"}).parquet(out))
+                       "compression": "zstd", "parquet.compression.codec.zstd.level": 1}).parquet(out))
 
 
 def read_store(spark, out: str) -> DataFrame:

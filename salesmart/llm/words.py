@@ -3,7 +3,7 @@
 Works on the UTF-8 bytes of a batch as one array. A word's hash is a
 polynomial over random per-byte values, read off a running sum, so a batch
 costs a handful of array passes and no Python object per word. Hashes are
-taken in windows of a few megabytes, so memory does not grow with a text.
+taken in windows of half a megabyte, so memory does not grow with a text.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ _M = (1 << 64) - 1
 _BASE = 0xD1342543DE82EF93
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _VALUE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_WINDOW = 4 << 20
+_WINDOW = 1 << 19
 _powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 IS_SPACE = np.zeros(256, bool)
@@ -44,7 +44,7 @@ def _upto(kind: str, n: int) -> np.ndarray:
     return have
 
 
-def text_parts(batch: pa.RecordBatch, column: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def text_parts(batch: pa.RecordBatch, column: str = "text", limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with at most ``limit`` bytes of text, or one row."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     at = 0
