@@ -85,8 +85,10 @@ def hot_join(rows: DataFrame, small: DataFrame, keys: list[str], salts: int = 16
     ``small`` has at most one row per key and is repeated ``salts`` times, so a
     key that holds a third of all rows is dealt over ``salts`` partitions
     whether or not the planner notices the skew. The salt is a hash of the
-    whole fact row, so a retried task deals its rows the same way.
+    whole fact row, so a retried task deals its rows the same way. Both sides
+    are shuffled: the planner sees ``small`` without its copies, so its size
+    would be no safe ground for a broadcast.
     """
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(salts)).cast("int"))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    return salted.join(copies.hint("merge"), [*keys, "_salt"], how).drop("_salt")

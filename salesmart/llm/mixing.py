@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import WORD, cut, documents, hot_join, written
+from salesmart.llm.common import WORD, cut, documents, written
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -126,10 +126,14 @@ def draw_limits(rows: DataFrame, per_source: DataFrame, slots: int = SLOTS) -> D
 
 
 def drawn(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """``rows`` (size, draw, source and any more) with source_size, target and ``copies``."""
+    """``rows`` (size, draw, source and any more) with source_size, target and ``copies``.
+
+    ``known`` is a table with one row per source: Catalyst broadcasts it below its
+    own size limit; above it both sides are shuffled and a hot source is split by AQE.
+    """
     keyed = rows.withColumns({"_source": F.coalesce("source", F.lit("")), "_none": F.col("source").isNull()})
     extra = F.coalesce((F.col("draw") < F.col("limit")) & (F.col("size") > 0), F.lit(False)).cast("long")
-    return hot_join(keyed, known, ["_source", "_none"]).withColumn("copies", F.col("epochs") + extra).drop("_source", "_none", "epochs", "limit")
+    return keyed.join(known, ["_source", "_none"]).withColumn("copies", F.col("epochs") + extra).drop("_source", "_none", "epochs", "limit")
 
 
 def plan(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: float = MAX_EPOCHS) -> DataFrame:
