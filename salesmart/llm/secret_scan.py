@@ -53,7 +53,7 @@ FEATURES = ["length", "lead", "changes", "digits", "capitals", "hex", "distinct"
 
 def dictionary(docs: DataFrame, share: float = WORD_SHARE) -> DataFrame:
     """Words of three letters or more that make up at least ``share`` of all words."""
-    words = docs.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).filter(F.length("word") >= 3)
+    words = docs.select(F.explode_outer(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).filter(F.length("word") >= 3)
     counts = cut(words.groupBy("word").agg(F.count("*").alias("n")).filter("n > 1"))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     return counts.filter(F.col("n") >= share * total).select("word")
@@ -63,7 +63,8 @@ def candidates(docs: DataFrame) -> DataFrame:
     """One row per candidate: doc_id, text_key, path, s, e, value, key (what it is assigned to), before, after."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("source", F.lit("")).alias("path"))
     rows = located(rows, CANDIDATE, "found", F.length("text") >= 12)
-    flat = rows.select("doc_id", F.xxhash64("text").alias("text_key"), "path", F.explode("found").alias("x"))
+    # outer, so that no filter on the matches is pushed below the projections that compute them
+    flat = rows.select("doc_id", F.xxhash64("text").alias("text_key"), "path", F.explode_outer("found").alias("x")).filter("x IS NOT NULL")
     key = F.regexp_extract("x.v", r"^([A-Za-z_]{2,20})[=:]", 0)  # "password=": the value behind it is the candidate
     flat = flat.withColumn("key", key).withColumn("value", F.expr("regexp_replace(substr(x.v, length(key) + 1), '[.:=,]+$', '')"))
     return flat.select("doc_id", "text_key", "path", (F.col("x.s") + F.length("key")).alias("s"),
