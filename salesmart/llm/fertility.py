@@ -7,7 +7,10 @@ What is usual depends on the language and on the length, so the bands are
 learned per language (script where the language is missing) and length class
 from all documents: a text is rejected when a measure lies on its bad side
 (few characters per token, many fallback bytes, little entropy) further outside
-the middle half of its class than ``WIDTH`` times that half's breadth. Classes
+the middle half of its class than a width times that half's breadth. The width
+of each measure is the least at which ``GOOD_KEPT`` of the texts labelled as good
+stay inside, 1 at least; without ``LEAST_CLASS`` such texts, or where they do not
+differ, it is ``WIDTH``. The fallback bytes of a single character reject nothing. Classes
 of fewer than ``LEAST_CLASS`` texts use the band of their language, without the
 entropy, which depends on length; languages that small reject nothing by band.
 
@@ -17,6 +20,7 @@ Defined cases
 * null or empty text: no words, fails the base rule; measures are 0
 * null language: the script of most letters stands in for it
 * rows that repeat are judged alike; null ids are ordinary rows
+* several labels for one id: the least quality counts; null qualities are no labels
 * no rows in, no rows out; extra columns are ignored
 """
 
@@ -29,16 +33,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import cut, documents, hot_join
+from salesmart.llm.common import cut, documents, hot_join, labels
 from salesmart.llm.pieces import ChunkStore
 from salesmart.llm.words import IS_SPACE, mix, ragged, span_hashes, text_bytes, text_parts, word_spans
 
 WINDOW = 5
 LEAST_WORDS = 10
 REPEAT_PERCENT = 20
-WIDTH = 6.0
+WIDTH = 3.0
+GOOD_KEPT = 0.995
 LEAST_CLASS = 50
-MEASURES = {"chars_per_token": 0.1, "byte_share": 0.02, "entropy": 0.25}  # with the least breadth of a band
+MEASURES = {"chars_per_token": 0.005, "byte_share": 0.002, "entropy": 0.01}  # with the least breadth of a middle half
+CHAR_BYTES = 4  # fallback bytes of one character
 BAD_SIDE = {"chars_per_token": "low", "byte_share": "high", "entropy": "low"}
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -119,7 +125,7 @@ def _script(text: str | None) -> str:
 
 
 def measure(docs: DataFrame, path: str) -> DataFrame:
-    """Per document: doc_id, class keys, base counts and the three measures."""
+    """Per document: doc_id, hash of the text, class keys, base counts and the three measures."""
     def run(batches):
         own = vocabulary(path)
         for batch in batches:
@@ -139,47 +145,73 @@ def measure(docs: DataFrame, path: str) -> DataFrame:
                 some = np.maximum(tokens, 1)
                 lang = [x if x is not None else _script(t.as_py()) for x, t in zip(part.column("lang").to_pylist(), texts, strict=True)]
                 yield pa.record_batch(
-                    [part.column("doc_id"), pa.array(lang, pa.string()), pa.array(np.floor(np.log2(words + 1)).astype(np.int32)),
+                    [part.column("doc_id"), part.column("text_key"), pa.array(lang, pa.string()), pa.array(np.floor(np.log2(words + 1)).astype(np.int32)),
                      pa.array(words), pa.array(chars), pa.array(_per_text(_SYMBOL[data], offsets)),
                      pa.array(repeated_lines(data, offsets)), pa.array(repeated_words(span_hashes(data, starts, ends), doc, n)),
                      pa.array(tokens), pa.array(chars / some), pa.array(np.bincount(owner[own.is_byte[ids]], minlength=n) / some),
                      pa.array(_entropy(ids, owner, n, len(own.is_byte)).astype(float))],
-                    names=["doc_id", "lang", "length_class", *_FIELDS, "n_tokens", *MEASURES])
+                    names=["doc_id", "text_key", "lang", "length_class", *_FIELDS, "n_tokens", *MEASURES])
     kind = docs.schema["doc_id"].dataType.simpleString()
     counts = ", ".join(f"{c} long" for c in _FIELDS)
-    return docs.select("doc_id", "text", "lang").mapInArrow(
-        run, f"doc_id {kind}, lang string, length_class int, {counts}, n_tokens long, " + ", ".join(f"{m} double" for m in MEASURES))
+    return docs.select("doc_id", "text", "lang", F.xxhash64("text").alias("text_key")).mapInArrow(
+        run, f"doc_id {kind}, text_key long, lang string, length_class int, {counts}, n_tokens long, " + ", ".join(f"{m} double" for m in MEASURES))
 
 
-def bands(rows: DataFrame, keys: list[str], width: float = WIDTH, least: int = LEAST_CLASS) -> DataFrame:
-    """Per class of at least ``least`` texts: the last usual value of each measure on its bad side."""
+def bands(rows: DataFrame, keys: list[str], least: int = LEAST_CLASS) -> DataFrame:
+    """Per class of at least ``least`` texts: edge (of the middle half, on the bad side) and breadth of each measure."""
     quartiles = rows.filter("n_words > 0").groupBy(*keys).agg(
         F.count("*").alias("n"), *[F.percentile_approx(m, [0.25, 0.75], 10_000).alias(m) for m in MEASURES])
-    limits = []
-    for m, floor in MEASURES.items():
-        reach = F.greatest(F.col(m)[1] - F.col(m)[0], F.lit(floor)) * width
-        limits.append((F.col(m)[0] - reach if BAD_SIDE[m] == "low" else F.col(m)[1] + reach).alias(f"{m}_limit"))
-    return quartiles.filter(F.col("n") >= least).select(*keys, *limits)
-
-
-def judge(docs: DataFrame, path: str, width: float = WIDTH, least: int = LEAST_CLASS) -> DataFrame:
-    """One row per document: counts, measures, base_failed, band_failed, kept."""
-    rows = cut(measure(docs, path))
-    by_length = bands(rows, ["lang", "length_class"], width, least)
-    by_lang = bands(rows, ["lang"], width, least)
-    by_lang = by_lang.select("lang", *[F.col(f"{m}_limit").alias(f"{m}_lang") for m in MEASURES if m != "entropy"]).withColumn(
-        "entropy_lang", F.lit(None).cast("double"))
+    found = [F.struct(F.col(m)[0 if BAD_SIDE[m] == "low" else 1].alias("edge"), F.greatest(F.col(m)[1] - F.col(m)[0], F.lit(floor)).alias("breadth"))
+             .alias(f"{m}_band") for m, floor in MEASURES.items()]
+    return quartiles.filter(F.col("n") >= least).select(*keys, *found)
+
+
+def placed(rows: DataFrame, least: int = LEAST_CLASS) -> DataFrame:
+    """The rows with the distance of each measure from its class's middle half, in breadths; null without a band."""
+    by_length = bands(rows, ["lang", "length_class"], least)
+    by_lang = bands(rows, ["lang"], least)
+    by_lang = by_lang.select("lang", *[F.col(f"{m}_band").alias(f"{m}_lang") for m in MEASURES if m != "entropy"]).withColumn(
+        "entropy_lang", F.lit(None).cast("struct<edge: double, breadth: double>"))
     joined = hot_join(hot_join(rows, by_length, ["lang", "length_class"], how="left"), by_lang, ["lang"], how="left")
-    outside = F.lit(False)
+    far = []
     for m, side in BAD_SIDE.items():
-        limit = F.coalesce(f"{m}_limit", f"{m}_lang")
-        outside = outside | F.coalesce(F.col(m) < limit if side == "low" else F.col(m) > limit, F.lit(False))
+        band = F.coalesce(f"{m}_band", f"{m}_lang")
+        gap = (band["edge"] - F.col(m)) if side == "low" else (F.col(m) - band["edge"])
+        far.append((gap / band["breadth"]).alias(f"{m}_far"))
+    return joined.select(*rows.columns, *far)
+
+
+def widths(rows: DataFrame, known: DataFrame | None, least: int = LEAST_CLASS) -> dict[str, float]:
+    """Per measure: the distance within which ``GOOD_KEPT`` of the distinct good texts stay."""
+    found = dict.fromkeys(MEASURES, WIDTH)
+    if known is None:
+        return found
+    good = known.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality > 0")
+    texts = rows.filter("NOT base_failed").join(good.select("doc_id"), "doc_id", "left_semi").select("text_key", "lang", *[f"{m}_far" for m in MEASURES]).distinct()
+    seen = texts.agg(F.count("*").alias("n"), *[F.percentile_approx(f"{m}_far", GOOD_KEPT, 10_000).alias(m) for m in MEASURES]).first()
+    for m in MEASURES:
+        if seen["n"] >= least and seen[m] is not None and seen[m] > 0:
+            found[m] = max(1.0, seen[m])
+    return found
+
+
+def judge(docs: DataFrame, path: str, known: DataFrame | None = None, least: int = LEAST_CLASS) -> DataFrame:
+    """One row per document: counts, measures, base_failed, band_failed, kept; ``known`` (doc_id, quality) sets the widths."""
     base = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    return (joined.withColumns({"base_failed": base, "band_failed": outside}).withColumn("kept", ~F.col("base_failed") & ~F.col("band_failed"))
+    rows = placed(cut(measure(docs, path).withColumn("base_failed", base)), least)
+    if known is not None:
+        rows = cut(rows)
+    outside = F.lit(False)
+    for m, width in widths(rows, known, least).items():
+        beyond = F.coalesce(F.col(f"{m}_far") > width, F.lit(False))
+        if m == "byte_share":
+            beyond &= F.round(F.col(m) * F.col("n_tokens")) > CHAR_BYTES
+        outside = outside | beyond
+    return (rows.withColumn("band_failed", outside).withColumn("kept", ~F.col("base_failed") & ~F.col("band_failed"))
             .select("doc_id", *_FIELDS, "base_failed", "kept", "band_failed", "n_tokens", *MEASURES))
 
 
 def op6_token_fertility(spark, sf_dir):
     """Quality verdicts of all documents by base rules and tokeniser fertility."""
     import public_tokenizers
-    return judge(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    return judge(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), labels(spark, sf_dir))

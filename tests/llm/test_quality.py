@@ -69,6 +69,52 @@ def test_bands_reject_texts_unlike_their_class(spark):
     assert all(out[i]["kept"] for i in range(200) if not out[i]["base_failed"])
 
 
+USUAL = ("the house water of and people with small garden light under morning river stone window market over through summer evening letter table "
+         "father mother winter school paper number between something country always because another thought without").split()
+
+
+def usual_texts(rng, n):
+    """Ordinary texts of one language and length class."""
+    return [[rng.choice(USUAL) for _ in range(rng.randint(90, 110))] for _ in range(n)]
+
+
+def bad_texts(rng):
+    """Moderately bad texts, each for one measure alone."""
+    split = usual_texts(rng, 1)[0]
+    split[::9] = ["xqzv" + "".join(rng.choice("bcdfgkpqvxz") for _ in range(3)) for _ in split[::9]]  # more tokens, no fewer kinds
+    marked = usual_texts(rng, 1)[0]
+    marked[::5] = ["something" for _ in marked[::5]]  # long words make up for the tokens of the marks
+    marked[1::40] = [w + chr(0x13000 + i) for i, w in enumerate(marked[1::40])]
+    few = [w for w in USUAL[14:28] for _ in range(7)]
+    rng.shuffle(few)
+    return {"chars_per_token": split, "byte_share": marked, "entropy": few}
+
+
+def test_each_measure_rejects_moderately_bad_texts(spark):
+    rng = random.Random(21)
+    bad = bad_texts(rng)
+    rows = [(i, " ".join(w), "en") for i, w in enumerate([*usual_texts(rng, 300), *bad.values()])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    placed = by_id(fertility.placed(fertility.measure(docs, PIECES).withColumn("base_failed", F.lit(False))))
+    known = spark.createDataFrame([(i, 1) for i in range(300)], "doc_id long, quality int")
+    for marks in (None, known):
+        out = by_id(fertility.judge(docs, PIECES, marks))
+        assert sum(out[i]["band_failed"] for i in range(300)) <= 6
+        for k, m in enumerate(bad):
+            assert not out[300 + k]["base_failed"] and out[300 + k]["band_failed"], m
+            assert [x for x in fertility.MEASURES if placed[300 + k][f"{x}_far"] > fertility.WIDTH] == [m]
+
+
+def test_widths_follow_the_labelled_texts(spark):
+    rows = [(i, i, "en", False, i / 100, 0.0, -1.0) for i in range(1000)] + [(1000 + i, -1, "en", False, 50.0, 50.0, 50.0) for i in range(500)]
+    rows = spark.createDataFrame(rows, "doc_id long, text_key long, lang string, base_failed boolean, " + ", ".join(f"{m}_far double" for m in fertility.MEASURES))
+    known = spark.createDataFrame([(i, 1) for i in range(1500)] + [(999, 0)], "doc_id long, quality int")
+    found = fertility.widths(rows, known)
+    assert math.isclose(found["chars_per_token"], 9.95, abs_tol=0.03)  # copies count once
+    assert found["byte_share"] == found["entropy"] == fertility.WIDTH  # the good texts do not differ
+    assert fertility.widths(rows, known.filter("doc_id < 10")) == dict.fromkeys(fertility.MEASURES, fertility.WIDTH)
+
+
 # -- language model ----------------------------------------------------------
 
 def test_base_scores_match_brute_force(clashing, small, empty):
