@@ -10,9 +10,12 @@ from all documents: a text is rejected when a measure lies on its bad side
 the middle half of its class than a width times that half's breadth. The width
 of each measure is the least at which ``GOOD_KEPT`` of the texts labelled as good
 stay inside, 1 at least; without ``LEAST_CLASS`` such texts, or where they do not
-differ, it is ``WIDTH``. The fallback bytes of a single character reject nothing. Classes
-of fewer than ``LEAST_CLASS`` texts use the band of their language, without the
-entropy, which depends on length; languages that small reject nothing by band.
+differ, it is ``WIDTH``. The fallback bytes of a single character reject nothing.
+
+Bands are learned from distinct texts that pass the base rules. A class of fewer
+than ``LEAST_CLASS`` such texts uses the band of its language, then of its script,
+then of all documents. Entropy depends on length, so its fallbacks are those of
+the same length class of the script and of all documents.
 
 Base rules (too few words, too many repeated words) reject on their own.
 
@@ -143,39 +146,51 @@ def measure(docs: DataFrame, path: str) -> DataFrame:
                 owner = np.repeat(doc, counts)
                 tokens = np.bincount(owner, minlength=n)
                 some = np.maximum(tokens, 1)
-                lang = [x if x is not None else _script(t.as_py()) for x, t in zip(part.column("lang").to_pylist(), texts, strict=True)]
+                script = [_script(t.as_py()) for t in texts]
+                lang = [x if x is not None else s for x, s in zip(part.column("lang").to_pylist(), script, strict=True)]
                 yield pa.record_batch(
-                    [part.column("doc_id"), part.column("text_key"), pa.array(lang, pa.string()), pa.array(np.floor(np.log2(words + 1)).astype(np.int32)),
+                    [part.column("doc_id"), part.column("text_key"), pa.array(lang, pa.string()), pa.array(script, pa.string()), pa.array(np.floor(np.log2(words + 1)).astype(np.int32)),
                      pa.array(words), pa.array(chars), pa.array(_per_text(_SYMBOL[data], offsets)),
                      pa.array(repeated_lines(data, offsets)), pa.array(repeated_words(span_hashes(data, starts, ends), doc, n)),
                      pa.array(tokens), pa.array(chars / some), pa.array(np.bincount(owner[own.is_byte[ids]], minlength=n) / some),
                      pa.array(_entropy(ids, owner, n, len(own.is_byte)).astype(float))],
-                    names=["doc_id", "text_key", "lang", "length_class", *_FIELDS, "n_tokens", *MEASURES])
+                    names=["doc_id", "text_key", "lang", "script", "length_class", *_FIELDS, "n_tokens", *MEASURES])
     kind = docs.schema["doc_id"].dataType.simpleString()
     counts = ", ".join(f"{c} long" for c in _FIELDS)
     return docs.select("doc_id", "text", "lang", F.xxhash64("text").alias("text_key")).mapInArrow(
-        run, f"doc_id {kind}, text_key long, lang string, length_class int, {counts}, n_tokens long, " + ", ".join(f"{m} double" for m in MEASURES))
+        run, f"doc_id {kind}, text_key long, lang string, script string, length_class int, {counts}, n_tokens long, " + ", ".join(f"{m} double" for m in MEASURES))
 
 
 def bands(rows: DataFrame, keys: list[str], least: int = LEAST_CLASS) -> DataFrame:
     """Per class of at least ``least`` texts: edge (of the middle half, on the bad side) and breadth of each measure."""
-    quartiles = rows.filter("n_words > 0").groupBy(*keys).agg(
+    quartiles = rows.groupBy(*keys).agg(
         F.count("*").alias("n"), *[F.percentile_approx(m, [0.25, 0.75], 10_000).alias(m) for m in MEASURES])
     found = [F.struct(F.col(m)[0 if BAD_SIDE[m] == "low" else 1].alias("edge"), F.greatest(F.col(m)[1] - F.col(m)[0], F.lit(floor)).alias("breadth"))
              .alias(f"{m}_band") for m, floor in MEASURES.items()]
     return quartiles.filter(F.col("n") >= least).select(*keys, *found)
 
 
+def class_bands(rows: DataFrame, least: int = LEAST_CLASS) -> DataFrame:
+    """Per class that occurs: the band of each measure from the narrowest group of enough distinct texts that pass the base rules."""
+    keys = ["lang", "script", "length_class"]
+    texts = cut(rows.filter("NOT base_failed").select(*keys, "text_key", *MEASURES).distinct())
+    plain = [m for m in MEASURES if m != "entropy"]  # these depend little on length
+    found = rows.select(*keys).distinct()
+    ladder = [(["lang", "length_class"], least, list(MEASURES)), (["lang"], least, plain), (["script", "length_class"], least, list(MEASURES)),
+              (["script"], least, plain), (["length_class"], 1, ["entropy"])]
+    for k, (by, n, of) in enumerate(ladder):
+        # the classes are far fewer than the texts; a script or length has few of them
+        found = found.join(bands(texts, by, n).select(*by, *[F.col(f"{m}_band").alias(f"{m}_{k}") for m in of]), by, "left")
+    found = found.crossJoin(F.broadcast(bands(texts, [], 1).select(*[F.col(f"{m}_band").alias(f"{m}_{len(ladder)}") for m in plain])))
+    return found.select(*keys, *[F.coalesce(*[f"{m}_{k}" for k in range(len(ladder) + 1) if f"{m}_{k}" in found.columns]).alias(f"{m}_band") for m in MEASURES])
+
+
 def placed(rows: DataFrame, least: int = LEAST_CLASS) -> DataFrame:
     """The rows with the distance of each measure from its class's middle half, in breadths; null without a band."""
-    by_length = bands(rows, ["lang", "length_class"], least)
-    by_lang = bands(rows, ["lang"], least)
-    by_lang = by_lang.select("lang", *[F.col(f"{m}_band").alias(f"{m}_lang") for m in MEASURES if m != "entropy"]).withColumn(
-        "entropy_lang", F.lit(None).cast("struct<edge: double, breadth: double>"))
-    joined = hot_join(hot_join(rows, by_length, ["lang", "length_class"], how="left"), by_lang, ["lang"], how="left")
+    joined = hot_join(rows, class_bands(rows, least), ["lang", "script", "length_class"], how="left")
     far = []
     for m, side in BAD_SIDE.items():
-        band = F.coalesce(f"{m}_band", f"{m}_lang")
+        band = F.col(f"{m}_band")
         gap = (band["edge"] - F.col(m)) if side == "low" else (F.col(m) - band["edge"])
         far.append((gap / band["breadth"]).alias(f"{m}_far"))
     return joined.select(*rows.columns, *far)

@@ -105,6 +105,20 @@ def test_each_measure_rejects_moderately_bad_texts(spark):
             assert [x for x in fertility.MEASURES if placed[300 + k][f"{x}_far"] > fertility.WIDTH] == [m]
 
 
+def test_rare_languages_and_bad_copies_are_judged(spark):
+    rng = random.Random(22)
+    good, bad = usual_texts(rng, 200), list(bad_texts(rng).values())
+    rows = [(i, " ".join(w), "en") for i, w in enumerate(good)]
+    rows += [(1000 + i, " ".join(w), "zz") for i, w in enumerate(bad)]  # a rare code: the band of the script
+    rows += [(1100 + i, " ".join(w), "zy") for i, w in enumerate(usual_texts(rng, 3))]
+    rows.append((1200, " ".join("".join(chr(0x1F300 + rng.randrange(200)) for _ in range(3)) for _ in range(100)), None))  # a rare script: of all
+    rows += [(2000 + i, " ".join(bad[0]), "en") for i in range(300)]  # more bad copies than good texts
+    rows += [(3000 + i, " ".join(["zqxv"] * 100), "en") for i in range(300)]  # fail the base rules
+    out = by_id(fertility.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string"), PIECES))
+    assert all(out[i]["band_failed"] for i in [1000, 1001, 1002, 1200, *range(2000, 2300)])
+    assert all(out[i]["kept"] for i in range(1100, 1103)) and sum(out[i]["band_failed"] for i in range(200)) <= 4
+
+
 def test_widths_follow_the_labelled_texts(spark):
     rows = [(i, i, "en", False, i / 100, 0.0, -1.0) for i in range(1000)] + [(1000 + i, -1, "en", False, 50.0, 50.0, 50.0) for i in range(500)]
     rows = spark.createDataFrame(rows, "doc_id long, text_key long, lang string, base_failed boolean, " + ", ".join(f"{m}_far double" for m in fertility.MEASURES))
