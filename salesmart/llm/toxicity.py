@@ -5,9 +5,12 @@ separators or spaces between its letters. The channel is a lattice: at each
 character the alternatives of what was meant (a letter for a look-alike, one
 or two letters for a run, nothing for a separator or a space), each with a
 cost. A Viterbi search over the last two letters finds the most likely reading
-under a character trigram model learned from the corpus. Only words that show
-a trace of such writing get a lattice with more than one path; all others are
-read as they stand.
+under a character trigram model learned from the corpus. Words that are plainly
+written so are replaced by their reading. Any other word with a letter that has
+more than one reading (a doubled letter, a look-alike at any place) counts both
+as it stands and as read, so ordinary words with double letters stay what they
+are; a word of digits alone is a number. Three single letters or more in a row
+on one line, any number of spaces apart, are read as one.
 
 The restored words are scored with a lexicon learned from labelled documents:
 a logistic regression over word and prefix features with non-negative weights
@@ -52,7 +55,8 @@ SEPARATORS = ".-_~·'"
 _SIZE = len(LETTERS) + 2  # 0: word boundary, last: anything that spoils a count
 _CODE = {c: i + 1 for i, c in enumerate(LETTERS)}
 _SPOILED = _SIZE - 1
-SPACED = 4  # single letters in a row that make a spaced word
+SPACED = 3  # single letters in a row that make a spaced word
+DIGITS = 4  # the same without any letter, for look-alikes alone
 
 
 def _symbols() -> np.ndarray:
@@ -168,7 +172,9 @@ class Reader:
         return "".join(" " if s == 0 else LETTERS[s - 1] for s in reversed(symbols)).split()
 
 
+_BLANK = re.compile(r"[\t\x0b\x0c\r]")
 _TRIM = re.compile(r"^[^\w@$(]+|[^\w$!]+$")
+_TRACE = re.compile(r"(.)\1|[" + re.escape("".join(LOOKALIKES) + SEPARATORS) + "*]", re.DOTALL)
 _NOISE = re.compile(r"(.)\1\1|[^\W\d_][\d@$!|+(*€£._~·'-]+[^\W\d_]|^[\d@$!|(€£][^\W\d_]{2}|[^\W\d_]{2}[\d@$!€£+]$", re.DOTALL)
 
 
@@ -195,7 +201,11 @@ class WordReader:
 
     def restored(self, word: str) -> list[str]:
         word, noisy = plain_or_noisy(word)
-        return self.reader.read(word) if noisy else [word] if word else []
+        if noisy:
+            return self.reader.read(word)
+        if len(word) > 2 and _TRACE.search(word) and any(c in _CODE for c in word):
+            return list(dict.fromkeys([word, *self.reader.read(word)]))
+        return [word] if word else []
 
     def texts(self, texts: pa.Array):
         """(text number, value) of each distinct word and spaced word of each text."""
@@ -212,21 +222,27 @@ class WordReader:
                 v = self.known[h] = self.value(self.restored(raw[starts[i]:ends[i]].decode()))
             values.append(v)
         pairs = np.unique(doc * len(unique) + inverse) if len(doc) else np.zeros(0, np.int64)
-        # single letters in a row, on one line, one space apart
+        # single letters in a row, on one line, with nothing but white space between
         size = ends - starts
         one = (size == 1) | ((size == 2) & (data[starts] >= 0xC3) & (data[starts] < 0xE0))
         one &= ~((size == 1) & ~np.isin(data[starts] | 0x20, np.arange(0x61, 0x7B)) & ~np.isin(data[starts], [ord(c) for c in LOOKALIKES if ord(c) < 0x80]))
         run = np.flatnonzero(np.diff(np.concatenate([[0], one.astype(np.int8), [0]])))
-        extra_doc, extra = [], []
+        letter = one & ~((size == 1) & ((data[starts] < 0x41) | (data[starts] == 0x7C)))
+        breaks = np.append(0, np.cumsum(data == 0x0A))
+        apart = np.append(True, (doc[1:] != doc[:-1]) | (breaks[starts[1:]] > breaks[ends[:-1]])) if len(doc) else np.zeros(0, bool)
+        extra_doc, extra, read = [], [], {}
         for lo, hi in zip(run[::2].tolist(), run[1::2].tolist(), strict=True):
             at = lo
             while hi - at >= SPACED:
                 to = at + 1
-                while to < hi and doc[to] == doc[at] and starts[to] == ends[to - 1] + 1:
+                while to < hi and not apart[to]:
                     to += 1
-                if to - at >= SPACED:
+                if to - at >= (SPACED if letter[at:to].any() else DIGITS):
+                    said = _BLANK.sub(" ", raw[starts[at]:ends[to - 1]].decode().lower())
+                    if said not in read:
+                        read[said] = self.value(self.reader.read(said))
                     extra_doc.append(int(doc[at]))
-                    extra.append(self.value(self.reader.read(raw[starts[at]:ends[to - 1]].decode().lower())))
+                    extra.append(read[said])
                 at = to
         return pairs // max(len(unique), 1), pairs % max(len(unique), 1), values, extra_doc, extra
 

@@ -222,6 +222,26 @@ def test_obfuscated_words_are_restored(spark):
     assert sorted(r["doc_id"] for r in left.collect()) == [100 + i for i in range(len(plain))]
 
 
+def test_doubled_letters_leet_and_wide_spacing_are_restored(spark):
+    rng = random.Random(18)
+    clean = [a + b + c for a in ("ba", "re", "to", "mi") for b in ("na", "lo", "su", "ti") for c in ("r", "n", "st", "l")] + ["balloon", "letter", "summer"]
+    bad, rows = ["scoundrel", "idiot", "weasel", "ass"], []
+    for i in range(900):
+        words = [rng.choice(clean) for _ in range(40)]
+        if i % 4 == 0:
+            for _ in range(3):
+                words[rng.randrange(40)] = rng.choice(bad)
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(900)], "doc_id long, quality int, toxic int"))
+    told = ["weeasel", "idioot", "sscoundrel", "1d107", "1d10t", "a55", "a s s", "w  e  a  s  e  l", "i \t d   i o t"]
+    plain = ["balloon letter summer", "10th 455 2024", "a b c", "1 2 3", "a\ns\ns", "a s\ns"]
+    texts = [(i, f"banar {t} tosul") for i, t in enumerate(told)] + [(100 + i, t) for i, t in enumerate(plain)]
+    out = by_id(toxicity.score(spark.createDataFrame(texts, "doc_id long, text string"), model))
+    assert [t for i, t in enumerate(told) if out[i]["score"] < 0.7] == []
+    assert [t for i, t in enumerate(plain) if out[100 + i]["score"] >= 0.7] == []
+
+
 def test_toxicity_edge_rows(spark, clashing, empty):
     known = labels(spark, SMALL)
     out = toxicity.score(clashing, toxicity.fit(clashing, known))
