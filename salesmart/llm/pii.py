@@ -4,11 +4,18 @@ Seeds are the spans that the base formats find (email, ip, card, phone). The
 words around a seed induce lexical patterns: the two words before it, the word
 before with the word after it, and a cue before it that ends in a colon or an
 equals sign. Patterns and instances form a bipartite graph that Spark scores in
-rounds: a pattern's confidence in a kind is the share of its distinct instances
-that are known or believed to be of that kind, and an identifier-like string
-that no base format found is believed as far as its patterns are confident (noisy-or over its
-patterns), if its shape suits the kind. Patterns need ``SUPPORT`` distinct
-known instances. Believed strings above ``ACCEPT`` add spans; base spans stay.
+rounds. An instance of a kind is a seed, which counts 1, or a string accepted in
+an earlier round, which counts as far as it is believed. A pattern's confidence
+in a kind, as a string sees it, is the share of instances among the other
+distinct strings that stand in it; the string itself counts on neither side. A
+pattern needs ``SUPPORT`` other instances, seeds or accepted. An identifier-like
+string that no base format found is believed as far as its patterns are confident
+(noisy-or over its patterns), if its shape suits the kind, and accepted from
+``ACCEPT`` on. Strings that are not accepted lend nothing, so chance seeds in a
+common context do not lift each other. Accepted strings induce patterns like
+seeds, and rounds go on until none is added and no belief grows by
+``TOLERANCE``: beliefs only grow, so they settle. Accepted strings add spans;
+base spans stay.
 
 Positions come from one regular expression each: the pieces between matches
 and the matches themselves alternate, so running sums of their lengths are the
@@ -32,7 +39,7 @@ from salesmart.llm.spans import located
 KINDS = ("email", "ip", "card", "phone")
 SUPPORT = 3
 ACCEPT = 0.8
-ROUNDS = 3
+TOLERANCE = 1e-3
 _USER, _HOST = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
 # Each finds what the plain format finds, in linear time: a match starts at the
 # front of its run or right behind the previous match, and runs are possessive.
@@ -101,31 +108,32 @@ def occurrences(rows: DataFrame) -> DataFrame:
     return flat.withColumn("suits", suits).withColumn("patterns", patterns).drop("before", "after")
 
 
-def believed(found: DataFrame, support: int = SUPPORT, accept: float = ACCEPT, rounds: int = ROUNDS) -> DataFrame:
+def believed(found: DataFrame, support: int = SUPPORT, accept: float = ACCEPT, tolerance: float = TOLERANCE) -> DataFrame:
     """value, kind, belief of the strings that the pattern graph accepts."""
     edges = cut(found.select(F.explode("patterns").alias("pattern"), "value", "known", "suits").distinct())
-    known = edges.filter("known IS NOT NULL").select("pattern", "value", F.col("known").alias("kind"))
-    # a pattern is worth scoring when enough distinct seeds of a kind stand in it
-    strong = known.groupBy("pattern", "kind").agg(F.countDistinct("value").alias("seeds")).filter(F.col("seeds") >= support)
-    totals = edges.groupBy("pattern").agg(F.countDistinct("value").alias("total"))
-    strong = cut(strong.join(totals, "pattern").select("pattern", "kind", "seeds", "total"))
-    open_edges = (edges.filter("known IS NULL").select("pattern", "value", F.explode("suits").alias("kind")).distinct())
-    open_edges = cut(hot_join(open_edges, strong, ["pattern", "kind"]))
-    beliefs = None
-    for _ in range(rounds):
-        mass = F.col("seeds").cast("double")
-        scored = open_edges
-        if beliefs is not None:
-            gained = (hot_join(open_edges.select("pattern", "value", "kind"), beliefs, ["value", "kind"])
-                      .groupBy("pattern", "kind").agg(F.sum("belief").alias("gained")))
-            scored = hot_join(open_edges, gained, ["pattern", "kind"], how="left")
-            mass = mass + F.coalesce("gained", F.lit(0.0))
-        confidence = F.least(mass / F.col("total"), F.lit(0.99))
-        beliefs = cut(scored.withColumn("miss", F.log1p(-confidence)).groupBy("value", "kind")
-                      .agg((1 - F.exp(F.sum("miss"))).alias("belief")))
-    # a string takes the kind that is believed most
-    best = beliefs.groupBy("value").agg(F.max(F.struct("belief", "kind")).alias("b")).filter(F.col("b.belief") >= accept)
-    return best.select("value", F.col("b.kind").alias("kind"), F.col("b.belief").alias("belief"))
+    seeds = edges.filter("known IS NOT NULL").select("pattern", "value", F.col("known").alias("kind"), F.lit(1.0).alias("mass")).distinct()
+    totals = cut(edges.groupBy("pattern").agg(F.countDistinct("value").alias("total")))
+    open_edges = cut(edges.filter("known IS NULL").select("pattern", "value", F.explode("suits").alias("kind")).distinct())
+    accepted = found.sparkSession.createDataFrame([], "value string, kind string, belief double")
+    while True:
+        # what each edge's own string lends to the pattern: nothing, or its belief in the kind it was accepted for
+        own = cut(hot_join(open_edges, accepted.withColumnRenamed("kind", "held"), ["value"], how="left")
+                  .withColumn("own", F.when(F.col("held") == F.col("kind"), F.col("belief"))).drop("belief"))
+        lent = own.filter("own IS NOT NULL").select("pattern", "value", "kind", F.col("own").alias("mass"))
+        strong = (seeds.union(lent).groupBy("pattern", "kind").agg(F.count("*").alias("instances"), F.sum("mass").alias("mass"))
+                  .filter(F.col("instances") >= support).join(totals, "pattern"))
+        scored = hot_join(own, strong, ["pattern", "kind"]).filter(F.col("instances") - F.col("own").isNotNull().cast("int") >= support)
+        confidence = F.least((F.col("mass") - F.coalesce("own", F.lit(0.0))) / F.greatest(F.col("total") - 1, F.lit(1)), F.lit(0.99))
+        beliefs = scored.groupBy("value", "kind", "held").agg((1 - F.exp(F.sum(F.log1p(-confidence)))).alias("belief"))
+        # a string takes the kind that is believed most, and keeps it
+        best = (beliefs.filter((F.col("belief") >= accept) & (F.col("held").isNull() | (F.col("held") == F.col("kind"))))
+                .groupBy("value").agg(F.max(F.struct("belief", "kind")).alias("b")).select("value", "b.kind", "b.belief"))
+        best = cut(best)
+        before = accepted.select("value", F.col("belief").alias("before"))
+        grown = best.join(before, "value", "left").agg(F.max(F.col("belief") - F.coalesce("before", F.lit(0.0)))).first()[0]
+        accepted = best
+        if grown is None or grown < tolerance:
+            return accepted
 
 
 def _listed(spans: str) -> str:
@@ -134,11 +142,11 @@ def _listed(spans: str) -> str:
     return f"array_join(transform({ordered}, x -> concat(x.kind, ':', x.s, ':', x.e)), ',')"
 
 
-def find(docs: DataFrame, support: int = SUPPORT, accept: float = ACCEPT, rounds: int = ROUNDS) -> DataFrame:
+def find(docs: DataFrame, support: int = SUPPORT, accept: float = ACCEPT, tolerance: float = TOLERANCE) -> DataFrame:
     """One row per document: counts and hash of the base spans, all spans, and how many the patterns added."""
     rows = cut(base_spans(docs))
     seen = cut(occurrences(rows))
-    new = believed(seen, support, accept, rounds)
+    new = believed(seen, support, accept, tolerance)
     added = (hot_join(seen.filter("known IS NULL").drop("patterns", "suits"), new, ["value"])
              .groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("kind", "s", "e")).alias("added"))
              .select(F.col("doc_id").alias("a_id"), F.col("text_key").alias("a_key"), "added"))

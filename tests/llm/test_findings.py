@@ -88,6 +88,32 @@ def test_contexts_find_unseen_identifiers(spark):
     assert all(out[i]["n_added"] == 0 for i in range(60))
 
 
+def graph(spark, rows):
+    """Occurrences of (value, known, patterns), each string suiting a phone."""
+    rows = [(v, k, ["phone"], p) for v, k, p in rows]
+    return spark.createDataFrame(rows, "value string, known string, suits array<string>, patterns array<string>")
+
+
+def test_a_pattern_does_not_raise_its_own_strings(spark):
+    rows = [(f"s{i}", "phone", ["a"]) for i in range(4)] + [(f"o{i}", None, ["a"]) for i in range(6)]
+    assert pii.believed(graph(spark, rows)).count() == 0  # 4 of the 9 others, however often it is scored
+    low = {r["value"]: r["belief"] for r in pii.believed(graph(spark, rows), accept=0.4).filter("value like 'o%'").collect()}
+    assert set(low) == {f"o{i}" for i in range(6)}
+
+
+def test_found_strings_induce_patterns(spark):
+    rows = [(f"s{i}", "phone", ["a"]) for i in range(30)] + [(f"o{i}", None, ["a"]) for i in range(3)]
+    for step in range(4):  # each context is shared with strings found in the one before only
+        rows += [(f"{'opqr'[step]}{i}", None, [f"b{step}"]) for i in range(3)]
+        rows += [(f"{'pqrs'[step]}{i}" if step < 3 else "last", None, [f"b{step}"]) for i in range(3)]
+        if step < 3:
+            rows += [(f"{'pqrs'[step]}{i}", None, [f"b{step}"]) for i in range(3)]
+    rows = [r for r in rows if r[1] or not r[0].startswith("s")] + [("alone", None, ["c"])]
+    rows += [(f"p{i}", None, [f"x{i}"]) for i in range(3)] + [("stranger", None, ["x0"])]
+    got = {r["value"] for r in pii.believed(graph(spark, rows), accept=0.5).collect()}
+    assert {"o0", "o1", "o2", "p0", "p1", "p2", "q0", "r2", "last"} <= got and not got & {"alone", "stranger"}
+
+
 def secret_rows(n=400):
     rng = random.Random(12)
     hexa = "0123456789abcdef"
