@@ -1,7 +1,9 @@
 """Secret findings, with false positives removed by a random forest.
 
-Candidates are runs of token characters with a digit or many capitals, found
-with their places. Each has features of
+Candidates, found with their places, are runs of 12 token characters or more with
+a digit, many capitals or a capital behind a small letter, and by context any
+value of 8 characters or more but white space and quotes that a cue word is
+assigned or that stands in quotes. Each has features of
 
 * length: of the candidate and of the text before it on the line
 * characters: how often the kind of character changes, shares of digits, capitals
@@ -41,9 +43,12 @@ WORD_SHARE = 1e-6
 TREES, DEPTH = 40, 8
 ACCEPT = 0.5
 _C = "[A-Za-z0-9+/_.@:=~-]"
-CANDIDATE = rf"(?<!{_C})(?={_C}*[0-9]|[A-Z]{{12}}){_C}{{12,}}+"
 # Words that announce a secret, and formats whose label is certain.
 CUES = ["password", "passwd", "pwd", "secret", "token", "key", "apikey", "api_key", "access", "auth", "credential", "bearer"]
+_KEY = rf"(?i:[A-Za-z0-9_.-]{{0,30}}?(?:{'|'.join(CUES)})[A-Za-z0-9_-]{{0,10}}[\"']?[ \t]{{0,3}}(?::=|=>|[:=])[ \t]{{0,3}})[\"']?"  # "password: "
+_NO_SMALL, _NO_CAPITAL = "[A-Z0-9+/_.@:=~-]", "[a-z0-9+/_.@:=~-]"
+CANDIDATE = (rf"(?<!{_C}){_KEY}[^\s\"']{{8,}}+|(?<=[\"'])[^\s\"']{{8,}}+(?=[\"'])"
+             rf"|(?<!{_C})(?={_C}*[0-9]|[A-Z]{{12}}|{_NO_SMALL}*+[a-z]{_NO_CAPITAL}*+[A-Z]){_C}{{12,}}+")
 CERTAIN_SECRET = [r"^(AKIA|ASIA)[0-9A-Z]{16}$", r"^(ghp|gho|ghs)_[A-Za-z0-9]{30,}$", r"^xox[abp]-[0-9A-Za-z-]{20,}$"]
 CERTAIN_NOT = [r"^[^@]+@[^@]+[.][a-z]+$", r"^[0-9.:/+=-]+$", r"^[A-Za-z]+([-_./][A-Za-z]+)+[0-9]{0,2}$", r"(?i)(example|changeme|placeholder|xxxx|1234567)",
                r"(.)\1{5}", r"^https?:", r"^[a-z]+[0-9]{1,4}$"]
@@ -62,10 +67,10 @@ def dictionary(docs: DataFrame, share: float = WORD_SHARE) -> DataFrame:
 def candidates(docs: DataFrame) -> DataFrame:
     """One row per candidate: doc_id, text_key, path, s, e, value, key (what it is assigned to), before, after."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("source", F.lit("")).alias("path"))
-    rows = located(rows, CANDIDATE, "found", F.length("text") >= 12)
+    rows = located(rows, CANDIDATE, "found", F.length("text") >= 8)
     # outer, so that no filter on the matches is pushed below the projections that compute them
     flat = rows.select("doc_id", F.xxhash64("text").alias("text_key"), "path", F.explode_outer("found").alias("x")).filter("x IS NOT NULL")
-    key = F.regexp_extract("x.v", r"^([A-Za-z_]{2,20})[=:]", 0)  # "password=": the value behind it is the candidate
+    key = F.regexp_extract("x.v", rf"^(?:{_KEY}|[A-Za-z_]{{2,20}}[=:])", 0)  # "password=": the value behind it is the candidate
     flat = flat.withColumn("key", key).withColumn("value", F.expr("regexp_replace(substr(x.v, length(key) + 1), '[.:=,]+$', '')"))
     return flat.select("doc_id", "text_key", "path", (F.col("x.s") + F.length("key")).alias("s"),
                        F.expr("x.s + length(key) + length(value)").alias("e"), "value", F.lower("key").alias("key"),
@@ -75,7 +80,7 @@ def candidates(docs: DataFrame) -> DataFrame:
 def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
     """The candidates with a column per feature."""
     keyed = found.withColumn("parts", F.expr(r"filter(split(lower(value), '[^\\p{L}]+'), p -> length(p) >= 3)"))
-    keyed = keyed.withColumn("previous", F.regexp_extract("before", r"(\p{L}+)[^\p{L}]*$", 1))
+    keyed = keyed.withColumn("previous", F.regexp_extract(F.concat("before", "key"), r"(\p{L}+)[^\p{L}]*$", 1))
     asked = keyed.select(F.explode(F.array_union("parts", F.array("previous"))).alias("word")).distinct()
     known = asked.join(words, "word").select("word", F.lit(True).alias("is_word"))
     # per candidate value and neighbour, so a value that stands in very many texts is looked up once
@@ -95,7 +100,7 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
     cue = "|".join(CUES)
     return rows.withColumns({
         "length": n,
-        "lead": F.length(F.regexp_extract("before", r"[^\n]*$", 0)).cast("double"),
+        "lead": F.length(F.regexp_extract(F.concat("before", "key"), r"[^\n]*$", 0)).cast("double"),
         "changes": F.length(F.regexp_replace(kinds, r"(.)\1+", "$1")) / n,
         "digits": share("0-9"), "capitals": share("A-Z"), "hex": share("0-9a-fA-F"),
         "distinct": F.size(F.array_distinct(F.split("value", ""))) / n,
@@ -105,7 +110,7 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
         "path_test": F.col("path").rlike("(?i)test|example|sample|doc").cast("double"),
         "cue_before": F.concat("before", "key").rlike(f"({cue})[^a-z]{{0,4}}$").cast("double"),
         "assigned": (F.col("key") != "").cast("double") + F.col("before").rlike(r"[=:]\s*[\"']?$").cast("double"),
-        "quoted": F.col("before").rlike("[\"']$").cast("double"),
+        "quoted": F.concat("before", "key").rlike("[\"']$").cast("double"),
         "cue_after": F.col("after").rlike(f"^[^a-z]{{0,4}}({cue})").cast("double"),
         "word_before": F.coalesce("word_before", F.lit(0.0)),
     }).drop("parts", "previous", "covered_letters")

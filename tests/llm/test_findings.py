@@ -143,6 +143,17 @@ def test_forest_tells_secrets_from_false_positives(spark):
             assert rows[i][1][s:e] in rows[i][1] and not rows[i][1][s:e].startswith(("password", '"', "token"))
 
 
+def test_candidates_by_context_and_mixed_letters(spark):
+    want = {"the password: hunterxq now": "hunterxq", "db_password = 'p!a$s&w%rd*' end": "p!a$s&w%rd*", "say \"quotedvalue\" here": "quotedvalue",
+            "run kQzVbTnRwXyLpMdG on": "kQzVbTnRwXyLpMdG", "secret => a(b)c{d}e!": "a(b)c{d}e!", 'api_key: "lowercaseonly"': "lowercaseonly",
+            "token=ab12cd34ef56!gh$78": "ab12cd34ef56!gh$78", "Understanding understandings of Grandmothers": None, "the key is understood": None}
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(want)], "doc_id long, text string, source string")
+    got = {r["doc_id"]: r for r in secret_scan.candidates(docs).collect()}
+    for i, (text, value) in enumerate(want.items()):
+        assert (got[i]["value"] if i in got else None) == value
+        assert value is None or text[got[i]["s"]:got[i]["e"]] == value
+
+
 def test_forest_learns_given_labels(spark):
     """Labelled findings decide: here long numbers are the secrets and hex strings are not."""
     rows, _ = secret_rows(240)
