@@ -14,8 +14,9 @@ assigned or that stands in quotes. Each has features of
 * neighbours: a cue word or an assignment before it, a cue behind it, whether
   the word before it is a dictionary word
 
-The forest is Spark's own, fitted on at most ``FINDINGS`` labelled findings
-chosen by hash. Labelled findings come as a table (doc_id, s, secret) or, where
+The forest is Spark's own, fitted on at most ``FINDINGS`` distinct labelled
+findings of each label, chosen by hash, with both labels of equal weight. A
+finding labelled as a secret stays one whatever the forest votes. Labelled findings come as a table (doc_id, s, secret) or, where
 none are given, from formats that are certain: issued key ids and quoted or
 assigned values of high entropy are secrets; mail addresses, numbers, dates,
 file names, placeholders and hyphenated words are not.
@@ -128,13 +129,16 @@ def certain_labels(rows: DataFrame) -> DataFrame:
 
 
 def fit(labelled: DataFrame, limit: int = FINDINGS, trees: int = TREES, depth: int = DEPTH):
-    """Forest over at most ``limit`` labelled findings (columns of FEATURES and secret); None without both labels."""
-    sample = cut(labelled.filter("secret IS NOT NULL").select("secret", *FEATURES, F.xxhash64("value", "path", "doc_id", "s").alias("_order"))
-                 .orderBy("_order", *FEATURES).limit(limit))
-    if sample.select("secret").distinct().count() < 2:
+    """Forest over at most ``limit`` distinct labelled findings a label (columns of FEATURES and secret); None without both labels."""
+    distinct = cut(labelled.filter("secret IS NOT NULL").select("secret", "value", *FEATURES).distinct().withColumn("_order", F.xxhash64("value", *FEATURES)))
+    parts = [distinct.filter(F.col("secret") == label).orderBy("_order", *FEATURES).limit(limit) for label in (0.0, 1.0)]
+    sample = cut(parts[0].union(parts[1]).select("secret", *FEATURES))
+    counts = {r["secret"]: r["count"] for r in sample.groupBy("secret").count().collect()}  # two rows at most
+    if len(counts) < 2:
         return None
+    sample = sample.withColumn("_weight", F.when(F.col("secret") > 0, sum(counts.values()) / 2 / counts[1.0]).otherwise(sum(counts.values()) / 2 / counts[0.0]))
     rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample)
-    return RandomForestClassifier(labelCol="secret", featuresCol="features", numTrees=trees, maxDepth=depth, seed=7).fit(rows)
+    return RandomForestClassifier(labelCol="secret", featuresCol="features", weightCol="_weight", numTrees=trees, maxDepth=depth, seed=7).fit(rows)
 
 
 def scan(docs: DataFrame, findings: DataFrame | None = None, limit: int = FINDINGS) -> DataFrame:
@@ -143,14 +147,17 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, limit: int = FINDIN
     ``findings`` (doc_id, s, secret 0/1) are labelled findings; without them the certain formats are used.
     """
     rows = cut(with_features(cut(candidates(docs)), dictionary(docs)))
-    sure = certain_labels(rows)
-    labelled = sure if findings is None else rows.join(findings.select("doc_id", "s", F.col("secret").cast("double").alias("secret")), ["doc_id", "s"])
+    if findings is None:
+        labelled = certain_labels(rows)
+    else:
+        given = findings.groupBy("doc_id", "s").agg(F.max(F.col("secret").cast("double")).alias("secret"))
+        labelled = rows.join(given, ["doc_id", "s"], "left")
     forest = fit(labelled, limit)
     if forest is None:
-        scored = sure.withColumn("score", F.coalesce("secret", F.lit(0.0)))
+        scored = certain_labels(rows).withColumn("score", F.coalesce("secret", F.lit(0.0)))
     else:
-        ready = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
-        scored = forest.transform(ready).withColumn("score", vector_to_array("probability")[1])
+        ready = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(labelled)
+        scored = forest.transform(ready).withColumn("score", F.when(F.col("secret") > 0, F.lit(1.0)).otherwise(vector_to_array("probability")[1]))
     return scored.select("doc_id", "text_key", "s", "e", "value", "score", (F.col("score") >= ACCEPT).alias("secret"))
 
 

@@ -165,6 +165,19 @@ def test_forest_learns_given_labels(spark):
     assert right >= 0.95 * len(verdicts)
 
 
+def test_rare_secrets_stay_beside_many_copies(spark):
+    """Thousands of copies of a false positive and few secrets; the sample bound is far smaller than the findings."""
+    rng = random.Random(14)
+    rows = [(i, f"mail ann.{i % 9}@host1.example.com and 1234-5678-9012-{i % 5}", "en", "a", 0) for i in range(3000)]
+    keys = ["AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16)) for _ in range(3)]
+    rows += [(5000 + i, f"river {k} stone", "en", "a", 0) for i, k in enumerate(keys)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = secret_scan.certain_labels(secret_scan.with_features(secret_scan.candidates(docs), secret_scan.dictionary(docs)))
+    assert secret_scan.fit(found, 10) is not None
+    out = by_id(secret_scan.report(docs, limit=10))
+    assert {i for i, r in out.items() if r["n_secrets"]} == {5000, 5001, 5002}
+
+
 def test_secret_edge_rows(clashing, empty, spark):
     out = secret_scan.report(clashing)
     assert out.count() == len(edge_rows()) and out.filter("n_candidates is null or spans is null").count() == 0
