@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from salesmart.llm import bpe, exact_dedup, fertility, lm_score, merkle, minhash, mixing, pii, secret_scan, token_store, toxicity
+from salesmart.llm import bpe, exact_dedup, fertility, lm_score, merkle, minhash, mixing, pii, secret_scan, token_store, toxicity, trie
 
 
 def registry():
@@ -17,6 +17,7 @@ def registry():
         "op8_source_mix": mixing.op8_source_mix,
         "op9_byte_bpe": bpe.op9_byte_bpe,
         "op10_secret_forest": secret_scan.op10_secret_forest,
+        "op11_prefix_trie": trie.op11_prefix_trie,
         "op12_merkle_manifest": merkle.op12_merkle_manifest,
     }
 
@@ -24,5 +25,6 @@ def registry():
 def oracles():
     return {
         "op1_exact_dedup": exact_dedup.ORACLE,
+        "op11_prefix_trie": trie.ORACLE,
         "op12_merkle_manifest": merkle.ORACLE,
     }
