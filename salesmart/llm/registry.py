@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from salesmart.llm import bpe, exact_dedup, fertility, lm_score, merkle, minhash, mixing, pii, secret_scan, token_store, toxicity, trie
+from salesmart.llm import bpe, exact_dedup, fertility, lattice, lm_score, merkle, minhash, mixing, pii, secret_scan, token_store, toxicity, trie
 
 
 def registry():
@@ -19,6 +19,7 @@ def registry():
         "op10_secret_forest": secret_scan.op10_secret_forest,
         "op11_prefix_trie": trie.op11_prefix_trie,
         "op12_merkle_manifest": merkle.op12_merkle_manifest,
+        "op13_lattice_near_dup": lattice.op13_lattice_near_dup,
     }
 
 
