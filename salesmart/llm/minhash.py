@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from salesmart.llm.common import cut, documents, hot_join, partitions
 from salesmart.llm.components import connected
-from salesmart.llm.words import LOWER, mix, ragged, span_hashes, text_bytes, text_parts, word_spans
+from salesmart.llm.words import LOWER, mix, ragged, span_names, text_bytes, text_parts, word_spans
 
 SHINGLE = 3
 BANDS, ROWS = 28, 6
@@ -49,12 +49,12 @@ _PLACE_SEED = np.uint64(0x6A09E667F3BCC908)
 _ORDER_SEED = np.uint32(0x3C6EF372)
 
 
-def shingle_sets(texts: pa.Array, words: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted distinct shingle hashes of all texts, number of each text)."""
+def shingle_sets(texts: pa.Array, words: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted distinct shingle hashes of all texts, a second hash of each, number of each text)."""
     raw, offsets = text_bytes(texts)
     data = LOWER[raw]
     starts, ends, doc = word_spans(data, offsets)
-    h = span_hashes(data, starts, ends)
+    names = span_names(data, starts, ends)
     n = np.bincount(doc, minlength=len(texts))
     first = np.cumsum(n) - n
     width = np.minimum(words, n)  # of a text's shingles
@@ -62,14 +62,19 @@ def shingle_sets(texts: pa.Array, words: int = SHINGLE) -> tuple[np.ndarray, np.
     at = ragged(first, count)
     owner = np.repeat(np.arange(len(texts)), count)
     key = mix(width[owner].astype(np.uint64))
+    check = mix(key)
     for k in range(words):
         use = k < width[owner]
-        key[use] = mix(key[use] * np.uint64(0x9E3779B97F4A7C15) + h[at[use] + k])
+        key[use], check[use] = (mix(x[use] * np.uint64(0x9E3779B97F4A7C15) + h[at[use] + k]) for x, h in zip((key, check), names, strict=True))
     order = np.lexsort((key, owner))
-    key, owner = key[order], owner[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
-    return key[new], np.bincount(owner[new], minlength=len(texts)).astype(np.int64)
+    key, check, owner = key[order], check[order], owner[order]
+    same = (key[1:] == key[:-1]) & (owner[1:] == owner[:-1])
+    if (same & (check[1:] != check[:-1])).any():  # a first hash of two shingles
+        order = np.lexsort((check, key, owner))
+        key, check, owner = key[order], check[order], owner[order]
+        same = (key[1:] == key[:-1]) & (check[1:] == check[:-1]) & (owner[1:] == owner[:-1])
+    new = np.append(np.ones(min(len(key), 1), bool), ~same)
+    return key[new], check[new], np.bincount(owner[new], minlength=len(texts)).astype(np.int64)
 
 
 def signatures(keys: np.ndarray, counts: np.ndarray, coordinates: int, block: int = 1 << 16) -> np.ndarray:
@@ -111,11 +116,11 @@ def signed(docs: DataFrame, words: int = SHINGLE, bands: int = BANDS, rows: int
     def run(batches):
         for batch in batches:
             for part in text_parts(batch):
-                keys, counts = shingle_sets(part.column("text"), words)
+                keys, checks, counts = shingle_sets(part.column("text"), words)
                 has = counts > 0
                 own = band_keys(signatures(keys, counts, bands * rows), bands, rows)
                 ends = np.cumsum(counts)
-                prints = [hashlib.blake2b(keys[e - n:e].tobytes(), digest_size=16).digest() for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
+                prints = [hashlib.blake2b(keys[e - n:e].tobytes() + checks[e - n:e].tobytes(), digest_size=16).digest() for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
                 offsets = np.append(0, np.cumsum(np.where(has, bands, 0))).astype(np.int32)
                 yield pa.record_batch(
                     [part.column("doc_id"), pa.array(counts), pa.array(prints, pa.binary()),
@@ -144,15 +149,15 @@ def candidate_clusters(members: DataFrame) -> DataFrame:
 
 
 def set_rows(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """The rows with their shingle set (little-endian 64-bit hashes) instead of the text."""
+    """The rows with their shingle set (the 64-bit hashes, then the second ones) instead of the text."""
     names = [c for c in docs.columns if c != "text"]
 
     def run(batches):
         for batch in batches:
             for part in text_parts(batch):
-                keys, counts = shingle_sets(part.column("text"), words)
+                keys, checks, counts = shingle_sets(part.column("text"), words)
                 ends = np.cumsum(counts)
-                sets = [keys[e - n:e].tobytes() for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
+                sets = [keys[e - n:e].tobytes() + checks[e - n:e].tobytes() for e, n in zip(ends.tolist(), counts.tolist(), strict=True)]
                 yield pa.record_batch([*[part.column(c) for c in names], pa.array(sets, pa.binary())], names=[*names, "shingles"])
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
     return docs.select(*names, "text").mapInArrow(run, f"{schema}, shingles binary")
@@ -181,10 +186,22 @@ def _groups(batches, keys: list[str]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(open_rows)
 
 
+def _numbered(sets: list[np.ndarray]) -> np.ndarray:
+    """A number per shingle of all sets, equal where both hashes are."""
+    keys, checks = (np.concatenate([s[k] for s in sets]) for k in (0, 1))
+    _, first, number = np.unique(keys, return_index=True, return_inverse=True)
+    if (checks == checks[first][number]).all():
+        return number
+    order = np.lexsort((checks, keys))
+    new = np.append(True, (keys[order][1:] != keys[order][:-1]) | (checks[order][1:] != checks[order][:-1]))
+    number[order] = np.cumsum(new) - 1
+    return number
+
+
 def confirmed(nodes: np.ndarray, sets: list[np.ndarray], side: np.ndarray, percent: int = THRESHOLD) -> list[tuple[int, int]]:
     """Spanning forest of the exact links between the documents of a group.
 
-    ``side`` is 0 or 1 where two blocks meet (links across only) and -1 within one block.
+    A set is two rows: the hashes of its shingles and their second hashes. ``side`` is 0 or 1 where two blocks meet (links across only) and -1 within one block.
     """
     root = list(range(len(nodes)))
 
@@ -194,11 +211,11 @@ def confirmed(nodes: np.ndarray, sets: list[np.ndarray], side: np.ndarray, perce
             i = root[i]
         return i
 
-    sizes = np.array([len(s) for s in sets], np.int64)
+    sizes = np.array([s.shape[1] for s in sets], np.int64)
     links = []
     indexed = np.flatnonzero(side != 0)
     asking = np.flatnonzero(side != 1)
-    _, number = np.unique(np.concatenate(sets), return_inverse=True)
+    number = _numbered(sets)
     first = np.cumsum(sizes) - sizes
     posting_doc = np.repeat(indexed, sizes[indexed])
     posting_term = number[ragged(first[indexed], sizes[indexed])]
@@ -238,7 +255,7 @@ def links(docs: DataFrame, clusters: DataFrame, words: int = SHINGLE, percent: i
 
     def run(batches):
         for group in _groups(batches, ["root", "i", "j"]):
-            found = confirmed(group.column("node").to_numpy(), [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()],
+            found = confirmed(group.column("node").to_numpy(), [np.frombuffer(x, np.uint64).reshape(2, -1) for x in group.column("shingles").to_pylist()],
                               group.column("side").to_numpy(), percent)
             if found:
                 a, b = zip(*found, strict=True)

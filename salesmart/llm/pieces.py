@@ -14,7 +14,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
-from salesmart.llm.words import IS_SPACE, ragged, span_hashes, text_bytes
+from salesmart.llm.words import IS_SPACE, mix, ragged, span_names, text_bytes
 
 # Chunks that one worker keeps before it starts anew (about 60 bytes each).
 STORE_CHUNKS = 1_000_000
@@ -42,6 +42,8 @@ class ChunkStore:
 
     Known chunks are a sorted array of 64-bit hashes beside their places in one
     array of ids, so the store is a few flat arrays whatever the vocabulary.
+    A second, independent hash of each chunk is compared before its ids are
+    used; a chunk that shares only the first is encoded by itself.
     """
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = STORE_CHUNKS):
@@ -49,7 +51,7 @@ class ChunkStore:
         self._reset()
 
     def _reset(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         self.starts, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.odd = np.zeros(0, bool)
         self.ids = np.zeros(4096, np.int32)
@@ -61,7 +63,7 @@ class ChunkStore:
             return at, np.zeros(len(keys), bool)
         return at, self.keys[np.minimum(at, len(self.keys) - 1)] == keys
 
-    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
+    def _learn(self, keys: np.ndarray, checks: np.ndarray, texts: list[str]) -> None:
         ids, counts = self.encode(texts)
         if self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) // 2 + len(ids), np.int32)])
@@ -69,7 +71,7 @@ class ChunkStore:
         # white space before a space: the chunk's text cannot be encoded alone
         odd = np.array([bool(t) and (t[-1].isspace() or t[-1] in "\x1c\x1d\x1e\x1f\x85") for t in texts], bool)
         order = np.argsort(both := np.concatenate([self.keys, keys]), kind="stable")
-        self.keys = both[order]
+        self.keys, self.checks = both[order], np.concatenate([self.checks, checks])[order]
         self.starts = np.concatenate([self.starts, self.used + np.cumsum(counts) - counts])[order]
         self.counts = np.concatenate([self.counts, counts.astype(np.int32)])[order]
         self.odd = np.concatenate([self.odd, odd])[order]
@@ -77,14 +79,30 @@ class ChunkStore:
 
     def lookup(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Place in the store of each span (ordered, apart), learning those that are new."""
-        unique, where, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        keys, checks = span_names(data, starts, ends)
+        unique, where, inverse = np.unique(keys, return_index=True, return_inverse=True)
         if len(self.keys) + len(unique) > self.limit:
             self._reset()
         _, known = self._find(unique)
         if not known.all():
             raw, new = data.tobytes(), where[~known]
-            self._learn(unique[~known], [raw[a:b].decode() for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
-        return self._find(unique)[0][inverse]
+            self._learn(unique[~known], checks[new], [raw[a:b].decode() for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
+        at = self._find(unique)[0][inverse]
+        odd = np.flatnonzero(self.checks[at] != checks)
+        for k in odd.tolist():
+            keys[k] = self._own_key(keys[k], checks[k], data[starts[k]:ends[k]])
+        return self._find(keys)[0] if len(odd) else at
+
+    def _own_key(self, key: np.uint64, check: np.uint64, chunk: np.ndarray) -> np.uint64:
+        """Key of a chunk whose first hash belongs to another one: the next free key that both its hashes lead to."""
+        while True:
+            key = mix(np.array([key ^ check]))[0]
+            place, known = self._find(np.array([key]))
+            if not known[0]:
+                self._learn(np.array([key]), np.array([check]), [chunk.tobytes().decode()])
+                return key
+            if self.checks[place[0]] == check:
+                return key
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each)."""

@@ -46,7 +46,8 @@ ACCEPT = 0.5
 _C = "[A-Za-z0-9+/_.@:=~-]"
 # Words that announce a secret, and formats whose label is certain.
 CUES = ["password", "passwd", "pwd", "secret", "token", "key", "apikey", "api_key", "access", "auth", "credential", "bearer"]
-_KEY = rf"(?i:[A-Za-z0-9_.-]{{0,30}}?(?:{'|'.join(CUES)})[A-Za-z0-9_-]{{0,10}}[\"']?[ \t]{{0,3}}(?::=|=>|[:=])[ \t]{{0,3}})[\"']?"  # "password: "
+_ASSIGN = r"[\"']?[ \t]{0,3}(?::=|=>|[:=])[ \t]{0,3}"
+_KEY = rf"(?i:(?=[A-Za-z0-9_.-]*+{_ASSIGN})[A-Za-z0-9_.-]*?(?:{'|'.join(CUES)})[A-Za-z0-9_-]*+{_ASSIGN})[\"']?"  # "password: "
 _NO_SMALL, _NO_CAPITAL = "[A-Z0-9+/_.@:=~-]", "[a-z0-9+/_.@:=~-]"
 CANDIDATE = (rf"(?<!{_C}){_KEY}[^\s\"']{{8,}}+|(?<=[\"'])[^\s\"']{{8,}}+(?=[\"'])"
              rf"|(?<!{_C})(?={_C}*[0-9]|[A-Z]{{12}}|{_NO_SMALL}*+[a-z]{_NO_CAPITAL}*+[A-Z]){_C}{{12,}}+")
@@ -75,7 +76,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     flat = flat.withColumn("key", key).withColumn("value", F.expr("regexp_replace(substr(x.v, length(key) + 1), '[.:=,]+$', '')"))
     return flat.select("doc_id", "text_key", "path", (F.col("x.s") + F.length("key")).alias("s"),
                        F.expr("x.s + length(key) + length(value)").alias("e"), "value", F.lower("key").alias("key"),
-                       F.lower("x.before").alias("before"), F.lower("x.after").alias("after")).filter("e - s >= 8")
+                       F.lower("x.before").alias("before"), F.lower("x.after").alias("after"), "x.line").filter("e - s >= 8")
 
 
 def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
@@ -101,7 +102,7 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
     cue = "|".join(CUES)
     return rows.withColumns({
         "length": n,
-        "lead": F.length(F.regexp_extract(F.concat("before", "key"), r"[^\n]*$", 0)).cast("double"),
+        "lead": (F.col("line") + F.length("key")).cast("double"),
         "changes": F.length(F.regexp_replace(kinds, r"(.)\1+", "$1")) / n,
         "digits": share("0-9"), "capitals": share("A-Z"), "hex": share("0-9a-fA-F"),
         "distinct": F.size(F.array_distinct(F.split("value", ""))) / n,

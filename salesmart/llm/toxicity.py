@@ -55,8 +55,7 @@ SEPARATORS = ".-_~·'"
 _SIZE = len(LETTERS) + 2  # 0: word boundary, last: anything that spoils a count
 _CODE = {c: i + 1 for i, c in enumerate(LETTERS)}
 _SPOILED = _SIZE - 1
-SPACED = 3  # single letters in a row that make a spaced word
-DIGITS = 4  # the same without any letter, for look-alikes alone
+SPACED = 3  # single letters or look-alikes in a row that make a spaced word
 
 
 def _symbols() -> np.ndarray:
@@ -237,7 +236,7 @@ class WordReader:
                 to = at + 1
                 while to < hi and not apart[to]:
                     to += 1
-                if to - at >= (SPACED if letter[at:to].any() else DIGITS):
+                if to - at >= SPACED:
                     said = _BLANK.sub(" ", raw[starts[at]:ends[to - 1]].decode().lower())
                     if said not in read:
                         read[said] = self.value(self.reader.read(said))
