@@ -36,9 +36,9 @@ def contains_ci(col: str | Column, text: str) -> Column:
 
 
 def like_ci(col: str | Column, text: str) -> Column:
-    """FLT-3, pattern form: ``%``/``_`` in the search text act as wildcards."""
+    """FLT-3, pattern form: ``%``/``_`` in the search text act as wildcards, a backslash stands for itself."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.lower(c).like(f"%{text.lower()}%")
+    return F.lower(c).like("%" + text.lower().replace("\\", "\\\\") + "%")
 
 
 def weather_sources(sources: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Latest version per key (AGG-5, SNK-5).
+"""Latest version per key (AGG-5); ``keyed`` stores a table that is read by it (SNK-5).
 
 A keyed table that receives repeated versions of a row keeps, per key, the
 row with the highest version; ties go to the row inserted last, so an
@@ -21,32 +21,3 @@ def latest_by_key(df: DataFrame, key: list[str], version: list[str]) -> DataFram
         f"max_by(struct({', '.join(q(c) for c in rest)}), struct({', '.join(q(c) for c in version)}))"
     ).alias("_latest"))
     return packed.selectExpr(*[q(c) for c in key], *[f"_latest.{q(c)} AS {q(c)}" for c in rest])
-
-
-def write_latest(df: DataFrame, path: str, key: list[str], version: list[str]) -> DataFrame:
-    """SNK-5: keyed table that keeps the latest version per key.
-
-    The table is a folder of versions. Stored rows and the new rows are merged
-    with ``latest_by_key`` into the next version; a version counts once its
-    success marker is there, so a failed run leaves the one before in use and
-    a re-run gives the same rows. Returns the table as read back.
-    """
-    spark = df.sparkSession
-    current = current_version(spark, path)
-    merged = df
-    if current:
-        merged = spark.read.schema(df.schema).parquet(f"{path}/v={current}").unionByName(df)
-    new = f"{path}/v={current + 1}"
-    latest_by_key(merged, key, version).write.mode("overwrite").parquet(new)
-    return spark.read.schema(df.schema).parquet(new)
-
-
-def current_version(spark, path: str) -> int:
-    """Number of the last complete version, 0 if there is none."""
-    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return 0
-    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    done = [s.getPath().getName() for s in fs.listStatus(hpath) if fs.exists(marker(s.getPath().toString() + "/_SUCCESS"))]
-    return max((int(n.removeprefix("v=")) for n in done if n.startswith("v=")), default=0)

@@ -20,6 +20,8 @@ from salesmart.functions.names import normalise_name, normalise_name_col, with_s
 
 # Fixed value: text written into empty text columns of the mart ("not set").
 DEFAULT_TEXT = "не задана"
+# error of a landed line that is not one JSON object
+MALFORMED = "malformed record"
 
 
 def normalise_columns(raw: DataFrame) -> DataFrame:
@@ -68,6 +70,25 @@ def project_to_schema(df: DataFrame, schema: T.StructType, source_url: Column |
     return df.select(*cols)
 
 
+def project_records(records: DataFrame, schema: T.StructType, source_url: Column, known: list[str] | None = None,
+                    record: str = "record", keep: list[str] | None = None) -> DataFrame:
+    """OP-1 + OP-2 + OP-3 on records whose fields vary by row.
+
+    Names are normalised once a row; where two names of a record come out the
+    same, the last one wins. ``_unknown`` lists the source names that have no
+    mart column and are not among ``known`` (landing metadata); ``keep`` passes columns through.
+    """
+    names = [f.name for f in schema.fields if f.name != "url"]
+    expected = F.array(*[F.lit(n) for n in [*schema.fieldNames(), *(known or [])]])
+    keys = F.map_keys(record)
+    split = records.select(
+        *[F.col(c) for c in keep or []], with_scheme_col(source_url).alias("url"),
+        F.reverse(F.transform(keys, normalise_name_col)).alias("_names"), F.reverse(F.map_values(record)).alias("_values"),
+        F.coalesce(F.array_distinct(F.filter(keys, lambda k: ~F.array_contains(expected, normalise_name_col(k)))), F.array().cast("array<string>")).alias("_unknown"))
+    found = [F.try_element_at("_values", F.nullif(F.array_position("_names", F.lit(n)).cast("int"), F.lit(0))).alias(n) for n in [*names, *(known or [])]]
+    return split.select(*found, "url", "_unknown", F.col("_names").isNull().alias("_malformed"), *(keep or []))
+
+
 def _kind(dtype: T.DataType) -> str:
     if isinstance(dtype, T.DateType):
         return "date"
@@ -126,27 +147,37 @@ def split_rejects(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataF
     return good, bad
 
 
-def load_summary(rated: DataFrame, schema: T.StructType, measures: list[str], rate_col: str = "_fx_rate",
-                 source_col: str = "url", chunk_col: str = "_chunk_from") -> DataFrame:
-    """AGG-8: per source and chunk, rows in, inserted, rejected and values without a rate.
+def load_summary(staged: DataFrame, pairs: list[tuple[str, str]], source_col: str = "url", chunk_col: str = "_chunk_from") -> DataFrame:
+    """AGG-8: per source and chunk, what became of the landed lines.
 
-    ``rated`` holds all landed rows of the load with their rate; what rejects a
-    row is the rule that ``split_rejects`` applies.
+    ``staged`` holds every line of a load with its ``error`` and ``_unknown``
+    names; ``pairs`` are measures and their converted copies. Lines that do not
+    parse have no chunk. rows_in = inserted + rejected + malformed.
     """
-    present = T.StructType([f for f in schema.fields if f.name in rated.columns])
-    reason = reject_reason(present)
-    lost = [F.count_if(F.col(m).isNotNull() & F.col(rate_col).isNull()) for m in measures]
-    return rated.withColumn("_reason", reason).groupBy(source_col, F.col(chunk_col).alias("chunk_from")).agg(
-        F.count(F.lit(1)).alias("rows_in"), F.count_if(F.col("_reason").isNull()).alias("inserted"),
-        F.count_if(F.col("_reason").isNotNull()).alias("rejected"), functools.reduce(operator.add, lost).alias("unconverted"))
+    lost = [F.count_if(F.col(m).isNotNull() & F.col(converted).isNull()) for m, converted in pairs] or [F.lit(0)]
+    return staged.groupBy(source_col, F.col(chunk_col).alias("chunk_from")).agg(
+        F.count(F.lit(1)).alias("rows_in"), F.count_if(F.col("error").isNull()).alias("inserted"),
+        F.count_if(F.col("error") != MALFORMED).alias("rejected"), F.count_if(F.col("error") == MALFORMED).alias("malformed"),
+        functools.reduce(operator.add, lost).alias("unconverted"), F.sum(F.size("_unknown")).alias("unknown_values"))
+
+
+def unknown_fields(staged: DataFrame) -> DataFrame:
+    """OP-2 report of a load: every field name without a mart column, with its number of records and sources."""
+    return staged.select("url", F.explode("_unknown").alias("field_name")).groupBy("field_name").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("url").alias("n_sources"))
 
 
 def write_rejects(rejects: DataFrame, path: str, mode: str = "append") -> None:
-    """SNK-4 sink: rejected record, error and chunk as JSON lines."""
-    rec_cols = [c for c in rejects.columns if c not in ("error", "_chunk_from", "_chunk_to")]
+    """SNK-4 sink: rejected record, error, chunk, raw text and file as JSON lines.
+
+    ``record`` is null where the line did not parse; ``_raw`` and ``_file`` are taken over if they are there.
+    """
+    own = ("error", "_chunk_from", "_chunk_to", "_raw", "_file", "_unknown")
+    record = F.to_json(F.struct(*[c for c in rejects.columns if c not in own]))
+    origin = [F.col(c).alias(c[1:]) for c in ("_raw", "_file") if c in rejects.columns]
     out = rejects.select(
-        F.to_json(F.struct(*rec_cols)).alias("record"), "error",
-        F.concat_ws(" – ", F.col("_chunk_from").cast("string"), F.col("_chunk_to").cast("string")).alias("chunk"))
+        F.when(F.col("error") != MALFORMED, record).alias("record"), "error",
+        F.concat_ws(" – ", F.col("_chunk_from").cast("string"), F.col("_chunk_to").cast("string")).alias("chunk"), *origin)
     out.write.mode(mode).json(path)
 
 

@@ -66,25 +66,38 @@ def task_configs(tasks: DataFrame, sources: DataFrame, targets: DataFrame, templ
             .drop("_sid", "_gid", "_pid"))
 
 
-def rows_in_task_windows(configs: DataFrame, rows: DataFrame, as_of: dt.date, date_field: str,
-                         url_col: str = "url", earliest_offset: int | None = None,
-                         latest_offset: int | None = None) -> DataFrame:
-    """WIN-5: every task's window applied to the report rows in one job.
-
-    Each task window is expanded to (source url, day) keys, so the range
-    condition becomes an equi-join on (url, day): facts shuffle on a key
-    that spreads one busy source over all its days, and AQE turns the join
-    into a broadcast when the expanded side is small at runtime. The largest
-    and smallest offsets over all tasks (one small aggregate unless given)
-    bound the fact scan by date.
+def coverage(configs: DataFrame, as_of: dt.date) -> DataFrame:
+    """WIN-5: (source_url, day, n_tasks) of every day that a task's window covers.
+
+    An interval sweep: a window adds one where it begins and takes it away the
+    day after it ends. These events are summed per source and day, so what is
+    ordered afterwards is at most one row per source and calendar day, however
+    many tasks there are; running sums give how many windows are open, and the
+    stretches between events their days.
     """
     w = task_window(configs, as_of).where("date_from <= date_to")
-    if earliest_offset is None or latest_offset is None:
-        earliest_offset, latest_offset = configs.agg(F.max("days_offset_start"), F.min("days_offset_end")).first()
-    if earliest_offset is None:
-        return rows.limit(0).withColumn("task_id", F.lit(None).cast("string"))
-    lo, hi = as_of - dt.timedelta(days=earliest_offset), as_of - dt.timedelta(days=latest_offset)
-    rows = rows.where(F.col(date_field).between(F.lit(lo), F.lit(hi)))
-    keys = w.selectExpr("id AS task_id", "source_url", "explode(sequence(date_from, date_to)) AS _day")
-    return rows.join(keys, (rows[url_col] == keys.source_url) & (rows[date_field] == keys._day)) \
-        .drop("source_url", "_day")
+    events = w.selectExpr("source_url", "inline(array(struct(date_from AS at, 1 AS step), struct(date_add(date_to, 1) AS at, -1 AS step)))")
+    steps = events.groupBy("source_url", "at").agg(F.sum("step").alias("step"))
+    open_windows = steps.selectExpr(
+        "source_url", "at", "sum(step) OVER (PARTITION BY source_url ORDER BY at) AS n_tasks",
+        "lead(at) OVER (PARTITION BY source_url ORDER BY at) AS until")
+    return open_windows.where("n_tasks > 0").selectExpr(
+        "source_url", "explode(sequence(at, date_sub(until, 1))) AS day", "n_tasks")
+
+
+def rows_in_task_windows(configs: DataFrame, rows: DataFrame, as_of: dt.date, date_field: str, url_col: str = "url") -> DataFrame:
+    """WIN-5: the rows that at least one task's window covers, each once, with ``n_tasks``, the number of windows.
+
+    Rows meet the coverage table by (source, day), so a busy source is spread
+    over its days and the result is never larger than the rows. The earliest
+    and latest offset of all tasks (one small aggregate) bound the fact scan.
+    """
+    if url_col not in rows.columns or date_field not in rows.columns:
+        raise ValueError(f"rows need the columns {url_col} and {date_field}")
+    span = configs.where("days_offset_start >= days_offset_end").agg(F.max("days_offset_start"), F.min("days_offset_end")).first()
+    if span[0] is None:
+        return rows.where("false").withColumn("n_tasks", F.lit(None).cast("bigint"))
+    lo, hi = (as_of - dt.timedelta(days=d) for d in span)
+    covered = coverage(configs, as_of).selectExpr("source_url AS _source_url", "day AS _day", "n_tasks")
+    inside = rows.where(F.col(date_field).between(F.lit(lo), F.lit(hi)))
+    return inside.join(covered, (inside[url_col] == covered["_source_url"]) & (inside[date_field] == covered["_day"])).drop("_source_url", "_day")

@@ -241,8 +241,12 @@ FILLED_COLS = ("OpenDate_Typed, CloseTime, Department, DishGroup, DishId, UniqOr
                "DishSumInt, DishAmountInt, DishDiscountSumInt, url")
 
 
+# landed lines that are cut off, and the one field more that records of every fifth order have
+CUT = "CAST(DishId AS BIGINT) % 97 = 0"
+GUEST = "CAST(UniqOrderId_Id AS BIGINT) % 5 = 0"
+
 CONVERTED = f"""
-WITH rows AS ({FILLED}),
+WITH rows AS (SELECT * FROM ({FILLED}) f WHERE NOT ({CUT})),
 rates AS ({RATES}),
 long AS ({LONG_RATES}),
 facts AS (
@@ -286,11 +290,24 @@ SELECT url, _chunk_from AS chunk_from,
        count(*) AS rows_in,
        count_if(OpenDate_Typed IS NOT NULL) AS inserted,
        count_if(OpenDate_Typed IS NULL) AS rejected,
+       0 AS malformed,
        count_if(DishSumInt IS NOT NULL AND s_rub IS NULL)
          + count_if(DishAmountInt IS NOT NULL AND a_rub IS NULL)
-         + count_if(DishDiscountSumInt IS NOT NULL AND d_rub IS NULL) AS unconverted
+         + count_if(DishDiscountSumInt IS NOT NULL AND d_rub IS NULL) AS unconverted,
+       count(*) + count_if({GUEST}) AS unknown_values
 FROM conv
 GROUP BY url, _chunk_from
+UNION ALL
+SELECT url, CAST(NULL AS DATE), count(*), 0, 0, count(*), 0, 0 FROM ({FILLED}) f WHERE {CUT} GROUP BY url
+"""
+
+
+def _load_unknown_fields() -> str:
+    return f"""
+WITH f AS (SELECT url, UniqOrderId_Id, CAST(DishId AS BIGINT) AS part FROM ({FILLED}) x WHERE NOT ({CUT})),
+names AS (SELECT url, 'Extra-Field' AS field_name FROM f
+          UNION ALL SELECT url, 'Guest.Num-' || CAST(part % 3 AS VARCHAR) FROM f WHERE {GUEST})
+SELECT field_name, count(*) AS n_rows, count(DISTINCT url) AS n_sources FROM names GROUP BY field_name
 """
 
 
@@ -303,10 +320,15 @@ FROM conv WHERE OpenDate_Typed IS NOT NULL
 
 
 def _load_rejects() -> str:
+    head = " || ".join(f"""'{"," if i else "{"}"{c}":"' || "{c}" || '"'""" for i, c in enumerate(
+        ["OpenDate.Typed", "CloseTime", "Department", "DishGroup", "DishId", "UniqOrderId.Id", "Currencies.Currency"]))
     return f"""
 SELECT UniqOrderId_Id AS order_id, url, 'null in non-nullable column OpenDate_Typed' AS error,
-       CAST(_chunk_from AS VARCHAR) || ' – ' || CAST(_chunk_to AS VARCHAR) AS chunk
-FROM ({FILLED}) x WHERE OpenDate_Typed IS NULL
+       CAST(_chunk_from AS VARCHAR) || ' – ' || CAST(_chunk_to AS VARCHAR) AS chunk, CAST(NULL AS VARCHAR) AS raw, true AS has_raw,
+       replace(url, 'http://', '') AS source
+FROM ({FILLED}) x WHERE OpenDate_Typed IS NULL AND NOT ({CUT})
+UNION ALL
+SELECT NULL, NULL, 'malformed record', '', left({head}, 70), true, _source FROM ({MESSY_RAW}) m WHERE {CUT}
 """
 
 
@@ -569,19 +591,32 @@ WHERE rn = 1
 """
 
 
-def _multi_source_window() -> str:
-    return f"""
-WITH {CFG}, sales_raw AS ({SALES_RAW}),
+_TASK_WINDOWS = """
 cfg AS (
   SELECT t.id AS task_id,
          CASE WHEN regexp_matches(s.api_url, '^https?://') THEN s.api_url ELSE 'http://' || s.api_url END AS source_url,
          DATE '1998-06-01' - t.days_offset_start AS date_from, DATE '1998-06-01' - t.days_offset_end AS date_to
   FROM tasks t JOIN sources s ON t.source_id = s.id JOIN targets g ON t.target_id = g.id
   JOIN templates p ON t.template_id = p.id
-  WHERE t.is_active
-  QUALIFY row_number() OVER (PARTITION BY t.source_id, t.template_id ORDER BY t.id) = 1)
-SELECT c.task_id, r.OpenDate_Typed, r.UniqOrderId_Id, r.DishId, r.DishSumInt, r.url
-FROM cfg c JOIN sales_raw r ON r.url = c.source_url AND r.OpenDate_Typed BETWEEN c.date_from AND c.date_to
+  WHERE t.is_active)"""
+
+
+def _multi_source_window() -> str:
+    return f"""
+WITH {CFG}, sales_raw AS ({SALES_RAW}), {_TASK_WINDOWS},
+days AS (SELECT DISTINCT url, OpenDate_Typed AS day FROM sales_raw),
+held AS (SELECT d.url, d.day, count(*) AS n_tasks FROM days d JOIN cfg c ON c.source_url = d.url AND d.day BETWEEN c.date_from AND c.date_to GROUP BY ALL)
+SELECT r.OpenDate_Typed, r.UniqOrderId_Id, r.DishId, r.DishSumInt, r.url, h.n_tasks
+FROM sales_raw r JOIN held h ON h.url = r.url AND h.day = r.OpenDate_Typed
+"""
+
+
+def _task_coverage() -> str:
+    return f"""
+WITH {CFG}, {_TASK_WINDOWS}
+SELECT source_url, CAST(g.ts AS DATE) AS day, count(*) AS n_tasks
+FROM cfg, LATERAL generate_series(CAST(date_from AS TIMESTAMP), CAST(date_to AS TIMESTAMP), INTERVAL 1 DAY) AS g(ts)
+GROUP BY ALL
 """
 
 
@@ -618,6 +653,7 @@ def registry() -> dict[str, str]:
         "fx_landed": _fx_landed(),
         "load_pipeline": _load_pipeline(),
         "load_rejects": _load_rejects(),
+        "load_unknown_fields": _load_unknown_fields(),
         "replace_range": _replace_range(),
         "dataset_profile": f"""WITH s AS ({SALES_RAW})
 SELECT {_month('OpenDate_Typed')} AS month, count(*) AS rows, min(OpenDate_Typed) AS min_date,
@@ -631,7 +667,9 @@ SELECT count(*) AS row_count, min(OpenDate_Typed) AS min_date, max(OpenDate_Type
         "partition_sizes": f"""WITH s AS ({SALES_RAW})
 SELECT {_month('OpenDate_Typed')} AS month, count(*) AS rows, true AS has_bytes, true AS batched FROM s GROUP BY 1""",
         "reorganize_check": f"""WITH s AS ({SALES_RAW})
-SELECT {_month('OpenDate_Typed')} AS month, count(*) AS old_rows, count(*) AS new_rows FROM s GROUP BY 1""",
+SELECT {_month('OpenDate_Typed')} AS month, count(*) AS old_rows, count(*) AS new_rows, true AS same_content FROM s GROUP BY 1""",
+        "reorganize_switch": f"""WITH s AS ({SALES_RAW})
+SELECT {_month('OpenDate_Typed')} AS month, count(*) AS rows_before, count(*) AS rows_after, false AS first_switch, true AS second_switch FROM s GROUP BY 1""",
         "task_details": f"""WITH {CFG}
 SELECT t.id AS task_id, t.name AS task_name, t.dataset_name, t.days_offset_start, t.days_offset_end, t.is_active,
        s.name AS source_name, s.api_url, s.currency AS source_currency, s.category_id,
@@ -692,6 +730,7 @@ cand AS (SELECT c_custkey AS id,
                 CASE WHEN c_custkey % 3 = 0 THEN upper(c_name) ELSE c_name || ' copy' END AS name FROM customer)
 SELECT id, name FROM cand WHERE lower(name) IN (SELECT lower(name) FROM tasks)""",
         "multi_source_window": _multi_source_window(),
+        "task_coverage": _task_coverage(),
         "date_chunks": _date_chunks(),
         "outlet_reference": f"""SELECT org_id, org_name, org_code, address, country, lat, lon, inn, currency,
        delivery_type, pos_version, api_key_hint FROM ({OUTLET_REF}) r""",
@@ -713,6 +752,12 @@ FROM l, (VALUES ('history', DATE '2023-12-21', DATE '2024-01-19'), ('forecast',
 FROM ({OUTLET_REF}) r GROUP BY source_id""",
         "weather_explode": WEATHER_NEW,
         "weather_by_outlet": _weather_by_outlet(),
+        "weather_table": _weather_by_outlet(),
+        "outlet_table": _latest_by_key(),
         "latest_by_key": _latest_by_key(),
-        "add_column_default": f"""WITH {CFG} SELECT id, name, 'RUB' AS currency FROM tasks""",
+        "add_column_default": f"""WITH s AS ({SALES_RAW})
+SELECT UniqOrderId_Id, DishId, OpenDate_Typed,
+       CASE WHEN OpenDate_Typed < DATE '1998-03-01' THEN 'RUB' WHEN DishAmountInt > 25 THEN 'GEL' END AS currency,
+       CASE WHEN OpenDate_Typed >= DATE '1998-03-01' THEN CAST(2.5 AS DOUBLE) END AS rate
+FROM s""",
     }

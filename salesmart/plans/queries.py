@@ -6,6 +6,7 @@ in full and runs one engine operator chain on them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.functions.names import dataset_parts
-from salesmart.operators import catalog, fx, geo, latest, load, mart, normalize, template, weather, windows
+from salesmart.operators import catalog, fx, geo, keyed, latest, load, mart, normalize, template, weather, windows
 from salesmart.plans import params as P
 from salesmart.session import work_dir
 from salesmart.sources import fixtures, landed
@@ -110,13 +111,6 @@ def quarantine(spark: SparkSession, data_dir: str) -> DataFrame:
     return rejects
 
 
-def load_summary(spark: SparkSession, data_dir: str) -> DataFrame:
-    """AGG-8: per source and chunk, rows in, inserted, rejected, unconverted values."""
-    rows = fx.rated(spark, _filled(spark, data_dir), fixtures.rates(spark), "OpenDate_Typed",
-                    P.LOAD_FROM, P.LOAD_TO, chunk_col="_chunk_from", chunk_end_col="_chunk_to")
-    return normalize.load_summary(rows, P.MESSY_SCHEMA, P.MEASURES)
-
-
 def fx_landed(spark: SparkSession, data_dir: str) -> DataFrame:
     """JOIN-1 + OP-10 + OP-11: sources on chunks of their own, rows dated past their
     chunk, connection currencies, very small and very large amounts."""
@@ -125,45 +119,57 @@ def fx_landed(spark: SparkSession, data_dir: str) -> DataFrame:
                       connection_currency="connection_currency", chunk_col="_chunk_from", chunk_end_col="_chunk_to")
 
 
-_LANDED_FIELDS = ["OpenDate.Typed", "CloseTime", "Department", "DishGroup", "DishId", "UniqOrderId.Id", "Currencies.Currency",
-                  "DishSumInt", "DishAmountInt", "DishDiscountSumInt", "Extra-Field", "url", "source", "chunk_from", "chunk_to"]
-
-
-def _landed_lines(spark: SparkSession, data_dir: str) -> DataFrame:
-    """SRC-1: the report rows written as JSON lines and read back with their landing metadata."""
-    path = work_dir(spark, "landing")
-    fixtures.write_landed_lines(spark, data_dir, path)
-    return landed.with_landing_metadata(landed.read_report_lines(spark, path, _LANDED_FIELDS))
+def _landing(spark: SparkSession, data_dir: str) -> tuple[mart.MartSpec, DataFrame, DataFrame]:
+    """(a new mart's layout with converted copies of all measures, the landed records, the rate table)."""
+    full = template.mart_schema(P.SALES_MART_TEMPLATE, convert_currency=True)
+    spec = mart.add_columns(spark, _mart_spec(spark, P.MESSY_SCHEMA, "load-mart"), full)  # SCH-3: the converted copies come later
+    rates_path, landing = work_dir(spark, "rates"), work_dir(spark, "landing")
+    fixtures.rates(spark).write.parquet(rates_path)
+    fixtures.write_landed_lines(spark, data_dir, landing)
+    return spec, landed.read_report_records(spark, landing), landed.read_rates(spark, rates_path)
 
 
 def _loaded(spark: SparkSession, data_dir: str) -> tuple[mart.MartSpec, str]:
-    """The load of the landed lines into a new mart with converted copies of all measures."""
-    base = P.MESSY_SCHEMA
-    full = template.mart_schema(P.SALES_MART_TEMPLATE, convert_currency=True)
-    spec = _mart_spec(spark, base, "load-mart")
+    """The load of the landed lines into a new mart."""
+    spec, records, rates = _landing(spark, data_dir)
     mart.create_mart(spark, spec)
-    spec = mart.add_columns(spark, spec, full)  # SCH-3: the converted copies come later
     if not mart.mart_exists(spark, spec.path):
         raise ValueError("the mart was not created")
-    rates_path = work_dir(spark, "rates")
-    fixtures.rates(spark).write.parquet(rates_path)
     rejects = work_dir(spark, "rejects")
-    load.load_landed(spark, _landed_lines(spark, data_dir), spec, P.MEASURES, landed.read_rates(spark, rates_path),
-                     P.LOAD_FROM, P.LOAD_TO, rejects)
+    load.load_landed(spark, records, spec, P.MEASURES, rates, P.LOAD_FROM, P.LOAD_TO, rejects)
     return spec, rejects
 
 
+def _reported(spark: SparkSession, data_dir: str) -> load.LoadReport:
+    """What the load reports: the pass that all its steps read."""
+    spec, records, rates = _landing(spark, data_dir)
+    return load.stage_landed(spark, records, spec, P.MEASURES, rates, P.LOAD_FROM, P.LOAD_TO)
+
+
 def load_pipeline(spark: SparkSession, data_dir: str) -> DataFrame:
     """SRC-1, SRC-2, OP-1..OP-8, OP-10, OP-12, SNK-1..3, SCH-1..4: landed JSON to mart rows."""
     spec, _ = _loaded(spark, data_dir)
     return mart.read_mart(spark, spec).drop(mart.MONTH)
 
 
+def load_summary(spark: SparkSession, data_dir: str) -> DataFrame:
+    """AGG-8: what became of the landed lines, per source and chunk, out of the load's own pass."""
+    return _reported(spark, data_dir).summary
+
+
+def load_unknown_fields(spark: SparkSession, data_dir: str) -> DataFrame:
+    """SRC-1 + OP-2: the fields of a load that have no mart column, with their records and sources."""
+    return _reported(spark, data_dir).unknown
+
+
 def load_rejects(spark: SparkSession, data_dir: str) -> DataFrame:
-    """SNK-4: the rejects of the load as read back from their JSON lines, with two fields of the record (FN-10)."""
+    """SNK-4: the rejects of the load as read back from their JSON lines: fields of the record (FN-10), or
+    the text of a line that does not parse, and the source folder it came from."""
     _, rejects = _loaded(spark, data_dir)
-    rows = spark.read.schema("record string, error string, chunk string").option("recursiveFileLookup", True).json(rejects)
-    return rows.select(F.get_json_object("record", "$.UniqOrderId_Id").alias("order_id"), F.get_json_object("record", "$.url").alias("url"), "error", "chunk")
+    rows = spark.read.schema("record string, error string, chunk string, raw string, file string").option("recursiveFileLookup", True).json(rejects)
+    return rows.select(F.get_json_object("record", "$.UniqOrderId_Id").alias("order_id"), F.get_json_object("record", "$.url").alias("url"), "error", "chunk",
+                       F.when(F.col("record").isNull(), F.col("raw")).alias("raw"), (F.length("raw") > 0).alias("has_raw"),
+                       F.regexp_extract("file", "source=([^/]+)/", 1).alias("source"))
 
 
 def _mart_spec(spark: SparkSession, schema, name: str) -> mart.MartSpec:
@@ -228,6 +234,28 @@ def reorganize_check(spark: SparkSession, data_dir: str) -> DataFrame:
     return mart.reorganize(spark, rows, _mart_spec(spark, schema, "reorg"))
 
 
+def reorganize_switch(spark: SparkSession, data_dir: str) -> DataFrame:
+    """DML-5 + SCH-4 + AGG-6: months of a table read by name, before and after its new layout takes over the name.
+
+    A first attempt, whose new table has changed values in place, is refused.
+    """
+    rows = fixtures.sales_raw(spark, data_dir)
+    spec = _mart_spec(spark, template.mart_schema(P.SALES_MART_TEMPLATE, convert_currency=False), "switch-new")
+    name, flat, wrong = "sales_" + uuid.uuid4().hex[:12], work_dir(spark, "switch-old"), work_dir(spark, "switch-wrong")
+    mart.align(rows, spec.schema).write.parquet(flat)
+    mart.register(spark, name, flat, spec.schema, ())
+    spark.table(name).withColumn("DishSumInt", F.col("DishSumInt") + F.when(F.col("DishId") == "1", 1).otherwise(0)).write.parquet(wrong)
+    mart.register(spark, f"{name}_wrong", wrong, spec.schema, ())
+    first = mart.switch(spark, name, f"{name}_wrong", mart.reconcile(spark.table(name), spark.table(f"{name}_wrong"), spec.schema, "OpenDate_Typed"))
+    report = mart.reorganize(spark, spark.table(name), spec)
+    mart.register(spark, f"{name}_new", spec.path, spec.table_schema)
+    second = mart.switch(spark, name, f"{name}_new", report)
+    before = spark.table(f"{name}_old").groupBy(mart.month_key("OpenDate_Typed").alias("_month")).agg(F.count("*").alias("rows_before"))
+    after = spark.table(name).groupBy(mart.MONTH).agg(F.count("*").alias("rows_after"))
+    return before.join(after, F.col(mart.MONTH) == F.col("_month"), "full_outer").select(
+        F.coalesce(mart.MONTH, "_month").alias("month"), "rows_before", "rows_after", F.lit(first).alias("first_switch"), F.lit(second).alias("second_switch"))
+
+
 def _cfg(spark: SparkSession, data_dir: str):
     return (fixtures.tasks(spark, data_dir), fixtures.sources(spark, data_dir), fixtures.targets(spark, data_dir),
             fixtures.templates(spark, data_dir), fixtures.categories(spark, data_dir))
@@ -315,14 +343,18 @@ def name_clash(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def multi_source_window(spark: SparkSession, data_dir: str) -> DataFrame:
-    """WIN-1 + WIN-5 + JOIN-6: every active task's window over its source's rows."""
+    """WIN-1 + WIN-5 + JOIN-6: the rows in the windows of all active tasks, with how many windows hold each."""
     tasks, sources, targets, templates, _ = _cfg(spark, data_dir)
-    # one task per source and template, so the result grows with the rows alone
-    tasks = catalog.one_per_key(tasks.where("is_active"), ["source_id", "template_id"])
     cfg = windows.task_configs(tasks, sources, targets, templates)
     rows = fixtures.sales_raw(spark, data_dir)
     out = windows.rows_in_task_windows(cfg, rows, P.AS_OF, "OpenDate_Typed")
-    return out.select("task_id", "OpenDate_Typed", "UniqOrderId_Id", "DishId", "DishSumInt", "url")
+    return out.select("OpenDate_Typed", "UniqOrderId_Id", "DishId", "DishSumInt", "url", "n_tasks")
+
+
+def task_coverage(spark: SparkSession, data_dir: str) -> DataFrame:
+    """WIN-5: how many active tasks' windows cover each source and day."""
+    tasks, sources, targets, templates, _ = _cfg(spark, data_dir)
+    return windows.coverage(windows.task_configs(tasks, sources, targets, templates), P.AS_OF)
 
 
 def date_chunks(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -389,8 +421,8 @@ def weather_explode(spark: SparkSession, data_dir: str) -> DataFrame:
     return weather.explode_weather(fixtures.weather_responses(spark, data_dir), ["location", "part"])
 
 
-def weather_by_outlet(spark: SparkSession, data_dir: str) -> DataFrame:
-    """JOIN-7 + JOIN-10 + DML-2 + AGG-11: refresh outlet weather for a range."""
+def _outlet_weather(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(stored rows, new rows) of the weather of outlets."""
     new_w = weather.explode_weather(fixtures.weather_responses(spark, data_dir), ["location"]) \
         .withColumnRenamed("location", "cluster")
     ref = _outlet_ref(spark, data_dir).where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
@@ -403,14 +435,44 @@ def weather_by_outlet(spark: SparkSession, data_dir: str) -> DataFrame:
         *[(F.col(v) + F.lit(0.5)).alias(n) if v == "temperature_2m_mean" else F.col(v).alias(n)
           for v, n in weather.WEATHER_FIELDS.items()])
     old_rows = weather.weather_for_outlets(old_w, outlets, ["cluster"]).withColumn("load", F.lit("old"))
+    return old_rows, new_rows
+
+
+def weather_by_outlet(spark: SparkSession, data_dir: str) -> DataFrame:
+    """JOIN-7 + JOIN-10 + DML-2 + AGG-11: refresh outlet weather for a range."""
+    old_rows, new_rows = _outlet_weather(spark, data_dir)
     out = weather.replace_weather(old_rows, new_rows, P.WEATHER_FROM, P.WEATHER_TO)
     # AGG-5: the table keeps one row per outlet and day, the newer load first
     out = out.drop("cluster").withColumn("_v", F.when(F.col("load") == "new", 1).otherwise(0))
     return latest.latest_by_key(out, ["date", "org_id"], ["_v"]).drop("_v")
 
 
-def latest_by_key(spark: SparkSession, data_dir: str) -> DataFrame:
-    """AGG-5 + SNK-5 + DML-4: latest outlet record per id over three syncs."""
+def weather_table(spark: SparkSession, data_dir: str) -> DataFrame:
+    """SNK-5 + DML-2 + JOIN-10 on a stored table: two syncs, a refresh of a range, compaction of busy buckets, read."""
+    old_rows, new_rows = (rows.drop("cluster") for rows in _outlet_weather(spark, data_dir))
+    table = keyed.KeyedTable(work_dir(spark, "weather"), old_rows.schema, ("date", "org_id"), buckets=8)
+    keyed.sync(spark, table, old_rows.where(F.col("date") < F.lit(P.WEATHER_TO)))
+    keyed.sync(spark, table, old_rows.where(F.col("date") >= F.lit(P.WEATHER_FROM)))
+    keyed.compact(spark, table)
+    keyed.refresh(spark, table, new_rows, P.WEATHER_FROM, P.WEATHER_TO)
+    keyed.compact(spark, table, min_syncs=1)
+    keyed.clean(spark, table)
+    return keyed.read(spark, table)
+
+
+def outlet_table(spark: SparkSession, data_dir: str) -> DataFrame:
+    """SNK-5 + AGG-5 on a stored table: three syncs of outlets, the last compaction between them, latest by sync time."""
+    versions = _outlet_versions(spark, data_dir)
+    table = keyed.KeyedTable(work_dir(spark, "outlets"), versions[0].schema, ("org_id",), ("synced_at", "seq"), buckets=8)
+    keyed.sync(spark, table, versions[2])  # a late one first: it still wins by its time
+    keyed.sync(spark, table, versions[0])
+    keyed.compact(spark, table, min_syncs=2)
+    keyed.sync(spark, table, versions[1])
+    return keyed.read(spark, table)
+
+
+def _outlet_versions(spark: SparkSession, data_dir: str) -> list[DataFrame]:
+    """Three syncs of the outlets; the last two at the same time."""
     ref = _outlet_ref(spark, data_dir)
     base = ref.select("org_id", "org_name", "lat", "lon", "s_acctbal")
     t1, t2 = P.SYNC_1, P.SYNC_2
@@ -421,17 +483,29 @@ def latest_by_key(spark: SparkSession, data_dir: str) -> DataFrame:
     v3 = base.where(F.col("s_acctbal") > 8000).select(
         "org_id", F.concat(F.col("org_name"), F.lit(" (renamed)")).alias("org_name"), "lat", "lon",
         F.lit(t2).cast("timestamp_ntz").alias("synced_at"), F.lit(3).alias("seq"))
+    return [v1, v2, v3]
+
+
+def latest_by_key(spark: SparkSession, data_dir: str) -> DataFrame:
+    """AGG-5 + DML-4: latest outlet record per id over three syncs."""
+    v1, v2, v3 = _outlet_versions(spark, data_dir)
     return latest.latest_by_key(v1.unionByName(v2).unionByName(v3), ["org_id"], ["synced_at", "seq"])
 
 
 def add_column_default(spark: SparkSession, data_dir: str) -> DataFrame:
-    """SCH-5: a column added later reads as its default for old rows."""
-    tasks = fixtures.tasks(spark, data_dir)
-    path = work_dir(spark, "tasks")
-    tasks.write.parquet(path)
-    evolved = T.StructType(list(tasks.schema.fields) + [T.StructField("currency", T.StringType(), True)])
-    old = spark.read.schema(evolved).parquet(path)
-    return mart.with_defaults(old, {"currency": "RUB"}).select("id", "name", "currency")
+    """SCH-2 + SCH-5: a column added later reads as its stored default in old rows and as written in new ones,
+    for whoever opens the table afterwards."""
+    rows = fixtures.sales_raw(spark, data_dir)
+    schema = template.mart_schema(P.SALES_MART_TEMPLATE, convert_currency=False)
+    first = _mart_spec(spark, schema, "defaults")
+    early, late = F.col("OpenDate_Typed") < F.lit(P.REPLACE_FROM), F.col("OpenDate_Typed") >= F.lit(P.REPLACE_FROM)
+    mart.create_mart(spark, first, rows.where(early))
+    wider = T.StructType([*schema.fields, T.StructField("currency", T.StringType()), T.StructField("rate", T.DoubleType())])
+    mart.add_columns(spark, first, wider, {"currency": "RUB"})
+    found = mart.open_mart(spark, first.path)
+    fresh = rows.where(late).withColumn("currency", F.when(F.col("DishAmountInt") > 25, F.lit("GEL"))).withColumn("rate", F.lit(2.5))
+    mart.write_rows(fresh, found)
+    return mart.read_mart(spark, mart.open_mart(spark, first.path)).select("UniqOrderId_Id", "DishId", "OpenDate_Typed", "currency", "rate")
 
 
 def registry() -> dict[str, Query]:
@@ -450,12 +524,14 @@ def registry() -> dict[str, Query]:
         "fx_landed": fx_landed,
         "load_pipeline": load_pipeline,
         "load_rejects": load_rejects,
+        "load_unknown_fields": load_unknown_fields,
         "replace_range": replace_range,
         "dataset_profile": dataset_profile,
         "dataset_info": dataset_info,
         "dataset_columns": dataset_columns,
         "partition_sizes": partition_sizes,
         "reorganize_check": reorganize_check,
+        "reorganize_switch": reorganize_switch,
         "task_details": task_details,
         "task_filter": task_filter,
         "source_categories": source_categories,
@@ -467,6 +543,7 @@ def registry() -> dict[str, Query]:
         "config_ingest": config_ingest,
         "name_clash": name_clash,
         "multi_source_window": multi_source_window,
+        "task_coverage": task_coverage,
         "date_chunks": date_chunks,
         "outlet_reference": outlet_reference,
         "outlet_stations": outlet_stations,
@@ -475,6 +552,8 @@ def registry() -> dict[str, Query]:
         "weather_requests": weather_requests,
         "weather_explode": weather_explode,
         "weather_by_outlet": weather_by_outlet,
+        "weather_table": weather_table,
+        "outlet_table": outlet_table,
         "latest_by_key": latest_by_key,
         "add_column_default": add_column_default,
     }

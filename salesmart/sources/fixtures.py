@@ -168,10 +168,26 @@ def sales_landed(spark: SparkSession, data_dir: str) -> DataFrame:
         "concat('http://src', CAST(s_nationkey AS STRING)) AS url", "_chunk_from", f"date_add(_chunk_from, {k - 1}) AS _chunk_to")
 
 
+# Length that the line of every 97th part's rows is cut off at, and the field that only some records have.
+CUT_LINE = 70
+LANDED_ORDER = ["OpenDate.Typed", "CloseTime", "Department", "DishGroup", "DishId", "UniqOrderId.Id", "Currencies.Currency", "DishSumInt",
+                "DishAmountInt", "DishDiscountSumInt", "Extra-Field", "url"]
+
+
 def write_landed_lines(spark: SparkSession, data_dir: str, path: str) -> None:
-    """SRC-1 input: the landed report rows as JSON lines, one folder per source."""
+    """SRC-1 input: the landed report rows as JSON lines, one folder per source.
+
+    Records of every fifth order have one more field, named after the part; the
+    lines of every 97th part are cut off.
+    """
     rows = sales_messy(spark, data_dir)
-    rows.withColumnsRenamed({"_source": "source", "_chunk_from": "chunk_from", "_chunk_to": "chunk_to"}).write.partitionBy("source").json(path)
+    fields = ", ".join(f"'{c}', `{c}`" for c in LANDED_ORDER)
+    record = f"""map_concat(map({fields}, 'chunk_from', CAST(_chunk_from AS STRING), 'chunk_to', CAST(_chunk_to AS STRING)),
+        CASE WHEN CAST(`UniqOrderId.Id` AS BIGINT) % 5 = 0 THEN map(concat('Guest.Num-', CAST(CAST(DishId AS BIGINT) % 3 AS STRING)), '2')
+             ELSE CAST(map() AS MAP<STRING, STRING>) END)"""
+    lines = rows.selectExpr("_source AS source", "DishId", f"to_json({record}) AS line").selectExpr(
+        "source", f"CASE WHEN CAST(DishId AS BIGINT) % 97 = 0 THEN left(line, {CUT_LINE}) ELSE line END AS value")
+    lines.write.partitionBy("source").text(path)
 
 
 def write_config_files(spark: SparkSession, data_dir: str, path: str) -> None:

@@ -29,6 +29,22 @@ def read_report_lines(spark: SparkSession, path: str, fields: list[str]) -> Data
     return spark.read.schema(report_fields_schema(fields)).json(path)
 
 
+def read_report_records(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-1, JSON-lines landing with fields that are not known beforehand.
+
+    One row per line that is not blank: ``record`` (field name -> text, null if
+    the line is not one JSON object), ``_raw`` (the line), ``_file`` and the
+    folder columns. Nothing of a line is lost: what the mart does not know is
+    still in ``record``, and a line that does not parse is still in ``_raw``.
+    """
+    lines = spark.read.text(path)
+    folders = [F.col(c).cast("string").alias(c) for c in lines.columns if c != "value"]
+    whole = F.col("value").rlike(r"^\s*\{") & F.col("value").rlike(r"\}\s*$")
+    return lines.where(F.col("value").rlike(r"\S")).select(
+        F.when(whole, F.from_json("value", "map<string,string>")).alias("record"), F.col("value").alias("_raw"),
+        F.col("_metadata.file_path").alias("_file"), *folders)
+
+
 def read_report_documents(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
     """SRC-1, document landing: the ``data`` array of each response, one row per record."""
     schema = T.StructType([T.StructField("data", T.ArrayType(report_fields_schema(fields)), True)])

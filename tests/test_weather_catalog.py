@@ -171,3 +171,26 @@ def test_search_forms(spark):
     pat = {r["name"] for r in df.where(catalog.like_ci("name", "CAFE_")).collect()}
     assert lit == {"Cafe_North"}
     assert pat == {"Cafe_North", "CafeXNorth", "cafe north"}
+    slashed = spark.createDataFrame([("a\\b",), ("ab\\",), ("ab",)], "name string")
+    assert [r["name"] for r in slashed.where(catalog.like_ci("name", "A\\B")).collect()] == ["a\\b"]
+    assert [r["name"] for r in slashed.where(catalog.like_ci("name", "b\\")).collect()] == ["ab\\"]
+
+
+def test_window_coverage_against_every_window(spark):
+    """Overlapping, touching, nested, single-day and reversed windows; a source without rows, rows without a window."""
+    as_of = dt.date(2024, 1, 31)
+    offsets = [(10, 5), (10, 5), (8, 2), (4, 4), (3, 1), (1, 3), (30, 29), (12, 11)]
+    tasks = [(f"t{i}", f"http://s{i % 3}", a, b) for i, (a, b) in enumerate(offsets)]
+    cfg = spark.createDataFrame(tasks, "id string, source_url string, days_offset_start int, days_offset_end int")
+    want = {}
+    for _, url, a, b in tasks:
+        for d in range(b, a + 1):
+            key = (url, as_of - dt.timedelta(days=d))
+            want[key] = want.get(key, 0) + 1
+    assert {(r["source_url"], r["day"]): r["n_tasks"] for r in windows.coverage(cfg, as_of).collect()} == want
+    facts = [(f"http://s{k % 4}", as_of - dt.timedelta(days=k % 35), k) for k in range(200)]
+    rows = spark.createDataFrame(facts, "url string, day date, k int")
+    got = sorted((r["k"], r["n_tasks"]) for r in windows.rows_in_task_windows(cfg, rows, as_of, "day").collect())
+    assert got == sorted((k, want[url, day]) for url, day, k in facts if (url, day) in want)
+    assert windows.rows_in_task_windows(cfg.where("id = 't5'"), rows, as_of, "day").collect() == []
+    assert windows.rows_in_task_windows(cfg.limit(0), rows, as_of, "day").columns == ["url", "day", "k", "n_tasks"]
