@@ -40,6 +40,7 @@ from salesmart.llm.words import LOWER, mix, span_hashes, text_bytes, text_parts,
 
 FOLDS, HELD_OUT, DELETED = 7, 2, 3
 BLOCK_BYTES = 8 << 20
+BLOCKS_A_RANGE = 8  # so a key range holds no more than the keys of so many blocks, whatever the corpus
 CONTEXT_CLASSES = 64
 START_WEIGHTS = (0.5, 0.4, 0.1)  # bigram, word, floor
 TOLERANCE = 1e-4
@@ -143,9 +144,11 @@ def _asked(laid_out: DataFrame, n: int) -> DataFrame:
                 b = Block(row)
                 words, pairs = b.train_counts()
                 we, pe = _ranges(b.words, n), _ranges(b.pairs, n)
-                cols = [np.arange(n, dtype=np.int32), [row["block"]] * n, [row["deleted"]] * n,
-                        [b.words[i:j].tobytes() for i, j in zip(we[:-1], we[1:], strict=True)], [_packed(words[i:j]) for i, j in zip(we[:-1], we[1:], strict=True)],
-                        [b.pairs[i:j].tobytes() for i, j in zip(pe[:-1], pe[1:], strict=True)], [_packed(pairs[i:j]) for i, j in zip(pe[:-1], pe[1:], strict=True)]]
+                hit = np.flatnonzero((np.diff(we) > 0) | (np.diff(pe) > 0))  # ranges the block has keys in
+                w, p = [list(zip(e[hit].tolist(), e[hit + 1].tolist(), strict=True)) for e in (we, pe)]
+                cols = [hit.astype(np.int32), [row["block"]] * len(hit), [row["deleted"]] * len(hit),
+                        [b.words[i:j].tobytes() for i, j in w], [_packed(words[i:j]) for i, j in w],
+                        [b.pairs[i:j].tobytes() for i, j in p], [_packed(pairs[i:j]) for i, j in p]]
                 kinds = [pa.int32(), pa.int64(), pa.bool_(), *[pa.binary()] * 4]
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
                                       names=["bucket", "block", "deleted", "words", "word_counts", "pairs", "pair_counts"])
@@ -186,7 +189,8 @@ def _answers(batches):
 def exchange(laid_out: DataFrame) -> DataFrame:
     """For every block and key range the training totals of the block's keys, in key order."""
     n = partitions(laid_out.sparkSession)
-    return (_asked(laid_out, 4 * n).repartition(n, "bucket").sortWithinPartitions("bucket", "block")
+    ranges = max(4 * n, laid_out.count() // BLOCKS_A_RANGE)
+    return (_asked(laid_out, ranges).repartition(n, "bucket").sortWithinPartitions("bucket", "block")
             .mapInArrow(_answers, "block long, bucket int, deleted boolean, w_full binary, p_full binary, w_kept binary, p_kept binary, "
                                   "n_kept long, v_kept long, n_full long, v_full long"))
 

@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 import re
@@ -149,6 +150,73 @@ def test_base_scores_match_brute_force(clashing, small, empty):
     assert lm_score.score(empty).count() == 0
 
 
+def plain_interpolation(texts):
+    """Scores by deleted interpolation over dictionaries: {id: log10 probability}."""
+    fold = {i: zlib.crc32(b"" if i is None else str(i).encode()) % 7 for i, _ in texts}
+
+    def counted(folds):
+        words, pairs = Counter(), Counter()
+        for i, t in texts:
+            if fold[i] in folds:
+                words.update(t)
+                pairs.update(zip(["start", *t], t))
+        return words, pairs
+
+    def shares(words, pairs, pair):
+        h, w = pair
+        seen = words[None if h == "start" else h]  # the first context was seen once in every text, like the end
+        kind = int(math.log2(seen)) + 1 if seen else 0
+        return kind, [pairs[pair] / max(seen, 1), words[w] / max(sum(words.values()), 1), 1 / (len(words) + 1)]
+    words, pairs = counted({0, 1, 4, 5, 6})
+    _, held = counted({3})
+    known = [(shares(words, pairs, p), m) for p, m in held.items()]
+    weights = {k: list(lm_score.START_WEIGHTS) for k in range(64)}
+    met = {kind for (kind, _), _ in known}
+    while True:
+        mass = {k: [0.0] * 3 for k in met}
+        for (kind, share), m in known:
+            part = [a * b for a, b in zip(weights[kind], share)]
+            mass[kind] = [a + m * b / sum(part) for a, b in zip(mass[kind], part)]
+        new = {k: [a / sum(v) for a in v] for k, v in mass.items()}
+        change = max((abs(a - b) for k, v in new.items() for a, b in zip(v, weights[k])), default=0)
+        weights |= new
+        if change < lm_score.TOLERANCE:
+            break
+    for k in range(64):
+        least = [max(a, 1e-6) for a in weights[k]]
+        weights[k] = [a / sum(least) for a in least]
+    for k in range(2, 64):
+        if k not in met and any(j < k for j in met):
+            weights[k] = weights[max(j for j in met if j < k)]
+    words, pairs = counted({0, 1, 3, 4, 5, 6})
+    out = {}
+    for i, t in texts:
+        out[i] = 0.0
+        for p in zip(["start", *t], t):
+            kind, share = shares(words, pairs, p)
+            out[i] += math.log10(sum(a * b for a, b in zip(weights[kind], share)))
+    return out
+
+
+def test_scores_match_plain_interpolation(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice("abcdefgh") * rng.randint(1, 2) for _ in range(rng.randint(0, 30)))) for i in range(120)]
+    want = plain_interpolation([(i, WORD.findall(t) + [None]) for i, t in rows])
+    got = by_id(lm_score.score(spark.createDataFrame(rows, "doc_id long, text string"), block_bytes=500))
+    assert set(got) == set(want)
+    for i, score in want.items():
+        assert math.isclose(got[i]["score"], score, rel_tol=1e-6), i
+
+
+def test_key_ranges_follow_the_blocks(spark, monkeypatch):
+    """Many ranges, most of them without keys of a block, give the same scores as few."""
+    rows = [(i, f"a{i % 5} b{i % 3} c") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    few = {i: r["score"] for i, r in by_id(lm_score.score(docs, block_bytes=60)).items()}
+    monkeypatch.setattr(lm_score, "BLOCKS_A_RANGE", 0.1)
+    assert {i: r["score"] for i, r in by_id(lm_score.score(docs, block_bytes=60)).items()} == few
+
+
 def test_interpolation_beats_the_base_and_normalises(spark):
     """Held-out texts of a bigram source score better than by add-one, and P(. | h) sums to about 1."""
     rng = random.Random(4)
@@ -222,6 +290,27 @@ def test_obfuscated_words_are_restored(spark):
     assert sorted(r["doc_id"] for r in left.collect()) == [100 + i for i in range(len(plain))]
 
 
+def test_viterbi_finds_the_best_of_all_readings():
+    """Every path through the lattice of short noisy words is listed and scored."""
+    rng = np.random.default_rng(3)
+    size = len(toxicity.LETTERS) + 1
+    logp = np.log(rng.dirichlet(np.ones(max(size, toxicity._SIZE)), (toxicity._SIZE, toxicity._SIZE)))
+    reader = toxicity.Reader(logp)
+    for word in ["a", "aa", "aaa", "1d1ot", "$h1t", "f*ck", "s t u p", "b.a.d", "h3ll00", "@@ss", "4 5 5", "***", "id--iot", "x", ""]:
+        best = None
+        for way in itertools.product(*reader.lattice(word), [((0,), 0.0)]):
+            a, b, total, said = 0, 0, 0.0, []
+            for symbols, cost in way:
+                total += cost
+                for x in symbols:
+                    total += logp[a, b, x]
+                    a, b = (0 if x == 0 else b), x
+                    said.append(" " if x == 0 else toxicity.LETTERS[x - 1])
+            if best is None or total > best[0]:
+                best = (total, "".join(said).split())
+        assert reader.read(word) == best[1], word
+
+
 def test_doubled_letters_leet_and_wide_spacing_are_restored(spark):
     rng = random.Random(18)
     clean = [a + b + c for a in ("ba", "re", "to", "mi") for b in ("na", "lo", "su", "ti") for c in ("r", "n", "st", "l")] + ["balloon", "letter", "summer"]
