@@ -6,7 +6,10 @@ chunk identifiers. Identifiers are verified before recipes are compared: the
 distinct (identifier, chunk) pairs are counted per identifier, and a document
 that holds a chunk whose identifier stands for two different chunks is
 compared by its whole text instead. Chunk text moves once, one copy per map
-task; documents themselves never move, only their recipes (about 3 % of the text).
+task; documents themselves never move, only their recipes (about 3 % of the text),
+which are written once and read by everything that follows. ``deduplicate`` takes
+the rows that go away by an anti-join with their keys: Spark sends those to every
+task where they are small enough by its own limit, else the texts move once.
 
 Everything is built from SQL functions; there is no Python on the executors.
 
@@ -23,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import WS_CHARS, cut, documents, hot_join
+from salesmart.llm.common import WS_CHARS, cut, documents, hot_join, written
 
 MIN_CHUNK = 96
 MAX_CHUNK = 1024
@@ -68,8 +71,8 @@ def recipes(docs: DataFrame, identify=identified) -> DataFrame:
     """
     base = docs.select("doc_id", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_points"),
                        normalised().alias("norm"))
-    plain = base.select("doc_id", "n_points", F.sha2("norm", 256).alias("text_sha256"),
-                        F.transform(chunked(), identify).alias("recipe"))
+    plain = written(base.select("doc_id", "n_points", F.sha2("norm", 256).alias("text_sha256"),
+                                F.transform(chunked(), identify).alias("recipe")), "recipes")
     clashing = cut(clashing_ids(base, identify))
     if clashing.isEmpty():
         return plain.withColumn("literal", F.lit(""))
@@ -101,12 +104,17 @@ def exact_groups(docs: DataFrame, identify=identified) -> DataFrame:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The input rows that stay, one per group, with all their columns."""
-    stay = exact_groups(docs).filter("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("n_points").alias("_n")).distinct()
+    same_key = exact_groups(docs).groupBy("doc_id", "text_sha256", "n_points").agg(F.first("kept").alias("_stays"), F.count("*").alias("_copies"))
+    special = written(same_key.filter("not _stays or _copies > 1").select(
+        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("n_points").alias("_n"), "_stays"), "dedup-keys")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("own_id"),
                        F.sha2(normalised(), 256).alias("sha"), F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n"))
-    hit = (rows["sha"] == stay["_sha"]) & (rows["n"] == stay["_n"]) & rows["own_id"].eqNullSafe(stay["_id"])
-    return rows.join(stay, hit, "leftsemi").dropDuplicates(["sha"]).select("row.*")
+    hit = (rows["sha"] == special["_sha"]) & (rows["n"] == special["_n"]) & rows["own_id"].eqNullSafe(special["_id"])
+    stay = rows.join(special, hit, "leftanti")
+    repeated = special.filter("_stays")  # rows that tie in id and length with equal text
+    if not repeated.isEmpty():
+        stay = stay.unionByName(rows.join(repeated, hit, "leftsemi").dropDuplicates(["sha"]))
+    return stay.select("row.*")
 
 
 def op1_exact_dedup(spark, sf_dir):

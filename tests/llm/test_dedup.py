@@ -60,6 +60,8 @@ def test_exact_deduplicate_keeps_whole_rows(clashing, empty):
     assert kept.columns == clashing.columns
     texts = [strip(r["text"]) for r in kept.collect()]
     assert sorted(texts) == sorted({strip(r[1]) for r in edge_rows()})
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan  # few keys to drop: no text is shuffled for them
     assert exact_dedup.deduplicate(empty).count() == 0
     assert exact_dedup.exact_groups(empty).count() == 0
 
