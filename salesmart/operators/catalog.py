@@ -10,6 +10,7 @@ with the real sizes at runtime, so nothing is broadcast on assumption.
 from __future__ import annotations
 
 import operator
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -195,39 +196,59 @@ CONFIG_TEMPLATE_KEY = "default_report_config"
 CONFIG_REQUIRED_KEYS = [CONFIG_SOURCE_KEY, CONFIG_TARGET_KEY, CONFIG_TEMPLATE_KEY]
 
 
-def read_config_dir(spark: SparkSession, root: str) -> DataFrame:
-    """SRC-6 + FN-9: dataset configs from a directory tree of JSON files.
+# A document larger than this is no dataset config; it is reported by its size and never read.
+CONFIG_MAX_BYTES = 16 << 20
+
+
+def config_files(spark: SparkSession, root: str, max_bytes: int = CONFIG_MAX_BYTES) -> DataFrame:
+    """SRC-6 + FN-9: every file of a directory tree as a dataset config, or the reason why it is none.
+
+    One row per file: ``relative_path`` (below ``root``), the template's and
+    dataset's names by that path, the fields of the document, and
+    ``skip_reason`` (null for a config): the first that holds of ``name``
+    (not ``.json``), ``excluded path``, ``excluded folder``, ``too large``,
+    ``not json`` (a blank file too) and ``lacks <section>``; the fields of a
+    skipped file are null. Spark lists no files of zero bytes.
 
-    Invalid JSON, files lacking a required key and excluded paths are
-    skipped; template and dataset names come from the path relative to
-    ``root``.
+    A document may be a file or, as Spark writes it, a folder
+    ``document=<name>.json`` in a folder ``folder=<name>`` with one part file.
+    Files are read whole, many to a task; nothing is opened by the driver.
     """
-    schema = T.StructType([
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    # Spark escapes what it puts into folder names
+    path = F.expr("CASE WHEN path LIKE '%/document=%' THEN regexp_replace(try_url_decode(replace(path, '+', '%2B')), '/part-[^/]*$', '') ELSE path END")
+    base = r"^([a-z0-9]+:(//[^/]*)?)?" + _re_escape(re.sub(r"^[a-z0-9]+:(//[^/]*)?(?=/)", "", root.rstrip("/"))) + "/+"
+    rel = F.regexp_replace(F.regexp_replace(path, base, ""), r"(^|/)(folder|document)=", "$1")
+    sections = T.StructType([
         T.StructField(CONFIG_SOURCE_KEY, T.MapType(T.StringType(), T.StringType())),
         T.StructField(CONFIG_TARGET_KEY, T.MapType(T.StringType(), T.StringType())),
         T.StructField(CONFIG_TEMPLATE_KEY, T.StringType()),
         T.StructField("_corrupt_record", T.StringType()),
     ])
-    df = (spark.read.schema(schema)
-          .option("multiLine", True).option("mode", "PERMISSIVE").option("recursiveFileLookup", True)
-          .option("pathGlobFilter", "*.json").json(root)
-          .withColumn("path", F.col("_metadata.file_path")))
-    root_uri = root.rstrip("/")
-    rel = F.regexp_replace(F.col("path"), r"^(file:)?" + _re_escape(root_uri.replace("file:", "")) + "/", "")
-    skip = reduce(operator.or_, [F.col("path").contains(p) for p in CONFIG_SKIP_PARTS])
-    skip_dir = reduce(operator.or_, [F.concat(F.lit("/"), rel).contains(f"/{d}/") for d in CONFIG_SKIP_DIRS])
-    ok = F.col("_corrupt_record").isNull() & reduce(operator.and_, [F.col(k).isNotNull() for k in CONFIG_REQUIRED_KEYS])
-    return (df.where(ok & ~skip & ~skip_dir)
-            .select(rel.alias("relative_path"),
-                    template_name_from_path(rel).alias("template_name"),
-                    dataset_name_from_path(rel).alias("dataset_name"),
-                    F.col(CONFIG_SOURCE_KEY)["api_url"].alias("api_url"),
-                    F.col(CONFIG_SOURCE_KEY)["login"].alias("login"),
-                    F.col(CONFIG_TARGET_KEY)["host"].alias("host"),
-                    target_key(F.col(CONFIG_TARGET_KEY)["host"], F.col(CONFIG_TARGET_KEY)["port"],
-                               F.col(CONFIG_TARGET_KEY)["user"]).alias("target_key"),
-                    F.get_json_object(CONFIG_TEMPLATE_KEY, "$.reportType").alias("report_type"),
-                    F.col(CONFIG_TEMPLATE_KEY).alias("report_config")))
+    text = F.col("content").cast("string")
+    doc = F.when(text.rlike(r"^\s*\{"), F.from_json(text, sections, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
+    small = F.col("length") <= F.lit(max_bytes)
+    # the contents of larger files are not among the columns of their scan
+    found = files.where(small).select(rel.alias("relative_path"), doc.alias("doc"), F.lit(False).alias("large")).unionByName(
+        files.where(~small).select(rel.alias("relative_path"), F.lit(None).cast(sections).alias("doc"), F.lit(True).alias("large")))
+    rel, doc = F.col("relative_path"), F.col("doc")
+    reason = F.when(~rel.endswith(".json"), "name")
+    reason = reason.when(reduce(operator.or_, [rel.contains(p) for p in CONFIG_SKIP_PARTS]), "excluded path")
+    reason = reason.when(reduce(operator.or_, [F.concat(F.lit("/"), rel).contains(f"/{d}/") for d in CONFIG_SKIP_DIRS]), "excluded folder")
+    reason = reason.when(F.col("large"), "too large").when(doc.isNull() | doc["_corrupt_record"].isNotNull(), "not json")
+    for key in CONFIG_REQUIRED_KEYS:
+        reason = reason.when(doc[key].isNull(), f"lacks {key}")
+    source, target, report = (F.when(F.col("skip_reason").isNull(), doc[k]) for k in CONFIG_REQUIRED_KEYS)
+    return found.withColumn("skip_reason", reason).select(
+        "relative_path", template_name_from_path(rel).alias("template_name"), dataset_name_from_path(rel).alias("dataset_name"),
+        source["api_url"].alias("api_url"), source["login"].alias("login"), target["host"].alias("host"),
+        target_key(target["host"], target["port"], target["user"]).alias("target_key"),
+        F.get_json_object(report, "$.reportType").alias("report_type"), report.alias("report_config"), "skip_reason")
+
+
+def read_config_dir(spark: SparkSession, root: str) -> DataFrame:
+    """SRC-6: the dataset configs of a directory tree; files that are none are left out (``config_files`` has them)."""
+    return config_files(spark, root).where("skip_reason IS NULL").drop("skip_reason")
 
 
 def target_key(host: Column, port: Column, user: Column) -> Column:
@@ -236,5 +257,4 @@ def target_key(host: Column, port: Column, user: Column) -> Column:
 
 
 def _re_escape(s: str) -> str:
-    import re
     return re.escape(s)

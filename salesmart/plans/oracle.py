@@ -666,6 +666,10 @@ SELECT count(*) AS row_count, min(OpenDate_Typed) AS min_date, max(OpenDate_Type
               for i, (c, t) in enumerate(zip(MART_COLS.split(", "), ["date"] + ["string"] * 5 + ["double", "double", "decimal(18,4)", "string"], strict=True)))}""",
         "partition_sizes": f"""WITH s AS ({SALES_RAW})
 SELECT {_month('OpenDate_Typed')} AS month, count(*) AS rows, true AS has_bytes, true AS batched FROM s GROUP BY 1""",
+        "hot_partition_files": f"""WITH s AS ({SALES_RAW})
+SELECT {_month('OpenDate_Typed')} AS month,
+       CASE WHEN CAST(UniqOrderId_Id AS BIGINT) % 3 = 0 THEN 'http://hot'
+            ELSE 'http://src' || (CAST(substring(url, 11) AS INTEGER) % 3) END AS url, count(*) AS rows, 0 AS overlapping FROM s GROUP BY 1, 2""",
         "reorganize_check": f"""WITH s AS ({SALES_RAW})
 SELECT {_month('OpenDate_Typed')} AS month, count(*) AS old_rows, count(*) AS new_rows, true AS same_content FROM s GROUP BY 1""",
         "reorganize_switch": f"""WITH s AS ({SALES_RAW})
@@ -717,14 +721,18 @@ SELECT id, name, dataset_name, split_part(dataset_name, '.', 1) AS db,
        substring(dataset_name, strpos(dataset_name, '.') + 1) AS "table"
 FROM tasks WHERE contains(lower(name), 'building') OR contains(lower(dataset_name), 'building')""",
         "config_ingest": """WITH c AS (
-  SELECT n_nationkey AS k, translate(lower(n_name), ' _', '--') AS nation, translate(lower(r_name), ' _', '--') AS region
-  FROM nation JOIN region ON n_regionkey = r_regionkey)
-SELECT region || '/sales_' || nation || '.json' AS relative_path, nation AS template_name,
-       region || '.sales.' || nation AS dataset_name, 'http://src' || CAST(k AS VARCHAR) AS api_url,
-       'user' || CAST(k AS VARCHAR) AS login, 'mart' || CAST(k % 5 AS VARCHAR) || '.local' AS host,
-       substring(sha256('mart' || CAST(k % 5 AS VARCHAR) || '.local:9000|loader'), 1, 16) AS target_key,
-       CASE WHEN k % 2 = 1 THEN 'SALES' ELSE 'TRANSACTIONS' END AS report_type
-FROM c WHERE k % 5 <> 0 AND k % 7 <> 0 AND k % 11 <> 0""",
+  SELECT c_custkey AS k, CASE WHEN c_custkey % 11 = 0 THEN 'temp' ELSE translate(lower(r_name), ' _', '--') END AS folder,
+         translate(lower(n_name), ' _', '--') || '-' || c_custkey AS name,
+         CASE WHEN c_custkey % 13 = 0 THEN '.bak' ELSE '.json' END AS ending
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+r AS (SELECT *, CASE WHEN k % 13 = 0 THEN 'name' WHEN k % 11 = 0 THEN 'excluded folder' WHEN k % 7 = 0 THEN 'not json'
+                     WHEN k % 5 = 0 THEN 'lacks clickhouse' END AS skip_reason FROM c)
+SELECT folder || '/sales_' || name || ending AS relative_path, name AS template_name, folder || '.sales.' || name AS dataset_name,
+       CASE WHEN skip_reason IS NULL THEN 'http://src' || k END AS api_url, CASE WHEN skip_reason IS NULL THEN 'user' || k END AS login,
+       CASE WHEN skip_reason IS NULL THEN 'mart' || (k % 5) || '.local' END AS host,
+       CASE WHEN skip_reason IS NULL THEN substring(sha256('mart' || (k % 5) || '.local:9000|loader'), 1, 16) END AS target_key,
+       CASE WHEN skip_reason IS NOT NULL THEN NULL WHEN k % 2 = 1 THEN 'SALES' ELSE 'TRANSACTIONS' END AS report_type, skip_reason
+FROM r""",
         "name_clash": f"""WITH {CFG},
 cand AS (SELECT c_custkey AS id,
                 CASE WHEN c_custkey % 3 = 0 THEN upper(c_name) ELSE c_name || ' copy' END AS name FROM customer)
@@ -733,6 +741,8 @@ SELECT id, name FROM cand WHERE lower(name) IN (SELECT lower(name) FROM tasks)""
         "task_coverage": _task_coverage(),
         "date_chunks": _date_chunks(),
         "outlet_reference": f"""SELECT org_id, org_name, org_code, address, country, lat, lon, inn, currency,
+       delivery_type, pos_version, api_key_hint FROM ({OUTLET_REF}) r""",
+        "outlet_responses": f"""SELECT org_id, org_name, org_code, address, country, lat, lon, inn, currency,
        delivery_type, pos_version, api_key_hint FROM ({OUTLET_REF}) r""",
         "outlet_stations": _outlet_stations(),
         "cluster_centroids": f"""SELECT source_id, CAST(seq % 10 AS INTEGER) AS cluster, round(avg(lat), 6) AS c_lat,

@@ -227,6 +227,19 @@ def partition_sizes(spark: SparkSession, data_dir: str) -> DataFrame:
                                                     (F.col("files") >= F.ceil(F.col("rows") / 500)).alias("batched"))
 
 
+def hot_partition_files(spark: SparkSession, data_dir: str) -> DataFrame:
+    """SNK-1 + SRT-3: rows per partition of a mart whose large partitions are cut by the sort key, and whether any of its files overlap.
+
+    Every third order comes from one hot source, the others from three.
+    """
+    url = "CASE WHEN CAST(UniqOrderId_Id AS BIGINT) % 3 = 0 THEN 'http://hot' ELSE concat('http://src', CAST(substring(url, 11) AS INT) % 3) END"
+    rows = fixtures.sales_raw(spark, data_dir).withColumn("url", F.expr(url))
+    schema = template.mart_schema(P.SALES_MART_TEMPLATE, convert_currency=False)
+    spec = replace(_mart_spec(spark, schema, "hot"), range_rows=200)
+    mart.create_mart(spark, spec, rows)
+    return mart.file_overlaps(spark, spec).select("month", "url", "rows", "overlapping")
+
+
 def reorganize_check(spark: SparkSession, data_dir: str) -> DataFrame:
     """DML-5 + AGG-6: rewrite into the partitioned layout and reconcile per month."""
     rows = fixtures.sales_raw(spark, data_dir)
@@ -327,10 +340,10 @@ def task_search(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def config_ingest(spark: SparkSession, data_dir: str) -> DataFrame:
-    """SRC-6 + FN-8..FN-10: config documents found, read and named by their path."""
+    """SRC-6 + FN-8..FN-10: config documents found, read whole and named by their path; a reason for each file that is none."""
     path = work_dir(spark, "configs")
     fixtures.write_config_files(spark, data_dir, path)
-    return catalog.read_config_dir(spark, path).drop("report_config")
+    return catalog.config_files(spark, path).drop("report_config")
 
 
 def name_clash(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -378,6 +391,15 @@ def outlet_reference(spark: SparkSession, data_dir: str) -> DataFrame:
     return _outlet_ref(spark, data_dir).drop("source_id", "seq", "s_acctbal")
 
 
+def outlet_responses(spark: SparkSession, data_dir: str) -> DataFrame:
+    """SRC-3 + OP-9 + OP-13 + FLT-4: landed outlet responses, read from their files, as reference rows of weather sources."""
+    path = work_dir(spark, "outlets")
+    fixtures.write_outlet_responses(spark, data_dir, path)
+    orgs = landed.read_outlet_responses(spark, path, lines=True)
+    src = catalog.weather_sources(fixtures.sources(spark, data_dir)).select(F.col("id").alias("_sid"), "cloud_api_key")
+    return weather.outlet_reference(orgs.join(src, orgs.source_id == src._sid), "cloud_api_key")
+
+
 def _stations(spark: SparkSession, data_dir: str) -> DataFrame:
     e = fixtures.read_table(spark, data_dir, "events", ["user_id"])
     loc = (F.col("user_id") % fixtures.WEATHER_LOCATIONS).cast("int")
@@ -530,6 +552,7 @@ def registry() -> dict[str, Query]:
         "dataset_info": dataset_info,
         "dataset_columns": dataset_columns,
         "partition_sizes": partition_sizes,
+        "hot_partition_files": hot_partition_files,
         "reorganize_check": reorganize_check,
         "reorganize_switch": reorganize_switch,
         "task_details": task_details,
@@ -546,6 +569,7 @@ def registry() -> dict[str, Query]:
         "task_coverage": task_coverage,
         "date_chunks": date_chunks,
         "outlet_reference": outlet_reference,
+        "outlet_responses": outlet_responses,
         "outlet_stations": outlet_stations,
         "outlet_summary": outlet_summary,
         "cluster_centroids": cluster_centroids,

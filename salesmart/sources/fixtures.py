@@ -10,13 +10,13 @@ derivations in SQL.
 from __future__ import annotations
 
 import datetime as dt
-import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.operators.catalog import CONFIG_SOURCE_KEY, CONFIG_TARGET_KEY, CONFIG_TEMPLATE_KEY
 from salesmart.operators.weather import WEATHER_FIELDS
+from salesmart.sources.landed import ORG_SCHEMA
 from salesmart.sources.tables import read_table
 
 # Currency code written on a sales row, chosen by l_suppkey % 6.
@@ -191,29 +191,25 @@ def write_landed_lines(spark: SparkSession, data_dir: str, path: str) -> None:
 
 
 def write_config_files(spark: SparkSession, data_dir: str, path: str) -> None:
-    """SRC-6 input: one config document per nation, in a folder per region.
+    """SRC-6 input: one config document per customer, in a folder per region, written by Spark.
 
     Every fifth lacks a section, every seventh is cut off, every eleventh lies
-    in a folder of temporary files. One small file per row of ``nation``.
+    in a folder of temporary files, every thirteenth is no ``.json`` file.
+    Documents have line breaks, so each is one only as a whole file.
     """
-    n = read_table(spark, data_dir, "nation")
-    r = read_table(spark, data_dir, "region")
-    rows = n.join(r, n.n_regionkey == r.r_regionkey).selectExpr("n_nationkey AS k", "translate(lower(n_name), ' _', '--') AS nation",
-                                                                "translate(lower(r_name), ' _', '--') AS region").collect()
-    jvm = spark.sparkContext._jvm
-    for row in rows:
-        k = row["k"]
-        doc = {CONFIG_SOURCE_KEY: {"api_url": f"http://src{k}", "login": f"user{k}"},
-               CONFIG_TARGET_KEY: {"host": f"mart{k % 5}.local", "port": "9000", "user": "loader"},
-               CONFIG_TEMPLATE_KEY: {"reportType": "SALES" if k % 2 else "TRANSACTIONS", "groupByRowFields": ["Department"]}}
-        if k % 5 == 0:
-            del doc[CONFIG_TARGET_KEY]
-        text = json.dumps(doc)
-        folder = "temp" if k % 11 == 0 else row["region"]
-        file = jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}/sales_{row['nation']}.json")
-        out = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(file, True)
-        out.write(bytearray((text[:-9] if k % 7 == 0 else text).encode()))
-        out.close()
+    c = read_table(spark, data_dir, "customer", ["c_custkey", "c_nationkey"])
+    n, r = read_table(spark, data_dir, "nation"), read_table(spark, data_dir, "region")
+    rows = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).selectExpr(
+        "c_custkey AS k", "translate(lower(n_name), ' _', '--') AS nation", "translate(lower(r_name), ' _', '--') AS region")
+    sections = [f"""concat('"{CONFIG_SOURCE_KEY}": {{"api_url": "http://src', k, '", "login": "user', k, '"}},')""",
+                f"""CASE WHEN k % 5 = 0 THEN '' ELSE concat('"{CONFIG_TARGET_KEY}": {{"host": "mart', k % 5, '.local", "port": "9000", "user": "loader"}},') END""",
+                f"""concat('"{CONFIG_TEMPLATE_KEY}": {{"reportType": "', CASE WHEN k % 2 = 1 THEN 'SALES' ELSE 'TRANSACTIONS' END, '", "groupByRowFields": ["Department"]}}')"""]
+    docs = rows.selectExpr("CASE WHEN k % 11 = 0 THEN 'temp' ELSE region END AS folder",
+                           "concat('sales_', nation, '-', k, CASE WHEN k % 13 = 0 THEN '.bak' ELSE '.json' END) AS document",
+                           f"concat('{{', char(10), {', char(10), '.join(sections)}, char(10), '}}') AS text", "k")
+    files = docs.selectExpr("folder", "document", "CASE WHEN k % 7 = 0 THEN left(text, length(text) - 9) ELSE text END AS value")
+    # documents dealt over the writers, each of them a file of its own
+    files.repartition("document").write.partitionBy("folder", "document").text(path)
 
 
 # ---------------------------------------------------------------------------
@@ -303,6 +299,18 @@ def outlets(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+# Outlets of one response of the outlet service.
+OUTLETS_A_RESPONSE = 100
+
+
+def write_outlet_responses(spark: SparkSession, data_dir: str, path: str) -> None:
+    """SRC-3 input: responses of at most so many outlets, one JSON document per line, in a folder per connection."""
+    fields = [f.name for f in ORG_SCHEMA.fields]
+    pages = outlets(spark, data_dir).groupBy("source_id", F.expr(f"floor(seq / {OUTLETS_A_RESPONSE})").alias("page")).agg(
+        F.sort_array(F.collect_list(F.struct(*fields))).alias("organizations"))
+    pages.selectExpr("source_id", "to_json(struct(organizations)) AS value").repartition("source_id").write.partitionBy("source_id").text(path)
+
+
 def weather_daily(spark: SparkSession, data_dir: str) -> DataFrame:
     """Daily weather per location from ``events``: location = user_id % 10."""
     e = read_table(spark, data_dir, "events", ["ts", "user_id", "value"])

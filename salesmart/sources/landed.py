@@ -97,11 +97,16 @@ ORG_SCHEMA = T.StructType([
 ])
 
 
-def read_outlet_responses(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-3: ``{"organizations": [...]}`` responses -> one row per outlet."""
+def read_outlet_responses(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """SRC-3: ``{"organizations": [...]}`` responses -> one row per outlet, with the folder columns.
+
+    ``lines``: one response per line, so large files are split over tasks; else
+    each file is one response. What does not parse gives no outlets.
+    """
     schema = T.StructType([T.StructField("organizations", T.ArrayType(ORG_SCHEMA), True)])
-    docs = spark.read.schema(schema).option("multiLine", True).json(path)
-    return docs.select(F.explode("organizations").alias("o")).select("o.*")
+    docs = spark.read.schema(schema).option("multiLine", not lines).json(path)
+    return docs.select(*[c for c in docs.columns if c != "organizations"], F.explode("organizations").alias("o")).select(
+        *[c for c in docs.columns if c != "organizations"], "o.*")
 
 
 _DAILY_VARS = tuple(WEATHER_FIELDS)

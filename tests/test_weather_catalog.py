@@ -84,6 +84,23 @@ def test_config_dir(spark):
     assert out["shop_pl1.json"]["template_name"] == "pl1" and out["shop_pl1.json"]["dataset_name"] == "shop.pl1"
     assert out["north/cafe_pl2.json"]["dataset_name"] == "north.cafe.pl2"
     assert out["plain.json"]["template_name"] == "plain"
+    for rel, body in {"empty.json": "", "blank.json": " \n", "notes.txt": "x", "config.json": json.dumps(good), "long.json": json.dumps(good) + " " * 900, "list.json": "[1]"}.items():
+        with open(os.path.join(root, rel), "w") as f:
+            f.write(body)
+    why = {r["relative_path"]: r["skip_reason"] for r in catalog.config_files(spark, root, max_bytes=800).collect()}
+    assert why == {"shop_pl1.json": None, "north/cafe_pl2.json": None, "plain.json": None, "bad.json": "not json",
+                   "partial.json": f"lacks {catalog.CONFIG_TARGET_KEY}", "templates/x_pl3.json": "excluded folder", "fields_pl4.json": "excluded path",
+                   "blank.json": "not json", "notes.txt": "name", "config.json": "excluded path", "long.json": "too large", "list.json": "not json"}
+
+
+def test_configs_in_folders_named_by_spark(spark):
+    root = work_dir(spark, "configs")
+    doc = json.dumps({catalog.CONFIG_SOURCE_KEY: {"api_url": "h"}, catalog.CONFIG_TARGET_KEY: {"host": "c"}, catalog.CONFIG_TEMPLATE_KEY: {}}, indent=1)
+    rows = spark.createDataFrame([("a:b", "x_100%.json", doc), ("n", "y z.json", doc)], "folder string, document string, value string")
+    rows.write.partitionBy("folder", "document").text(root)
+    for at in (root, f"file:{root}", f"file://{root}/"):
+        got = {(r["relative_path"], r["template_name"], r["skip_reason"]) for r in catalog.config_files(spark, at).collect()}
+        assert got == {("a:b/x_100%.json", "100%", None), ("n/y z.json", "y z", None)}
 
 
 def test_name_helpers(spark):
@@ -148,6 +165,11 @@ def test_landed_readers(spark):
     assert [r["DishSumInt"] for r in rows] == ["1 234,5", "7"]
     orgs = weather.outlet_reference(landed.read_outlet_responses(spark, os.path.join(root, "orgs"))).collect()
     assert orgs[0]["org_name"] == "A" and orgs[0]["lon"] is None and orgs[0]["lat"] == 55.1
+    os.makedirs(os.path.join(root, "lines", "source_id=7"))
+    with open(os.path.join(root, "lines", "source_id=7", "o.json"), "w") as f:
+        f.write('{"organizations": [{"id": "a"}, {"id": "b"}]}\n{"organizations": []}\n{"organiz\n{"organizations": [{"id": "c", "new": 1}]}\n')
+    by_line = landed.read_outlet_responses(spark, os.path.join(root, "lines"), lines=True).collect()
+    assert sorted((r["source_id"], r["id"]) for r in by_line) == [(7, "a"), (7, "b"), (7, "c")]
 
 
 def test_task_configs_drop_incomplete_and_inactive(spark):
