@@ -9,11 +9,19 @@ shifted by k, modulo the domain (2^32). The signature is cut into bands.
 * documents that share a band are joined to the least one of the band, and the
   components of these edges are candidate clusters: every pair that shares a
   band lies in one cluster, though no pairs are listed
-* each cluster's full shingle sets are compared exactly. A cluster of more than
-  ``BLOCK`` documents is dealt into blocks and every pair of blocks is a task of
-  its own, so no cluster is held by one task and no pair is left out. A task
-  counts intersections over an inverted index and returns a spanning forest of
-  the links it confirmed
+* a cluster of more than ``4 * BLOCK`` sets is split first: its shingles are put in
+  order of how many of its sets hold them, rarest first. Two linked sets share
+  one of the first ``n - ceil(t * n) + 1`` shingles of each (prefix filter), so
+  the components over these shared shingles lose no link. Pages that share a
+  template but have texts of their own fall apart here, at a cost that is linear in
+  their shingles
+* each cluster's full shingle sets are compared exactly. Sets of a cluster that
+  is more than one block are dealt by classes of size, such that only sets of
+  one class or of neighbouring ones can be linked, and within a class into
+  blocks of about ``BLOCK`` sets and ``BLOCK_SHINGLES`` shingles at most. Every
+  pair of blocks that can hold a link is a task of its own, so no cluster is held
+  by one task and no pair is left out. A task counts intersections over an
+  inverted index and returns a spanning forest of the links it confirmed
 * components of the confirmed links are the result
 
 With 28 bands of 6 rows a pair at the threshold 0.85 shares no band with
@@ -30,6 +38,7 @@ Defined cases
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,6 +54,7 @@ SHINGLE = 3
 BANDS, ROWS = 28, 6
 THRESHOLD = 85  # percent
 BLOCK = 512
+BLOCK_SHINGLES = 1 << 20  # 16 bytes each
 _PLACE_SEED = np.uint64(0x6A09E667F3BCC908)
 _ORDER_SEED = np.uint32(0x3C6EF372)
 
@@ -143,9 +153,68 @@ def candidate_clusters(members: DataFrame) -> DataFrame:
     banded = (members.filter("doc_id = rep and n_shingles > 0").select("rep", F.explode("bands").alias("band")))
     shared = banded.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).filter("hub < top").drop("top")
     edges = hot_join(banded, shared, ["band"], salts=8).filter("rep <> hub").select("rep", "hub")
-    found = connected(edges, "rep", "hub")
-    sizes = found.groupBy("root").agg(F.count("*").alias("size"))
-    return hot_join(found, sizes, ["root"], salts=8)
+    return connected(edges, "rep", "hub")
+
+
+def split_clusters(docs: DataFrame, clusters: DataFrame, words: int = SHINGLE, percent: int = THRESHOLD, most: int = 4 * BLOCK) -> DataFrame:
+    """node, root: clusters of more than ``most`` nodes fall into the components over shared prefix shingles.
+
+    A shingle that one set alone holds is no edge, but it fills a place of its set's prefix.
+    Nodes of such clusters that share no prefix shingle have no link and are left out.
+    """
+    clusters = cut(clusters)
+    large = cut(clusters.groupBy("root").agg(F.count("*").alias("size")).filter(F.col("size") > most))
+    if not large.head(1):
+        return clusters
+    parts = hot_join(clusters, large.select("root", F.lit(True).alias("split")), ["root"], how="left")
+    rows = docs.select("doc_id", "text").join(parts.filter("split"), docs["doc_id"] == parts["node"]).select("node", "root", "text")
+    # rows that repeat a node's id are told apart by their set
+    held = cut(set_keys(rows, words).select("node", "root", F.xxhash64("keys").alias("set"), F.size("keys").alias("n"), F.explode("keys").alias("key")))
+    shared = held.groupBy("root", "key").agg(F.count("*").alias("sets")).filter("sets > 1")
+    common = hot_join(held, shared, ["root", "key"], salts=8)
+    prefix = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / F.lit(100)) + F.lit(1)
+    first = (common.groupBy("root", "node", "set", "n").agg(F.sort_array(F.collect_set(F.struct("sets", "key"))).alias("held"))
+             .withColumn("places", (prefix - (F.col("n") - F.size("held"))).cast("int"))
+             .filter("places > 0").select("root", "node", F.explode(F.slice("held", F.lit(1), F.col("places"))).alias("h"))
+             .select("root", "node", F.col("h.key").alias("key")))
+    first = cut(first)
+    hubs = first.groupBy("root", "key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub < top").drop("top")
+    edges = hot_join(first, hubs, ["root", "key"], salts=8).filter("node <> hub").select("node", "hub")
+    return parts.filter("split is null").select("node", "root").unionByName(connected(edges, "node", "hub"))
+
+
+def _size_class(percent: int):
+    """Class of a set's size: sets two classes apart cannot be linked."""
+    step = max(math.log(100 / percent) * (1 + 1e-9), 0.01)
+    return F.floor(F.log(F.col("n").cast("double")) / F.lit(step)).cast("int")
+
+
+def planned(clusters: DataFrame, members: DataFrame, percent: int = THRESHOLD, block: int = BLOCK, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """node, root, plan: blocks of each size class of the cluster; class -1 holds a cluster that is one block."""
+    def blocks(sets, shingles):
+        return F.ceil(F.greatest(F.col(sets) / F.lit(block), F.col(shingles) / F.lit(block_shingles))).cast("int")
+    sized = hot_join(members.filter("n_shingles > 0").select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n")), clusters, ["node"], salts=8)
+    by_class = (sized.withColumn("class", _size_class(percent)).groupBy("root", "class")
+                .agg(F.count("*").alias("sets"), F.sum("n").alias("shingles")).withColumn("blocks", blocks("sets", "shingles")))
+    plans = (by_class.groupBy("root").agg(F.sum("sets").alias("sets"), F.sum("shingles").alias("shingles"),
+                                          F.map_from_entries(F.collect_list(F.struct("class", "blocks"))).alias("plan"))
+             .select("root", F.when(blocks("sets", "shingles") > 1, F.col("plan")).otherwise(F.create_map(F.lit(-1), F.lit(1))).alias("plan")))
+    return hot_join(clusters, plans, ["root"], salts=8)
+
+
+def set_keys(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
+    """The rows with the distinct first hashes of their shingles instead of the text."""
+    names = [c for c in docs.columns if c != "text"]
+
+    def run(batches):
+        for batch in batches:
+            for part in text_parts(batch):
+                keys, _, counts = shingle_sets(part.column("text"), words)
+                offsets = pa.array(np.append(0, np.cumsum(counts)).astype(np.int32))
+                lists = pa.ListArray.from_arrays(offsets, pa.array(keys.view(np.int64)))
+                yield pa.record_batch([*[part.column(c) for c in names], lists], names=[*names, "keys"])
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
+    return docs.select(*names, "text").mapInArrow(run, f"{schema}, keys array<long>")
 
 
 def set_rows(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
@@ -239,37 +308,43 @@ def confirmed(nodes: np.ndarray, sets: list[np.ndarray], side: np.ndarray, perce
     return links
 
 
-def links(docs: DataFrame, clusters: DataFrame, words: int = SHINGLE, percent: int = THRESHOLD, block: int = BLOCK) -> DataFrame:
+def links(docs: DataFrame, clusters: DataFrame, words: int = SHINGLE, percent: int = THRESHOLD) -> DataFrame:
     """a, b: confirmed links that connect all documents linked within each cluster."""
     spark = docs.sparkSession
-    rows = docs.select("doc_id", "text").join(clusters, docs["doc_id"] == clusters["node"]).select("node", "root", "size", "text")
-    rows = set_rows(rows, words)
-    blocks = F.ceil(F.col("size") / F.lit(block)).cast("int")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    # a block meets every block once: (own, other) with the smaller first
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
-        F.least("own", o).alias("i"), F.greatest("own", o).alias("j"),
-        F.when(F.col("own") == o, F.lit(-1)).when(F.col("own") < o, F.lit(0)).otherwise(F.lit(1)).alias("side")))
-    dealt = (rows.withColumn("blocks", blocks).withColumn("own", own)
-             .select("node", "root", "shingles", F.explode(pairs).alias("p")).select("root", "p.i", "p.j", "p.side", "node", "shingles"))
+    rows = docs.select("doc_id", "text").join(clusters, docs["doc_id"] == clusters["node"]).select("node", "root", "plan", "text")
+    rows = set_rows(rows, words).withColumn("n", (F.length("shingles") / 16).cast("int")).filter("n > 0")
+    rows = rows.withColumn("i", F.when(F.col("plan")[-1].isNotNull(), F.lit(-1)).otherwise(_size_class(percent)))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("plan")[F.col("i")]).cast("int"))
+
+    # the blocks that a block meets, each pair once: (class, block) and the same of the other, the lesser one first
+    def meets(other, first, second, side):
+        return (f"if(plan[{other}] is null, array(), transform(sequence(0, plan[{other}] - 1), o -> "
+                f"named_struct('i', {first[0]}, 'own', {first[1]}, 'j', {second[0]}, 'other', {second[1]}, 'side', {side})))")
+    pairs = "concat({}, {}, {})".format(
+        meets("i", ("i", "least(own, o)"), ("i", "greatest(own, o)"), "case when own = o then -1 when own < o then 0 else 1 end"),
+        meets("i + 1", ("i", "own"), ("i + 1", "o"), "0"),
+        meets("i - 1", ("i - 1", "o"), ("i", "own"), "1"))
+    keys = ["root", "i", "own", "j", "other"]
+    dealt = rows.select("node", "root", "shingles", F.explode(F.expr(pairs)).alias("p")).select("root", "p.*", "node", "shingles")
 
     def run(batches):
-        for group in _groups(batches, ["root", "i", "j"]):
+        for group in _groups(batches, keys):
             found = confirmed(group.column("node").to_numpy(), [np.frombuffer(x, np.uint64).reshape(2, -1) for x in group.column("shingles").to_pylist()],
                               group.column("side").to_numpy(), percent)
             if found:
                 a, b = zip(*found, strict=True)
                 yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-    return (dealt.repartition(partitions(spark), "root", "i", "j").sortWithinPartitions("root", "i", "j", "node")
+    return (dealt.repartition(partitions(spark), *keys).sortWithinPartitions(*keys, "node")
             .mapInArrow(run, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE, percent: int = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
-                    block: int = BLOCK) -> DataFrame:
+                    block: int = BLOCK, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     members = cut(classes(cut(signed(docs, words, bands, rows))))
-    confirmed_links = links(docs, candidate_clusters(members), words, percent, block)
+    clusters = split_clusters(docs, candidate_clusters(members), words, percent, 4 * block)
+    confirmed_links = links(docs, planned(clusters, members, percent, block, block_shingles), words, percent)
     components = cut(connected(confirmed_links, "a", "b")).select(F.col("node").alias("rep"), "root")
     joined = hot_join(members.select("doc_id", "n_shingles", "rep"), components, ["rep"], how="left")
     component = F.coalesce("root", "rep")

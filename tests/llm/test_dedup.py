@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -108,6 +109,51 @@ def test_near_duplicates_match_brute_force(spark, block):
     assert all(r["kept"] == (i == r["component_id"]) for i, r in got.items())
 
 
+def template_pages(pages, copies, rng):
+    """Pages of one template with texts of their own, some with near copies; sizes from short to long."""
+    template = [f"t{i}" for i in range(40)]
+    rows = []
+    for p in range(pages):
+        own = template + [f"p{p}x{i}" for i in range(20 + p % 60)]
+        for _ in range(1 + copies * (p % 9 == 0)):
+            text = list(own)
+            text[rng.randrange(len(text))] = f"c{len(rows)}"
+            rows.append((len(rows) + 1, " ".join(text if len(rows) % 2 else own)))
+    return rows
+
+
+@pytest.mark.parametrize(("block", "block_shingles"), [(4, 1 << 20), (512, 300), (6, 200)])
+def test_clusters_of_template_pages_are_split(spark, block, block_shingles):
+    rows = template_pages(150, 6, random.Random(5))
+    want, _ = brute_near(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").cache()
+    # wide bands chain the pages into one cluster, as similarities of a half do among many pages
+    got = by_id(minhash.near_duplicates(docs, block=block, block_shingles=block_shingles, bands=60, rows=2))
+    assert {i: r["component_id"] for i, r in got.items()} == want
+    members = minhash.classes(minhash.signed(docs, bands=60, rows=2)).cache()
+    chained = minhash.candidate_clusters(members)
+    assert chained.groupBy("root").count().agg({"count": "max"}).first()[0] > 150
+    split = minhash.split_clusters(docs, chained, most=16)
+    assert split.groupBy("root").count().agg({"count": "max"}).first()[0] < 20
+
+
+def test_work_on_template_pages_is_linear(spark):
+    """Sets that reach the comparison, copies to blocks counted, against the pages of one cluster."""
+    for pages in (100, 400):
+        docs = spark.createDataFrame(template_pages(pages, 6, random.Random(6)), "doc_id long, text string").cache()
+        members = minhash.classes(minhash.signed(docs, bands=60, rows=2)).cache()
+        plan = minhash.planned(minhash.split_clusters(docs, minhash.candidate_clusters(members), most=16), members, block=4)
+        meetings = plan.selectExpr("aggregate(map_values(plan), 0, (a, b) -> a + b) as n").agg({"n": "sum"}).first()[0]
+        assert meetings < 3 * pages
+
+
+def test_sets_two_classes_apart_are_never_linked(spark):
+    for percent in (50, 67, 80, 85, 99, 100):
+        sizes = spark.range(1, 3000).withColumnRenamed("id", "n").withColumn("c", minhash._size_class(percent)).orderBy("n").collect()
+        of = {r["n"]: r["c"] for r in sizes}
+        assert all(of[n] - of[-(-percent * n // 100)] <= 1 for n in of)
+
+
 def test_near_duplicates_on_edge_rows(edge, clashing, empty):
     named = {r[0]: r[1] for r in edge_rows() if r[0] is not None}
     want, _ = brute_near(list(named.items()))
