@@ -9,12 +9,14 @@ shifted by k, modulo the domain (2^32). The signature is cut into bands.
 * documents that share a band are joined to the least one of the band, and the
   components of these edges are candidate clusters: every pair that shares a
   band lies in one cluster, though no pairs are listed
-* a cluster of more than ``4 * BLOCK`` sets is split first: its shingles are put in
+* a cluster of more than ``SPLIT`` blocks is split first: its shingles are put in
   order of how many of its sets hold them, rarest first. Two linked sets share
   one of the first ``n - ceil(t * n) + 1`` shingles of each (prefix filter), so
   the components over these shared shingles lose no link. Pages that share a
   template but have texts of their own fall apart here, at a cost that is linear in
-  their shingles
+  their shingles: about 260 bytes for each are written and shuffled, as rows, against 16
+  for each block that a set meets, so below some 16 blocks the split costs more than
+  it can save
 * each cluster's full shingle sets are compared exactly. Sets of a cluster that
   is more than one block are dealt by classes of size, such that only sets of
   one class or of neighbouring ones can be linked, and within a class into
@@ -55,6 +57,7 @@ BANDS, ROWS = 28, 6
 THRESHOLD = 85  # percent
 BLOCK = 512
 BLOCK_SHINGLES = 1 << 20  # 16 bytes each
+SPLIT = 16  # blocks
 _PLACE_SEED = np.uint64(0x6A09E667F3BCC908)
 _ORDER_SEED = np.uint32(0x3C6EF372)
 
@@ -156,7 +159,7 @@ def candidate_clusters(members: DataFrame) -> DataFrame:
     return connected(edges, "rep", "hub")
 
 
-def split_clusters(docs: DataFrame, clusters: DataFrame, words: int = SHINGLE, percent: int = THRESHOLD, most: int = 4 * BLOCK) -> DataFrame:
+def split_clusters(docs: DataFrame, clusters: DataFrame, words: int = SHINGLE, percent: int = THRESHOLD, most: int = SPLIT * BLOCK) -> DataFrame:
     """node, root: clusters of more than ``most`` nodes fall into the components over shared prefix shingles.
 
     A shingle that one set alone holds is no edge, but it fills a place of its set's prefix.
@@ -339,11 +342,11 @@ def links(docs: DataFrame, clusters: DataFrame, words: int = SHINGLE, percent: i
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE, percent: int = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
-                    block: int = BLOCK, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+                    block: int = BLOCK, block_shingles: int = BLOCK_SHINGLES, split: int = SPLIT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     members = cut(classes(cut(signed(docs, words, bands, rows))))
-    clusters = split_clusters(docs, candidate_clusters(members), words, percent, 4 * block)
+    clusters = split_clusters(docs, candidate_clusters(members), words, percent, split * block)
     confirmed_links = links(docs, planned(clusters, members, percent, block, block_shingles), words, percent)
     components = cut(connected(confirmed_links, "a", "b")).select(F.col("node").alias("rep"), "root")
     joined = hot_join(members.select("doc_id", "n_shingles", "rep"), components, ["rep"], how="left")

@@ -128,7 +128,7 @@ def test_clusters_of_template_pages_are_split(spark, block, block_shingles):
     want, _ = brute_near(rows)
     docs = spark.createDataFrame(rows, "doc_id long, text string").cache()
     # wide bands chain the pages into one cluster, as similarities of a half do among many pages
-    got = by_id(minhash.near_duplicates(docs, block=block, block_shingles=block_shingles, bands=60, rows=2))
+    got = by_id(minhash.near_duplicates(docs, block=block, block_shingles=block_shingles, split=4, bands=60, rows=2))
     assert {i: r["component_id"] for i, r in got.items()} == want
     members = minhash.classes(minhash.signed(docs, bands=60, rows=2)).cache()
     chained = minhash.candidate_clusters(members)
