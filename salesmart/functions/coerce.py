@@ -58,7 +58,7 @@ def to_timestamp_sql(ref: str) -> str:
     the cast (Spark's own string parser, no formatter) rejects impossible
     dates and times.
     """
-    return (f"CASE WHEN {ref} RLIKE r'{TIMESTAMP_PATTERN}' THEN try_cast(upper({ref}) AS TIMESTAMP_NTZ) "
+    return (f"CASE WHEN {ref} RLIKE r'{TIMESTAMP_PATTERN}' THEN try_cast(replace({ref}, 't', 'T') AS TIMESTAMP_NTZ) "
             f"ELSE CAST(NULL AS TIMESTAMP_NTZ) END")
 
 

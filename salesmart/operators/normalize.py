@@ -20,6 +20,8 @@ from salesmart.functions.names import normalise_name, normalise_name_col, with_s
 
 # Fixed value: text written into empty text columns of the mart ("not set").
 DEFAULT_TEXT = "не задана"
+# Fixed value: stands between the names of a record while they are normalised together.
+NAME_END = "\x01"
 # error of a landed line that is not one JSON object
 MALFORMED = "malformed record"
 
@@ -80,11 +82,15 @@ def project_records(records: DataFrame, schema: T.StructType, source_url: Column
     """
     names = [f.name for f in schema.fields if f.name != "url"]
     expected = F.array(*[F.lit(n) for n in [*schema.fieldNames(), *(known or [])]])
-    keys = F.map_keys(record)
     split = records.select(
         *[F.col(c) for c in keep or []], with_scheme_col(source_url).alias("url"),
-        F.reverse(F.transform(keys, normalise_name_col)).alias("_names"), F.reverse(F.map_values(record)).alias("_values"),
-        F.coalesce(F.array_distinct(F.filter(keys, lambda k: ~F.array_contains(expected, normalise_name_col(k)))), F.array().cast("array<string>")).alias("_unknown"))
+        F.reverse(F.map_keys(record)).alias("_keys"), F.reverse(F.map_values(record)).alias("_values"))
+    split = split.withColumn("_joined", F.split(F.replace(F.replace(F.array_join("_keys", NAME_END), F.lit("."), F.lit("_")), F.lit("-"), F.lit("_")), NAME_END))
+    # all names of a record at once; one by one where a name holds the separator, and for a record without names
+    split = split.withColumn("_names", F.when(F.size("_joined") == F.size("_keys"), F.col("_joined")).otherwise(F.transform("_keys", normalise_name_col)))
+    split = split.withColumn("_new", F.array_except("_names", expected))
+    new = F.array_distinct(F.reverse(F.filter("_keys", lambda k, i: F.array_contains("_new", F.get("_names", i)))))
+    split = split.withColumn("_unknown", F.when(F.size("_new") > 0, new).otherwise(F.array().cast("array<string>")))
     found = [F.try_element_at("_values", F.nullif(F.array_position("_names", F.lit(n)).cast("int"), F.lit(0))).alias(n) for n in [*names, *(known or [])]]
     return split.select(*found, "url", "_unknown", F.col("_names").isNull().alias("_malformed"), *(keep or []))
 

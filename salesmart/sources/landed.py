@@ -39,8 +39,10 @@ def read_report_records(spark: SparkSession, path: str) -> DataFrame:
     """
     lines = spark.read.text(path)
     folders = [F.col(c).cast("string").alias(c) for c in lines.columns if c != "value"]
-    whole = F.col("value").rlike(r"^\s*\{") & F.col("value").rlike(r"\}\s*$")
-    return lines.where(F.col("value").rlike(r"\S")).select(
+    text = F.btrim("value", F.lit(" \t\n\x0b\f\r"))
+    # the pattern is left for lines that end in another line separator
+    whole = text.startswith("{") & (text.endswith("}") | F.col("value").rlike(r"\}\s*$"))
+    return lines.where(text != F.lit("")).select(
         F.when(whole, F.from_json("value", "map<string,string>")).alias("record"), F.col("value").alias("_raw"),
         F.col("_metadata.file_path").alias("_file"), *folders)
 
