@@ -56,11 +56,13 @@ def stage_landed(spark: SparkSession, records: DataFrame, spec: mart.MartSpec, m
     if pairs:
         rows = fx.convert(spark, rows, rates_wide, spec.date_field, [m for m, _ in pairs], date_from, date_to, params,
                           connection_currency, chunk_col=CHUNK_FROM, chunk_end_col=CHUNK_TO)
+    # only the rejects need their text again
+    rows = rows.withColumn("_raw", F.when(F.col("error").isNotNull(), F.col("_raw")))
     stage, seen = work_dir(spark, "load"), Observation("load")
     rows.observe(seen, F.count(F.lit(1)).alias("rows_in"), F.count_if(F.col("error").isNull()).alias("inserted"),
                  F.count_if(F.col("error") != normalize.MALFORMED).alias("rejected"),
                  F.count_if(F.col("error") == normalize.MALFORMED).alias("malformed"),
-                 F.coalesce(F.sum(F.size("_unknown")), F.lit(0)).alias("unknown_values")).write.parquet(stage)
+                 F.coalesce(F.sum(F.size("_unknown")), F.lit(0)).alias("unknown_values")).write.parquet(stage, compression="zstd")
     staged = spark.read.schema(rows.schema).parquet(stage)
     return LoadReport(stage, seen.get, normalize.load_summary(staged, pairs), normalize.unknown_fields(staged))
 

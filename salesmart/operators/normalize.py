@@ -184,7 +184,7 @@ def write_rejects(rejects: DataFrame, path: str, mode: str = "append") -> None:
     out = rejects.select(
         F.when(F.col("error") != MALFORMED, record).alias("record"), "error",
         F.concat_ws(" – ", F.col("_chunk_from").cast("string"), F.col("_chunk_to").cast("string")).alias("chunk"), *origin)
-    out.write.mode(mode).json(path)
+    out.write.mode(mode).json(path, compression="gzip")
 
 
 def landed_to_mart_rows(raw: DataFrame, schema: T.StructType, source_url: Column | str,

@@ -187,7 +187,7 @@ def write_landed_lines(spark: SparkSession, data_dir: str, path: str) -> None:
              ELSE CAST(map() AS MAP<STRING, STRING>) END)"""
     lines = rows.selectExpr("_source AS source", "DishId", f"to_json({record}) AS line").selectExpr(
         "source", f"CASE WHEN CAST(DishId AS BIGINT) % 97 = 0 THEN left(line, {CUT_LINE}) ELSE line END AS value")
-    lines.write.partitionBy("source").text(path)
+    lines.write.partitionBy("source").text(path, compression="gzip")
 
 
 def write_config_files(spark: SparkSession, data_dir: str, path: str) -> None:
