@@ -211,7 +211,8 @@ def config_files(spark: SparkSession, root: str, max_bytes: int = CONFIG_MAX_BYT
     skipped file are null. Spark lists no files of zero bytes.
 
     A document may be a file or, as Spark writes it, a folder
-    ``document=<name>.json`` in a folder ``folder=<name>`` with one part file.
+    ``document=<name>.json`` in a folder ``folder=<name>`` with one part file,
+    or a file of that name in such a folder.
     Files are read whole, many to a task; nothing is opened by the driver.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)

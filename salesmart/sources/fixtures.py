@@ -10,7 +10,12 @@ derivations in SQL.
 from __future__ import annotations
 
 import datetime as dt
+from itertools import groupby
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow import fs as files_of
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -208,8 +213,42 @@ def write_config_files(spark: SparkSession, data_dir: str, path: str) -> None:
                            "concat('sales_', nation, '-', k, CASE WHEN k % 13 = 0 THEN '.bak' ELSE '.json' END) AS document",
                            f"concat('{{', char(10), {', char(10), '.join(sections)}, char(10), '}}') AS text", "k")
     files = docs.selectExpr("folder", "document", "CASE WHEN k % 7 = 0 THEN left(text, length(text) - 9) ELSE text END AS value")
-    # documents dealt over the writers, each of them a file of its own
-    files.repartition("document").write.partitionBy("folder", "document").text(path)
+    write_documents(files, path)
+
+
+# The name Spark gives to a null or empty partition value.
+NO_NAME = "__HIVE_DEFAULT_PARTITION__"
+
+
+def write_documents(files: DataFrame, path: str) -> None:
+    """Every document as one file ``folder=<folder>/document=<document>`` below ``path``, written by the tasks.
+
+    Rows of one document are its lines; names are escaped as in Spark's own
+    partition folders. A file gets its name when it is whole, so an attempt of a
+    task that is ended leaves hidden files only.
+    """
+    uri = path if "://" in path else f"file://{quote(path)}"
+
+    def run(batches):
+        store, root = files_of.FileSystem.from_uri(uri)
+        attempt, made, n = TaskContext.get().taskAttemptId(), set(), 0
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        for (folder, document), lines in groupby(rows, key=lambda row: row[:2]):
+            at = f"{root}/folder={quote(folder or NO_NAME, safe='')}"
+            if at not in made:
+                store.create_dir(at)
+                made.add(at)
+            name = f"document={quote(document or NO_NAME, safe='')}"
+            with store.open_output_stream(f"{at}/.{attempt}.{n}") as out:
+                for _, _, value in lines:
+                    out.write((value or "").encode() + b"\n")
+            store.move(f"{at}/.{attempt}.{n}", f"{at}/{name}")
+            n += 1
+        yield pa.record_batch([pa.array([n], pa.int64())], names=["n"])
+
+    # documents dealt over the writers, the lines of one side by side
+    dealt = files.select(F.coalesce("folder", F.lit("")).alias("folder"), F.coalesce("document", F.lit("")).alias("document"), "value")
+    dealt.repartition("folder", "document").sortWithinPartitions("folder", "document").mapInArrow(run, "n long").agg(F.sum("n")).collect()
 
 
 # ---------------------------------------------------------------------------
