@@ -12,6 +12,10 @@ as it stands and as read, so ordinary words with double letters stay what they
 are; a word of digits alone is a number. Three single letters or more in a row
 on one line, any number of spaces apart, are read as one.
 
+Where only given features count (those of a fitted lexicon), a word is searched
+for its reading if some path through its lattice could hold one of them; the
+letters a character may stand for and the dropped ones decide that.
+
 The restored words are scored with a lexicon learned from labelled documents:
 a logistic regression over word and prefix features with non-negative weights
 and both penalties, so a word that only keeps company with toxic words gets no weight.
@@ -171,15 +175,99 @@ class Reader:
         return "".join(" " if s == 0 else LETTERS[s - 1] for s in reversed(symbols)).split()
 
 
+class _Bones(dict):
+    """Letters of a word by class (i and l, which share look-alikes, are one); what is never read as a letter is left out."""
+
+    def __missing__(self, code):
+        return None
+
+
+_CLASS = str.maketrans("l", "i")
+_BONES = _Bones({ord(c): c.translate(_CLASS) for c in LETTERS} |
+                {ord(c): means[0] for c, means in LOOKALIKES.items() if c.isalnum()})
+_RUN = re.compile(r"(.)\1+", re.DOTALL)
+#: Characters that are read as a letter or dropped, or as any letter.
+_OPEN = re.compile("[" + re.escape("".join(c for c in LOOKALIKES if not c.isalnum()) + "*") + "]")
+
+
+def bones(word: str) -> str:
+    """Classes of a word's letters, runs as one: the same for the word and all readings, if no character of it is open."""
+    return _RUN.sub(r"\1", word.translate(_BONES))
+
+
+_CLASSES, _OPEN_BYTE = 27, 27  # a to z; 0: never read as a letter, or no letter
+
+
+def _byte_classes() -> np.ndarray:
+    """Class of each byte of a text in UTF-8; bytes of other than ASCII characters are open."""
+    table = np.zeros(256, np.uint8)
+    table[0x80:] = _OPEN_BYTE
+    for code in range(0x80):
+        c = chr(code).lower()
+        table[code] = _OPEN_BYTE if _OPEN.match(c) else ord(_BONES[ord(c)]) - 0x60 if ord(c) in _BONES else 0
+    return table
+
+
+class Wanted:
+    """Whether a word as it stands, or a reading of it, may have one of the given features."""
+
+    def __init__(self, names):
+        names = list(names)
+        # by the first three bones: a word has them in common with its features and its readings
+        self.classes, self.begins = _byte_classes(), np.zeros((_CLASSES,) * 3, bool)
+        for n in names:
+            first = [ord(c) - 0x60 for c in bones(n.removesuffix("*"))[:3]]
+            if all(c < _CLASSES for c in first):  # words with another letter among them are not told apart
+                pad = 3 - len(first)
+                self.begins[(*first, *[slice(None) if n.endswith("*") else 0] * pad)] = True
+        # a reading has letters only, and the bones of its beginning begin its bones
+        letters = [n for n in names if all(c in _CODE for c in n.removesuffix("*"))]
+        self.whole = {bones(n) for n in letters if not n.endswith("*")}
+        self.heads = {bones(n[:-1]) for n in letters if n.endswith("*")}
+        self.lengths = sorted({len(h) for h in self.heads})
+
+    def may_begin(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, look: int = 12) -> np.ndarray:
+        """For many spans at once: false where the first bones, found in ``look`` bytes, are of no feature."""
+        out = np.ones(len(starts), bool)
+        begins, scale = self.begins.ravel(), _CLASSES ** np.arange(3, -1, -1)
+        for at in range(0, len(starts), 1 << 16):
+            place = starts[at:at + (1 << 16)]
+            live, left = np.arange(at, at + len(place)), ends[at:at + (1 << 16)] - place
+            key, n, last = np.zeros(len(place), np.int64), np.zeros(len(place), np.int8), np.zeros(len(place), np.uint8)
+            for k in range(look):
+                c = self.classes[data[place + k]]
+                new = (c > 0) & (c != last)
+                key, n, last = np.where(new, key * _CLASSES + c, key), n + new, np.where(new, c, last)
+                known = c != _OPEN_BYTE
+                done = (n == 3) | (left == k + 1)
+                told = np.flatnonzero(done & known)
+                out[live[told]] = begins[key[told] * scale[n[told]]]
+                on = np.flatnonzero(~done & known)
+                live, place, left, key, n, last = (x[on] for x in (live, place, left, key, n, last))
+        return out
+
+    def may_have(self, word: str) -> bool:
+        if _OPEN.search(word):
+            return True
+        own = bones(word)
+        return own in self.whole or any(own[:n] in self.heads for n in self.lengths)
+
+
 _BLANK = re.compile(r"[\t\x0b\x0c\r]")
 _TRIM = re.compile(r"^[^\w@$(]+|[^\w$!]+$")
 _TRACE = re.compile(r"(.)\1|[" + re.escape("".join(LOOKALIKES) + SEPARATORS) + "*]", re.DOTALL)
 _NOISE = re.compile(r"(.)\1\1|[^\W\d_][\d@$!|+(*€£._~·'-]+[^\W\d_]|^[\d@$!|(€£][^\W\d_]{2}|[^\W\d_]{2}[\d@$!€£+]$", re.DOTALL)
 
 
+_TRIPLE = re.compile(r"(.)\1\1")
+_DOUBLE = re.compile(r"(.)\1")
+
+
 def plain_or_noisy(word: str) -> tuple[str, bool]:
     """The word in lower case without outer punctuation; whether it needs a lattice."""
     word = word.lower()
+    if word.isalpha():  # nothing to trim, and only a run is noise
+        return word, bool(_TRIPLE.search(word))
     while (cut := _TRIM.sub("", word)) != word:
         word = cut
     if len(word) > 2 and word[-1] in "$!" and word[-2] in "$!":  # a run of symbols behind a word is decoration
@@ -192,17 +280,23 @@ def features(word: str) -> list[str]:
 
 
 class WordReader:
-    """Restored words of whole texts, with one decision for each distinct word."""
+    """Restored words of whole texts, with one decision for each distinct word.
+
+    With ``wanted``, readings that can have none of these features are left out.
+    """
 
-    def __init__(self, logp: np.ndarray, value, limit: int = 400_000):
+    def __init__(self, logp: np.ndarray, value, limit: int = 400_000, wanted=None):
         self.reader, self.value, self.limit = Reader(logp), value, limit
+        self.wanted = None if wanted is None else Wanted(wanted)
         self.known: dict[int, object] = {}
 
     def restored(self, word: str) -> list[str]:
         word, noisy = plain_or_noisy(word)
         if noisy:
-            return self.reader.read(word)
-        if len(word) > 2 and _TRACE.search(word) and any(c in _CODE for c in word):
+            return self.reader.read(word) if self.wanted is None or self.wanted.may_have(word) else []
+        trace = _DOUBLE if word.isalpha() else _TRACE
+        if (len(word) > 2 and trace.search(word) and any(c in _CODE for c in word)
+                and (self.wanted is None or self.wanted.may_have(word))):
             return list(dict.fromkeys([word, *self.reader.read(word)]))
         return [word] if word else []
 
@@ -212,15 +306,16 @@ class WordReader:
         starts, ends, doc = word_spans(data, offsets)
         if len(self.known) > self.limit:
             self.known.clear()
-        hashes = span_hashes(data, starts, ends)
-        unique, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        some = slice(None) if self.wanted is None else np.flatnonzero(self.wanted.may_begin(data, starts, ends))
+        begin, end = starts[some], ends[some]
+        unique, where, inverse = np.unique(span_hashes(data, begin, end), return_index=True, return_inverse=True)
         raw, values = data.tobytes(), []
         for h, i in zip(unique.tolist(), where.tolist(), strict=True):
             v = self.known.get(h)
             if v is None:
-                v = self.known[h] = self.value(self.restored(raw[starts[i]:ends[i]].decode()))
+                v = self.known[h] = self.value(self.restored(raw[begin[i]:end[i]].decode()))
             values.append(v)
-        pairs = np.unique(doc * len(unique) + inverse) if len(doc) else np.zeros(0, np.int64)
+        pairs = np.unique(doc[some] * len(unique) + inverse) if len(begin) else np.zeros(0, np.int64)
         # single letters in a row, on one line, with nothing but white space between
         size = ends - starts
         one = (size == 1) | ((size == 2) & (data[starts] >= 0xC3) & (data[starts] < 0xE0))
@@ -261,13 +356,14 @@ def _document_features(rows: DataFrame, logp: np.ndarray, keep: dict[str, int] |
     def run(batches):
         logp, keep = shared.value
         pick = (lambda f: f) if keep is None else keep.get
-        own = WordReader(logp, lambda words: tuple({x for w in words for f in features(w) if (x := pick(f)) is not None}))
+        own = WordReader(logp, lambda words: tuple({x for w in words for f in features(w) if (x := pick(f)) is not None}), wanted=keep)
         for batch in batches:
             for part in text_parts(batch):
                 toxic = part.column("toxic").to_pylist()
                 doc, word, values, extra_doc, extra = own.texts(part.column("text"))
                 held: list[set] = [set() for _ in toxic]
-                for d, w in zip(doc.tolist(), word.tolist(), strict=True):
+                some = np.flatnonzero(np.array([bool(v) for v in values], bool)[word]) if len(word) else word
+                for d, w in zip(doc[some].tolist(), word[some].tolist(), strict=True):
                     held[d].update(values[w])
                 for d, v in zip(extra_doc, extra, strict=True):
                     held[d].update(v)
@@ -366,7 +462,7 @@ class Scorer:
         def value(words: list[str]) -> tuple[tuple[int, ...], str]:
             hits = {number[f]: w for w in words for f in features(w) if f in number}
             return tuple(hits), " ".join(sorted(set(hits.values())))
-        self.words = WordReader(logp, value)
+        self.words = WordReader(logp, value, wanted=number)
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, list[list[str]]]:
         doc, word, values, extra_doc, extra = self.words.texts(texts)
