@@ -3,7 +3,9 @@
 Each round first links every node's larger neighbours to its smallest one
 (large star), then every node's smaller neighbours (small star). Both are an
 aggregate and a join, with map-side minima, so a node with very many
-neighbours is never gathered in one task. The edges become stars around the
+neighbours is never gathered in one task. A round's edges are written and read
+back: a checkpoint would hand on the size that Spark estimates for them, which
+each join multiplies, to the next round, and its digits then fill the driver. The edges become stars around the
 smallest node of each component in a logarithmic number of rounds; rounds go
 on until the edge set no longer changes.
 """
@@ -13,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import cut, hot_join
+from salesmart.llm.common import hot_join, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -35,11 +37,11 @@ def _state(edges: DataFrame) -> tuple:
 
 def connected(edges: DataFrame, a: str, b: str) -> DataFrame:
     """node, root: the smallest node of its component, for every node of an edge between two nodes."""
-    now = cut(edges.filter(F.col(a) != F.col(b))
-              .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
+    now = written(edges.filter(F.col(a) != F.col(b))
+                  .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
     state = _state(now)
     while True:
-        now = cut(_small_star(_large_star(now)))
+        now = written(_small_star(_large_star(now)), "edges")
         after = _state(now)
         if after == state:
             roots = now.select("v").distinct()

@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import cut, documents, hot_join, partitions
+from salesmart.llm.common import documents, hot_join, partitions, written
 from salesmart.llm.components import connected
 from salesmart.llm.words import LOWER, mix, ragged, span_names, text_bytes, text_parts, word_spans
 
@@ -165,14 +165,14 @@ def split_clusters(docs: DataFrame, clusters: DataFrame, words: int = SHINGLE, p
     A shingle that one set alone holds is no edge, but it fills a place of its set's prefix.
     Nodes of such clusters that share no prefix shingle have no link and are left out.
     """
-    clusters = cut(clusters)
-    large = cut(clusters.groupBy("root").agg(F.count("*").alias("size")).filter(F.col("size") > most))
+    clusters = written(clusters, "clusters")
+    large = written(clusters.groupBy("root").agg(F.count("*").alias("size")).filter(F.col("size") > most), "large")
     if not large.head(1):
         return clusters
     parts = hot_join(clusters, large.select("root", F.lit(True).alias("split")), ["root"], how="left")
     rows = docs.select("doc_id", "text").join(parts.filter("split"), docs["doc_id"] == parts["node"]).select("node", "root", "text")
     # rows that repeat a node's id are told apart by their set
-    held = cut(set_keys(rows, words).select("node", "root", F.xxhash64("keys").alias("set"), F.size("keys").alias("n"), F.explode("keys").alias("key")))
+    held = written(set_keys(rows, words).select("node", "root", F.xxhash64("keys").alias("set"), F.size("keys").alias("n"), F.explode("keys").alias("key")), "held")
     shared = held.groupBy("root", "key").agg(F.count("*").alias("sets")).filter("sets > 1")
     common = hot_join(held, shared, ["root", "key"], salts=8)
     prefix = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / F.lit(100)) + F.lit(1)
@@ -180,7 +180,7 @@ def split_clusters(docs: DataFrame, clusters: DataFrame, words: int = SHINGLE, p
              .withColumn("places", (prefix - (F.col("n") - F.size("held"))).cast("int"))
              .filter("places > 0").select("root", "node", F.explode(F.slice("held", F.lit(1), F.col("places"))).alias("h"))
              .select("root", "node", F.col("h.key").alias("key")))
-    first = cut(first)
+    first = written(first, "first")
     hubs = first.groupBy("root", "key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub < top").drop("top")
     edges = hot_join(first, hubs, ["root", "key"], salts=8).filter("node <> hub").select("node", "hub")
     return parts.filter("split is null").select("node", "root").unionByName(connected(edges, "node", "hub"))
@@ -345,10 +345,10 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, percent: int = THRESH
                     block: int = BLOCK, block_shingles: int = BLOCK_SHINGLES, split: int = SPLIT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    members = cut(classes(cut(signed(docs, words, bands, rows))))
+    members = written(classes(written(signed(docs, words, bands, rows), "signed")), "members")
     clusters = split_clusters(docs, candidate_clusters(members), words, percent, split * block)
     confirmed_links = links(docs, planned(clusters, members, percent, block, block_shingles), words, percent)
-    components = cut(connected(confirmed_links, "a", "b")).select(F.col("node").alias("rep"), "root")
+    components = connected(confirmed_links, "a", "b").select(F.col("node").alias("rep"), "root")
     joined = hot_join(members.select("doc_id", "n_shingles", "rep"), components, ["rep"], how="left")
     component = F.coalesce("root", "rep")
     return joined.select("doc_id", "n_shingles", component.alias("component_id"),
