@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.functions.names import dataset_name_from_path, surrogate_key, template_name_from_path
+from salesmart.sources.files import whole_files
 
 
 def conjunction(*predicates: Column | None) -> Column:
@@ -213,10 +214,10 @@ def config_files(spark: SparkSession, root: str, max_bytes: int = CONFIG_MAX_BYT
     A document may be a file or, as Spark writes it, a folder
     ``document=<name>.json`` in a folder ``folder=<name>`` with one part file,
     or a file of that name in such a folder.
-    Files are read whole, many to a task; nothing is opened by the driver. The
-    tasks follow the cluster: Spark alone would take each file for 4 MB at least.
+    Files are listed and read whole by the tasks, many to a task; the driver
+    neither opens nor knows them.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    files = whole_files(spark, root, max_bytes)
     # Spark escapes what it puts into folder names
     path = F.expr("CASE WHEN path LIKE '%/document=%' THEN regexp_replace(try_url_decode(replace(path, '+', '%2B')), '/part-[^/]*$', '') ELSE path END")
     base = r"^([a-z0-9]+:(//[^/]*)?)?" + _re_escape(re.sub(r"^[a-z0-9]+:(//[^/]*)?(?=/)", "", root.rstrip("/"))) + "/+"
@@ -229,11 +230,7 @@ def config_files(spark: SparkSession, root: str, max_bytes: int = CONFIG_MAX_BYT
     ])
     text = F.col("content").cast("string")
     doc = F.when(text.rlike(r"^\s*\{"), F.from_json(text, sections, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
-    small = F.col("length") <= F.lit(max_bytes)
-    most = 4 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # the contents of larger files are not among the columns of their scan
-    found = files.where(small).select(rel.alias("relative_path"), doc.alias("doc"), F.lit(False).alias("large")).coalesce(most).unionByName(
-        files.where(~small).select(rel.alias("relative_path"), F.lit(None).cast(sections).alias("doc"), F.lit(True).alias("large")).coalesce(most))
+    found = files.select(rel.alias("relative_path"), doc.alias("doc"), (F.col("length") > F.lit(max_bytes)).alias("large"))
     rel, doc = F.col("relative_path"), F.col("doc")
     reason = F.when(~rel.endswith(".json"), "name")
     reason = reason.when(reduce(operator.or_, [rel.contains(p) for p in CONFIG_SKIP_PARTS]), "excluded path")
